@@ -134,3 +134,43 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", "source",
         F.signum(F.col("quality") - F.col("toxic")).cast("double").alias("label_num"),
     )
+
+
+def _noisy_text(doc_id: Column, text: Column) -> Column:
+    """Nulls, blanks and the noisy prefix injected by rule (every row is kept)."""
+    return (F.when(doc_id % 17 == 0, F.lit(None).cast("string"))
+            .when(doc_id % 19 == 0, F.lit("   "))
+            .otherwise(F.concat(F.lit(NOISY_PREFIX), text)))
+
+
+def labelled_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two labelled sources of the standardise job, from documents + labels.
+
+    * sentence source (even ``doc_id``): string labels (`` Positive ``, ``-1``, ``neutral``)
+    * headline source (odd ``doc_id``): numeric labels (sign of quality - toxic)
+    ``doc_id % 23 = 0`` carries an unknown label in both.
+    """
+    lab = labelled_documents(spark, sf_dir)
+    doc_id = F.col("doc_id")
+    text = _noisy_text(doc_id, F.col("text"))
+    str_label = (F.when(doc_id % 23 == 0, F.lit("unknown"))
+                 .when(F.col("label_num") > 0, F.lit(" Positive "))
+                 .when(F.col("label_num") < 0, F.lit("-1"))
+                 .otherwise(F.lit("neutral")))
+    num_label = F.when(doc_id % 23 == 0, F.lit(None).cast("double")).otherwise(F.col("label_num"))
+    sentences = lab.where(doc_id % 2 == 0).select(
+        "doc_id", str_label.alias("sentiment"), text.alias("data"))
+    headlines = lab.where(doc_id % 2 == 1).select(
+        "doc_id", text.alias("Title"), num_label.alias("Global Sentiment"))
+    return sentences, headlines
+
+
+def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turn = article, the next assistant turn = summary (equi-join on turn + 1)."""
+    from lexiscope.session import read_table
+    conv = read_table(spark, sf_dir, "conversations")
+    user = conv.where(F.col("role") == "user").select(
+        "conv_id", "turn", F.col("text").alias("article"))
+    asst = conv.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("summary"))
+    return user.join(asst, ["conv_id", "turn"])

@@ -228,16 +228,17 @@ def vote_tag() -> Column:
 
 
 def tri_class(tag: Column, litigious: str = "negative") -> Column:
-    """Tag -> positive/negative/neutral; ``litigious='drop'`` gives null."""
+    """Tag -> positive/negative/neutral; ``litigious='drop'`` gives null.
+
+    No tag (no votes) is neutral.  A 9-entry literal map is a constant-size scan.
+    """
     if litigious not in ("negative", "drop"):
         raise ValueError("litigious must be 'negative' or 'drop'")
-    expr = F.when(tag.isNull(), F.lit("neutral"))
+    pairs = []
     for t, cls in TAG_TO_CLASS.items():
-        if t == "litigious" and litigious == "drop":
-            expr = expr.when(tag == t, F.lit(None).cast("string"))
-        else:
-            expr = expr.when(tag == t, F.lit(cls))
-    return expr
+        pairs += [F.lit(t), F.lit(None).cast("string") if (t == "litigious" and litigious == "drop")
+                  else F.lit(cls)]
+    return F.when(tag.isNull(), F.lit("neutral")).otherwise(F.element_at(F.create_map(*pairs), tag))
 
 
 def n_tags() -> Column:
@@ -252,7 +253,7 @@ def bias_columns() -> list[Column]:
 
     The flag uses the unrounded score, summed left to right in double.
     """
-    total = n_tags()
+    total = F.col("n_tags")
     shares = {c: F.when(total > 0, F.col(f"n_{c}") / total).otherwise(F.lit(0.0))
               for c in BIAS_CATEGORIES}
     score = ((shares["uncertainty"] + shares["litigious"]) + shares["constraining"]) / 3.0
@@ -263,14 +264,19 @@ def bias_columns() -> list[Column]:
     ]
 
 
+def with_vote(counts: DataFrame) -> DataFrame:
+    """Adds ``n_tags`` and ``lexicon_tag`` in their own projection, so the vote
+    is computed once and not inlined into every expression that reads it."""
+    return counts.select("*", n_tags().alias("n_tags"), vote_tag().alias("lexicon_tag"))
+
+
 def signal_columns(id_col: str = "doc_id", litigious: str = "negative") -> list[Column]:
-    """Per-document lexicon + bias columns computed from a :func:`tag_counts` row."""
+    """Per-document lexicon + bias columns over a :func:`with_vote` row."""
     return [
         F.col(id_col),
-        *[F.col(f"n_{c}") for c in CATEGORIES], F.col("n_cns"),
-        n_tags().alias("n_tags"),
-        vote_tag().alias("lexicon_tag"),
-        tri_class(vote_tag(), litigious).alias("lexicon_label"),
+        *[F.col(f"n_{c}") for c in CATEGORIES], F.col("n_cns"), F.col("n_tags"),
+        F.col("lexicon_tag"),
+        tri_class(F.col("lexicon_tag"), litigious).alias("lexicon_label"),
         *bias_columns(),
     ]
 
@@ -279,7 +285,7 @@ def lexicon_signals(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
                     text_col: str = "text", litigious: str = "negative") -> DataFrame:
     """L3->L8 in one job: one row per document."""
     counts = tag_counts(docs, lookup, id_col, text_col)
-    return counts.select(*signal_columns(id_col, litigious))
+    return with_vote(counts).select(*signal_columns(id_col, litigious))
 
 
 def counts_map() -> Column:

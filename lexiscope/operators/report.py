@@ -78,7 +78,7 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
                          conf.cast("double").alias("cls_conf"))
     counts = lx.tag_counts(scored, lookup, id_col, text_col,
                            carry_max=("cls_id", "cls_conf"))
-    lex = counts.select(
+    lex = lx.with_vote(counts).select(
         *lx.signal_columns(id_col),
         F.element_at(F.array(*[F.lit(x) for x in CLASS_LABELS]), F.col("cls_id"))
         .alias("finbert_label"),

@@ -35,7 +35,133 @@ def report_flat() -> str:
     )
 
 
+def report_checks() -> str:
+    unit = lambda c: f"(NOT ({c} BETWEEN 0.0 AND 1.0) OR {c} IS NULL)"
+    labels = "('positive', 'negative', 'neutral')"
+    return (
+        f"SELECT count(*) AS n_reports, count(*) FILTER (WHERE {unit('finbert_confidence')}) AS bad_confidence, "
+        f"count(*) FILTER (WHERE {unit('uncertainty')} OR {unit('litigious')} OR {unit('constraining')}) AS bad_shares, "
+        f"count(*) FILTER (WHERE {unit('bias_score')}) AS bad_score, "
+        f"count(*) FILTER (WHERE finbert_label NOT IN {labels} OR finbert_label IS NULL) AS bad_finbert_label, "
+        f"count(*) FILTER (WHERE lexicon_label NOT IN {labels} OR lexicon_label IS NULL) AS bad_lexicon_label, "
+        f"count(*) FILTER (WHERE reliability NOT IN ('high', 'medium', 'low')) AS bad_tier "
+        f"FROM ({report_flat()})"
+    )
+
+
+def token_tags() -> str:
+    names = "['cns', " + ", ".join(s.q(c) for c in CATS) + "]"
+    tag_sql = s.tagged_cte("documents").replace(
+        "tagged0 AS (SELECT t.id, t.pos,", "tagged0 AS (SELECT t.id, t.pos, t.token,")
+    return (f"WITH {s.lookup_cte()}, {tag_sql} "
+            f"SELECT id AS doc_id, pos, token, ({names})[code + 1] AS tag FROM tagged")
+
+
+def tag_lists() -> str:
+    names = "['cns', " + ", ".join(s.q(c) for c in CATS) + "]"
+    return (f"WITH {s.lookup_cte()}, {s.tagged_cte('documents')}, "
+            f"agg AS (SELECT id, string_agg(({names})[code + 1], ',' ORDER BY pos) AS l FROM tagged GROUP BY id) "
+            f"SELECT d.doc_id, coalesce(agg.l, '') AS sentiment_list FROM documents d LEFT JOIN agg ON d.doc_id = agg.id")
+
+
+def rule_based_labels() -> str:
+    return (f"SELECT doc_id, n_cns, n_tags, lexicon_tag, lexicon_label FROM "
+            f"({s.signals_query(stopword_mode='in_dictionary', litigious='drop')})")
+
+
+def dictionary_profile() -> str:
+    cats = ", ".join(f"count(*) FILTER (WHERE coalesce({c}, 0) <> 0) AS n_{c}"
+                     for c in CATS + ('complexity',))
+    return (f"WITH {s.dictionary_values()} SELECT count(*) AS n_words, {cats}, "
+            f"CAST(sum(coalesce(doc_count, 0)) AS BIGINT) AS total_documents, "
+            f"count(*) FILTER (WHERE upper(word) IN ({s.STOPWORDS_SQL})) AS n_stopwords FROM dict")
+
+
+def bias_flag_rate() -> str:
+    return (f"SELECT flagged, total, round(CASE WHEN total > 0 THEN CAST(flagged AS DOUBLE) * 100.0 / total END, 1) "
+            f"AS percent FROM (SELECT count(*) FILTER (WHERE bias_flag) AS flagged, count(*) AS total "
+            f"FROM ({s.signals_query()}))")
+
+
+# ---- standardise / clean ------------------------------------------------------
+
+
+def _std_parts() -> str:
+    sent = (f"SELECT {s.py_strip_sql('data')} AS data, 'sentence' AS datatype, "
+            f"{s.string_label_sql('sentiment')} AS sentiment FROM sentences")
+    head = (f"SELECT {s.py_strip_sql('title')} AS data, 'headline' AS datatype, "
+            f"{s.numeric_label_sql('gs')} AS sentiment FROM headlines")
+    return (f"WITH {s.labelled_sources_ctes()}, "
+            f"std AS (SELECT * FROM ({sent}) WHERE data IS NOT NULL AND sentiment IS NOT NULL AND data <> '' "
+            f"UNION ALL SELECT * FROM ({head}) WHERE data IS NOT NULL AND sentiment IS NOT NULL AND data <> '')")
+
+
+def standardised_sources() -> str:
+    return f"{_std_parts()} SELECT data, datatype, sentiment FROM std"
+
+
+def stitched() -> str:
+    return (f"{_std_parts()} SELECT DISTINCT data, datatype, sentiment FROM "
+            f"(SELECT {s.clean_text_sql('data')} AS data, datatype, sentiment FROM std) WHERE data <> ''")
+
+
+def clean_pages() -> str:
+    return f"SELECT page_id, {s.clean_text_sql('html')} AS clean FROM pages"
+
+
+def strip_markup_pages() -> str:
+    return f"SELECT page_id, {s.markup_sql('html')} AS stripped FROM pages"
+
+
+def ascii_fold_documents() -> str:
+    return f"SELECT doc_id, {s.fold_sql('text')} AS folded FROM documents"
+
+
+def pairs_light_clean() -> str:
+    return (f"SELECT u.conv_id, u.turn, {s.light_clean_sql('u.text')} AS article, "
+            f"{s.light_clean_sql('a.text')} AS summary FROM conversations u JOIN conversations a "
+            f"ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'")
+
+
+def label_codes() -> str:
+    return (f"WITH {s.labelled_sources_ctes()}, both_l AS ("
+            f"SELECT doc_id, {s.string_label_sql('sentiment')} AS label FROM sentences UNION ALL "
+            f"SELECT doc_id, {s.numeric_label_sql('gs')} AS label FROM headlines) "
+            f"SELECT doc_id, label, CASE label WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 "
+            f"WHEN 'neutral' THEN 2 END AS label_index, CASE label WHEN 'positive' THEN 1 "
+            f"WHEN 'negative' THEN -1 ELSE 0 END AS label_sign FROM both_l")
+
+
+def input_guard() -> str:
+    return (f"WITH {s.labelled_sources_ctes()}, arts AS (SELECT doc_id, data AS text FROM sentences "
+            f"UNION ALL SELECT doc_id, title AS text FROM headlines) "
+            f"SELECT doc_id, (text IS NOT NULL AND {s.py_strip_sql('text')} <> '') AS accepted, "
+            f"CASE WHEN text IS NOT NULL AND {s.py_strip_sql('text')} <> '' "
+            f"THEN CAST(length({s.py_strip_sql('text')}) AS BIGINT) END AS n_chars FROM arts")
+
+
+def prompted_articles() -> str:
+    from lexiscope.functions.text import NEUTRAL_PROMPT_PREFIX
+    p = f"({s.q(NEUTRAL_PROMPT_PREFIX)} || text)"
+    return f"SELECT doc_id, md5({p}) AS prompt_md5, CAST(length({p}) AS BIGINT) AS prompt_chars FROM documents"
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
+    "report_checks": report_checks,
+    "token_tags": token_tags,
+    "tag_lists": tag_lists,
+    "rule_based_labels": rule_based_labels,
+    "dictionary_profile": dictionary_profile,
+    "bias_flag_rate": bias_flag_rate,
+    "standardised_sources": standardised_sources,
+    "stitched": stitched,
+    "clean_pages": clean_pages,
+    "strip_markup_pages": strip_markup_pages,
+    "ascii_fold_documents": ascii_fold_documents,
+    "pairs_light_clean": pairs_light_clean,
+    "label_codes": label_codes,
+    "input_guard": input_guard,
+    "prompted_articles": prompted_articles,
 }

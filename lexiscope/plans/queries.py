@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lexiscope import fixtures
 from lexiscope.operators import lexicon as lx
 from lexiscope.operators import report as rp
+from lexiscope.operators import standardize as sd
+from lexiscope.functions import text as tx
 from lexiscope.session import read_table
 
 
@@ -33,7 +35,136 @@ def q_report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumn("reasons", F.array_join("reasons", ","))
 
 
+def q_report_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 + K2: nested report serialised as one JSON object per document."""
+    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark))
+    return rp.report_json(rp.nested_report(flat))
+
+
+def q_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bound / closed-set violations over all reports."""
+    return rp.report_checks(rp.report_table(_docs(spark, sf_dir), _lookup(spark)))
+
+
+def q_token_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kept token with its tag (long form)."""
+    return lx.token_tags(_docs(spark, sf_dir), _lookup(spark))
+
+
+def q_tag_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: ordered tag list per document (joined for comparison)."""
+    tl = lx.tag_lists(_docs(spark, sf_dir), _lookup(spark))
+    return tl.select("doc_id", F.array_join("sentiment_list", ",").alias("sentiment_list"))
+
+
+def q_rule_based_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch tagger mode: dictionary stopwords only, litigious dropped (null label)."""
+    sig = lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark, "in_dictionary"),
+                             litigious="drop")
+    return sig.select("doc_id", "n_cns", "n_tags", "lexicon_tag", "lexicon_label")
+
+
+def q_dictionary_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: profile of the dictionary, plus the stopword count among its words."""
+    return lx.dictionary_profile(fixtures.fixture_dictionary(spark))
+
+
+def q_bias_flag_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged / total / percent over all documents."""
+    return lx.flag_rate(lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark)))
+
+
+# ---- standardise / clean -----------------------------------------------------
+
+
+def _std_sources(spark: SparkSession, sf_dir: str):
+    sentences, headlines = fixtures.labelled_sources(spark, sf_dir)
+    return [(sentences, "data", "sentiment", "sentence"),
+            (headlines, "Title", "Global Sentiment", "headline")]
+
+
+def q_standardised_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1-P4 per source, before cleaning (what the per-source files hold)."""
+    parts = [sd.standardise(df, d, lbl, dt) for df, d, lbl, dt in _std_sources(spark, sf_dir)]
+    return parts[0].unionByName(parts[1])
+
+
+def q_stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardise -> clean (T5) -> drop blanks -> stitch + de-duplicate."""
+    return sd.standardise_job(_std_sources(spark, sf_dir))
+
+
+def q_clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 on raw HTML pages."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", tx.clean_text(F.col("html")).alias("clean"))
+
+
+def q_strip_markup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 alone on raw HTML pages."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", tx.strip_markup(F.col("html")).alias("stripped"))
+
+
+def q_ascii_fold_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on every document."""
+    return _docs(spark, sf_dir).select("doc_id", tx.ascii_fold(F.col("text")).alias("folded"))
+
+
+def q_pairs_light_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """article/summary pairs (P6), light clean (T6) on both sides."""
+    pairs = fixtures.conversation_pairs(spark, sf_dir)
+    return pairs.select("conv_id", "turn",
+                        tx.light_clean(F.col("article")).alias("article"),
+                        tx.light_clean(F.col("summary")).alias("summary"))
+
+
+def q_label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 (string and numeric forms) + P7 encodings."""
+    sentences, headlines = fixtures.labelled_sources(spark, sf_dir)
+    s = sentences.select("doc_id", sd.normalise_label(sentences, "sentiment").alias("label"))
+    h = headlines.select("doc_id", sd.normalise_label(headlines, "Global Sentiment").alias("label"))
+    both = s.unionByName(h)
+    return both.select("doc_id", "label",
+                       sd.encode_label(F.col("label"), "index").alias("label_index"),
+                       sd.encode_label(F.col("label"), "sign").alias("label_sign"))
+
+
+def q_input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted articles (stripped) vs rejected empty ones."""
+    sentences, headlines = fixtures.labelled_sources(spark, sf_dir)
+    arts = sentences.select("doc_id", F.col("data").alias("text")).unionByName(
+        headlines.select("doc_id", F.col("Title").alias("text")))
+    ok, bad = sd.guard_nonempty(arts)
+    return ok.select("doc_id", F.lit(True).alias("accepted"), F.length("text").cast("bigint").alias("n_chars")) \
+        .unionByName(bad.select("doc_id", F.lit(False).alias("accepted"),
+                                F.lit(None).cast("bigint").alias("n_chars")))
+
+
+def q_prompted_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summariser input with the neutral instruction (hash + length of the whole prompt)."""
+    p = tx.with_prompt(F.col("text"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(p).alias("prompt_md5"),
+                                       F.length(p).cast("bigint").alias("prompt_chars"))
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
+    "report_nested_json": q_report_nested_json,
+    "report_checks": q_report_checks,
+    "token_tags": q_token_tags,
+    "tag_lists": q_tag_lists,
+    "rule_based_labels": q_rule_based_labels,
+    "dictionary_profile": q_dictionary_profile,
+    "bias_flag_rate": q_bias_flag_rate,
+    "standardised_sources": q_standardised_sources,
+    "stitched": q_stitched,
+    "clean_pages": q_clean_pages,
+    "strip_markup_pages": q_strip_markup_pages,
+    "ascii_fold_documents": q_ascii_fold_documents,
+    "pairs_light_clean": q_pairs_light_clean,
+    "label_codes": q_label_codes,
+    "input_guard": q_input_guard,
+    "prompted_articles": q_prompted_articles,
 }

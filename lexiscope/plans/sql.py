@@ -5,6 +5,7 @@ from __future__ import annotations
 from lexiscope import fixtures
 from lexiscope.functions import text as tx
 from lexiscope.operators import lexicon as lx
+from lexiscope.operators import standardize as sd
 
 
 def q(s: str) -> str:
@@ -114,3 +115,73 @@ def md5_conf_sql(key: str) -> str:
 def lead_summary_sql(text: str) -> str:
     return (f"array_to_string(list_filter(list_transform(string_split({text}, chr(10)), "
             f"lambda p: trim(regexp_extract(p, '^[^.!?]*[.!?]?', 0))), lambda s: s <> ''), ' ')")
+
+
+# ---- text cleaning (T1-T6) ----------------------------------------------------
+
+WS_RE2 = tx.re2_class(tx.PY_WHITESPACE)
+ASCII_WS_RE2 = tx.re2_class("".join(c for c in tx.PY_WHITESPACE if ord(c) < 128))
+
+
+def py_strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^[{WS_RE2}]+|[{WS_RE2}]+$', '', 'g')"
+
+
+def fold_sql(x: str) -> str:
+    return f"regexp_replace(strip_accents({x}), '[^\\x00-\\x7f]', '', 'g')"
+
+
+def markup_sql(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '<[^>]+>', ' ', 'g'), '&[a-z]+;', ' ', 'g')"
+
+
+def contractions_sql(x: str) -> str:
+    for pat, rep in tx.CONTRACTIONS:
+        x = f"regexp_replace({x}, {q('(?i)' + pat)}, {q(rep)}, 'g')"
+    return x
+
+
+def case_space_sql(x: str) -> str:
+    x = f"lower({x})"
+    x = f"regexp_replace({x}, '[{ASCII_WS_RE2}]+', ' ', 'g')"
+    x = f"regexp_replace({x}, '^ | $', '', 'g')"
+    x = f"replace(replace({x}, chr(10), ' '), chr(13), ' ')"
+    x = f"replace({x}, '?', '')"
+    return f"regexp_replace({x}, '^[{ASCII_WS_RE2}]+|[{ASCII_WS_RE2}]+$', '', 'g')"
+
+
+def clean_text_sql(x: str) -> str:
+    return case_space_sql(contractions_sql(markup_sql(fold_sql(x))))
+
+
+def light_clean_sql(x: str) -> str:
+    return py_strip_sql(f"replace(replace(replace({x}, chr(10), ' '), chr(13), ' '), '?', '')")
+
+
+def string_label_sql(x: str) -> str:
+    k = f"lower({py_strip_sql(x)})"
+    whens = " ".join(f"WHEN {k} = {q(a)} THEN {q(b)}" for a, b in sd.STRING_LABELS.items())
+    return f"(CASE {whens} END)"
+
+
+def numeric_label_sql(x: str) -> str:
+    return (f"(CASE WHEN {x} > 0 THEN 'positive' WHEN {x} < 0 THEN 'negative' "
+            f"WHEN {x} = 0 THEN 'neutral' END)")
+
+
+NOISY_PREFIX_SQL = q(fixtures.NOISY_PREFIX)
+
+
+def labelled_sources_ctes() -> str:
+    """``lab``, ``sentences(doc_id, sentiment, data)``, ``headlines(doc_id, title, gs)``."""
+    text = (f"CASE WHEN d.doc_id % 17 = 0 THEN NULL WHEN d.doc_id % 19 = 0 THEN '   ' "
+            f"ELSE {NOISY_PREFIX_SQL} || d.text END")
+    return (
+        f"lab AS (SELECT d.doc_id, {text} AS text, CAST(sign(l.quality - l.toxic) AS DOUBLE) AS label_num "
+        f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id), "
+        f"sentences AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN 'unknown' "
+        f"WHEN label_num > 0 THEN ' Positive ' WHEN label_num < 0 THEN '-1' ELSE 'neutral' END AS sentiment, "
+        f"text AS data FROM lab WHERE doc_id % 2 = 0), "
+        f"headlines AS (SELECT doc_id, text AS title, CASE WHEN doc_id % 23 = 0 THEN NULL "
+        f"ELSE label_num END AS gs FROM lab WHERE doc_id % 2 = 1)"
+    )
