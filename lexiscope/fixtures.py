@@ -174,3 +174,12 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     asst = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("summary"))
     return user.join(asst, ["conv_id", "turn"])
+
+
+def truth_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, label)``: the numeric label of ``labels`` normalised."""
+    from lexiscope.session import read_table
+    labels = read_table(spark, sf_dir, "labels")
+    d = F.col("quality") - F.col("toxic")
+    return labels.select("doc_id", F.when(d > 0, F.lit("positive")).when(d < 0, F.lit("negative"))
+                         .when(d == 0, F.lit("neutral")).alias("label"))

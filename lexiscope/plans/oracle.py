@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from lexiscope.operators import lexicon as lx
+from lexiscope.functions.hashing import seeded_hash_sql
+from lexiscope.operators import evaluate as ev
+from lexiscope.operators import sampling as sm
 from lexiscope.plans import sql as s
 
 CATS = lx.CATEGORIES
@@ -146,6 +149,111 @@ def prompted_articles() -> str:
     return f"SELECT doc_id, md5({p}) AS prompt_md5, CAST(length({p}) AS BIGINT) AS prompt_chars FROM documents"
 
 
+# ---- sampling / splits ----------------------------------------------------------
+
+TRUTH = ("truth AS (SELECT doc_id, CASE WHEN quality - toxic > 0 THEN 'positive' "
+         "WHEN quality - toxic < 0 THEN 'negative' WHEN quality - toxic = 0 THEN 'neutral' END "
+         "AS label FROM labels)")
+
+
+def _u(key: str) -> str:
+    return f"(CAST({seeded_hash_sql(key)} AS DOUBLE) / 4294967296.0)"
+
+
+def _threshold_case(key: str, weights: dict) -> str:
+    parts = []
+    for split, bound in sm.thresholds(weights):
+        parts.append(f"ELSE {s.q(split)}" if bound is None
+                     else f"WHEN {_u(key)} < {bound!r} THEN {s.q(split)}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def seeded_shuffle() -> str:
+    return f"SELECT doc_id, {seeded_hash_sql('doc_id')} AS h FROM documents"
+
+
+def seeded_subset() -> str:
+    return f"SELECT doc_id, {seeded_hash_sql('doc_id')} AS h FROM documents ORDER BY h, doc_id LIMIT 1500"
+
+
+def fraction_sample() -> str:
+    return f"WITH {TRUTH} SELECT doc_id, label FROM truth WHERE {_u('doc_id')} < 0.5"
+
+
+def train_test_split() -> str:
+    return f"WITH {TRUTH} SELECT doc_id, label, {_threshold_case('doc_id', sm.TRAIN_TEST)} AS split FROM truth"
+
+
+def train_val_test_split() -> str:
+    return f"SELECT doc_id, {_threshold_case('doc_id', sm.TRAIN_VAL_TEST)} AS split FROM documents"
+
+
+def _strat_cte() -> str:
+    return (f"{TRUTH}, hr AS (SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY "
+            f"{seeded_hash_sql('doc_id')}, doc_id) - 1 AS r, count(*) OVER (PARTITION BY label) AS n_c FROM truth), "
+            f"qt AS (SELECT *, CAST(ceil(n_c * CAST(0.2 AS DOUBLE)) AS BIGINT) AS n_test FROM hr), "
+            f"strat AS (SELECT doc_id, label, CASE WHEN r < n_test THEN 'test' WHEN r < n_test + "
+            f"CAST(ceil((n_c - n_test) * CAST(0.2 AS DOUBLE)) AS BIGINT) THEN 'validation' ELSE 'train' END AS split FROM qt)")
+
+
+def stratified_split() -> str:
+    return f"WITH {_strat_cte()} SELECT doc_id, label, split FROM strat"
+
+
+# ---- evaluation ---------------------------------------------------------------
+
+
+def split_counts() -> str:
+    return f"WITH {_strat_cte()} SELECT split, count(*) AS n FROM strat GROUP BY split"
+
+
+def class_weights() -> str:
+    return (f"WITH {_strat_cte()}, c AS (SELECT label, count(*) AS n_c FROM strat WHERE split = 'train' "
+            f"AND label IS NOT NULL GROUP BY label) SELECT label, n_c, CAST(sum(n_c) OVER () AS DOUBLE) / "
+            f"(count(*) OVER () * n_c) AS weight FROM c")
+
+
+def _rule_pairs() -> str:
+    return (f"pairs AS (SELECT t.label AS true_label, g.lexicon_label AS pred_label FROM truth t JOIN "
+            f"({s.signals_query(stopword_mode='in_dictionary', litigious='drop')}) g ON t.doc_id = g.doc_id "
+            f"WHERE t.label IS NOT NULL AND g.lexicon_label IS NOT NULL), "
+            f"pc AS (SELECT true_label, pred_label, count(*) AS n FROM pairs GROUP BY ALL)")
+
+
+def confusion_matrix() -> str:
+    labels = ev.LABELS
+    grid = ", ".join(f"({s.q(t)}, {s.q(p)}, {i * 3 + j})" for i, t in enumerate(labels)
+                     for j, p in enumerate(labels))
+    return (f"WITH {TRUTH}, {_rule_pairs()}, grid(true_label, pred_label, cell) AS (VALUES {grid}) "
+            f"SELECT g.true_label, g.pred_label, coalesce(pc.n, 0) AS n, g.cell FROM grid g LEFT JOIN pc "
+            f"ON g.true_label = pc.true_label AND g.pred_label = pc.pred_label")
+
+
+def classification_metrics() -> str:
+    return (f"WITH {TRUTH}, {_rule_pairs()}, "
+            f"sup AS (SELECT true_label AS label, sum(n) AS support FROM pc GROUP BY 1), "
+            f"prd AS (SELECT pred_label AS label, sum(n) AS predicted FROM pc GROUP BY 1), "
+            f"tp AS (SELECT true_label AS label, n AS tp FROM pc WHERE true_label = pred_label), "
+            f"per AS (SELECT coalesce(sup.label, prd.label) AS label, coalesce(support, 0) AS support, "
+            f"coalesce(predicted, 0) AS predicted FROM sup FULL JOIN prd ON sup.label = prd.label), "
+            f"per2 AS (SELECT per.*, coalesce(tp.tp, 0) AS tp FROM per LEFT JOIN tp ON per.label = tp.label), "
+            f"m AS (SELECT support, tp, "
+            f"CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS p, "
+            f"CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS r, "
+            f"CASE WHEN 2 * tp + (predicted - tp) + (support - tp) > 0 THEN CAST(2 * tp AS DOUBLE) / "
+            f"(2 * tp + (predicted - tp) + (support - tp)) ELSE 0.0 END AS f FROM per2) "
+            f"SELECT CAST(sum(support) AS BIGINT) AS n, round(CAST(sum(tp) AS DOUBLE) / sum(support), 6) AS accuracy, "
+            f"round(sum(p * support) / sum(support), 6) AS precision, round(sum(r * support) / sum(support), 6) AS recall, "
+            f"round(sum(f * support) / sum(support), 6) AS f1 FROM m")
+
+
+def per_row_results() -> str:
+    return (f"WITH {_strat_cte()}, rep AS ({report_flat()}) "
+            f"SELECT r.doc_id, r.finbert_label AS sentiment, r.finbert_confidence AS confidence, r.uncertainty, "
+            f"r.litigious, r.constraining, r.bias_score, r.bias_flag, st.label AS true_sentiment "
+            f"FROM rep r JOIN strat st ON r.doc_id = st.doc_id WHERE st.split = 'test'")
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -164,4 +272,15 @@ ORACLES = {
     "label_codes": label_codes,
     "input_guard": input_guard,
     "prompted_articles": prompted_articles,
+    "seeded_shuffle": seeded_shuffle,
+    "seeded_subset": seeded_subset,
+    "fraction_sample": fraction_sample,
+    "train_test_split": train_test_split,
+    "train_val_test_split": train_val_test_split,
+    "stratified_split": stratified_split,
+    "split_counts": split_counts,
+    "class_weights": class_weights,
+    "confusion_matrix": confusion_matrix,
+    "classification_metrics": classification_metrics,
+    "per_row_results": per_row_results,
 }

@@ -10,6 +10,8 @@ from lexiscope.operators import lexicon as lx
 from lexiscope.operators import report as rp
 from lexiscope.operators import standardize as sd
 from lexiscope.functions import text as tx
+from lexiscope.operators import evaluate as ev
+from lexiscope.operators import sampling as sm
 from lexiscope.session import read_table
 
 
@@ -148,6 +150,82 @@ def q_prompted_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.length(p).cast("bigint").alias("prompt_chars"))
 
 
+# ---- sampling / splits -------------------------------------------------------
+
+
+def q_seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: documents in seeded order (sort key kept)."""
+    return sm.seeded_shuffle(_docs(spark, sf_dir).select("doc_id"), "doc_id")
+
+
+def q_seeded_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the first 1,500 documents of the seeded order (top-k)."""
+    return sm.seeded_subset(_docs(spark, sf_dir).select("doc_id"), "doc_id", 1500)
+
+
+def q_fraction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: half of the labelled documents by hash threshold."""
+    return sm.fraction_sample(fixtures.truth_labels(spark, sf_dir), "doc_id", 0.5)
+
+
+def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unstratified 80/20 over the labelled documents."""
+    return sm.train_test(fixtures.truth_labels(spark, sf_dir), "doc_id")
+
+
+def q_train_val_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """80/10/10 over all documents."""
+    return sm.train_val_test(_docs(spark, sf_dir).select("doc_id"), "doc_id")
+
+
+def _strat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sm.stratified_split(fixtures.truth_labels(spark, sf_dir), "doc_id", "label")
+
+
+def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact per-class 64/16/20 split of the labelled documents."""
+    return _strat(spark, sf_dir)
+
+
+# ---- evaluation ---------------------------------------------------------------
+
+
+def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: rows per split of the stratified split."""
+    return ev.split_counts(_strat(spark, sf_dir))
+
+
+def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: balanced class weights over the training split."""
+    return ev.class_weights(_strat(spark, sf_dir).where(F.col("split") == "train"))
+
+
+def _rule_vs_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred = lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark, "in_dictionary"),
+                              litigious="drop").select("doc_id", F.col("lexicon_label").alias("pred"))
+    return fixtures.truth_labels(spark, sf_dir).join(pred, "doc_id")
+
+
+def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: rule-based prediction vs label, all nine cells."""
+    return ev.confusion_matrix(spark, _rule_vs_truth(spark, sf_dir), "label", "pred")
+
+
+def q_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: accuracy and weighted P/R/F1 of the rule-based prediction."""
+    return ev.classification_metrics(_rule_vs_truth(spark, sf_dir), "label", "pred")
+
+
+def q_per_row_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: test-split rows with classifier label, confidence, bias and true label."""
+    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark))
+    sig = flat.select("doc_id", F.col("finbert_label").alias("sentiment"),
+                      F.col("finbert_confidence").alias("confidence"),
+                      "uncertainty", "litigious", "constraining", "bias_score", "bias_flag")
+    test = _strat(spark, sf_dir).where(F.col("split") == "test")
+    return ev.per_row_results(sig, test)
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -167,4 +245,15 @@ QUERIES = {
     "label_codes": q_label_codes,
     "input_guard": q_input_guard,
     "prompted_articles": q_prompted_articles,
+    "seeded_shuffle": q_seeded_shuffle,
+    "seeded_subset": q_seeded_subset,
+    "fraction_sample": q_fraction_sample,
+    "train_test_split": q_train_test_split,
+    "train_val_test_split": q_train_val_test_split,
+    "stratified_split": q_stratified_split,
+    "split_counts": q_split_counts,
+    "class_weights": q_class_weights,
+    "confusion_matrix": q_confusion_matrix,
+    "classification_metrics": q_classification_metrics,
+    "per_row_results": q_per_row_results,
 }
