@@ -254,6 +254,75 @@ def per_row_results() -> str:
             f"FROM rep r JOIN strat st ON r.doc_id = st.doc_id WHERE st.split = 'test'")
 
 
+# ---- summaries and ROUGE ---------------------------------------------------------
+
+PAIRS = ("pairs AS (SELECT u.conv_id, u.turn, u.text AS article, a.text AS summary FROM conversations u "
+         "JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 "
+         "WHERE u.role = 'user' AND a.role = 'assistant')")
+
+
+def _rtok(x: str) -> str:
+    return (f"list_filter(string_split(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), ' '), "
+            f"lambda t: t <> '')")
+
+
+def _big(x: str) -> str:
+    return f"list_transform(range(1, len({x})), lambda i: {x}[i] || ' ' || {x}[i + 1])"
+
+
+def _rouge_n_cte() -> str:
+    g = " UNION ALL ".join(
+        f"SELECT conv_id, turn, {n} AS n, '{side}' AS side, unnest({expr}) AS g FROM tk"
+        for n, side, expr in ((1, "p", "tp"), (1, "r", "tr"), (2, "p", _big("tp")), (2, "r", _big("tr"))))
+    sums = ", ".join(f"sum(CASE WHEN n = {n} THEN least(cp, cr) END) AS o{n}, "
+                     f"sum(CASE WHEN n = {n} THEN cp END) AS np{n}, sum(CASE WHEN n = {n} THEN cr END) AS nr{n}"
+                     for n in (1, 2))
+    cols = []
+    for n in (1, 2):
+        o = f"CAST(coalesce(pp.o{n}, 0) AS DOUBLE)"
+        p = f"({o} / greatest(coalesce(pp.np{n}, 0), 1))"
+        r = f"({o} / greatest(coalesce(pp.nr{n}, 0), 1))"
+        cols += [f"{p} AS rouge{n}_p", f"{r} AS rouge{n}_r",
+                 f"CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END AS rouge{n}_f"]
+    return (f"{PAIRS}, tk AS (SELECT conv_id, turn, {_rtok('summary')} AS tp, {_rtok('article')} AS tr FROM pairs), "
+            f"g AS ({g}), pg AS (SELECT conv_id, turn, n, g, count(*) FILTER (WHERE side = 'p') AS cp, "
+            f"count(*) FILTER (WHERE side = 'r') AS cr FROM g GROUP BY ALL), "
+            f"pp AS (SELECT conv_id, turn, {sums} FROM pg GROUP BY ALL), "
+            f"rn AS (SELECT k.conv_id, k.turn, {', '.join(cols)} FROM pairs k LEFT JOIN pp "
+            f"ON k.conv_id = pp.conv_id AND k.turn = pp.turn)")
+
+
+def rouge_n_pairs() -> str:
+    return f"WITH {_rouge_n_cte()} SELECT * FROM rn"
+
+
+def rouge_n_mean() -> str:
+    return f"WITH {_rouge_n_cte()} SELECT round(avg(rouge1_f), 3) AS rouge1, round(avg(rouge2_f), 3) AS rouge2 FROM rn"
+
+
+def _wc(x: str) -> str:
+    return (f"len(list_filter(regexp_split_to_array(coalesce({x}, ''), '[ \\t\\n\\r\\f\\x0B]+'), "
+            f"lambda t: t <> ''))")
+
+
+def summary_checks() -> str:
+    sw, aw = _wc("summary"), _wc("article")
+    return (f"WITH {PAIRS} SELECT count(*) AS n, count(*) FILTER (WHERE trim(coalesce(summary, '')) = '') AS n_empty, "
+            f"count(*) FILTER (WHERE {sw} < 8) AS n_too_short, count(*) FILTER (WHERE {sw} > 142) AS n_too_long, "
+            f"count(*) FILTER (WHERE CAST({sw} AS DOUBLE) / greatest({aw}, 1) >= 0.85) AS n_not_compressed, "
+            f"count(DISTINCT summary) AS n_distinct, count(DISTINCT summary) = count(*) AS all_distinct FROM pairs")
+
+
+def stub_summaries() -> str:
+    return f"SELECT doc_id, {s.lead_summary_sql('text')} AS summary FROM documents"
+
+
+def summary_stability() -> str:
+    return (f"WITH a AS ({stub_summaries()}), b AS ({stub_summaries()}) SELECT count(*) AS n, "
+            f"count(*) FILTER (WHERE a.summary IS DISTINCT FROM b.summary) AS n_changed "
+            f"FROM a JOIN b ON a.doc_id = b.doc_id")
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -283,4 +352,9 @@ ORACLES = {
     "confusion_matrix": confusion_matrix,
     "classification_metrics": classification_metrics,
     "per_row_results": per_row_results,
+    "rouge_n_pairs": rouge_n_pairs,
+    "rouge_n_mean": rouge_n_mean,
+    "summary_checks": summary_checks,
+    "stub_summaries": stub_summaries,
+    "summary_stability": summary_stability,
 }

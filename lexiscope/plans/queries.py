@@ -12,6 +12,7 @@ from lexiscope.operators import standardize as sd
 from lexiscope.functions import text as tx
 from lexiscope.operators import evaluate as ev
 from lexiscope.operators import sampling as sm
+from lexiscope.operators import rouge as rg
 from lexiscope.session import read_table
 
 
@@ -226,6 +227,47 @@ def q_per_row_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.per_row_results(sig, test)
 
 
+# ---- summaries and ROUGE ---------------------------------------------------------
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.conversation_pairs(spark, sf_dir)
+
+
+def q_rouge_n_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROUGE-1/2 P/R/F per pair (prediction = assistant turn, reference = user turn)."""
+    return rg.rouge_n(_pairs(spark, sf_dir), ["conv_id", "turn"], "summary", "article")
+
+
+def q_rouge_n_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus ROUGE-1/2 (mean F over pairs, 3 places)."""
+    per = rg.rouge_n(_pairs(spark, sf_dir), ["conv_id", "turn"], "summary", "article")
+    return rg.mean_scores(per, ["rouge1_f", "rouge2_f"])
+
+
+def q_rouge_l_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROUGE-L / ROUGE-Lsum F per pair (LCS in an Arrow UDF)."""
+    return rg.rouge_l(_pairs(spark, sf_dir), ["conv_id", "turn"], "summary", "article")
+
+
+def q_summary_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Emptiness, length, compression and distinctness checks over all pairs."""
+    return rg.summary_checks(_pairs(spark, sf_dir), "article", "summary")
+
+
+def q_stub_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML6 (stub model): one summary per document over the whole text."""
+    docs = _docs(spark, sf_dir)
+    return docs.select("doc_id", rp.lead_stub_summariser(F.col("doc_id"), F.col("text")).alias("summary"))
+
+
+def q_summary_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: summarise every document twice and count differing outputs."""
+    a = q_stub_summaries(spark, sf_dir)
+    b = q_stub_summaries(spark, sf_dir)
+    return rg.stability(a, b, ["doc_id"], "summary")
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -256,4 +298,10 @@ QUERIES = {
     "confusion_matrix": q_confusion_matrix,
     "classification_metrics": q_classification_metrics,
     "per_row_results": q_per_row_results,
+    "rouge_n_pairs": q_rouge_n_pairs,
+    "rouge_n_mean": q_rouge_n_mean,
+    "rouge_l_pairs": q_rouge_l_pairs,
+    "summary_checks": q_summary_checks,
+    "stub_summaries": q_stub_summaries,
+    "summary_stability": q_summary_stability,
 }
