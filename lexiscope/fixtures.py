@@ -183,3 +183,29 @@ def truth_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("quality") - F.col("toxic")
     return labels.select("doc_id", F.when(d > 0, F.lit("positive")).when(d < 0, F.lit("negative"))
                          .when(d == 0, F.lit("neutral")).alias("label"))
+
+
+LOG_EPOCH_ORIGIN = "2024-01-01 00:00:00"
+
+
+def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a training log: run = user, epoch = days since the origin,
+    ``eval_loss`` on error events, ``loss`` on the others; order = (ts, event_id)."""
+    from lexiscope.session import read_table
+    ev = read_table(spark, sf_dir, "events")
+    origin = F.unix_micros(F.lit(LOG_EPOCH_ORIGIN).cast("timestamp"))
+    epoch = (F.unix_micros(F.col("ts").cast("timestamp")) - origin) / F.lit(86_400_000_000.0)
+    is_eval = F.col("event_type") == "error"
+    return ev.select(
+        F.col("user_id").alias("run"), "ts", "event_id", epoch.alias("epoch"),
+        F.when(~is_eval, F.col("value")).alias("loss"),
+        F.when(is_eval, F.col("value")).alias("eval_loss"),
+        F.lit(None).cast("double").alias("eval_accuracy"))
+
+
+def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-run test metric: mean value of purchase events (null when none)."""
+    from lexiscope.session import read_table
+    ev = read_table(spark, sf_dir, "events")
+    return ev.groupBy(F.col("user_id").alias("run")).agg(
+        F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("score"))

@@ -323,6 +323,44 @@ def summary_stability() -> str:
             f"FROM a JOIN b ON a.doc_id = b.doc_id")
 
 
+# ---- training curves ---------------------------------------------------------------
+
+LOG = ("log AS (SELECT user_id AS run, ts, event_id, "
+       "(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 86400000000.0 AS epoch, "
+       "CASE WHEN event_type <> 'error' THEN value END AS loss, "
+       "CASE WHEN event_type = 'error' THEN value END AS eval_loss FROM events), "
+       "steps AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ts, event_id) AS step FROM log)")
+
+
+def log_series() -> str:
+    return (f"WITH {LOG} SELECT run, step, 'loss' AS series, loss AS value FROM steps WHERE loss IS NOT NULL "
+            f"UNION ALL SELECT run, step, 'eval_loss', eval_loss FROM steps WHERE eval_loss IS NOT NULL")
+
+
+def loss_moving_average() -> str:
+    return (f"WITH {LOG}, tr AS (SELECT run, step, loss, row_number() OVER (PARTITION BY run ORDER BY step) - 1 AS i, "
+            f"greatest(1, count(*) OVER (PARTITION BY run) // 100) AS w FROM steps "
+            f"WHERE loss IS NOT NULL AND eval_loss IS NULL AND epoch IS NOT NULL) "
+            f"SELECT a.run, a.step, a.loss, CAST(a.w AS INTEGER) AS window, round(avg(b.loss), 6) AS smoothed "
+            f"FROM tr a JOIN tr b ON a.run = b.run AND b.i BETWEEN a.i - a.w AND a.i GROUP BY a.run, a.step, a.loss, a.w")
+
+
+def epoch_mean_loss() -> str:
+    return (f"WITH {LOG} SELECT run, CAST(ceil(epoch) AS INTEGER) AS epoch, round(avg(loss), 6) AS mean_loss "
+            f"FROM log WHERE loss IS NOT NULL AND eval_loss IS NULL AND epoch IS NOT NULL GROUP BY ALL")
+
+
+def epoch_last_eval() -> str:
+    return (f"WITH {LOG} SELECT run, CAST(round_even(epoch, 0) AS INTEGER) AS epoch, "
+            f"arg_max(eval_loss, ts) AS eval_loss FROM log WHERE eval_loss IS NOT NULL AND epoch IS NOT NULL GROUP BY ALL")
+
+
+def best_run() -> str:
+    return ("SELECT CAST(run AS VARCHAR) AS run, score FROM (SELECT user_id AS run, "
+            "avg(CASE WHEN event_type = 'purchase' THEN value END) AS score FROM events GROUP BY user_id) "
+            "ORDER BY score DESC NULLS LAST, run LIMIT 1")
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -357,4 +395,9 @@ ORACLES = {
     "summary_checks": summary_checks,
     "stub_summaries": stub_summaries,
     "summary_stability": summary_stability,
+    "log_series": log_series,
+    "loss_moving_average": loss_moving_average,
+    "epoch_mean_loss": epoch_mean_loss,
+    "epoch_last_eval": epoch_last_eval,
+    "best_run": best_run,
 }

@@ -13,6 +13,8 @@ from lexiscope.functions import text as tx
 from lexiscope.operators import evaluate as ev
 from lexiscope.operators import sampling as sm
 from lexiscope.operators import rouge as rg
+from lexiscope.operators import curves as cv
+from lexiscope.plans.ordering import indexed_scan
 from lexiscope.session import read_table
 
 
@@ -268,6 +270,45 @@ def q_summary_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rg.stability(a, b, ["doc_id"], "summary")
 
 
+# ---- training curves ---------------------------------------------------------------
+
+LOG_ORDER = ["ts", "event_id"]
+
+
+def _log_with_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fixtures.training_log(spark, sf_dir)
+    return indexed_scan(log, "run", LOG_ORDER).withColumn("step", F.col("idx") + 1)
+
+
+def q_log_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss / eval_loss series by key presence, with the step of each record."""
+    return cv.series(_log_with_steps(spark, sf_dir))
+
+
+def q_loss_moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing moving average of the training loss, window max(1, n // 100)."""
+    train = cv.training_rows(_log_with_steps(spark, sf_dir))
+    ma = cv.moving_average(train.select("run", F.col("step").alias("log_step"), "loss"),
+                           "run", ["log_step"])
+    return ma.select("run", F.col("log_step").alias("step"), "loss", "window", "smoothed")
+
+
+def q_epoch_mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean training loss per ceil(epoch)."""
+    return cv.epoch_mean_loss(cv.training_rows(fixtures.training_log(spark, sf_dir)))
+
+
+def q_epoch_last_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last eval loss per half-even-rounded epoch."""
+    return cv.epoch_last_eval(fixtures.training_log(spark, sf_dir), "run", LOG_ORDER)
+
+
+def q_best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run with the highest score (ties by listing order, unscored last)."""
+    scores = fixtures.run_scores(spark, sf_dir)
+    return cv.pick_best(scores, "run", "score", "run", fallback="fallback-model")
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -304,4 +345,9 @@ QUERIES = {
     "summary_checks": q_summary_checks,
     "stub_summaries": q_stub_summaries,
     "summary_stability": q_summary_stability,
+    "log_series": q_log_series,
+    "loss_moving_average": q_loss_moving_average,
+    "epoch_mean_loss": q_epoch_mean_loss,
+    "epoch_last_eval": q_epoch_last_eval,
+    "best_run": q_best_run,
 }
