@@ -361,6 +361,29 @@ def best_run() -> str:
             "ORDER BY score DESC NULLS LAST, run LIMIT 1")
 
 
+# ---- statistical model -------------------------------------------------------------
+
+
+def tfidf_features() -> str:
+    from lexiscope.operators.models import MAX_FEATURES, TOKEN_PATTERN
+    split = _threshold_case("t.doc_id", sm.TRAIN_TEST)
+    return (
+        f"WITH {TRUTH}, data AS (SELECT t.doc_id, d.text, {split} AS split FROM truth t JOIN documents d "
+        f"ON t.doc_id = d.doc_id), "
+        f"tt AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TOKEN_PATTERN}')) AS term FROM data "
+        f"WHERE split = 'train'), "
+        f"pd AS (SELECT doc_id, term, count(*) AS tf FROM tt GROUP BY ALL), "
+        f"st AS (SELECT term, sum(tf) AS tf_total, count(*) AS df FROM pd GROUP BY term), "
+        f"vocab AS (SELECT * FROM st ORDER BY tf_total DESC, term LIMIT {MAX_FEATURES}), "
+        f"n AS (SELECT count(DISTINCT doc_id) AS n FROM data WHERE split = 'train'), "
+        f"idf AS (SELECT term, ln((1.0 + n.n) / (1.0 + df)) + 1.0 AS idf FROM vocab, n), "
+        f"dt AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TOKEN_PATTERN}')) AS term FROM data), "
+        f"w AS (SELECT dt.doc_id, dt.term, count(*) * any_value(idf.idf) AS w FROM dt JOIN idf ON dt.term = idf.term "
+        f"GROUP BY dt.doc_id, dt.term), "
+        f"nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id) "
+        f"SELECT w.doc_id, w.term, round(w.w / nm.norm, 9) AS weight FROM w JOIN nm ON w.doc_id = nm.doc_id")
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -400,4 +423,5 @@ ORACLES = {
     "epoch_mean_loss": epoch_mean_loss,
     "epoch_last_eval": epoch_last_eval,
     "best_run": best_run,
+    "tfidf_features": tfidf_features,
 }

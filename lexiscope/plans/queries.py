@@ -14,6 +14,7 @@ from lexiscope.operators import evaluate as ev
 from lexiscope.operators import sampling as sm
 from lexiscope.operators import rouge as rg
 from lexiscope.operators import curves as cv
+from lexiscope.operators import models as ml
 from lexiscope.plans.ordering import indexed_scan
 from lexiscope.session import read_table
 
@@ -309,6 +310,66 @@ def q_best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cv.pick_best(scores, "run", "score", "run", fallback="fallback-model")
 
 
+# ---- statistical model -------------------------------------------------------------
+
+
+def _labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with an 80/20 split (O4) and the label index."""
+    truth = fixtures.truth_labels(spark, sf_dir)
+    docs = _docs(spark, sf_dir)
+    return sm.train_test(truth.join(docs, "doc_id"), "doc_id").withColumn(
+        "label_index", sd.encode_label(F.col("label"), "index").cast("double"))
+
+
+def q_tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1: TF-IDF weights (fit on train, applied to all labelled documents)."""
+    data = _labelled_split(spark, sf_dir)
+    return ml.tfidf_relational(data.where(F.col("split") == "train"), data)
+
+
+def _svm(spark: SparkSession, sf_dir: str):
+    data = _labelled_split(spark, sf_dir)
+    train = data.where(F.col("split") == "train")
+    weights = ev.class_weights(train, "label").select("label", "weight")
+    train = train.join(F.broadcast(weights), "label")  # <= 3 rows
+    feats = ml.fit_tfidf(train)
+    model = ml.fit_svm(feats.transform(train))
+    return data, feats, model
+
+
+def q_svm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML2 + ML3: predicted label and per-class decision scores for the test split."""
+    data, feats, model = _svm(spark, sf_dir)
+    pred = model.transform(feats.transform(data.where(F.col("split") == "test")))
+    scores = ml.decision_scores(pred)
+    return pred.select(
+        "doc_id", F.col("label").alias("true_label"),
+        sd.decode_label(F.col("prediction").cast("int"), "index").alias("pred_label"),
+        *[scores[c].alias(f"score_{c}") for c in ml.CLASS_NAMES])
+
+
+def q_svm_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 on the SVM's test predictions."""
+    return ev.classification_metrics(q_svm_predictions(spark, sf_dir), "true_label", "pred_label")
+
+
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML7: persist features + SVM to the shared folder, reload, compare predictions."""
+    from pyspark.ml.classification import OneVsRestModel
+    from pyspark.ml import PipelineModel
+    from lexiscope.session import scratch_path
+    data, feats, model = _svm(spark, sf_dir)
+    fpath, mpath = scratch_path(spark, "tfidf"), scratch_path(spark, "svm")
+    ml.save_model(feats, fpath)
+    ml.save_model(model, mpath)
+    feats2, model2 = PipelineModel.load(fpath), OneVsRestModel.load(mpath)
+    test = data.where(F.col("split") == "test")
+    a = model.transform(feats.transform(test)).select("doc_id", F.col("prediction").alias("a"))
+    b = model2.transform(feats2.transform(test)).select("doc_id", F.col("prediction").alias("b"))
+    return a.join(b, "doc_id").agg(F.count(F.lit(1)).alias("n"),
+                                   F.count_if(F.col("a") != F.col("b")).alias("n_changed"))
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -350,4 +411,8 @@ QUERIES = {
     "epoch_mean_loss": q_epoch_mean_loss,
     "epoch_last_eval": q_epoch_last_eval,
     "best_run": q_best_run,
+    "tfidf_features": q_tfidf_features,
+    "svm_predictions": q_svm_predictions,
+    "svm_metrics": q_svm_metrics,
+    "model_roundtrip": q_model_roundtrip,
 }
