@@ -384,6 +384,25 @@ def tfidf_features() -> str:
         f"SELECT w.doc_id, w.term, round(w.w / nm.norm, 9) AS weight FROM w JOIN nm ON w.doc_id = nm.doc_id")
 
 
+# ---- sources and sinks (round trips) -------------------------------------------------
+
+
+def csv_pairs_by_split() -> str:
+    split = _threshold_case("conv_id", sm.TRAIN_VAL_TEST)
+    return (f"WITH {PAIRS} SELECT {s.py_strip_sql('article')} AS article, {s.py_strip_sql('summary')} AS summary, "
+            f"{split} AS split FROM pairs")
+
+
+def tag_list_text_roundtrip() -> str:
+    return (f"WITH {TRUTH}, tl AS ({tag_lists()}) SELECT tl.doc_id, t.label AS sentiment, tl.sentiment_list "
+            f"FROM tl JOIN truth t ON tl.doc_id = t.doc_id JOIN documents d ON d.doc_id = tl.doc_id")
+
+
+def reports_json_roundtrip() -> str:
+    return (f"SELECT doc_id, summary, finbert_label, finbert_confidence, lexicon_label, bias_score, bias_flag, "
+            f"agreement, reliability, reasons FROM ({report_flat()})")
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -424,4 +443,10 @@ ORACLES = {
     "epoch_last_eval": epoch_last_eval,
     "best_run": best_run,
     "tfidf_features": tfidf_features,
+    "csv_sources_stitched": stitched,
+    "csv_pairs_by_split": csv_pairs_by_split,
+    "tag_list_text_roundtrip": tag_list_text_roundtrip,
+    "reports_json_roundtrip": reports_json_roundtrip,
+    "run_metrics_roundtrip": best_run,
+    "report_stream": report_flat,
 }

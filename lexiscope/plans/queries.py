@@ -16,7 +16,9 @@ from lexiscope.operators import rouge as rg
 from lexiscope.operators import curves as cv
 from lexiscope.operators import models as ml
 from lexiscope.plans.ordering import indexed_scan
-from lexiscope.session import read_table
+from lexiscope.session import read_table, scratch_path
+from lexiscope.sources import readers as rd
+from lexiscope.sources import sinks as sk
 
 
 def _lookup(spark: SparkSession, mode: str = "before_lookup") -> lx.Lookup:
@@ -370,6 +372,95 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.count_if(F.col("a") != F.col("b")).alias("n_changed"))
 
 
+# ---- sources and sinks: round trips through the shared folder -------------------
+
+
+def q_csv_sources_stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S3 + K1 -> U2: write both labelled sources as CSV, discover, re-read, stitch."""
+    root = scratch_path(spark, "raw-sentiment")
+    sentences, headlines = fixtures.labelled_sources(spark, sf_dir)
+    sk.write_table(sentences.select("sentiment", "data"), f"{root}/FPB_sentences/raw.csv",
+                   fmt="csv", header=False)
+    sk.write_table(headlines.select("Title", "Global Sentiment"), f"{root}/FMB_headlines/raw.csv",
+                   fmt="csv")
+    found = rd.discover_labelled_sources(spark, root)
+    parts = []
+    for path in found.get("sentence", []):
+        parts.append((rd.read_headerless_labelled(spark, path), "data", "sentiment", "sentence"))
+    for path in found.get("headline", []):
+        parts.append((rd.read_headed_labelled(spark, path), "Title", "Global Sentiment", "headline"))
+    return sd.standardise_job(parts)
+
+
+def q_csv_pairs_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + K1 -> U3: pairs written as train/validation/test CSV, re-read in one scan."""
+    folder = scratch_path(spark, "pairs")
+    pairs = sm.train_val_test(fixtures.conversation_pairs(spark, sf_dir), "conv_id")
+    for split in ("train", "validation", "test"):
+        sk.write_table(pairs.where(F.col("split") == split).select("conv_id", "turn", "article", "summary"),
+                       f"{folder}/{split}.csv", fmt="csv")
+    back = rd.read_pairs_by_split(spark, folder)
+    out = sd.prepare_pairs(back, mode="strip")
+    return out.select("article", "summary", "split")
+
+
+def q_tag_list_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S7: tag lists written as legacy list-literal text, parsed back."""
+    path = scratch_path(spark, "tag-lists")
+    tl = lx.tag_lists(_docs(spark, sf_dir), _lookup(spark))
+    truth = fixtures.truth_labels(spark, sf_dir)
+    table = tl.join(truth, "doc_id").join(_docs(spark, sf_dir), "doc_id").select(
+        "doc_id", F.col("text").alias("data"),
+        F.concat(F.lit(" "), F.upper("label"), F.lit(" ")).alias("sentiment"),
+        sk.tag_list_literal(F.col("sentiment_list")).alias("sentiment_list"))
+    sk.write_table(table, path, fmt="csv")
+    back = rd.read_tag_lists(spark, path, fmt="csv")
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "sentiment",
+                       F.array_join("sentiment_list", ",").alias("sentiment_list"))
+
+
+def q_reports_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: nested reports written as JSON lines, read back and flattened."""
+    path = scratch_path(spark, "reports")
+    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark))
+    sk.write_reports_json(rp.nested_report(flat), path)
+    back = spark.read.schema(rp.nested_report(flat).schema).json(path)
+    return back.select(
+        "doc_id", F.col("report.summary").alias("summary"),
+        F.col("report.finbert.label").alias("finbert_label"),
+        F.col("report.finbert.confidence").alias("finbert_confidence"),
+        F.col("report.lexicon.label").alias("lexicon_label"),
+        F.col("report.bias.score").alias("bias_score"), F.col("report.bias.flag").alias("bias_flag"),
+        F.col("report.agreement").alias("agreement"), F.col("report.reliability").alias("reliability"),
+        F.array_join("report.reasons", ",").alias("reasons"))
+
+
+def q_run_metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + S9 + W5: per-run metrics written as JSON, read back, best run picked."""
+    path = scratch_path(spark, "run-metrics")
+    scores = fixtures.run_scores(spark, sf_dir)
+    metrics = scores.select(
+        F.col("run").cast("string").alias("run"),
+        F.concat(F.lit("checkpoint-"), F.col("run")).alias("best_checkpoint"),
+        F.col("score").alias("best_metric_eval_rougeL_subset"),
+        F.struct(F.col("score").alias("eval_rougeL")).alias("validation"),
+        F.struct(F.col("score").alias("final_test_rougeL")).alias("test"))
+    sk.write_run_metrics(metrics, path)
+    back = rd.read_run_metrics(spark, path, multi_line=False)
+    return cv.pick_best(back.withColumn("pos", F.col("run").cast("bigint")), "run", "score", "pos",
+                        fallback="fallback-model")
+
+
+def q_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as a stateless stream (available-now trigger), read back."""
+    from lexiscope.streaming.report_stream import read_stream_output, start_report_stream
+    sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = start_report_stream(spark, sf_dir, sink, ckpt, _lookup(spark),
+                            path_glob="documents.parquet")
+    q.awaitTermination()
+    return read_stream_output(spark, sink)
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -415,4 +506,10 @@ QUERIES = {
     "svm_predictions": q_svm_predictions,
     "svm_metrics": q_svm_metrics,
     "model_roundtrip": q_model_roundtrip,
+    "csv_sources_stitched": q_csv_sources_stitched,
+    "csv_pairs_by_split": q_csv_pairs_by_split,
+    "tag_list_text_roundtrip": q_tag_list_text_roundtrip,
+    "reports_json_roundtrip": q_reports_json_roundtrip,
+    "run_metrics_roundtrip": q_run_metrics_roundtrip,
+    "report_stream": q_report_stream,
 }
