@@ -28,13 +28,28 @@ REASON_BIAS = "high_lexicon_bias"
 # Classifier output index -> label.
 CLASS_LABELS = ("positive", "negative", "neutral")
 
-Classifier = Callable[[Column, Column], tuple[Column, Column]]
+# A classifier adds ``cls_label`` and ``cls_conf`` to ``(id, text)`` rows.
+Classifier = Callable[[DataFrame, str, str], DataFrame]
 Summariser = Callable[[Column, Column], Column]
 
 
-def md5_stub_classifier(doc_id: Column, text: Column) -> tuple[Column, Column]:
+def md5_stub_classifier(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Deterministic stand-in for the caller's classifier (keyed on the id)."""
-    return fixtures.md5_classifier(doc_id)
+    label, conf = fixtures.md5_classifier(F.col(id_col))
+    return df.withColumn("cls_label", label).withColumn("cls_conf", conf)
+
+
+def model_classifier(logits_udf: Callable[[Column], Column]) -> Classifier:
+    """ML4 + ML5: a caller's batch model (text -> logits) decoded by softmax.
+
+    The model output is materialised as a column first: Spark does not allow
+    a Python UDF inside the higher-order functions of the decode.
+    """
+    def classify(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        staged = df.withColumn("_logits", logits_udf(F.col(text_col)))
+        _, label, conf = softmax_decode(F.col("_logits"))
+        return staged.withColumn("cls_label", label).withColumn("cls_conf", conf).drop("_logits")
+    return classify
 
 
 def lead_stub_summariser(doc_id: Column, text: Column) -> Column:
@@ -72,10 +87,10 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
                  summariser: Summariser = lead_stub_summariser) -> DataFrame:
     """One flat report row per document (arrays kept as arrays)."""
     doc_id, text = F.col(id_col), F.col(text_col)
-    label, conf = classifier(doc_id, text)
-    label_id = F.array_position(F.array(*[F.lit(x) for x in CLASS_LABELS]), label)
-    scored = docs.select(doc_id, text, label_id.cast("int").alias("cls_id"),
-                         conf.cast("double").alias("cls_conf"))
+    labelled = classifier(docs.select(id_col, text_col), id_col, text_col)
+    label_id = F.array_position(F.array(*[F.lit(x) for x in CLASS_LABELS]), F.col("cls_label"))
+    scored = labelled.select(id_col, text_col, label_id.cast("int").alias("cls_id"),
+                             F.col("cls_conf").cast("double").alias("cls_conf"))
     counts = lx.tag_counts(scored, lookup, id_col, text_col,
                            carry_max=("cls_id", "cls_conf"))
     lex = lx.with_vote(counts).select(
