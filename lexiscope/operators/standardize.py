@@ -88,15 +88,29 @@ def standardise(df: DataFrame, data_col: str, label_col: str, datatype: str) ->
     return drop_blank(out.dropna(subset=["data", "sentiment"]))
 
 
+def nonempty(df: DataFrame, column: str, expr: Column) -> DataFrame:
+    """Replace ``column`` by ``expr`` and drop rows where it is null or empty.
+
+    A plain ``where`` on the new column would be pushed below the projection
+    with ``expr`` substituted into it, evaluating an expensive expression
+    (the cleaning chain, its Arrow UDF) twice.  Emitting the value through a
+    0-or-1-element ``explode`` keeps it computed once: filters are never
+    pushed below a generator's output.
+    """
+    others = [F.col(c) for c in df.columns if c != column]
+    kept = F.filter(F.array(expr), lambda v: v.isNotNull() & (v != ""))
+    out = df.select(*others, F.explode(kept).alias(column))
+    return out.select(*df.columns)
+
+
 def drop_blank(df: DataFrame, column: str = "data") -> DataFrame:
     """Strip (Unicode whitespace) and drop empty strings."""
-    return (df.withColumn(column, tx.py_strip(F.col(column)))
-            .where(F.col(column) != ""))
+    return nonempty(df, column, tx.py_strip(F.col(column)))
 
 
 def clean_standardised(df: DataFrame) -> DataFrame:
     """T5 on ``data``, then drop rows cleaned to nothing (P3 again)."""
-    return df.withColumn("data", tx.clean_text(F.col("data"))).where(F.col("data") != "")
+    return nonempty(df, "data", tx.clean_text(F.col("data")))
 
 
 def stitch(frames: Sequence[DataFrame]) -> DataFrame:
