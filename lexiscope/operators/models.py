@@ -84,8 +84,9 @@ def fit_svm(train_features: DataFrame, label_col: str = "label_index",
     n = train_features.count()
     svc = LinearSVC(featuresCol="features", labelCol=label_col, weightCol=weight_col,
                     regParam=1.0 / (c * max(n, 1)), maxIter=max_iter)
+    # The k binary problems are independent: fit them concurrently.
     return OneVsRest(classifier=svc, featuresCol="features", labelCol=label_col,
-                     weightCol=weight_col).fit(train_features)
+                     weightCol=weight_col, parallelism=len(CLASS_NAMES)).fit(train_features)
 
 
 def decision_scores(predictions: DataFrame) -> Column:

@@ -329,7 +329,18 @@ def q_tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.tfidf_relational(data.where(F.col("split") == "train"), data)
 
 
+_FITTED: dict = {}
+
+
 def _svm(spark: SparkSession, sf_dir: str):
+    """Fit once per (session, data folder); the three ML queries share the model."""
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = _fit_svm(spark, sf_dir)
+    return _FITTED[key]
+
+
+def _fit_svm(spark: SparkSession, sf_dir: str):
     data = _labelled_split(spark, sf_dir)
     train = data.where(F.col("split") == "train")
     weights = ev.class_weights(train, "label").select("label", "weight")
