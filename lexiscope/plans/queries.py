@@ -350,6 +350,14 @@ def _fit_svm(spark: SparkSession, sf_dir: str):
     return data, feats, model
 
 
+def q_model_classifier_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML4 + ML5: a caller-supplied batch model (here a deterministic stand-in)
+    run through an Arrow batch UDF, its logits decoded by softmax."""
+    classify = rp.model_classifier(ml.batch_classifier(ml.hashed_logits_model))
+    out = classify(_docs(spark, sf_dir), "doc_id", "text")
+    return out.select("doc_id", F.col("cls_label").alias("label"), F.col("cls_conf").alias("confidence"))
+
+
 def q_svm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML2 + ML3: predicted label and per-class decision scores for the test split."""
     data, feats, model = _svm(spark, sf_dir)
@@ -514,6 +522,7 @@ QUERIES = {
     "epoch_last_eval": q_epoch_last_eval,
     "best_run": q_best_run,
     "tfidf_features": q_tfidf_features,
+    "model_classifier_signals": q_model_classifier_signals,
     "svm_predictions": q_svm_predictions,
     "svm_metrics": q_svm_metrics,
     "model_roundtrip": q_model_roundtrip,

@@ -66,3 +66,33 @@ def test_md5_stub_matches_definition(spark):
         h = hashlib.md5(str(r.k).encode()).hexdigest()
         assert r.l == fixtures.CLASSIFIER_LABELS[int(h[:8], 16) % 3]
         assert r.c == (int(h[8:16], 16) % 10001) / 10000
+
+
+def test_caller_supplied_summariser(spark):
+    import numpy as np
+    from lexiscope.operators import models as ml
+
+    def make():
+        def predict(texts: np.ndarray) -> np.ndarray:
+            return np.array([" ".join((t or "").split()[:3]) for t in texts], dtype=object)
+        return predict
+    summarise = ml.batch_summariser(make)
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "x")], "doc_id long, text string")
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    flat = rp.report_table(docs, lk, summariser=lambda i, t: summarise(t))
+    assert {r.doc_id: r.summary for r in flat.collect()} == {1: "a b c", 2: "x"}
+
+
+def test_model_classifier_query_matches_numpy(spark, sf):
+    import numpy as np
+    from lexiscope.plans.queries import QUERIES
+    from lexiscope.operators import models as ml
+    got = {r.doc_id: (r.label, r.confidence) for r in QUERIES["model_classifier_signals"](spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    predict = ml.hashed_logits_model()
+    for d in docs:
+        z = predict(np.array([d.text], dtype=object))[0]
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        i = int(np.argmax(p))
+        assert got[d.doc_id][0] == rp.CLASS_LABELS[i]
+        assert abs(got[d.doc_id][1] - round(float(p[i]), 4)) < 1e-9
