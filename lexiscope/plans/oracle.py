@@ -52,6 +52,22 @@ def report_checks() -> str:
     )
 
 
+def report_nested_json() -> str:
+    counts = ", ".join(f"CASE WHEN n_{c} > 0 THEN {{'key': '{c}', 'value': CAST(n_{c} AS INTEGER)}} END"
+                       for c in CATS)
+    return (
+        f"WITH f AS ({report_flat()}) SELECT doc_id, CAST(json_object("
+        f"'summary', summary, "
+        f"'finbert', json_object('label', finbert_label, 'confidence', finbert_confidence), "
+        f"'lexicon', json_object('label', lexicon_label, 'counts', "
+        f"map_from_entries(list_filter([{counts}], lambda e: e IS NOT NULL))), "
+        f"'bias', json_object('uncertainty', uncertainty, 'litigious', litigious, 'constraining', constraining, "
+        f"'score', bias_score, 'flag', bias_flag), "
+        f"'agreement', agreement, 'reliability', reliability, "
+        f"'reasons', CASE WHEN reasons = '' THEN []::VARCHAR[] ELSE string_split(reasons, ',') END) AS VARCHAR) AS json "
+        f"FROM f")
+
+
 def token_tags() -> str:
     names = "['cns', " + ", ".join(s.q(c) for c in CATS) + "]"
     tag_sql = s.tagged_cte("documents").replace(
@@ -407,6 +423,7 @@ ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
     "report_checks": report_checks,
+    "report_nested_json": report_nested_json,
     "token_tags": token_tags,
     "tag_lists": tag_lists,
     "rule_based_labels": rule_based_labels,
