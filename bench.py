@@ -20,6 +20,7 @@ from lexiscope.session import build_session  # noqa: E402
 HEADLINE = [
     "report_flat",            # R5 flagship: tag + vote + bias + classifier + summary + tiers
     "lexicon_signals",        # L3-L8
+    "lexicon_signals_derived",  # L1-L8 with a corpus-derived dictionary (~200k words at sf0.1)
     "token_tags",             # L3 long form
     "stitched",               # U2: standardise + clean + stitch
     "clean_pages",            # T5 on raw HTML

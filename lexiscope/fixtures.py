@@ -209,3 +209,36 @@ def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.groupBy(F.col("user_id").alias("run")).agg(
         F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("score"))
+
+
+# Derived dictionary: every distinct ASCII token of ``documents`` (upper case),
+# categories by a hash rule, so tagging runs against a realistically large
+# lexicon whose size grows with the corpus.  Bucket -> categories (fixed rule):
+DERIVED_BUCKETS = 16
+DERIVED_RULE = {
+    0: ("positive",), 1: ("negative",), 2: ("uncertainty",), 3: ("litigious",),
+    4: ("strong_modal",), 5: ("weak_modal",), 6: ("constraining",),
+    7: ("negative", "constraining"), 8: ("complexity",),
+}
+
+
+def derived_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary in the 7-category layout built by Spark from the corpus vocabulary."""
+    from lexiscope.functions import text as tx
+    from lexiscope.session import cut_lineage, read_table
+    docs = read_table(spark, sf_dir, "documents")
+    toks = docs.select(F.explode(tx.split_tokens(F.col("text"))).alias("t"))
+    words = (toks.where(tx.is_word(F.col("t")) & F.col("t").rlike("^[\\x00-\\x7F]+$"))
+             .select(F.upper("t").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("doc_count")))
+    bucket = hex_slice_int(F.md5(F.col("word")), 1) % DERIVED_BUCKETS
+    cats = {}
+    for b, names in DERIVED_RULE.items():
+        for n in names:
+            cats.setdefault(n, []).append(b)
+    cols = [F.when(bucket.isin(cats.get(c, [])), F.lit(FIXTURE_YEAR)).otherwise(F.lit(0))
+            .cast("int").alias(c)
+            for c in ("positive", "negative", "uncertainty", "litigious", "strong_modal",
+                      "weak_modal", "constraining", "complexity")]
+    # Materialised once: its size is checked before it is broadcast, and the
+    # tagging job then reads the checkpoint instead of re-deriving it.
+    return cut_lineage(words.select("word", *cols, "doc_count"))

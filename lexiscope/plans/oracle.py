@@ -15,6 +15,10 @@ def lexicon_signals() -> str:
     return s.signals_query()
 
 
+def lexicon_signals_derived() -> str:
+    return s.signals_query(derived=True)
+
+
 def report_flat() -> str:
     ns = ", ".join(f"g.n_{c}" for c in CATS)
     label = s.md5_label_sql("d.doc_id")
@@ -422,6 +426,7 @@ def reports_json_roundtrip() -> str:
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
+    "lexicon_signals_derived": lexicon_signals_derived,
     "report_checks": report_checks,
     "report_nested_json": report_nested_json,
     "token_tags": token_tags,

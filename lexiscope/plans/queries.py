@@ -37,6 +37,12 @@ def q_lexicon_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark))
 
 
+def q_lexicon_signals_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L8 against the large dictionary derived from the corpus vocabulary."""
+    lk = lx.prepare_lookup(fixtures.derived_dictionary(spark, sf_dir))
+    return lx.lexicon_signals(_docs(spark, sf_dir), lk)
+
+
 def q_report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5 flagship: the flat reliability report per document."""
     flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark))
@@ -483,6 +489,7 @@ def q_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
+    "lexicon_signals_derived": q_lexicon_signals_derived,
     "report_nested_json": q_report_nested_json,
     "report_checks": q_report_checks,
     "token_tags": q_token_tags,

@@ -29,14 +29,34 @@ def dictionary_values() -> str:
     return f"dict({cols}) AS (VALUES {', '.join(rows)})"
 
 
-def lookup_cte(stopword_mode: str = "before_lookup") -> str:
+def derived_dictionary_cte() -> str:
+    """The dictionary derived from the corpus vocabulary (same rule as Spark)."""
+    cats = {}
+    for b, names in fixtures.DERIVED_RULE.items():
+        for n in names:
+            cats.setdefault(n, []).append(b)
+    h = "CAST(('0x' || substr(md5(word), 1, 8))::UBIGINT AS BIGINT)"
+    cols = ", ".join(
+        f"CASE WHEN {h} % {fixtures.DERIVED_BUCKETS} IN ({', '.join(map(str, cats.get(c, [-99])))}) "
+        f"THEN {fixtures.FIXTURE_YEAR} ELSE 0 END AS {c}" for c in CATS + ("complexity",))
+    return (f"dwords AS (SELECT DISTINCT upper(t) AS word FROM (SELECT unnest(string_split_regex(text, "
+            f"'{TOKEN_SPLIT_RE2}')) AS t FROM documents) WHERE length(t) > 1 AND regexp_full_match(t, '[\\x00-\\x7f]+')), "
+            f"dict AS (SELECT word, {cols} FROM dwords)")
+
+
+def lookup_cte(stopword_mode: str = "before_lookup", derived: bool = False) -> str:
     """``lex(word, code)``: tag code per dictionary word (-1 = stopword drop, null = untagged)."""
     case = "CASE " + " ".join(f"WHEN {c} > 0 THEN {i + 1}" for i, c in enumerate(CATS)) + " END"
-    return (f"{dictionary_values()}, "
+    return (f"{derived_dictionary_cte() if derived else dictionary_values()}, "
             f"lex AS (SELECT upper(word) AS word, "
             f"CASE WHEN upper(word) IN ({STOPWORDS_SQL}) THEN -1 ELSE {case} END AS code FROM dict)")
 
 
+def py_upper_sql(x: str) -> str:
+    """Upper case as Python/Spark do it: DuckDB maps ß to ẞ, Python to SS."""
+    return f"upper(replace({x}, 'ß', 'SS'))"
+
+
 def tagged_cte(source: str, id_col: str = "doc_id", text_col: str = "text",
                stopword_mode: str = "before_lookup") -> str:
     """``tagged(id, pos, code)``: one row per kept token; code 0 = cns."""
@@ -47,7 +67,7 @@ def tagged_cte(source: str, id_col: str = "doc_id", text_col: str = "text",
         f"FROM (SELECT {id_col}, string_split_regex({text_col}, '{TOKEN_SPLIT_RE2}') AS l FROM {source})), "
         f"tagged0 AS (SELECT t.id, t.pos, CASE WHEN length(t.token) <= 1 THEN NULL {stop}"
         f"WHEN lex.code = -1 THEN NULL ELSE coalesce(lex.code, 0) END AS code "
-        f"FROM toks t LEFT JOIN lex ON upper(t.token) = lex.word), "
+        f"FROM toks t LEFT JOIN lex ON {py_upper_sql('t.token')} = lex.word), "
         f"tagged AS (SELECT * FROM tagged0 WHERE code IS NOT NULL)"
     )
 
@@ -96,8 +116,9 @@ def signals_select(litigious: str = "negative") -> str:
 
 
 def signals_query(source: str = "documents", id_col: str = "doc_id", text_col: str = "text",
-                  stopword_mode: str = "before_lookup", litigious: str = "negative") -> str:
-    return (f"WITH {lookup_cte(stopword_mode)}, {tagged_cte(source, id_col, text_col, stopword_mode)}, "
+                  stopword_mode: str = "before_lookup", litigious: str = "negative",
+                  derived: bool = False) -> str:
+    return (f"WITH {lookup_cte(stopword_mode, derived)}, {tagged_cte(source, id_col, text_col, stopword_mode)}, "
             f"{counts_cte(source, id_col)}, {vote_cte()} "
             f"SELECT {signals_select(litigious)} FROM counts c LEFT JOIN vote v ON c.id = v.id")
 
