@@ -288,6 +288,55 @@ def lexicon_signals(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
     return with_vote(counts).select(*signal_columns(id_col, litigious))
 
 
+MAX_ROWWISE_WORDS = 20_000
+
+
+def tag_counts_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """L3-L5 without explode, join or shuffle: array functions on each row.
+
+    The lookup words become literal ``InSet`` lists (one per tag), so this
+    shape is only for lookups under ``MAX_ROWWISE_WORDS`` (checked); it suits
+    append-only streaming sinks, where an aggregate would need state.  Counts
+    and first positions are the same as :func:`tag_counts` (positions are
+    relative to the kept tokens; only their order matters for the vote).
+    """
+    if lookup.rows > MAX_ROWWISE_WORDS:
+        raise ValueError(f"row-wise tagging needs a lookup under {MAX_ROWWISE_WORDS} words")
+    words: dict[int, list[str]] = {}
+    for r in lookup.table.collect():  # bounded by the check above
+        words.setdefault(r["code"], []).append(r["word"])
+
+    def code_of(t: Column) -> Column:
+        u = F.upper(t)
+        expr = F.when(u.isin(words.get(CODE_DROP, [])), F.lit(CODE_DROP))
+        if lookup.stopword_mode == "before_lookup":
+            expr = expr.when(u.isin(list(tx.STOPWORDS)), F.lit(CODE_DROP))
+        for cat in CATEGORIES:
+            expr = expr.when(u.isin(words.get(CODE[cat], [])), F.lit(CODE[cat]))
+        return expr.otherwise(F.lit(CODE_CNS))
+
+    codes = F.filter(F.transform(tx.tokenize(F.col(text_col)), code_of), lambda c: c != CODE_DROP)
+    staged = docs.select(F.col(id_col), F.coalesce(codes, F.array().cast("array<int>")).alias("_c"))
+    def equals(k: int):
+        return lambda c: c == k  # one-argument lambda: a second one would be the index
+
+    out = [F.col(id_col)]
+    out += [F.size(F.filter("_c", equals(CODE[cat]))).cast("bigint").alias(f"n_{cat}")
+            for cat in CATEGORIES]
+    out.append(F.size(F.filter("_c", lambda c: c == CODE_CNS)).cast("bigint").alias("n_cns"))
+    out += [F.when(F.array_position("_c", CODE[cat]) > 0, F.array_position("_c", CODE[cat]) - 1)
+            .cast("int").alias(f"first_{cat}") for cat in CATEGORIES]
+    return staged.select(*out)
+
+
+def lexicon_signals_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
+                            text_col: str = "text", litigious: str = "negative") -> DataFrame:
+    """Same output as :func:`lexicon_signals`, computed row-wise (no shuffle)."""
+    counts = tag_counts_rowwise(docs, lookup, id_col, text_col)
+    return with_vote(counts).select(*signal_columns(id_col, litigious))
+
+
 def counts_map() -> Column:
     """L5 as ``MAP<STRING,INT>`` of the tags present, in priority order."""
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"n_{c}").cast("int").alias("value"))

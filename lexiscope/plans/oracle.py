@@ -427,6 +427,7 @@ ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
     "lexicon_signals_derived": lexicon_signals_derived,
+    "lexicon_signals_rowwise": lexicon_signals,
     "report_checks": report_checks,
     "report_nested_json": report_nested_json,
     "token_tags": token_tags,

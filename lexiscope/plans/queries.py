@@ -37,6 +37,11 @@ def q_lexicon_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark))
 
 
+def q_lexicon_signals_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3-L8 in the row-wise shape (array functions, no shuffle)."""
+    return lx.lexicon_signals_rowwise(_docs(spark, sf_dir), _lookup(spark))
+
+
 def q_lexicon_signals_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1-L8 against the large dictionary derived from the corpus vocabulary."""
     lk = lx.prepare_lookup(fixtures.derived_dictionary(spark, sf_dir))
@@ -490,6 +495,7 @@ QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
     "lexicon_signals_derived": q_lexicon_signals_derived,
+    "lexicon_signals_rowwise": q_lexicon_signals_rowwise,
     "report_nested_json": q_report_nested_json,
     "report_checks": q_report_checks,
     "token_tags": q_token_tags,

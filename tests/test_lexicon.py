@@ -115,3 +115,14 @@ def test_against_brute_force(spark, sf):
 def test_profile(spark):
     p = lx.dictionary_profile(fixtures.fixture_dictionary(spark)).first()
     assert p.n_negative == 7 and p.n_complexity == 1 and p.n_stopwords == 1
+
+
+@pytest.mark.parametrize("mode,litigious", [("before_lookup", "negative"), ("in_dictionary", "drop")])
+def test_tagging_shapes_agree(spark, sf, mode, litigious):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark), stopword_mode=mode)
+    a = lx.lexicon_signals(docs, lk, litigious=litigious)
+    b = lx.lexicon_signals_rowwise(docs, lk, litigious=litigious)
+    cols = [c for c in a.columns]
+    assert a.count() == b.count() == docs.count()
+    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
