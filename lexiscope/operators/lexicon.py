@@ -291,15 +291,12 @@ def lexicon_signals(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
 MAX_ROWWISE_WORDS = 20_000
 
 
-def tag_counts_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """L3-L5 without explode, join or shuffle: array functions on each row.
+def rowwise_codes(lookup: Lookup, text_col: str = "text") -> Column:
+    """``ARRAY<INT>`` of tag codes of the kept tokens of one row (0 = cns).
 
-    The lookup words become literal ``InSet`` lists (one per tag), so this
-    shape is only for lookups under ``MAX_ROWWISE_WORDS`` (checked); it suits
-    append-only streaming sinks, where an aggregate would need state.  Counts
-    and first positions are the same as :func:`tag_counts` (positions are
-    relative to the kept tokens; only their order matters for the vote).
+    The lookup words become literal ``InSet`` lists (one per tag), so this is
+    only for lookups under ``MAX_ROWWISE_WORDS`` (checked).  The words are
+    collected from the lookup table, whose size was counted when it was built.
     """
     if lookup.rows > MAX_ROWWISE_WORDS:
         raise ValueError(f"row-wise tagging needs a lookup under {MAX_ROWWISE_WORDS} words")
@@ -317,17 +314,32 @@ def tag_counts_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
         return expr.otherwise(F.lit(CODE_CNS))
 
     codes = F.filter(F.transform(tx.tokenize(F.col(text_col)), code_of), lambda c: c != CODE_DROP)
-    staged = docs.select(F.col(id_col), F.coalesce(codes, F.array().cast("array<int>")).alias("_c"))
+    return F.coalesce(codes, F.array().cast("array<int>"))
+
+
+def rowwise_count_columns(codes_col: str = "_c") -> list[Column]:
+    """n_<tag>, n_cns, first_<tag> from a codes array (positions among kept tokens)."""
     def equals(k: int):
         return lambda c: c == k  # one-argument lambda: a second one would be the index
 
-    out = [F.col(id_col)]
-    out += [F.size(F.filter("_c", equals(CODE[cat]))).cast("bigint").alias(f"n_{cat}")
+    out = [F.size(F.filter(codes_col, equals(CODE[cat]))).cast("bigint").alias(f"n_{cat}")
+           for cat in CATEGORIES]
+    out.append(F.size(F.filter(codes_col, equals(CODE_CNS))).cast("bigint").alias("n_cns"))
+    out += [F.when(F.array_position(codes_col, CODE[cat]) > 0,
+                   F.array_position(codes_col, CODE[cat]) - 1).cast("int").alias(f"first_{cat}")
             for cat in CATEGORIES]
-    out.append(F.size(F.filter("_c", lambda c: c == CODE_CNS)).cast("bigint").alias("n_cns"))
-    out += [F.when(F.array_position("_c", CODE[cat]) > 0, F.array_position("_c", CODE[cat]) - 1)
-            .cast("int").alias(f"first_{cat}") for cat in CATEGORIES]
-    return staged.select(*out)
+    return out
+
+
+def tag_counts_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """L3-L5 without explode, join or shuffle: array functions on each row.
+
+    Same counts and vote as :func:`tag_counts`; suits append-only streaming
+    sinks, where an aggregate would need state.
+    """
+    staged = docs.select(F.col(id_col), rowwise_codes(lookup, text_col).alias("_c"))
+    return staged.select(F.col(id_col), *rowwise_count_columns())
 
 
 def lexicon_signals_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",

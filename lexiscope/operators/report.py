@@ -111,6 +111,32 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
     )
 
 
+def report_table_rowwise(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
+                         text_col: str = "text", classifier: Classifier = md5_stub_classifier,
+                         summariser: Summariser = lead_stub_summariser) -> DataFrame:
+    """R5 with every signal computed on the row: no join, no aggregate, no shuffle.
+
+    Same columns as :func:`report_table`; usable in an append-only stream.
+    Needs a lookup small enough for :func:`lexicon.rowwise_codes`.
+    """
+    base = classifier(docs.select(id_col, text_col), id_col, text_col).select(
+        id_col, summariser(F.col(id_col), F.col(text_col)).alias("summary"),
+        F.col("cls_label").alias("finbert_label"),
+        F.round(F.col("cls_conf").cast("double"), lx.ROUND_PLACES).alias("finbert_confidence"),
+        lx.rowwise_codes(lookup, text_col).alias("_c"))
+    counts = base.select(id_col, "summary", "finbert_label", "finbert_confidence",
+                         *lx.rowwise_count_columns())
+    sig = lx.with_vote(counts).select(
+        *lx.signal_columns(id_col), "summary", "finbert_label", "finbert_confidence")
+    return sig.select(
+        id_col, "summary", "finbert_label", "finbert_confidence", "lexicon_label",
+        *[f"n_{c}" for c in lx.CATEGORIES], "n_cns", "n_tags",
+        *lx.BIAS_CATEGORIES, "bias_score", "bias_flag",
+        *reliability_columns(F.col("finbert_label"), F.col("finbert_confidence"),
+                             F.col("lexicon_label"), F.col("bias_flag"), F.col("bias_score")),
+    )
+
+
 def nested_report(flat: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The nested report struct of the reference's schema, per document."""
     report = F.struct(

@@ -472,4 +472,5 @@ ORACLES = {
     "reports_json_roundtrip": reports_json_roundtrip,
     "run_metrics_roundtrip": best_run,
     "report_stream": report_flat,
+    "report_stream_rowwise": report_flat,
 }

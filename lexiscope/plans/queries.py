@@ -491,6 +491,16 @@ def q_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream_output(spark, sink)
 
 
+def q_report_stream_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 as a plain append-mode file stream (row-wise report, no state), read back."""
+    from lexiscope.streaming.report_stream import start_rowwise_report_stream
+    sink, ckpt = scratch_path(spark, "stream-rw-out"), scratch_path(spark, "stream-rw-ckpt")
+    q = start_rowwise_report_stream(spark, sf_dir, sink, ckpt, _lookup(spark),
+                                    path_glob="documents.parquet")
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -545,4 +555,5 @@ QUERIES = {
     "reports_json_roundtrip": q_reports_json_roundtrip,
     "run_metrics_roundtrip": q_run_metrics_roundtrip,
     "report_stream": q_report_stream,
+    "report_stream_rowwise": q_report_stream_rowwise,
 }

@@ -49,5 +49,26 @@ def start_report_stream(spark: SparkSession, source: str, sink: str, checkpoint:
     return writer.start()
 
 
+def start_rowwise_report_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
+                                lookup: lx.Lookup, schema: T.StructType = DOC_SCHEMA,
+                                available_now: bool = True, path_glob: str | None = None,
+                                max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """R6 as a plain append-mode stream: every signal is a row function
+    (row-wise tagging), so there is no join, no aggregate and no state; the
+    file sink's log makes the output exactly-once."""
+    reader = spark.readStream.schema(schema)
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source).select("doc_id", "text")
+    flat = rp.report_table_rowwise(stream, lookup).withColumn("reasons", F.array_join("reasons", ","))
+    writer = (flat.writeStream.format("parquet").outputMode("append")
+              .option("path", sink).option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def read_stream_output(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink).drop("batch_id")

@@ -24,3 +24,18 @@ def test_stream_equals_batch(spark, sf):
     cols = batch.columns
     assert streamed.select(*cols).exceptAll(batch).count() == 0
     assert batch.exceptAll(streamed.select(*cols)).count() == 0
+
+
+def test_rowwise_stream_equals_batch(spark, sf):
+    from lexiscope.streaming.report_stream import start_rowwise_report_stream
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    sink, ckpt = tempfile.mkdtemp(), tempfile.mkdtemp()
+    q = start_rowwise_report_stream(spark, sf, sink, ckpt, lk, path_glob="documents.parquet")
+    q.awaitTermination()
+    assert (q.lastProgress or {}).get("stateOperators", []) == []
+    streamed = spark.read.parquet(sink)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    batch = rp.report_table(docs, lk).withColumn("reasons", F.array_join("reasons", ","))
+    cols = batch.columns
+    assert streamed.select(*cols).exceptAll(batch).count() == 0
+    assert batch.exceptAll(streamed.select(*cols)).count() == 0
