@@ -19,9 +19,14 @@ def build_session(master: str | None = None, app: str = "lexiscope",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Local/dev session with the settings the jobs are tuned for.
 
-    On a cluster the submitter's settings win: ``getOrCreate`` keeps an existing
-    session and we only fill in options that are unset.
+    On a cluster the submitter's settings win: an active session is returned
+    as it is (``builder.config`` would otherwise overwrite its SQL settings,
+    e.g. shuffle partitions sized for the driver's cores).
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
