@@ -34,9 +34,9 @@ def brute_rouge_n(pred, ref, n):
 
 
 def test_rouge_n_matches_brute_force(spark):
-    pairs = [("the cat sat on the mat", "the cat sat on the mat"),
+    pairs = [("a quiet river runs past the old mill", "a quiet river runs past the old mill"),
              ("a b a b c", "b a b a"), ("", "x y"), ("Zoo, ZOO! zoo.", "zoo zoo"),
-             ("summarisation models compress text", "models compress long text")]
+             ("spark joins shuffle rows", "spark shuffles joined rows")]
     df = spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(pairs)], "k int, p string, r string")
     got = {x.k: x for x in rg.rouge_n(df, ["k"], "p", "r").collect()}
     for i, (p, r) in enumerate(pairs):
@@ -46,7 +46,7 @@ def test_rouge_n_matches_brute_force(spark):
 
 
 def test_rouge_l_identity_and_bounds(spark):
-    pairs = [("the cat sat on the mat\nsecond line", "the cat sat on the mat\nsecond line"),
+    pairs = [("a quiet river runs past the old mill\nsecond line", "a quiet river runs past the old mill\nsecond line"),
              ("a b c", "c b a"), (None, "x")]
     df = spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(pairs)], "k int, p string, r string")
     got = {x.k: x for x in rg.rouge_l(df, ["k"], "p", "r").collect()}
