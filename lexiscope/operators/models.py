@@ -24,7 +24,7 @@ from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normal
                                 RegexTokenizer)
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,9 +55,10 @@ def tfidf_relational(train: DataFrame, docs: DataFrame, id_col: str = "doc_id",
                  .join(F.broadcast(idf), "term")  # <= max_features rows
                  .groupBy(id_col, "term", "idf").agg(F.count(F.lit(1)).alias("tf")))
     weighted = doc_terms.select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = weighted.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, id_col).select(
-        id_col, "term", F.round(F.col("w") / F.col("norm"), 9).alias("weight"))
+    # Row norm with a window per document (bounded by its distinct terms)
+    # instead of a second aggregate joined back.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return weighted.select(id_col, "term", F.round(F.col("w") / norm, 9).alias("weight"))
 
 
 # ---- ML1-ML3, ML7 with Spark ML -------------------------------------------------------
