@@ -75,7 +75,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-BALANCE_MIN_BYTES = 4 << 20
+BALANCE_MIN_BYTES = 1 << 20
 BALANCE_BYTES_PER_TASK = 128 << 20
 
 
