@@ -83,12 +83,18 @@ def fixture_dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fixture_dictionary_rows(), DICTIONARY_SCHEMA)
 
 
+# Header of the dictionary file (fixed value), in column order.
+DICTIONARY_HEADER = (
+    "Word", "Seq_num", "Word Count", "Word Proportion", "Average Proportion", "Std Dev",
+    "Doc Count", "Negative", "Positive", "Uncertainty", "Litigious", "Strong_Modal",
+    "Weak_Modal", "Constraining", "Complexity", "Syllables", "Source",
+)
+
+
 def fixture_dictionary_csv_text() -> str:
     """The fixture dictionary as the reference's CSV (header + 17 columns)."""
-    header = ("Word,Seq_num,Word Count,Word Proportion,Average Proportion,Std Dev,"
-              "Doc Count,Negative,Positive,Uncertainty,Litigious,Strong_Modal,"
-              "Weak_Modal,Constraining,Complexity,Syllables,Source")
-    lines = [header] + [",".join(str(v) for v in r) for r in fixture_dictionary_rows()]
+    lines = [",".join(DICTIONARY_HEADER)] + [",".join(str(v) for v in r)
+                                             for r in fixture_dictionary_rows()]
     return "\n".join(lines) + "\n"
 
 

@@ -423,6 +423,27 @@ def reports_json_roundtrip() -> str:
             f"agreement, reliability, reasons FROM ({report_flat()})")
 
 
+def csv_pair_file() -> str:
+    return (f"WITH {PAIRS} SELECT {s.light_clean_sql('article')} AS article, "
+            f"{s.light_clean_sql('summary')} AS summary FROM pairs")
+
+
+def dictionary_csv_profile() -> str:
+    cats = ", ".join(f"count(*) FILTER (WHERE {c} <> 0) AS n_{c}" for c in CATS + ('complexity',))
+    kept = " OR ".join(f"{c} > 0" for c in CATS)
+    return (f"WITH {s.derived_dictionary_cte()}, dc AS (SELECT upper(t) AS word, count(*) AS doc_count FROM "
+            f"(SELECT unnest(string_split_regex(text, '{s.TOKEN_SPLIT_RE2}')) AS t FROM documents) "
+            f"WHERE length(t) > 1 AND regexp_full_match(t, '[\\x00-\\x7f]+') GROUP BY 1) "
+            f"SELECT count(*) AS n_words, {cats}, CAST(sum(dc.doc_count) AS BIGINT) AS total_documents, "
+            f"count(*) FILTER (WHERE dict.word IN ({s.STOPWORDS_SQL})) AS n_stopwords, "
+            f"count(*) FILTER (WHERE ({kept}) OR dict.word IN ({s.STOPWORDS_SQL})) AS lookup_rows "
+            f"FROM dict JOIN dc ON dict.word = dc.word")
+
+
+def text_corpus_reports() -> str:
+    return f"SELECT doc_id, lexicon_label, n_tags, bias_score, reliability FROM ({report_flat()})"
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -471,6 +492,9 @@ ORACLES = {
     "tag_list_text_roundtrip": tag_list_text_roundtrip,
     "reports_json_roundtrip": reports_json_roundtrip,
     "run_metrics_roundtrip": best_run,
+    "csv_pair_file": csv_pair_file,
+    "dictionary_csv_profile": dictionary_csv_profile,
+    "text_corpus_reports": text_corpus_reports,
     "report_stream": report_flat,
     "report_stream_rowwise": report_flat,
 }

@@ -481,6 +481,47 @@ def q_run_metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         fallback="fallback-model")
 
 
+def q_csv_pair_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + P6 + T6: pairs written as one CSV with ``ctext``/``text`` columns, re-read."""
+    path = scratch_path(spark, "pairs-file")
+    pairs = fixtures.conversation_pairs(spark, sf_dir)
+    sk.write_table(pairs.select(F.col("article").alias("ctext"), F.col("summary").alias("text"),
+                                "conv_id"), path, fmt="csv")
+    back = rd.read_pairs_file(spark, path, encoding="UTF-8")
+    return sd.prepare_pairs(back, mode="light")
+
+
+def q_dictionary_csv_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S6 + L2: the corpus-derived dictionary written in the 17-column CSV
+    layout, read back by position (profile) and by name (7-category projection)."""
+    path = scratch_path(spark, "dictionary")
+    d = fixtures.derived_dictionary(spark, sf_dir)
+    full = d.select(
+        "word", F.lit(0).cast("bigint").alias("seq_num"), F.lit(0).cast("bigint").alias("word_count"),
+        *[F.lit(0.0).alias(c) for c in ("word_proportion", "average_proportion", "std_dev")],
+        "doc_count", "negative", "positive", "uncertainty", "litigious", "strong_modal",
+        "weak_modal", "constraining", "complexity", F.lit(1).alias("syllables"),
+        F.lit("derived").alias("source"))
+    sk.write_table(full.select(*[F.col(c).alias(h) for c, h in zip(full.columns, fixtures.DICTIONARY_HEADER)]),
+                   path, fmt="csv")
+    profile = lx.dictionary_profile(rd.read_full_dictionary(spark, path))
+    lookup = lx.prepare_lookup(rd.read_dictionary(spark, path))
+    return profile.withColumn("lookup_rows", F.lit(lookup.rows).cast("bigint"))
+
+
+def q_text_corpus_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S8 -> R5: one ``.txt`` file per document, read as whole files, reported."""
+    path = scratch_path(spark, "corpus")
+    docs = _docs(spark, sf_dir)
+    docs.write.mode("overwrite").partitionBy("doc_id").text(path)
+    back = rd.read_text_corpus(spark, path)
+    # The folder name carries the id; the article is the stripped file content.
+    back = back.select(F.regexp_extract("doc_id", r"doc_id=(-?[0-9]+)", 1).cast("bigint").alias("doc_id"),
+                       tx.py_strip(F.col("text")).alias("text"))
+    flat = rp.report_table(back, _lookup(spark))
+    return flat.select("doc_id", "lexicon_label", "n_tags", "bias_score", "reliability")
+
+
 def q_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as a stateless stream (available-now trigger), read back."""
     from lexiscope.streaming.report_stream import read_stream_output, start_report_stream
@@ -554,6 +595,9 @@ QUERIES = {
     "tag_list_text_roundtrip": q_tag_list_text_roundtrip,
     "reports_json_roundtrip": q_reports_json_roundtrip,
     "run_metrics_roundtrip": q_run_metrics_roundtrip,
+    "csv_pair_file": q_csv_pair_file,
+    "dictionary_csv_profile": q_dictionary_csv_profile,
+    "text_corpus_reports": q_text_corpus_reports,
     "report_stream": q_report_stream,
     "report_stream_rowwise": q_report_stream_rowwise,
 }
