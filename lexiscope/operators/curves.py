@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiscope.plans.ordering import indexed_scan
@@ -35,29 +35,36 @@ def series(log: DataFrame, run_col: str = "run", step_col: str = "step") -> Data
                     F.col("x.value").alias("value")))
 
 
-def moving_average(train: DataFrame, run_col: str, order_cols: Sequence[str],
-                   value_col: str = "loss") -> DataFrame:
-    """Trailing mean over rows ``i-w .. i``, ``w = max(1, n // 100)`` per run.
+def moving_average(log: DataFrame, run_col: str, order_cols: Sequence[str],
+                   value_col: str = "loss", member: Column | None = None) -> DataFrame:
+    """Trailing mean over series rows ``i-w .. i``, ``w = max(1, n // 100)`` per run.
 
-    Computed as a difference of exact prefix sums: ``(S[i] - S[i-w-1]) / rows``,
-    with ``S[i-w-1]`` fetched by an equi-join on ``(run, idx)``.  No window
-    ever spans a whole run.
+    ``member`` selects the rows of the series (e.g. training records) inside a
+    larger log; ``step`` is the 1-based position of the record in the whole
+    log.  One ordered scan yields the log position, the series position and
+    exact prefix sums; the window mean is ``(S[i] - S[i-w-1]) / rows`` with
+    ``S[i-w-1]`` fetched by an equi-join on ``(run, i)``.  No window ever
+    spans a whole run.
     """
-    scanned = indexed_scan(train.select(run_col, *order_cols, value_col), run_col,
-                           order_cols, [value_col])
-    cum = f"cum_{value_col}"
-    w = F.greatest(F.lit(1), F.floor(F.col("group_size") / WINDOW_DIVISOR))
-    rows = scanned.select(run_col, *order_cols, value_col, "idx", "group_size", cum,
-                          w.alias("w"), (F.col("idx") - w - 1).alias("prev_idx"))
-    prev = scanned.select(F.col(run_col).alias("_r"), F.col("idx").alias("_pi"),
-                          F.col(cum).alias("_prev_cum"))
-    joined = rows.join(prev, (F.col(run_col) == F.col("_r")) & (F.col("prev_idx") == F.col("_pi")),
-                       "left")
-    n_rows = F.col("idx") - F.greatest(F.lit(0), F.col("idx") - F.col("w")) + 1
-    total = F.col(cum) - F.coalesce(F.col("_prev_cum"), F.lit(0).cast("decimal(30,10)"))
+    m = member if member is not None else F.lit(True)
+    prepared = log.select(run_col, *order_cols, value_col,
+                          F.when(m, F.lit(1)).otherwise(F.lit(0)).alias("_in"),
+                          F.when(m, F.col(value_col)).otherwise(F.lit(0.0)).alias("_v"))
+    scanned = indexed_scan(prepared, run_col, order_cols, ["_in", "_v"])
+    rows = scanned.where(F.col("_in") == 1).select(
+        run_col, *order_cols, value_col, (F.col("idx") + 1).alias("step"),
+        (F.col("cum__in") - 1).cast("bigint").alias("i"),
+        F.col("tot__in").cast("bigint").alias("n"), F.col("cum__v").alias("cum"))
+    w = F.greatest(F.lit(1), F.floor(F.col("n") / WINDOW_DIVISOR))
+    rows = rows.withColumn("w", w)
+    prev = rows.select(F.col(run_col).alias("_r"), F.col("i").alias("_pi"),
+                       F.col("cum").alias("_prev_cum"))
+    joined = rows.join(prev, (F.col(run_col) == F.col("_r"))
+                       & (F.col("i") - F.col("w") - 1 == F.col("_pi")), "left")
+    n_rows = F.col("i") - F.greatest(F.lit(0), F.col("i") - F.col("w")) + 1
+    total = F.col("cum") - F.coalesce(F.col("_prev_cum"), F.lit(0).cast("decimal(30,10)"))
     return joined.select(
-        run_col, *order_cols, F.col("idx").alias("step"), value_col,
-        F.col("w").cast("int").alias("window"),
+        run_col, *order_cols, "step", value_col, F.col("w").cast("int").alias("window"),
         F.round((total / n_rows).cast("double"), ROUND).alias("smoothed"))
 
 

@@ -54,6 +54,7 @@ CODE_DROP = -1
 
 STOPWORD_MODES = ("before_lookup", "in_dictionary")
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
 
 # --------------------------------------------------------------------------
@@ -95,13 +96,15 @@ class Lookup:
     rows: int
     broadcast: bool
     stopword_mode: str
+    approx_bytes: int = 0
 
     def join_side(self) -> DataFrame:
         return F.broadcast(self.table) if self.broadcast else self.table
 
 
 def prepare_lookup(dictionary: DataFrame, stopword_mode: str = "before_lookup",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Lookup:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> Lookup:
     """Reduce the dictionary to the words that change a tag, check it, size it.
 
     * ``before_lookup`` (interactive chain): stopwords are dropped before lookup.
@@ -124,15 +127,19 @@ def prepare_lookup(dictionary: DataFrame, stopword_mode: str = "before_lookup",
         "word", code.cast("int").alias("code"))
     # In ``before_lookup`` mode stopwords outside the dictionary are dropped
     # by an InSet test in the tagger, so the table is the same in both modes.
+    kept = F.col("tag").isNotNull() | stop
     check = (norm.agg(F.count(F.lit(1)).alias("n"),
                       F.count_distinct("word").alias("d"),
-                      F.count_if(F.col("tag").isNotNull() | stop).alias("kept"))
+                      F.count_if(kept).alias("kept"),
+                      # UTF-8 bytes of the kept words + the int code + row overhead
+                      F.sum(F.when(kept, F.octet_length("word") + 24)).alias("bytes"))
              .first())
     if check["n"] != check["d"]:
         raise ValueError("dictionary words are not unique after upper-casing")
-    rows = int(check["kept"])
-    return Lookup(table=table, rows=rows, broadcast=rows <= max_broadcast_rows,
-                  stopword_mode=stopword_mode)
+    rows, size = int(check["kept"]), int(check["bytes"] or 0)
+    fits = rows <= max_broadcast_rows and size <= max_broadcast_bytes
+    return Lookup(table=table, rows=rows, broadcast=fits, stopword_mode=stopword_mode,
+                  approx_bytes=size)
 
 
 # --------------------------------------------------------------------------

@@ -33,7 +33,8 @@ def indexed_scan(df: DataFrame, group_col: str, order_cols: Sequence[str],
                  sum_cols: Sequence[str] = (), num_partitions: int | None = None,
                  checkpoint: bool = True) -> DataFrame:
     """Adds ``idx`` (0-based position in the group), ``group_size`` and, per
-    ``c`` in ``sum_cols``, ``cum_<c>`` = inclusive running sum (DECIMAL)."""
+    ``c`` in ``sum_cols``, ``cum_<c>`` = inclusive running sum and ``tot_<c>``
+    = group total (both DECIMAL)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The partition id is materialised once (reliable checkpoint): every branch
@@ -56,11 +57,14 @@ def indexed_scan(df: DataFrame, group_col: str, order_cols: Sequence[str],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         F.sum("_n").over(Window.partitionBy(group_col)).alias("group_size"),
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
+          for c in sum_cols],
+        *[F.sum(f"_t_{c}").over(Window.partitionBy(group_col)).alias(f"tot_{c}")
           for c in sum_cols])
     out = local.join(offsets, ["_pid", group_col]).select(
         *df.columns,
         (F.col("_off") + F.col("_lidx")).alias("idx"),
         "group_size",
         *[(F.col(f"_off_{c}") + F.col(f"_lcum_{c}")).cast(SUM_TYPE).alias(f"cum_{c}")
-          for c in sum_cols])
+          for c in sum_cols],
+        *[F.col(f"tot_{c}").cast(SUM_TYPE).alias(f"tot_{c}") for c in sum_cols])
     return cut_lineage(out) if checkpoint else out

@@ -301,10 +301,11 @@ def q_log_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_loss_moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing moving average of the training loss, window max(1, n // 100)."""
-    train = cv.training_rows(_log_with_steps(spark, sf_dir))
-    ma = cv.moving_average(train.select("run", F.col("step").alias("log_step"), "loss"),
-                           "run", ["log_step"])
-    return ma.select("run", F.col("log_step").alias("step"), "loss", "window", "smoothed")
+    log = fixtures.training_log(spark, sf_dir)
+    is_train = F.col("loss").isNotNull() & F.col("eval_loss").isNull() & F.col("epoch").isNotNull()
+    ma = cv.moving_average(log.select("run", *LOG_ORDER, "loss", is_train.alias("_train")),
+                           "run", LOG_ORDER, "loss", member=F.col("_train"))
+    return ma.select("run", "step", "loss", "window", "smoothed")
 
 
 def q_epoch_mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:

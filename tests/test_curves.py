@@ -12,6 +12,11 @@ def test_moving_average_golden(spark):
     df = spark.createDataFrame([("r", i, float(i)) for i in (1, 2, 3, 4)], "run string, s int, loss double")
     got = [r.smoothed for r in cv.moving_average(df, "run", ["s"]).orderBy("s").collect()]
     assert got == [1.0, 1.5, 2.5, 3.5]
+    # Series rows inside a larger log: eval rows are skipped, steps count every record.
+    log = spark.createDataFrame([("r", 1, 1.0, True), ("r", 2, 9.0, False), ("r", 3, 2.0, True),
+                                 ("r", 4, 3.0, True)], "run string, s int, loss double, t boolean")
+    out = cv.moving_average(log, "run", ["s"], member=F.col("t")).orderBy("s").collect()
+    assert [(r.step, r.smoothed) for r in out] == [(1, 1.0), (3, 1.5), (4, 2.5)]
 
 
 def test_moving_average_wide_window(spark):

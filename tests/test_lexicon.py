@@ -69,9 +69,17 @@ def test_duplicate_words_rejected(spark):
         lx.prepare_lookup(dictionary(spark, [row("good", positive=1), row("GOOD", negative=1)]))
 
 
-def test_broadcast_bound_is_checked(spark):
+def test_broadcast_bound_is_checked(spark, sf):
     lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark), max_broadcast_rows=3)
     assert lk.broadcast is False and lk.rows > 3
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark), max_broadcast_bytes=100)
+    assert lk.broadcast is False and lk.approx_bytes > 100
+    # Beyond the bound the tagger falls back to a shuffle join and gives the same result.
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    small = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    a = lx.lexicon_signals(docs, small)
+    b = lx.lexicon_signals(docs, lk)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def brute_force(text, entries):
