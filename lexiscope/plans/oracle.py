@@ -444,6 +444,15 @@ def text_corpus_reports() -> str:
     return f"SELECT doc_id, lexicon_label, n_tags, bias_score, reliability FROM ({report_flat()})"
 
 
+def softmax_from_counts() -> str:
+    z = "[CAST(n_positive AS DOUBLE), CAST(n_negative AS DOUBLE), CAST(n_uncertainty AS DOUBLE)]"
+    return (f"WITH g AS ({s.signals_query()}), e AS (SELECT doc_id, list_transform({z}, "
+            f"lambda x: exp(x - list_max({z}))) AS ex FROM g), "
+            f"p AS (SELECT doc_id, list_transform(ex, lambda x: x / list_sum(ex)) AS pr FROM e) "
+            f"SELECT doc_id, (['positive', 'negative', 'neutral'])[list_position(pr, list_max(pr))] AS label, "
+            f"round(pr[list_position(pr, list_max(pr))], 4) AS confidence FROM p")
+
+
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
@@ -487,6 +496,7 @@ ORACLES = {
     "epoch_last_eval": epoch_last_eval,
     "best_run": best_run,
     "tfidf_features": tfidf_features,
+    "softmax_from_counts": softmax_from_counts,
     "csv_sources_stitched": stitched,
     "csv_pairs_by_split": csv_pairs_by_split,
     "tag_list_text_roundtrip": tag_list_text_roundtrip,

@@ -370,6 +370,16 @@ def q_model_classifier_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("cls_label").alias("label"), F.col("cls_conf").alias("confidence"))
 
 
+def q_softmax_from_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML5: softmax decode of per-document logits (here the positive / negative /
+    uncertainty tag counts), label by arg-max, confidence to 4 places."""
+    sig = lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark))
+    staged = sig.select("doc_id", F.array(*[F.col(c).cast("double") for c in
+                                            ("n_positive", "n_negative", "n_uncertainty")]).alias("z"))
+    _, label, conf = rp.softmax_decode(F.col("z"))
+    return staged.select("doc_id", label.alias("label"), conf.alias("confidence"))
+
+
 def q_svm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML2 + ML3: predicted label and per-class decision scores for the test split."""
     data, feats, model = _svm(spark, sf_dir)
@@ -588,6 +598,7 @@ QUERIES = {
     "best_run": q_best_run,
     "tfidf_features": q_tfidf_features,
     "model_classifier_signals": q_model_classifier_signals,
+    "softmax_from_counts": q_softmax_from_counts,
     "svm_predictions": q_svm_predictions,
     "svm_metrics": q_svm_metrics,
     "model_roundtrip": q_model_roundtrip,

@@ -91,3 +91,14 @@ def test_label_encodings(spark):
     assert [(r.i, r.s) for r in rows] == [(0, 1), (1, -1), (2, 0)]
     back = df.select(sd.decode_label(sd.encode_label(F.col("l"), "index"), "index").alias("d")).collect()
     assert [r.d for r in back] == ["positive", "negative", "neutral"]
+
+
+def test_required_and_alias_columns(spark):
+    df = spark.createDataFrame([("a", "b")], "Title string, Other string")
+    with pytest.raises(ValueError, match="Global Sentiment"):
+        sd.standardise(df, "Title", "Global Sentiment", "headline")
+    pairs = spark.createDataFrame([("A ", " s", 1)], "ctext string, text string, extra int")
+    out = sd.prepare_pairs(pairs, mode="strip")
+    assert out.columns == ["article", "summary"] and out.first().article == "A"
+    with pytest.raises(ValueError):
+        sd.resolve_pair_columns(spark.createDataFrame([("x",)], "body string"))
