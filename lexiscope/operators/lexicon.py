@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexiscope.functions import text as tx
 
@@ -392,5 +391,3 @@ def flag_rate(signals: DataFrame) -> DataFrame:
              F.round(F.when(F.col("total") > 0, F.col("flagged") * 100.0 / F.col("total")), 1)
              .alias("percent"))
 
-
-TAG_SCHEMA = T.ArrayType(T.StringType())

@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from lexiscope import fixtures
 from lexiscope.functions import text as tx

@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from lexiscope.operators import rouge as rg
 
