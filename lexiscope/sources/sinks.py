@@ -27,6 +27,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def write_bucketed_table(df: DataFrame, table: str, key: str = "doc_id", buckets: int = 512,
+                         mode: str = "overwrite") -> str:
+    """K1 for the corpus: a catalog table bucketed and sorted by ``key``.
+
+    Jobs that aggregate or join per document (tagging, the report's fan-in)
+    then read data already hash-partitioned by the key: Spark plans them with
+    no exchange at all (only the bounded lookup is broadcast).
+    """
+    df.write.bucketBy(buckets, key).sortBy(key).mode(mode).saveAsTable(table)
+    return table
+
+
 def tag_list_literal(col):
     """Tag list as the legacy Python-literal text (``['cns', 'positive']``)."""
     quoted = F.transform(col, lambda x: F.concat(F.lit("'"), x, F.lit("'")))

@@ -37,3 +37,21 @@ def test_report_stream_rowwise_is_stateless(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     p = plan(rp.report_table_rowwise(docs, lx.prepare_lookup(fixtures.fixture_dictionary(spark))))
     assert "Exchange" not in p and "Aggregate" not in p
+
+
+def test_bucketed_corpus_needs_no_shuffle(spark, sf):
+    from lexiscope import fixtures
+    from lexiscope.operators import lexicon as lx
+    from lexiscope.operators import report as rp
+    from lexiscope.sources.sinks import write_bucketed_table
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    write_bucketed_table(docs, "docs_bucketed", "doc_id", buckets=8)
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a corpus too big to broadcast
+    try:
+        p = plan(rp.report_table(spark.table("docs_bucketed"), lk))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning" not in p and "SortMergeJoin" in p
+    assert p.count("BroadcastExchange") == 1  # the size-checked lookup only
