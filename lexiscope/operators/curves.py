@@ -74,12 +74,17 @@ def epoch_mean_loss(train: DataFrame, run_col: str = "run") -> DataFrame:
         F.round(F.avg("loss"), ROUND).alias("mean_loss"))
 
 
-def epoch_last_eval(log: DataFrame, run_col: str, order_cols: Sequence[str],
+def epoch_last_eval(log: DataFrame, run_col: str, order_col: str,
                     value_col: str = "eval_loss") -> DataFrame:
-    """Per ``round(epoch)`` (half-even), the value of the latest record."""
+    """Per ``round(epoch)`` (half-even), the value of the latest record.
+
+    ``order_col`` is a fixed-width key unique per record (a step number or a
+    timestamp), so ``max_by`` keeps a fixed-width buffer and the aggregate
+    stays a hash aggregate with map-side partial aggregation.
+    """
     evals = log.where(F.col(value_col).isNotNull() & F.col("epoch").isNotNull())
     return evals.groupBy(run_col, F.bround("epoch", 0).cast("int").alias("epoch")).agg(
-        F.max_by(F.col(value_col), F.struct(*order_cols)).alias(value_col))
+        F.max_by(F.col(value_col), F.col(order_col)).alias(value_col))
 
 
 def leaderboard(scores: DataFrame, run_col: str, score_col: str, pos_col: str) -> DataFrame:

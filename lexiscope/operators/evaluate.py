@@ -47,8 +47,11 @@ def confusion_matrix(spark: SparkSession, df: DataFrame, true_col: str, pred_col
         T.StructType([T.StructField("true_label", T.StringType()),
                       T.StructField("pred_label", T.StringType()),
                       T.StructField("cell", T.IntegerType())]))
-    counts = pair_counts(df, true_col, pred_col)
-    return (F.broadcast(grid).join(counts, ["true_label", "pred_label"], "left")
+    # Restricted to the grid's labels, the counts have at most len(labels)^2
+    # rows, so broadcasting them (the right side of the left join) is bounded.
+    counts = pair_counts(df, true_col, pred_col).where(
+        F.col("true_label").isin(*labels) & F.col("pred_label").isin(*labels))
+    return (grid.join(F.broadcast(counts), ["true_label", "pred_label"], "left")
             .select("true_label", "pred_label", F.coalesce("n", F.lit(0)).alias("n"), "cell"))
 
 
@@ -58,12 +61,20 @@ def classification_metrics(df: DataFrame, true_col: str, pred_col: str) -> DataF
     Labels are those seen on either side; F1 per class is ``2tp / (2tp + fp + fn)``.
     """
     pc = pair_counts(df, true_col, pred_col)
-    tp = pc.where(F.col("true_label") == F.col("pred_label")).select(
-        F.col("true_label").alias("label"), F.col("n").alias("tp"))
-    support = pc.groupBy(F.col("true_label").alias("label")).agg(F.sum("n").alias("support"))
-    predicted = pc.groupBy(F.col("pred_label").alias("label")).agg(F.sum("n").alias("predicted"))
-    per = (support.join(predicted, "label", "full").join(tp, "label", "left")
-           .fillna(0, ["support", "predicted", "tp"]))
+    # Each (true, pred, n) cell adds n to the support of ``true``, to the
+    # predictions of ``pred`` and, on the diagonal, to the hits of ``true``:
+    # one aggregate over the exploded cells, no joins.
+    zero = F.lit(0).cast("bigint")
+    hit = F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(zero)
+    roles = F.array(
+        F.struct(F.col("true_label").alias("label"), F.col("n").alias("s"), zero.alias("p"),
+                 hit.alias("t")),
+        F.struct(F.col("pred_label").alias("label"), zero.alias("s"), F.col("n").alias("p"),
+                 zero.alias("t")))
+    per = (pc.select(F.explode(roles).alias("r"))
+           .groupBy(F.col("r.label").alias("label"))
+           .agg(F.sum("r.s").alias("support"), F.sum("r.p").alias("predicted"),
+                F.sum("r.t").alias("tp")))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     f1d = 2 * F.col("tp") + (F.col("predicted") - F.col("tp")) + (F.col("support") - F.col("tp"))

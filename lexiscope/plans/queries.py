@@ -315,7 +315,7 @@ def q_epoch_mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_epoch_last_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last eval loss per half-even-rounded epoch."""
-    return cv.epoch_last_eval(fixtures.training_log(spark, sf_dir), "run", LOG_ORDER)
+    return cv.epoch_last_eval(fixtures.training_log(spark, sf_dir), "run", "ts")
 
 
 def q_best_run(spark: SparkSession, sf_dir: str) -> DataFrame:

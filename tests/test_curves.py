@@ -54,5 +54,5 @@ def test_epoch_tables(spark):
         "run string, step int, epoch double, loss double, eval_loss double")
     m = {r.epoch: r.mean_loss for r in cv.epoch_mean_loss(cv.training_rows(df)).collect()}
     assert m == {1: 2.0}
-    e = {r.epoch: r.eval_loss for r in cv.epoch_last_eval(df, "run", ["step"]).collect()}
+    e = {r.epoch: r.eval_loss for r in cv.epoch_last_eval(df, "run", "step").collect()}
     assert e == {1: 9.0, 2: 5.0}  # 1.5 and 2.5 both round (half-even) to 2; the later wins
