@@ -81,10 +81,14 @@ def fit_tfidf(train: DataFrame, text_col: str = "text",
 
 def fit_svm(train_features: DataFrame, label_col: str = "label_index",
             weight_col: str = "weight", c: float = SVM_C, max_iter: int = 100):
-    """ML2: class-weighted one-vs-rest linear SVM; ``regParam = 1 / (C * n)``."""
+    """ML2: class-weighted one-vs-rest linear SVM; ``regParam = 1 / (C * n)``.
+
+    Features are already L2-normalised TF-IDF, so no extra standardisation
+    (the reference's SVM does not standardise either).
+    """
     n = train_features.count()
     svc = LinearSVC(featuresCol="features", labelCol=label_col, weightCol=weight_col,
-                    regParam=1.0 / (c * max(n, 1)), maxIter=max_iter)
+                    regParam=1.0 / (c * max(n, 1)), maxIter=max_iter, standardization=False)
     # The k binary problems are independent: fit them concurrently.
     return OneVsRest(classifier=svc, featuresCol="features", labelCol=label_col,
                      weightCol=weight_col, parallelism=len(CLASS_NAMES)).fit(train_features)
