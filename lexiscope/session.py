@@ -76,7 +76,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 BALANCE_MIN_BYTES = 1 << 20
-BALANCE_BYTES_PER_TASK = 128 << 20
+BALANCE_BYTES_PER_TASK = 16 << 20
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -92,10 +92,10 @@ def balance_input(df: DataFrame, size_bytes: int) -> DataFrame:
 
     Parquet splits at row-group boundaries, so a file with one large row group
     is read by one task whatever the cluster size.  When the input is smaller
-    than ``parallelism x 128 MB`` (and not tiny), a round-robin repartition to
-    the default parallelism costs one shuffle of at most that much data.
-    Large inputs already have far more row groups than cores and are left as
-    they are, so the corpus itself is never shuffled at scale.
+    than ``parallelism x 16 MB`` (and not tiny), a round-robin repartition to
+    the default parallelism costs at most 16 MB of shuffle per core.  Larger
+    inputs are left as they are (they have many row groups), so a large corpus
+    is never shuffled for this.
     """
     par = df.sparkSession.sparkContext.defaultParallelism
     if BALANCE_MIN_BYTES <= size_bytes < par * BALANCE_BYTES_PER_TASK \
