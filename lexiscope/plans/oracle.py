@@ -93,11 +93,13 @@ def rule_based_labels() -> str:
 
 
 def dictionary_profile() -> str:
-    cats = ", ".join(f"count(*) FILTER (WHERE coalesce({c}, 0) <> 0) AS n_{c}"
-                     for c in CATS + ('complexity',))
-    return (f"WITH {s.dictionary_values()} SELECT count(*) AS n_words, {cats}, "
-            f"CAST(sum(coalesce(doc_count, 0)) AS BIGINT) AS total_documents, "
-            f"count(*) FILTER (WHERE upper(word) IN ({s.STOPWORDS_SQL})) AS n_stopwords FROM dict")
+    cats = ", ".join(f"count(*) FILTER (WHERE {c} <> 0) AS n_{c}" for c in CATS + ('complexity',))
+    return (f"WITH {s.derived_dictionary_cte()}, dc AS (SELECT upper(t) AS word, count(*) AS doc_count FROM "
+            f"(SELECT unnest(string_split_regex(text, '{s.TOKEN_SPLIT_RE2}')) AS t FROM documents) "
+            f"WHERE length(t) > 1 AND regexp_full_match(t, '[\\x00-\\x7f]+') GROUP BY 1) "
+            f"SELECT count(*) AS n_words, {cats}, CAST(sum(dc.doc_count) AS BIGINT) AS total_documents, "
+            f"count(*) FILTER (WHERE dict.word IN ({s.STOPWORDS_SQL})) AS n_stopwords "
+            f"FROM dict JOIN dc ON dict.word = dc.word")
 
 
 def bias_flag_rate() -> str:

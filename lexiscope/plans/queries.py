@@ -84,8 +84,9 @@ def q_rule_based_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dictionary_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2: profile of the dictionary, plus the stopword count among its words."""
-    return lx.dictionary_profile(fixtures.fixture_dictionary(spark))
+    """L2: profile of the dictionary derived from the corpus (words per category,
+    doc_count total, stopwords among its words)."""
+    return lx.dictionary_profile(fixtures.derived_dictionary(spark, sf_dir))
 
 
 def q_bias_flag_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
