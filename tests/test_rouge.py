@@ -62,3 +62,67 @@ def test_summary_checks_and_stability(spark):
     assert (c.n, c.n_empty, c.n_too_short, c.n_not_compressed) == (3, 1, 3, 1)
     s = rg.stability(df, df, ["k"], "summary").first()
     assert s.n == 3 and s.n_changed == 0
+
+
+def textbook_rouge_l(pred, ref):
+    """Classic-DP statement of ROUGE-L and ROUGE-Lsum (F-measures), unstemmed."""
+    import re as _re
+    from collections import Counter
+
+    def tok(s):
+        return _re.sub(r"[^a-z0-9]+", " ", (s or "").lower()).split()
+
+    def table(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                t[i][j] = t[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(t[i - 1][j], t[i][j - 1])
+        return t
+
+    def f(p, r):
+        return 2 * p * r / (p + r) if p + r else 0.0
+
+    tp, tr = tok(pred), tok(ref)
+    lcs = table(tr, tp)[-1][-1] if tp and tr else 0
+    rl = f(lcs / len(tp), lcs / len(tr)) if tp and tr else 0.0
+    rs = [tok(x) for x in (ref or "").split("\n")]
+    cs = [tok(x) for x in (pred or "").split("\n")]
+    m, n = sum(map(len, rs)), sum(map(len, cs))
+    if not m or not n:
+        return rl, 0.0
+    cr, cc = Counter(t for s in rs for t in s), Counter(t for s in cs for t in s)
+    hits = 0
+    for r in rs:
+        union = set()
+        for c in cs:
+            if not r or not c:
+                continue
+            t = table(r, c)
+            i, j = len(r), len(c)
+            while i > 0 and j > 0:
+                if r[i - 1] == c[j - 1]:
+                    union.add(i - 1)
+                    i, j = i - 1, j - 1
+                elif t[i][j - 1] > t[i - 1][j]:
+                    j -= 1
+                else:
+                    i -= 1
+        for k in sorted(union):
+            w = r[k]
+            if cc[w] > 0 and cr[w] > 0:
+                hits += 1
+                cc[w] -= 1
+                cr[w] -= 1
+    return rl, f(hits / n, hits / m)
+
+
+def test_rouge_l_query_against_textbook(spark, sf):
+    from lexiscope import fixtures
+    from lexiscope.plans.queries import QUERIES
+    got = {(r.conv_id, r.turn): r for r in QUERIES["rouge_l_pairs"](spark, sf).collect()}
+    pairs = fixtures.conversation_pairs(spark, sf).collect()
+    assert len(got) == len(pairs) > 0
+    for p in pairs:
+        rl, rls = textbook_rouge_l(p.summary, p.article)
+        g = got[(p.conv_id, p.turn)]
+        assert abs(g.rougeL_f - rl) < 1e-12 and abs(g.rougeLsum_f - rls) < 1e-12
