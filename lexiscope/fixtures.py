@@ -199,8 +199,10 @@ def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``eval_loss`` on error events, ``loss`` on the others; order = (ts, event_id)."""
     from lexiscope.session import read_table
     ev = read_table(spark, sf_dir, "events")
-    origin = F.unix_micros(F.lit(LOG_EPOCH_ORIGIN).cast("timestamp"))
-    epoch = (F.unix_micros(F.col("ts").cast("timestamp")) - origin) / F.lit(86_400_000_000.0)
+    # Wall-clock difference of two TIMESTAMP_NTZ values: no session time zone involved.
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{LOG_EPOCH_ORIGIN}', "
+                    f"CAST(ts AS TIMESTAMP_NTZ))")
+    epoch = micros / F.lit(86_400_000_000.0)
     is_eval = F.col("event_type") == "error"
     return ev.select(
         F.col("user_id").alias("run"), "ts", "event_id", epoch.alias("epoch"),
