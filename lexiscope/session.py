@@ -15,6 +15,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lexiscope`` importable in Python workers (once per SparkContext).
+
+    Arrow UDFs are pickled by reference to their module, so executors must be
+    able to import the package.  The package folder is zipped once and added
+    with ``addPyFile`` (on a cluster, ``--py-files`` does the same up front).
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = tempfile.mkdtemp(prefix="lexiscope-pyfiles-")
+    archive = shutil.make_archive(os.path.join(base, "lexiscope"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="lexiscope")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def build_session(master: str | None = None, app: str = "lexiscope",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Local/dev session with the settings the jobs are tuned for.
@@ -45,6 +69,7 @@ def build_session(master: str | None = None, app: str = "lexiscope",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
