@@ -151,20 +151,23 @@ def _tag_code(lookup: Lookup) -> Column:
     token = F.col("token")
     expr = F.when(token.isNull() | ~tx.is_word(token), F.lit(None).cast("int"))
     if lookup.stopword_mode == "before_lookup":
-        expr = expr.when(tx.is_stopword(token), F.lit(None).cast("int"))
+        expr = expr.when(F.col("_u").isin(list(tx.STOPWORDS)), F.lit(None).cast("int"))
     expr = expr.when(F.col("code") == CODE_DROP, F.lit(None).cast("int"))
     return expr.otherwise(F.coalesce(F.col("code"), F.lit(CODE_CNS)))
 
 
 def tag_tokens(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
                text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Exploded, tagged tokens: ``(id, *carry, pos, token, code)``; code null = dropped."""
+    """Exploded, tagged tokens: ``(id, *carry, pos, token, code)``; code null = dropped.
+
+    The upper-cased token is projected once and serves both as the join key
+    and for the stopword test.
+    """
     exploded = docs.select(
         F.col(id_col), *[F.col(c) for c in carry],
         F.posexplode_outer(tx.split_tokens(F.col(text_col))).alias("pos", "token"),
-    )
-    joined = exploded.join(
-        lookup.join_side(), F.upper(F.col("token")) == F.col("word"), "left")
+    ).withColumn("_u", F.upper(F.col("token")))
+    joined = exploded.join(lookup.join_side(), F.col("_u") == F.col("word"), "left")
     return joined.select(id_col, *carry, "pos", "token", _tag_code(lookup).alias("code"))
 
 
