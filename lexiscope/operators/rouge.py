@@ -196,12 +196,17 @@ def word_count(text: Column) -> Column:
 
 
 def summary_checks(df: DataFrame, article_col: str, summary_col: str,
-                   scores: DataFrame | None = None) -> DataFrame:
-    """One row of check counts; whitespace words stand in for sub-word tokens."""
+                   scores: DataFrame | None = None, key_cols: list[str] | None = None) -> DataFrame:
+    """One row of check counts; whitespace words stand in for sub-word tokens.
+
+    With ``scores`` (per-pair ``rouge1_f``/``rouge2_f`` keyed by ``key_cols``,
+    e.g. from :func:`rouge_n`) the corpus means and the ROUGE floor check are
+    added; the scores are equi-joined per pair before the single aggregate.
+    """
     s_words = word_count(F.col(summary_col))
     a_words = word_count(F.col(article_col))
     stripped = F.trim(F.coalesce(F.col(summary_col), F.lit("")))
-    checks = df.agg(
+    aggs = [
         F.count(F.lit(1)).alias("n"),
         F.count_if(stripped == "").alias("n_empty"),
         F.count_if(s_words < MIN_SUMMARY_TOKENS).alias("n_too_short"),
@@ -209,8 +214,16 @@ def summary_checks(df: DataFrame, article_col: str, summary_col: str,
         F.count_if(s_words / F.greatest(a_words, F.lit(1)) >= MAX_COMPRESSION)
         .alias("n_not_compressed"),
         F.count_distinct(F.col(summary_col)).alias("n_distinct"),
-    )
-    return checks.withColumn("all_distinct", F.col("n_distinct") == F.col("n"))
+    ]
+    if scores is not None:
+        df = df.join(scores.select(*key_cols, "rouge1_f", "rouge2_f"), key_cols, "left")
+        aggs += [F.round(F.avg("rouge1_f"), 3).alias("rouge1"),
+                 F.round(F.avg("rouge2_f"), 3).alias("rouge2")]
+    checks = df.agg(*aggs).withColumn("all_distinct", F.col("n_distinct") == F.col("n"))
+    if scores is not None:
+        checks = checks.withColumn(
+            "rouge_floor_ok", (F.col("rouge1") > ROUGE1_FLOOR) & (F.col("rouge2") > ROUGE2_FLOOR))
+    return checks
 
 
 def stability(run_a: DataFrame, run_b: DataFrame, key_cols: list[str], col: str) -> DataFrame:

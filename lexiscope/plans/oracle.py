@@ -328,11 +328,17 @@ def _wc(x: str) -> str:
 
 
 def summary_checks() -> str:
-    sw, aw = _wc("summary"), _wc("article")
-    return (f"WITH {PAIRS} SELECT count(*) AS n, count(*) FILTER (WHERE trim(coalesce(summary, '')) = '') AS n_empty, "
-            f"count(*) FILTER (WHERE {sw} < 8) AS n_too_short, count(*) FILTER (WHERE {sw} > 142) AS n_too_long, "
-            f"count(*) FILTER (WHERE CAST({sw} AS DOUBLE) / greatest({aw}, 1) >= 0.85) AS n_not_compressed, "
-            f"count(DISTINCT summary) AS n_distinct, count(DISTINCT summary) = count(*) AS all_distinct FROM pairs")
+    sw, aw = _wc("p.summary"), _wc("p.article")
+    return (f"WITH {_rouge_n_cte()}, j AS (SELECT p.*, rn.rouge1_f, rn.rouge2_f FROM pairs p LEFT JOIN rn "
+            f"ON p.conv_id = rn.conv_id AND p.turn = rn.turn) "
+            f"SELECT count(*) AS n, count(*) FILTER (WHERE trim(coalesce(summary, '')) = '') AS n_empty, "
+            f"count(*) FILTER (WHERE {sw.replace('p.', '')} < 8) AS n_too_short, "
+            f"count(*) FILTER (WHERE {sw.replace('p.', '')} > 142) AS n_too_long, "
+            f"count(*) FILTER (WHERE CAST({sw.replace('p.', '')} AS DOUBLE) / greatest({aw.replace('p.', '')}, 1) >= 0.85) "
+            f"AS n_not_compressed, count(DISTINCT summary) AS n_distinct, "
+            f"round(avg(rouge1_f), 3) AS rouge1, round(avg(rouge2_f), 3) AS rouge2, "
+            f"count(DISTINCT summary) = count(*) AS all_distinct, "
+            f"(round(avg(rouge1_f), 3) > 0.2 AND round(avg(rouge2_f), 3) > 0.05) AS rouge_floor_ok FROM j")
 
 
 def stub_summaries() -> str:

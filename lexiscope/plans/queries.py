@@ -268,8 +268,10 @@ def q_rouge_l_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_summary_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Emptiness, length, compression and distinctness checks over all pairs."""
-    return rg.summary_checks(_pairs(spark, sf_dir), "article", "summary")
+    """Emptiness, length, compression, distinctness and ROUGE-floor checks over all pairs."""
+    pairs = _pairs(spark, sf_dir)
+    scores = rg.rouge_n(pairs, ["conv_id", "turn"], "summary", "article")
+    return rg.summary_checks(pairs, "article", "summary", scores, ["conv_id", "turn"])
 
 
 def q_stub_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
