@@ -155,6 +155,10 @@ def labelled_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     * sentence source (even ``doc_id``): string labels (`` Positive ``, ``-1``, ``neutral``)
     * headline source (odd ``doc_id``): numeric labels (sign of quality - toxic)
     ``doc_id % 23 = 0`` carries an unknown label in both.
+
+    The parity test partitions the labelled set (every row goes to exactly one
+    source, the job reads both); the other modulo rules inject nulls, blanks
+    and unknown labels into rows and never drop any.
     """
     lab = labelled_documents(spark, sf_dir)
     doc_id = F.col("doc_id")
