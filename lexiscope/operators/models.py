@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer,
@@ -94,6 +95,73 @@ def fit_svm(train_features: DataFrame, label_col: str = "label_index",
                      weightCol=weight_col, parallelism=len(CLASS_NAMES)).fit(train_features)
 
 
+# ---- ML2 option: RBF kernel approximated by random Fourier features ---------------
+
+_RFF_CACHE: dict = {}
+
+
+def _rff_matrix(n_features: int, n_components: int, gamma: float, seed: int):
+    """W ~ N(0, 2*gamma), b ~ U(0, 2*pi) (Rahimi & Recht 2007), rebuilt from the
+    seed once per Python worker instead of being broadcast."""
+    key = (n_features, n_components, gamma, seed)
+    if key not in _RFF_CACHE:
+        rng = np.random.default_rng(seed)
+        w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(n_features, n_components))
+        b = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
+        _RFF_CACHE[key] = (w, b)
+    return _RFF_CACHE[key]
+
+
+def vocabulary_index(train: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     max_features: int = MAX_FEATURES) -> DataFrame:
+    """``(term, idx)`` for the ML1 vocabulary (top ``max_features`` terms, ties by
+    term); the window numbers at most ``max_features`` rows."""
+    tt = train.select(id_col, F.explode(terms(F.col(text_col))).alias("term"))
+    vocab = (tt.groupBy("term").agg(F.count(F.lit(1)).alias("tf_total"))
+             .orderBy(F.col("tf_total").desc(), F.col("term")).limit(max_features))
+    order = Window.orderBy(F.col("tf_total").desc(), F.col("term"))
+    return vocab.select("term", (F.row_number().over(order) - 1).cast("int").alias("idx"))
+
+
+def rff_features(weights: DataFrame, vocab: DataFrame, n_components: int = 512,
+                 gamma: float = 1.0, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """RBF feature map ``sqrt(2/D) * cos(W^T x + b)`` from relational TF-IDF rows.
+
+    ``weights`` is ``(id, term, weight)`` (see :func:`tfidf_relational`); terms
+    get their vocabulary index by a broadcast join (<= ``max_features`` rows),
+    each document's non-zeros are collected (bounded by its distinct terms),
+    and an Arrow UDF gathers the rows of ``W`` for them (numpy, per batch).
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    n_features = vocab.count()
+    per_doc = (weights.join(F.broadcast(vocab), "term")
+               .groupBy(id_col).agg(F.collect_list(F.struct("idx", "weight")).alias("nz")))
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def project(idx: pd.Series, val: pd.Series) -> pd.Series:
+        w, b = _rff_matrix(n_features, n_components, gamma, seed)
+        scale = np.sqrt(2.0 / n_components)
+        out = []
+        for i, v in zip(idx, val):
+            z = np.asarray(v) @ w[np.asarray(i, dtype=np.int64)] if len(i) else np.zeros(n_components)
+            out.append(scale * np.cos(z + b))
+        return pd.Series(out)
+
+    staged = per_doc.select(id_col, F.transform("nz", lambda e: e["idx"]).alias("_i"),
+                            F.transform("nz", lambda e: e["weight"]).alias("_v"))
+    return staged.select(id_col, array_to_vector(project(F.col("_i"), F.col("_v"))).alias("features"))
+
+
+def rbf_gamma_scale(weights: DataFrame, n_docs: int, n_features: int) -> float:
+    """``gamma='scale'`` = 1 / (n_features * Var(X)) over all cells of the
+    (n_docs x n_features) TF-IDF matrix, zeros included; one aggregate."""
+    st = weights.agg(F.sum("weight").alias("s"), F.sum(F.col("weight") ** 2).alias("q")).first()
+    cells = float(n_docs) * n_features
+    var = (st["q"] or 0.0) / cells - ((st["s"] or 0.0) / cells) ** 2
+    return 1.0 / (n_features * var) if var > 0 else 1.0
+
+
 def decision_scores(predictions: DataFrame) -> Column:
     """ML3: ``MAP<label, score>`` from ``rawPrediction``, 4 places."""
     raw = vector_to_array(F.col("rawPrediction"))
