@@ -44,8 +44,14 @@ def _lookup(spark: SparkSession, dictionary: str | None, mode: str) -> lx.Lookup
 def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
     docs = _corpus(spark, args.input, args.format)
     accepted, rejected = sd.guard_nonempty(docs)  # P8: empty articles are errors
-    flat = rp.report_table(accepted, _lookup(spark, args.dictionary, "before_lookup"))
-    sk.write_reports_json(rp.nested_report(flat), args.output)
+    flat = rp.report_table(accepted, _lookup(spark, args.dictionary, "before_lookup"),
+                           keep_positions=True)
+    # One line per article: the report text exactly as the reference prints it,
+    # under the article's id.
+    lines = rp.report_json_python(flat).select(F.concat(
+        F.lit('{"doc_id": '), rp.json_string(F.col("doc_id").cast("string")),
+        F.lit(', "report": '), F.col("json"), F.lit("}")).alias("value"))
+    lines.write.mode("overwrite").text(args.output)
     if args.rejected:
         sk.write_table(rejected.select("doc_id"), args.rejected)
 

@@ -84,8 +84,12 @@ def reliability_columns(model_label: Column, confidence: Column, lexicon_label:
 
 def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
                  text_col: str = "text", classifier: Classifier = md5_stub_classifier,
-                 summariser: Summariser = lead_stub_summariser) -> DataFrame:
-    """One flat report row per document (arrays kept as arrays)."""
+                 summariser: Summariser = lead_stub_summariser,
+                 keep_positions: bool = False) -> DataFrame:
+    """One flat report row per document (arrays kept as arrays).
+
+    ``keep_positions`` keeps the first position of each tag (for the
+    reference-format JSON, whose counts follow first occurrence)."""
     doc_id, text = F.col(id_col), F.col(text_col)
     labelled = classifier(docs.select(id_col, text_col), id_col, text_col)
     label_id = F.array_position(F.array(*[F.lit(x) for x in CLASS_LABELS]), F.col("cls_label"))
@@ -94,7 +98,7 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
     counts = lx.tag_counts(scored, lookup, id_col, text_col,
                            carry_max=("cls_id", "cls_conf"))
     lex = lx.with_vote(counts).select(
-        *lx.signal_columns(id_col),
+        *lx.signal_columns(id_col), *[f"first_{c}" for c in lx.CATEGORIES],
         F.element_at(F.array(*[F.lit(x) for x in CLASS_LABELS]), F.col("cls_id"))
         .alias("finbert_label"),
         F.round(F.col("cls_conf"), lx.ROUND_PLACES).alias("finbert_confidence"),
@@ -108,6 +112,7 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
         *reliability_columns(F.col("finbert_label"), F.col("finbert_confidence"),
                              F.col("lexicon_label"), F.col("bias_flag"),
                              F.col("bias_score")),
+        *([f"first_{c}" for c in lx.CATEGORIES] if keep_positions else []),
     )
 
 
@@ -161,6 +166,74 @@ def report_json(nested: DataFrame, id_col: str = "doc_id", pretty: bool = False)
     return nested.select(id_col, F.to_json(F.col("report"), opts).alias("json"))
 
 
+# ---- K2 in the reference's text form ---------------------------------------------
+
+
+def json_string(col: Column) -> Column:
+    """JSON string literal as Python's ``json.dumps(ensure_ascii=False)`` writes it.
+
+    Spark's JSON writer escapes the same characters; only the hex digits of
+    ``\\u00XX`` escapes differ in case (Python writes them lower-case).
+    """
+    wrapped = F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
+    # ``{"v":<literal>}``: cut the fixed 5-character prefix and the closing
+    # brace by position (a regex ``.`` would stop at U+2028 and other line
+    # terminators, which JSON leaves unescaped).
+    lit = F.substr(wrapped, F.lit(6), F.length(wrapped) - 6)
+    for cp in range(0x20):
+        upper = f"\\u{cp:04X}"
+        if upper != upper.lower():
+            lit = F.replace(lit, F.lit(upper), F.lit(upper.lower()))
+    return lit
+
+
+def json_number_4(col: Column) -> Column:
+    """Python ``repr`` of a double already rounded to 4 places (fixed notation)."""
+    fixed = F.regexp_replace(F.format_string("%.4f", col), "0+$", "")
+    return F.when(col.isNull(), F.lit("null")).otherwise(
+        F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed))
+
+
+def _json_bool(col: Column) -> Column:
+    return F.when(col.isNull(), F.lit("null")).when(col, F.lit("true")).otherwise(F.lit("false"))
+
+
+def _kv(key: str, value: Column) -> Column:
+    return F.concat(F.lit(f'"{key}": '), value)
+
+
+def report_json_python(flat: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """K2 text identical to the reference's ``json.dumps(report, ensure_ascii=False)``.
+
+    Keys in schema order, ``", "`` / ``": "`` separators, and the tag counts in
+    the order the tags first occur in the article (Python dict insertion
+    order), recovered from the first positions kept by the tag aggregate.
+    """
+    firsts = [F.struct(F.col(f"first_{c}").alias("p"), F.lit(c).alias("tag"),
+                       F.col(f"n_{c}").alias("n")) for c in lx.CATEGORIES]
+    seen = F.array_sort(F.filter(F.array(*firsts), lambda e: e["n"] > 0))
+    counts = F.concat(F.lit("{"), F.array_join(F.transform(
+        seen, lambda e: F.concat(F.lit('"'), e["tag"], F.lit('": '), e["n"].cast("string"))), ", "),
+        F.lit("}"))
+    reasons = F.concat(F.lit("["), F.array_join(F.transform(F.col("reasons"), json_string), ", "),
+                       F.lit("]"))
+    body = F.concat_ws(", ",
+        _kv("summary", json_string(F.col("summary"))),
+        _kv("finbert", F.concat(F.lit("{"), F.concat_ws(", ",
+            _kv("label", json_string(F.col("finbert_label"))),
+            _kv("confidence", json_number_4(F.col("finbert_confidence")))), F.lit("}"))),
+        _kv("lexicon", F.concat(F.lit("{"), F.concat_ws(", ",
+            _kv("label", json_string(F.col("lexicon_label"))), _kv("counts", counts)), F.lit("}"))),
+        _kv("bias", F.concat(F.lit("{"), F.concat_ws(", ",
+            *[_kv(c, json_number_4(F.col(c))) for c in lx.BIAS_CATEGORIES],
+            _kv("score", json_number_4(F.col("bias_score"))),
+            _kv("flag", _json_bool(F.col("bias_flag")))), F.lit("}"))),
+        _kv("agreement", _json_bool(F.col("agreement"))),
+        _kv("reliability", json_string(F.col("reliability"))),
+        _kv("reasons", reasons))
+    return flat.select(id_col, F.concat(F.lit("{"), body, F.lit("}")).alias("json"))
+
+
 def report_checks(flat: DataFrame) -> DataFrame:
     """Violations of the report's bounds and closed sets (one row)."""
     unit = lambda c: ~F.col(c).between(0.0, 1.0) | F.col(c).isNull()

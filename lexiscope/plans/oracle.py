@@ -72,6 +72,44 @@ def report_nested_json() -> str:
         f"FROM f")
 
 
+def report_json_text() -> str:
+    flat = report_flat().replace(f"WITH g AS ({s.signals_query()})",
+                                 f"WITH g AS ({s.signals_query(with_positions=True)})", 1)
+    flat = flat.replace("g.bias_score, g.bias_flag FROM g JOIN documents",
+                        "g.bias_score, g.bias_flag, " + ", ".join(f"g.first_{c}" for c in CATS)
+                        + " FROM g JOIN documents", 1)
+    flat = flat.replace("array_to_string(rs, ',') AS reasons FROM r2",
+                        "rs, " + ", ".join(f"first_{c}" for c in CATS) + " FROM r2", 1)
+    lit = s.q  # SQL literal of a piece of JSON text
+
+    def obj(*pairs: tuple[str, str]) -> str:
+        parts = []
+        for k, (key, value) in enumerate(pairs):
+            parts.append(lit(("" if k == 0 else ", ") + '"' + key + '": '))
+            parts.append(value)
+        return " || ".join([lit("{")] + parts + [lit("}")])
+
+    firsts = ", ".join(f"CASE WHEN n_{c} > 0 THEN {{'p': first_{c}, 'tag': '{c}', 'n': n_{c}}} END"
+                       for c in CATS)
+    entry = f"{lit(chr(34))} || e.tag || {lit(chr(34) + ': ')} || CAST(e.n AS VARCHAR)"
+    counts = (f"{lit('{')} || array_to_string(list_transform(list_sort(list_filter([{firsts}], "
+              f"lambda e: e IS NOT NULL)), lambda e: {entry}), ', ') || {lit('}')}")
+    reasons = (f"{lit('[')} || array_to_string(list_transform(rs, lambda r: {s.json_string_sql('r')}), "
+               f"', ') || {lit(']')}")
+    body = obj(
+        ("summary", s.json_string_sql("summary")),
+        ("finbert", obj(("label", s.json_string_sql("finbert_label")),
+                        ("confidence", s.json_number4_sql("finbert_confidence")))),
+        ("lexicon", obj(("label", s.json_string_sql("lexicon_label")), ("counts", counts))),
+        ("bias", obj(*[(c, s.json_number4_sql(c)) for c in lx.BIAS_CATEGORIES],
+                     ("score", s.json_number4_sql("bias_score")),
+                     ("flag", s.json_bool_sql("bias_flag")))),
+        ("agreement", s.json_bool_sql("agreement")),
+        ("reliability", s.json_string_sql("reliability")),
+        ("reasons", reasons))
+    return f"SELECT doc_id, {body} AS json FROM ({flat})"
+
+
 def token_tags() -> str:
     names = "['cns', " + ", ".join(s.q(c) for c in CATS) + "]"
     tag_sql = s.tagged_cte("documents").replace(
@@ -468,6 +506,7 @@ ORACLES = {
     "lexicon_signals_rowwise": lexicon_signals,
     "report_checks": report_checks,
     "report_nested_json": report_nested_json,
+    "report_json_text": report_json_text,
     "token_tags": token_tags,
     "tag_lists": tag_lists,
     "rule_based_labels": rule_based_labels,

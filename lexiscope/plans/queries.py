@@ -60,6 +60,12 @@ def q_report_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.report_json(rp.nested_report(flat))
 
 
+def q_report_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 in the reference's text form (``json.dumps(report, ensure_ascii=False)``)."""
+    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark), keep_positions=True)
+    return rp.report_json_python(flat)
+
+
 def q_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bound / closed-set violations over all reports."""
     return rp.report_checks(rp.report_table(_docs(spark, sf_dir), _lookup(spark)))
@@ -562,6 +568,7 @@ QUERIES = {
     "lexicon_signals_derived": q_lexicon_signals_derived,
     "lexicon_signals_rowwise": q_lexicon_signals_rowwise,
     "report_nested_json": q_report_nested_json,
+    "report_json_text": q_report_json_text,
     "report_checks": q_report_checks,
     "token_tags": q_token_tags,
     "tag_lists": q_tag_lists,

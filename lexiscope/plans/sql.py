@@ -102,7 +102,7 @@ def tri_class_sql(tag: str, litigious: str = "negative") -> str:
     return f"(CASE WHEN {tag} IS NULL THEN 'neutral' {' '.join(whens)} END)"
 
 
-def signals_select(litigious: str = "negative") -> str:
+def signals_select(litigious: str = "negative", with_positions: bool = False) -> str:
     """Columns of the lexicon signal, over ``counts c LEFT JOIN vote v``."""
     total = " + ".join(f"c.n_{c}" for c in CATS)
     share = {c: f"(CASE WHEN ({total}) > 0 THEN CAST(c.n_{c} AS DOUBLE) / ({total}) ELSE 0.0 END)"
@@ -112,15 +112,16 @@ def signals_select(litigious: str = "negative") -> str:
     return (f"c.id AS doc_id, {ns}, c.n_cns, CAST({total} AS BIGINT) AS n_tags, "
             f"v.top_tag AS lexicon_tag, {tri_class_sql('v.top_tag', litigious)} AS lexicon_label, "
             + ", ".join(f"round({share[c]}, 4) AS {c}" for c in lx.BIAS_CATEGORIES)
-            + f", round({score}, 4) AS bias_score, ({score} > {lx.BIAS_THRESHOLD}) AS bias_flag")
+            + f", round({score}, 4) AS bias_score, ({score} > {lx.BIAS_THRESHOLD}) AS bias_flag"
+            + ("".join(f", c.first_{c} AS first_{c}" for c in CATS) if with_positions else ""))
 
 
 def signals_query(source: str = "documents", id_col: str = "doc_id", text_col: str = "text",
                   stopword_mode: str = "before_lookup", litigious: str = "negative",
-                  derived: bool = False) -> str:
+                  derived: bool = False, with_positions: bool = False) -> str:
     return (f"WITH {lookup_cte(stopword_mode, derived)}, {tagged_cte(source, id_col, text_col, stopword_mode)}, "
             f"{counts_cte(source, id_col)}, {vote_cte()} "
-            f"SELECT {signals_select(litigious)} FROM counts c LEFT JOIN vote v ON c.id = v.id")
+            f"SELECT {signals_select(litigious, with_positions)} FROM counts c LEFT JOIN vote v ON c.id = v.id")
 
 
 def md5_label_sql(key: str) -> str:
@@ -206,3 +207,22 @@ def labelled_sources_ctes() -> str:
         f"headlines AS (SELECT doc_id, text AS title, CASE WHEN doc_id % 23 = 0 THEN NULL "
         f"ELSE label_num END AS gs FROM lab WHERE doc_id % 2 = 1)"
     )
+
+
+def json_string_sql(x: str) -> str:
+    """JSON string literal as Python json.dumps(ensure_ascii=False): lower-case hex escapes."""
+    out = f"CASE WHEN {x} IS NULL THEN 'null' ELSE CAST(to_json({x}) AS VARCHAR) END"
+    for cp in range(0x20):
+        up = f"\\u{cp:04X}"
+        if up != up.lower():
+            out = f"replace({out}, '{up}', '{up.lower()}')"
+    return out
+
+
+def json_number4_sql(x: str) -> str:
+    f = f"regexp_replace(printf('%.4f', {x}), '0+$', '')"
+    return f"(CASE WHEN {x} IS NULL THEN 'null' WHEN {f} LIKE '%.' THEN {f} || '0' ELSE {f} END)"
+
+
+def json_bool_sql(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL THEN 'null' WHEN {x} THEN 'true' ELSE 'false' END)"

@@ -96,3 +96,25 @@ def test_model_classifier_query_matches_numpy(spark, sf):
         i = int(np.argmax(p))
         assert got[d.doc_id][0] == rp.CLASS_LABELS[i]
         assert abs(got[d.doc_id][1] - round(float(p[i]), 4)) < 1e-9
+
+
+def test_reference_json_format_pieces(spark):
+    import random
+    rnd = random.Random(3)
+    chars = [chr(c) for c in range(0, 0x30)] + list('"\\/é€ß \U0001F600abc ')
+    strings = ["".join(rnd.choice(chars) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(strings)], "i int, t string")
+    got = {r.i: r.j for r in df.select("i", rp.json_string(F.col("t")).alias("j")).collect()}
+    for i, t in enumerate(strings):
+        assert got[i] == json.dumps(t, ensure_ascii=False), repr(t)
+    nums = [round(rnd.random(), 4) for _ in range(300)] + [0.0, 1.0, 0.0005, 0.0001, 0.15]
+    dn = spark.createDataFrame([(i, x) for i, x in enumerate(nums)], "i int, x double")
+    got = {r.i: r.j for r in dn.select("i", rp.json_number_4(F.col("x")).alias("j")).collect()}
+    for i, x in enumerate(nums):
+        assert got[i] == json.dumps(x), x
+
+
+def test_reference_json_roundtrips_through_python(spark, sf):
+    from lexiscope.plans.queries import QUERIES
+    for r in QUERIES["report_json_text"](spark, sf).collect():
+        assert json.dumps(json.loads(r.json), ensure_ascii=False) == r.json
