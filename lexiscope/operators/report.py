@@ -209,6 +209,9 @@ def report_json_python(flat: DataFrame, id_col: str = "doc_id") -> DataFrame:
     the order the tags first occur in the article (Python dict insertion
     order), recovered from the first positions kept by the tag aggregate.
     """
+    missing = [f"first_{c}" for c in lx.CATEGORIES if f"first_{c}" not in flat.columns]
+    if missing:
+        raise ValueError("report_json_python needs report_table(..., keep_positions=True)")
     firsts = [F.struct(F.col(f"first_{c}").alias("p"), F.lit(c).alias("tag"),
                        F.col(f"n_{c}").alias("n")) for c in lx.CATEGORIES]
     seen = F.array_sort(F.filter(F.array(*firsts), lambda e: e["n"] > 0))
