@@ -45,3 +45,25 @@ def test_rff_svm_trains(spark, sf):
     model = ml.fit_svm(train, max_iter=20)
     pred = model.transform(train).select("prediction").collect()
     assert len(pred) == data.count() and {p.prediction for p in pred} <= {0.0, 1.0, 2.0}
+
+
+def test_svm_learns_a_text_dependent_label(spark):
+    """Label = the lexicon's vote (a function of the text): the TF-IDF + SVM
+    pipeline must beat the majority class on held-out documents."""
+    from lexiscope.operators import lexicon as lx
+    from lexiscope.operators import sampling as sm
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sig = lx.lexicon_signals(docs, lx.prepare_lookup(fixtures.fixture_dictionary(spark)))
+    data = sm.train_test(docs.join(sig.select("doc_id", F.col("lexicon_label").alias("label")), "doc_id"),
+                         "doc_id").withColumn(
+        "label_index", sd.encode_label(F.col("label"), "index").cast("double")).cache()
+    train = data.where(F.col("split") == "train")
+    w = ev.class_weights(train, "label").select("label", "weight")
+    train = train.join(F.broadcast(w), "label")
+    feats = ml.fit_tfidf(train)
+    model = ml.fit_svm(feats.transform(train))
+    test = data.where(F.col("split") == "test")
+    pred = model.transform(feats.transform(test)).select("label_index", "prediction").collect()
+    acc = sum(p.label_index == p.prediction for p in pred) / len(pred)
+    majority = max(sum(p.label_index == k for p in pred) for k in (0.0, 1.0, 2.0)) / len(pred)
+    assert acc > majority + 0.05, (acc, majority)
