@@ -354,8 +354,8 @@ _FITTED: dict = {}
 
 
 def _svm(spark: SparkSession, sf_dir: str):
-    """Fit once per (session, data folder); the three ML queries share the model."""
-    key = (id(spark), sf_dir)
+    """Fit once per (application, data folder); the three ML queries share the model."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         _FITTED[key] = _fit_svm(spark, sf_dir)
     return _FITTED[key]
