@@ -48,8 +48,12 @@ def normalise_label(df: DataFrame, column: str) -> Column:
     field = df.schema[column].dataType
     col = F.col(column)
     if isinstance(field, T.NumericType):
-        return (F.when(col > 0, F.lit("positive")).when(col < 0, F.lit("negative"))
-                .when(col == 0, F.lit("neutral")))
+        signed = (F.when(col > 0, F.lit("positive")).when(col < 0, F.lit("negative"))
+                  .when(col == 0, F.lit("neutral")))
+        if isinstance(field, (T.FloatType, T.DoubleType)):
+            # A missing value is null, and Spark orders NaN above every number.
+            return F.when(F.isnan(col), F.lit(None).cast("string")).otherwise(signed)
+        return signed
     key = F.lower(tx.py_strip(col.cast("string")))
     pairs = []
     for k, v in STRING_LABELS.items():

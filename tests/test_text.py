@@ -69,7 +69,7 @@ def test_prompt(spark):
 
 
 @pytest.mark.parametrize("values,expected", [
-    ([2.0, 0.0, -0.5, None], ["positive", "neutral", "negative", None]),
+    ([2.0, 0.0, -0.5, None, float("nan")], ["positive", "neutral", "negative", None, None]),
 ])
 def test_label_numeric(spark, values, expected):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
