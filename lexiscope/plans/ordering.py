@@ -29,6 +29,12 @@ from lexiscope.session import cut_lineage
 SUM_TYPE = "decimal(30,10)"
 
 
+def _exact(c: str):
+    """DECIMAL value of ``c``; non-finite doubles (which DECIMAL cannot hold) count as 0
+    here and are tracked separately by the caller."""
+    return F.coalesce(F.col(c).try_cast(SUM_TYPE), F.lit(0).cast(SUM_TYPE))
+
+
 def indexed_scan(df: DataFrame, group_col: str, order_cols: Sequence[str],
                  sum_cols: Sequence[str] = (), num_partitions: int | None = None,
                  checkpoint: bool = True) -> DataFrame:
@@ -46,10 +52,10 @@ def indexed_scan(df: DataFrame, group_col: str, order_cols: Sequence[str],
     wcum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(
         "*", (F.row_number().over(w) - 1).alias("_lidx"),
-        *[F.sum(F.col(c).cast(SUM_TYPE)).over(wcum).alias(f"_lcum_{c}") for c in sum_cols])
+        *[F.sum(_exact(c)).over(wcum).alias(f"_lcum_{c}") for c in sum_cols])
     totals = local.groupBy("_pid", group_col).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.col(c).cast(SUM_TYPE)).alias(f"_t_{c}") for c in sum_cols])
+        *[F.sum(_exact(c)).alias(f"_t_{c}") for c in sum_cols])
     before = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(

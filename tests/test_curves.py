@@ -56,3 +56,11 @@ def test_epoch_tables(spark):
     assert m == {1: 2.0}
     e = {r.epoch: r.eval_loss for r in cv.epoch_last_eval(df, "run", "step").collect()}
     assert e == {1: 9.0, 2: 5.0}  # 1.5 and 2.5 both round (half-even) to 2; the later wins
+
+
+def test_moving_average_non_finite_losses(spark):
+    import math
+    rows = [("r", i, v) for i, v in enumerate([1.0, float("nan"), 3.0, 4.0, 5.0])]
+    df = spark.createDataFrame(rows, "run string, s int, loss double")
+    got = [r.smoothed for r in cv.moving_average(df, "run", ["s"]).orderBy("s").collect()]
+    assert got[0] == 1.0 and math.isnan(got[1]) and math.isnan(got[2]) and got[3] == 3.5 and got[4] == 4.5
