@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiscope import fixtures
+from lexiscope.functions import text as tx
 from lexiscope.operators import lexicon as lx
 
 # --------------------------------------------------------------------------
@@ -53,7 +54,7 @@ def model_classifier(logits_udf: Callable[[Column], Column]) -> Classifier:
 
 
 def lead_stub_summariser(doc_id: Column, text: Column) -> Column:
-    return fixtures.lead_sentence_summary(text)
+    return tx.py_strip(fixtures.lead_sentence_summary(text))
 
 
 def softmax_decode(logits: Column) -> tuple[Column, Column, Column]:
@@ -103,7 +104,8 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
         .alias("finbert_label"),
         F.round(F.col("cls_conf"), lx.ROUND_PLACES).alias("finbert_confidence"),
     )
-    summaries = docs.select(doc_id, summariser(doc_id, text).alias("summary"))
+    # Summaries are stripped, as the reference's summariser strips its output.
+    summaries = docs.select(doc_id, tx.py_strip(summariser(doc_id, text)).alias("summary"))
     joined = lex.join(summaries, id_col)  # J2: fan-in of the summary branch
     return joined.select(
         id_col, "summary", "finbert_label", "finbert_confidence", "lexicon_label",
@@ -125,7 +127,7 @@ def report_table_rowwise(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_
     Needs a lookup small enough for :func:`lexicon.rowwise_codes`.
     """
     base = classifier(docs.select(id_col, text_col), id_col, text_col).select(
-        id_col, summariser(F.col(id_col), F.col(text_col)).alias("summary"),
+        id_col, tx.py_strip(summariser(F.col(id_col), F.col(text_col))).alias("summary"),
         F.col("cls_label").alias("finbert_label"),
         F.round(F.col("cls_conf").cast("double"), lx.ROUND_PLACES).alias("finbert_confidence"),
         lx.rowwise_codes(lookup, text_col).alias("_c"))

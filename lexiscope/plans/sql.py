@@ -135,8 +135,9 @@ def md5_conf_sql(key: str) -> str:
 
 
 def lead_summary_sql(text: str) -> str:
-    return (f"array_to_string(list_filter(list_transform(string_split({text}, chr(10)), "
-            f"lambda p: trim(regexp_extract(p, '^[^.!?]*[.!?]?', 0))), lambda s: s <> ''), ' ')")
+    joined = (f"array_to_string(list_filter(list_transform(string_split({text}, chr(10)), "
+              f"lambda p: trim(regexp_extract(p, '^[^.!?]*[.!?]?', 0))), lambda s: s <> ''), ' ')")
+    return py_strip_sql(joined)
 
 
 # ---- text cleaning (T1-T6) ----------------------------------------------------
