@@ -385,6 +385,28 @@ def dictionary_profile(dictionary: DataFrame) -> DataFrame:
     )
 
 
+# Category order of the dictionary-load log (fixed value).
+LOG_CATEGORIES = ("negative", "positive", "uncertainty", "litigious", "strong_modal",
+                  "weak_modal", "constraining", "complexity")
+
+
+def dictionary_log_lines(profile: DataFrame) -> DataFrame:
+    """L2 as the dictionary-load log: ``(line_no, line)``, one row per line.
+
+    ``{n:,} words loaded`` then ``{category:13}: {count:8,}`` per category.
+    """
+    def grouped(c: Column) -> Column:
+        return F.format_number(c, 0)
+
+    lines = [F.concat(F.lit("    "), grouped(F.col("n_words")),
+                      F.lit(" words loaded in master_dictionary."))]
+    lines.append(F.lit("    Sentiment:"))
+    for cat in LOG_CATEGORIES:
+        lines.append(F.concat(F.lit("      "), F.rpad(F.lit(cat), 13, " "), F.lit(": "),
+                              F.lpad(grouped(F.col(f"n_{cat}")), 8, " ")))
+    return profile.select(F.posexplode(F.array(*lines)).alias("line_no", "line"))
+
+
 def flag_rate(signals: DataFrame) -> DataFrame:
     """Flagged / total / percent (one decimal)."""
     return signals.agg(

@@ -140,6 +140,16 @@ def dictionary_profile() -> str:
             f"FROM dict JOIN dc ON dict.word = dc.word")
 
 
+def dictionary_log() -> str:
+    def grouped(x: str) -> str:
+        return f"format('{{:,}}', {x})"
+    lines = [f"'    ' || {grouped('n_words')} || ' words loaded in master_dictionary.'",
+             "'    Sentiment:'"]
+    lines += [f"printf('      %-13s: %8s', '{c}', {grouped('n_' + c)})" for c in lx.LOG_CATEGORIES]
+    rows = " UNION ALL ".join(f"SELECT {i} AS line_no, {ln} AS line FROM p" for i, ln in enumerate(lines))
+    return f"WITH p AS ({dictionary_profile()}) {rows}"
+
+
 def bias_flag_rate() -> str:
     return (f"SELECT flagged, total, round(CASE WHEN total > 0 THEN CAST(flagged AS DOUBLE) * 100.0 / total END, 1) "
             f"AS percent FROM (SELECT count(*) FILTER (WHERE bias_flag) AS flagged, count(*) AS total "
@@ -511,6 +521,7 @@ ORACLES = {
     "tag_lists": tag_lists,
     "rule_based_labels": rule_based_labels,
     "dictionary_profile": dictionary_profile,
+    "dictionary_log": dictionary_log,
     "bias_flag_rate": bias_flag_rate,
     "standardised_sources": standardised_sources,
     "stitched": stitched,

@@ -95,6 +95,11 @@ def q_dictionary_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lx.dictionary_profile(fixtures.derived_dictionary(spark, sf_dir))
 
 
+def q_dictionary_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 rendered as the dictionary-load log lines (corpus-derived dictionary)."""
+    return lx.dictionary_log_lines(lx.dictionary_profile(fixtures.derived_dictionary(spark, sf_dir)))
+
+
 def q_bias_flag_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged / total / percent over all documents."""
     return lx.flag_rate(lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark)))
@@ -574,6 +579,7 @@ QUERIES = {
     "tag_lists": q_tag_lists,
     "rule_based_labels": q_rule_based_labels,
     "dictionary_profile": q_dictionary_profile,
+    "dictionary_log": q_dictionary_log,
     "bias_flag_rate": q_bias_flag_rate,
     "standardised_sources": q_standardised_sources,
     "stitched": q_stitched,

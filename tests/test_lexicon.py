@@ -133,3 +133,14 @@ def test_tagging_shapes_agree(spark, sf, mode, litigious):
     cols = [c for c in a.columns]
     assert a.count() == b.count() == docs.count()
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
+
+
+def test_dictionary_log_format(spark):
+    counts = {"negative": 2355, "positive": 354, "uncertainty": 297, "litigious": 905,
+              "strong_modal": 19, "weak_modal": 27, "constraining": 184, "complexity": 53}
+    row = {"n_words": 86553, **{f"n_{k}": v for k, v in counts.items()}}
+    prof = spark.createDataFrame([row])
+    got = [r.line for r in lx.dictionary_log_lines(prof).orderBy("line_no").collect()]
+    expected = [f"    {86553:,} words loaded in master_dictionary.", "    Sentiment:"]
+    expected += [f"      {k:13}: {counts[k]:8,}" for k in lx.LOG_CATEGORIES]
+    assert got == expected
