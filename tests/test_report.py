@@ -118,3 +118,34 @@ def test_reference_json_roundtrips_through_python(spark, sf):
     from lexiscope.plans.queries import QUERIES
     for r in QUERIES["report_json_text"](spark, sf).collect():
         assert json.dumps(json.loads(r.json), ensure_ascii=False) == r.json
+
+
+def test_demo_expectations_end_to_end(spark):
+    """Positive and negative articles are reliable (high); a speculative one is
+    flagged for lexical bias - the behaviour the reference's demo describes."""
+    cats = list(lx.CATEGORIES)
+    words = {"GROWTH": "positive", "RECORD": "positive", "GAINS": "positive", "BEAT": "positive",
+             "LOSS": "negative", "DEFECTS": "negative", "PLUNGED": "negative", "HALT": "negative",
+             "MAY": "uncertainty", "UNCERTAIN": "uncertainty", "POSSIBLE": "uncertainty",
+             "LITIGATION": "litigious", "INVESTIGATIONS": "litigious",
+             "RESTRICTIONS": "constraining", "CONSTRAINED": "constraining", "COULD": "weak_modal"}
+    dic = spark.createDataFrame([tuple([w] + [1 if c == t else 0 for c in cats]) for w, t in words.items()],
+                                "word string, " + ", ".join(f"{c} int" for c in cats))
+    lk = lx.prepare_lookup(dic)
+    articles = [
+        (1, "Quarterly revenue set a record and gains beat forecasts, with strong growth in services."),
+        (2, "The maker posted a loss after defects forced a halt to deliveries; shares plunged."),
+        (3, "Regulators may widen investigations, and possible litigation could bring restrictions; "
+            "the outcome is uncertain and deliveries may be constrained."),
+    ]
+    docs = spark.createDataFrame(articles, "doc_id long, text string")
+    tone = {1: "positive", 2: "negative", 3: "neutral"}
+
+    def classifier(df, id_col, text_col):
+        label = F.element_at(F.create_map(*[F.lit(x) for kv in tone.items() for x in kv]), F.col(id_col))
+        return df.withColumn("cls_label", label).withColumn("cls_conf", F.lit(0.93))
+
+    out = {r.doc_id: r for r in rp.report_table(docs, lk, classifier=classifier).collect()}
+    assert out[1].lexicon_label == "positive" and out[1].reliability == "high"
+    assert out[2].lexicon_label == "negative" and out[2].reliability == "high"
+    assert out[3].bias_score > 0.15 and out[3].bias_flag and "high_lexicon_bias" in out[3].reasons
