@@ -21,8 +21,15 @@ from lexiscope.sources import readers as rd
 from lexiscope.sources import sinks as sk
 
 
+_LOOKUPS: dict = {}
+
+
 def _lookup(spark: SparkSession, mode: str = "before_lookup") -> lx.Lookup:
-    return lx.prepare_lookup(fixtures.fixture_dictionary(spark), stopword_mode=mode)
+    """The fixture dictionary's lookup, checked and sized once per application."""
+    key = (spark.sparkContext.applicationId, mode)
+    if key not in _LOOKUPS:
+        _LOOKUPS[key] = lx.prepare_lookup(fixtures.fixture_dictionary(spark), stopword_mode=mode)
+    return _LOOKUPS[key]
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
