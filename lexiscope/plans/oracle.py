@@ -19,15 +19,20 @@ def lexicon_signals_derived() -> str:
     return s.signals_query(derived=True)
 
 
-def report_flat() -> str:
+def report_flat(with_positions: bool = False) -> str:
+    """The flat report; ``with_positions`` keeps the first position of each tag
+    and the reasons as a list (for the reference-format JSON)."""
     ns = ", ".join(f"g.n_{c}" for c in CATS)
     label = s.md5_label_sql("d.doc_id")
     conf = s.md5_conf_sql("d.doc_id")
+    g_firsts = "".join(f", g.first_{c}" for c in CATS) if with_positions else ""
+    firsts = "".join(f", first_{c}" for c in CATS) if with_positions else ""
+    reasons = "rs" if with_positions else "array_to_string(rs, ',') AS reasons"
     return (
-        f"WITH g AS ({s.signals_query()}), "
+        f"WITH g AS ({s.signals_query(with_positions=with_positions)}), "
         f"r AS (SELECT g.doc_id, {s.lead_summary_sql('d.text')} AS summary, "
         f"{label} AS finbert_label, {conf} AS finbert_confidence, g.lexicon_label, {ns}, "
-        f"g.n_cns, g.n_tags, g.uncertainty, g.litigious, g.constraining, g.bias_score, g.bias_flag "
+        f"g.n_cns, g.n_tags, g.uncertainty, g.litigious, g.constraining, g.bias_score, g.bias_flag{g_firsts} "
         f"FROM g JOIN documents d ON d.doc_id = g.doc_id), "
         f"r2 AS (SELECT *, (finbert_label = lexicon_label) AS agreement, "
         f"list_filter([CASE WHEN finbert_label <> lexicon_label THEN 'model_lexicon_disagreement' END, "
@@ -38,7 +43,7 @@ def report_flat() -> str:
         f"{', '.join('n_' + c for c in CATS)}, n_cns, n_tags, uncertainty, litigious, constraining, "
         f"bias_score, bias_flag, agreement, "
         f"CASE WHEN len(rs) >= 2 THEN 'low' WHEN len(rs) = 1 THEN 'medium' ELSE 'high' END AS reliability, "
-        f"array_to_string(rs, ',') AS reasons FROM r2"
+        f"{reasons}{firsts} FROM r2"
     )
 
 
@@ -73,13 +78,7 @@ def report_nested_json() -> str:
 
 
 def report_json_text() -> str:
-    flat = report_flat().replace(f"WITH g AS ({s.signals_query()})",
-                                 f"WITH g AS ({s.signals_query(with_positions=True)})", 1)
-    flat = flat.replace("g.bias_score, g.bias_flag FROM g JOIN documents",
-                        "g.bias_score, g.bias_flag, " + ", ".join(f"g.first_{c}" for c in CATS)
-                        + " FROM g JOIN documents", 1)
-    flat = flat.replace("array_to_string(rs, ',') AS reasons FROM r2",
-                        "rs, " + ", ".join(f"first_{c}" for c in CATS) + " FROM r2", 1)
+    flat = report_flat(with_positions=True)
     lit = s.q  # SQL literal of a piece of JSON text
 
     def obj(*pairs: tuple[str, str]) -> str:
