@@ -358,8 +358,16 @@ def lexicon_signals_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_
     return with_vote(counts).select(*signal_columns(id_col, litigious))
 
 
-def counts_map() -> Column:
-    """L5 as ``MAP<STRING,INT>`` of the tags present, in priority order."""
+def counts_map(first_seen: bool = False) -> Column:
+    """L5 as ``MAP<STRING,INT>`` of the tags present: in priority order, or with
+    ``first_seen`` (needs the ``first_<tag>`` columns) in the order the tags
+    first occur in the text, like the reference's counts dict."""
+    if first_seen:
+        entries = F.array(*[F.struct(F.col(f"first_{c}").alias("p"), F.lit(c).alias("key"),
+                                     F.col(f"n_{c}").cast("int").alias("value"))
+                            for c in CATEGORIES])
+        ordered = F.array_sort(F.filter(entries, lambda e: e["value"] > 0))
+        return F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["key"], e["value"])))
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"n_{c}").cast("int").alias("value"))
                         for c in CATEGORIES])
     return F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0))

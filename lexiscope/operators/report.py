@@ -150,7 +150,9 @@ def nested_report(flat: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.col("summary").alias("summary"),
         F.struct(F.col("finbert_label").alias("label"),
                  F.col("finbert_confidence").alias("confidence")).alias("finbert"),
-        F.struct(F.col("lexicon_label").alias("label"), lx.counts_map().alias("counts"))
+        F.struct(F.col("lexicon_label").alias("label"),
+                 lx.counts_map(first_seen=all(f"first_{c}" in flat.columns for c in lx.CATEGORIES))
+                 .alias("counts"))
         .alias("lexicon"),
         F.struct(*[F.col(c).alias(c) for c in lx.BIAS_CATEGORIES],
                  F.col("bias_score").alias("score"), F.col("bias_flag").alias("flag"))

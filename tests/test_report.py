@@ -149,3 +149,14 @@ def test_demo_expectations_end_to_end(spark):
     assert out[1].lexicon_label == "positive" and out[1].reliability == "high"
     assert out[2].lexicon_label == "negative" and out[2].reliability == "high"
     assert out[3].bias_score > 0.15 and out[3].bias_flag and "high_lexicon_bias" in out[3].reasons
+
+
+def test_nested_counts_in_first_seen_order(spark):
+    import json as _json
+    docs = spark.createDataFrame([(1, "ou er tion er ou ou")], "doc_id long, text string")
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    flat = rp.report_table(docs, lk, keep_positions=True)
+    counts = _json.loads(rp.report_json(rp.nested_report(flat)).first().json)["lexicon"]["counts"]
+    assert list(counts.items()) == [("uncertainty", 3), ("negative", 2), ("positive", 1)]
+    text = _json.loads(rp.report_json_python(flat).first().json)["lexicon"]["counts"]
+    assert list(text.items()) == list(counts.items())
