@@ -7,8 +7,9 @@
 ``report``: a folder of ``*.txt`` articles (or a parquet table with ``doc_id,
 text``) -> one JSON report per article (K2).  ``standardise``: labelled raw
 folders (S3 routing) -> stitched, cleaned table (U2).  ``tag-lists``: corpus ->
-ordered tag list per document (L4).  Every step is a Spark job; nothing is
-collected to the driver.
+ordered tag list per document (L4).  ``rouge``: prediction/reference pairs ->
+per-pair and corpus ROUGE-1/2/L/Lsum (A7/A8).  Every step is a Spark job;
+nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -76,6 +77,18 @@ def run_tag_lists(spark: SparkSession, args: argparse.Namespace) -> None:
     sk.write_table(tl, args.output)
 
 
+def run_rouge(spark: SparkSession, args: argparse.Namespace) -> None:
+    from lexiscope.operators import rouge as rg
+    pairs = spark.read.format(args.format).load(args.input)
+    keys = args.keys.split(",")
+    per_n = rg.rouge_n(pairs, keys, args.pred_col, args.ref_col)
+    per_l = rg.rouge_l(pairs, keys, args.pred_col, args.ref_col)
+    per_pair = per_n.join(per_l, keys)
+    sk.write_table(per_pair, f"{args.output.rstrip('/')}/per_pair")
+    corpus = rg.mean_scores(per_pair, ["rouge1_f", "rouge2_f", "rougeL_f", "rougeLsum_f"])
+    sk.write_table(corpus, f"{args.output.rstrip('/')}/corpus")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="lexiscope.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -95,10 +108,17 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--format", default="text")
     t.add_argument("--dictionary")
     t.add_argument("--output", required=True)
+    g = sub.add_parser("rouge", help="prediction/reference pairs -> ROUGE-1/2/L/Lsum")
+    g.add_argument("--input", required=True)
+    g.add_argument("--format", default="parquet")
+    g.add_argument("--keys", required=True, help="comma-separated key columns of a pair")
+    g.add_argument("--pred-col", default="prediction")
+    g.add_argument("--ref-col", default="reference")
+    g.add_argument("--output", required=True)
     args = p.parse_args(argv)
     spark = build_session()
-    {"report": run_report, "standardise": run_standardise, "tag-lists": run_tag_lists}[args.job](
-        spark, args)
+    {"report": run_report, "standardise": run_standardise, "tag-lists": run_tag_lists,
+     "rouge": run_rouge}[args.job](spark, args)
     return 0
 
 

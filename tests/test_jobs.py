@@ -39,3 +39,14 @@ def test_standardise_and_tag_list_jobs(spark):
         f.write("tion er zz")
     jobs.main(["tag-lists", "--input", f"{d}/in", "--output", f"{d}/tl"])
     assert spark.read.parquet(f"{d}/tl").first().sentiment_list == ["positive", "negative", "cns"]
+
+
+def test_rouge_job(spark):
+    d = tempfile.mkdtemp()
+    spark.createDataFrame([(1, "a b c d", "a b c d"), (2, "x y", "y z")],
+                          "k int, prediction string, reference string").write.parquet(f"{d}/pairs")
+    jobs.main(["rouge", "--input", f"{d}/pairs", "--keys", "k", "--output", f"{d}/out"])
+    per = {r.k: r for r in spark.read.parquet(f"{d}/out/per_pair").collect()}
+    assert per[1].rouge1_f == 1.0 and per[1].rougeL_f == 1.0
+    corpus = spark.read.parquet(f"{d}/out/corpus").first()
+    assert 0.0 < corpus.rouge1 <= 1.0
