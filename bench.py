@@ -67,7 +67,7 @@ def main() -> None:
     sk.write_table(d.select(F.col("word").alias("Word"), *[F.col(c).alias(c.title())
                                                            for c in lx.CATEGORIES]),
                    dict_csv, fmt="csv")
-    load_times, words = [], 0
+    load_times = []
     for _ in range(2):
         t0 = time.perf_counter()
         lk = lx.prepare_lookup(rd.read_dictionary(spark, dict_csv))
