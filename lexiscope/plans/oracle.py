@@ -62,18 +62,19 @@ def report_checks() -> str:
 
 
 def report_nested_json() -> str:
-    counts = ", ".join(f"CASE WHEN n_{c} > 0 THEN {{'key': '{c}', 'value': CAST(n_{c} AS INTEGER)}} END"
-                       for c in CATS)
+    counts = ", ".join(f"CASE WHEN n_{c} > 0 THEN {{'p': first_{c}, 'key': '{c}', "
+                       f"'value': CAST(n_{c} AS INTEGER)}} END" for c in CATS)
     return (
-        f"WITH f AS ({report_flat()}) SELECT doc_id, CAST(json_object("
+        f"WITH f AS ({report_flat(with_positions=True)}) SELECT doc_id, CAST(json_object("
         f"'summary', summary, "
         f"'finbert', json_object('label', finbert_label, 'confidence', finbert_confidence), "
         f"'lexicon', json_object('label', lexicon_label, 'counts', "
-        f"map_from_entries(list_filter([{counts}], lambda e: e IS NOT NULL))), "
+        f"map_from_entries(list_transform(list_sort(list_filter([{counts}], lambda e: e IS NOT NULL)), "
+        f"lambda e: {{'key': e.key, 'value': e.value}}))), "
         f"'bias', json_object('uncertainty', uncertainty, 'litigious', litigious, 'constraining', constraining, "
         f"'score', bias_score, 'flag', bias_flag), "
         f"'agreement', agreement, 'reliability', reliability, "
-        f"'reasons', CASE WHEN reasons = '' THEN []::VARCHAR[] ELSE string_split(reasons, ',') END) AS VARCHAR) AS json "
+        f"'reasons', rs) AS VARCHAR) AS json "
         f"FROM f")
 
 

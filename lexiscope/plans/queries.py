@@ -62,8 +62,9 @@ def q_report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_report_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R4 + K2: nested report serialised as one JSON object per document."""
-    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark))
+    """R4 + K2: nested report serialised as one JSON object per document
+    (tag counts in first-seen order, as in the reference's dict)."""
+    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark), keep_positions=True)
     return rp.report_json(rp.nested_report(flat))
 
 
