@@ -48,32 +48,43 @@ def moving_average(log: DataFrame, run_col: str, order_cols: Sequence[str],
     """
     m = member if member is not None else F.lit(True)
     v = F.col(value_col)
-    bad = F.isnan(v) | (F.abs(v) == float("inf"))
+    kinds = {"_nan": F.isnan(v), "_pinf": v == float("inf"), "_ninf": v == float("-inf")}
+    finite = ~(kinds["_nan"] | kinds["_pinf"] | kinds["_ninf"])
     prepared = log.select(run_col, *order_cols, value_col,
                           F.when(m, F.lit(1)).otherwise(F.lit(0)).alias("_in"),
-                          F.when(m & ~bad, v).otherwise(F.lit(0.0)).alias("_v"),
-                          F.when(m & bad, F.lit(1)).otherwise(F.lit(0)).alias("_bad"))
-    scanned = indexed_scan(prepared, run_col, order_cols, ["_in", "_v", "_bad"])
+                          F.when(m & finite, v).otherwise(F.lit(0.0)).alias("_v"),
+                          *[F.when(m & k, F.lit(1)).otherwise(F.lit(0)).alias(name)
+                            for name, k in kinds.items()])
+    sums = ["_in", "_v", *kinds]
+    scanned = indexed_scan(prepared, run_col, order_cols, sums)
     rows = scanned.where(F.col("_in") == 1).select(
         run_col, *order_cols, value_col, (F.col("idx") + 1).alias("step"),
         (F.col("cum__in") - 1).cast("bigint").alias("i"),
         F.col("tot__in").cast("bigint").alias("n"), F.col("cum__v").alias("cum"),
-        F.col("cum__bad").alias("cum_bad"))
+        *[F.col(f"cum_{name}").alias(f"c{name}") for name in kinds])
     w = F.greatest(F.lit(1), F.floor(F.col("n") / WINDOW_DIVISOR))
     rows = rows.withColumn("w", w)
     prev = rows.select(F.col(run_col).alias("_r"), F.col("i").alias("_pi"),
-                       F.col("cum").alias("_prev_cum"), F.col("cum_bad").alias("_prev_bad"))
+                       F.col("cum").alias("_prev_cum"),
+                       *[F.col(f"c{name}").alias(f"_p{name}") for name in kinds])
     joined = rows.join(prev, (F.col(run_col) == F.col("_r"))
                        & (F.col("i") - F.col("w") - 1 == F.col("_pi")), "left")
     zero = F.lit(0).cast("decimal(30,10)")
     n_rows = F.col("i") - F.greatest(F.lit(0), F.col("i") - F.col("w")) + 1
     total = F.col("cum") - F.coalesce(F.col("_prev_cum"), zero)
-    # A NaN or infinite loss inside the window makes the mean NaN, as a Python sum would.
-    has_bad = (F.col("cum_bad") - F.coalesce(F.col("_prev_bad"), zero)) > 0
+    in_window = {name: (F.col(f"c{name}") - F.coalesce(F.col(f"_p{name}"), zero)) > 0
+                 for name in kinds}
     mean = F.round((total / n_rows).cast("double"), ROUND)
+    # Non-finite losses behave as in a Python sum: NaN, or +inf and -inf together,
+    # give NaN; only +inf (only -inf) gives +inf (-inf).
+    smoothed = (F.when(in_window["_nan"] | (in_window["_pinf"] & in_window["_ninf"]),
+                       F.lit(float("nan")))
+                .when(in_window["_pinf"], F.lit(float("inf")))
+                .when(in_window["_ninf"], F.lit(float("-inf")))
+                .otherwise(mean))
     return joined.select(
         run_col, *order_cols, "step", value_col, F.col("w").cast("int").alias("window"),
-        F.when(has_bad, F.lit(float("nan"))).otherwise(mean).alias("smoothed"))
+        smoothed.alias("smoothed"))
 
 
 def epoch_mean_loss(train: DataFrame, run_col: str = "run") -> DataFrame:

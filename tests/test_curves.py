@@ -64,3 +64,10 @@ def test_moving_average_non_finite_losses(spark):
     df = spark.createDataFrame(rows, "run string, s int, loss double")
     got = [r.smoothed for r in cv.moving_average(df, "run", ["s"]).orderBy("s").collect()]
     assert got[0] == 1.0 and math.isnan(got[1]) and math.isnan(got[2]) and got[3] == 3.5 and got[4] == 4.5
+    inf = float("inf")
+    vals = [1.0, inf, 3.0, -inf, 5.0, 6.0]
+    df = spark.createDataFrame([("r", i, v) for i, v in enumerate(vals)], "run string, s int, loss double")
+    got = [r.smoothed for r in cv.moving_average(df, "run", ["s"]).orderBy("s").collect()]
+    expected = [sum(vals[max(0, i - 1): i + 1]) / (i - max(0, i - 1) + 1) for i in range(len(vals))]
+    for g, e in zip(got, expected):
+        assert (math.isnan(g) and math.isnan(e)) or g == e, (got, expected)
