@@ -80,13 +80,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     ready(docs.sparkSession)
     items = written(
         benchmark.select("item_id", word_array("text").alias("w")).select("item_id", "w", shingles("w").alias("sh"))
-        .where("size(sh) > 0").select("item_id", "sh", F.size("w").alias("n"), simhash("sh").alias("fp")),
-        "benchmark-items")
+        .select("item_id", "sh", F.size("w").alias("n"), simhash("sh").alias("fp")), "benchmark-items")
+    items = items.where(f"n >= {SHINGLE}")
     # Windows depend on a shared shingle's place and the item's size, not on the item.
     anchors = items.select("n", F.posexplode("sh").alias("o", "h")).distinct()
     docs = docs.select("doc_id", F.xxhash64("text").alias("t"), word_array("text").alias("w")).select(
         "doc_id", "t", F.size("w").alias("nw"), shingles("w").alias("sh"))
-    hits = docs.select("doc_id", "t", "nw", "sh", F.posexplode("sh").alias("p", "h")).join(_bounded(anchors), "h")
+    # An outer generator: a plain one makes Catalyst filter on the array's size below this projection,
+    # which would build the array twice.
+    hits = docs.select("doc_id", "t", "nw", "sh", F.posexplode_outer("sh").alias("p", "h")).join(_bounded(anchors), "h")
     place = hits.select("doc_id", "t", "sh", F.expr("greatest(0, least(p - o, nw - n))").alias("start"),
                         F.expr("least(n, nw)").alias("len"))
     windows = (place.select("doc_id", "t", "start", "len",
@@ -114,4 +116,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
     """``docs`` without the rows whose id has a leak; all columns stay."""
     bad = written(find_leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("leaked_id_")).distinct(),
                   "leaked-ids")
-    return docs.join(_bounded(bad), docs["doc_id"].eqNullSafe(F.col("leaked_id_")), "left_anti")
+    return docs.join(_bounded(bad), docs["doc_id"].eqNullSafe(bad["leaked_id_"]), "left_anti")

@@ -510,7 +510,7 @@ def _ask(model_of):
                 known, warm = cur < RARE, prev < RARE
                 sums = np.zeros((3, n))  # known tokens, base score, score
                 w = cur[known].astype(np.int64)
-                sums[0] = np.bincount(text[known], minlength=n)
+                sums[0] = np.bincount(text[known], model.counts[w] > 0, n)
                 sums[1] = np.bincount(text[known], base[w], n)
                 sums[2] = np.bincount(text[known], p1[w], n) + np.bincount(
                     text[warm], alpha[prev[warm].astype(np.int64)], n)

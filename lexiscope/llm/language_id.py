@@ -192,5 +192,8 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: LanguageModel, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or scored below ``min_score``."""
-    marked = predict(docs.select("*", F.lit(0).alias("keep_known_")), model)
-    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+    # Own columns under other names meanwhile: they may be called like the prediction's.
+    own = {c: "text" if c == "text" else f"own_{i}_" for i, c in enumerate(docs.columns)}
+    marked = predict(docs.select(*[F.col(c).alias(a) for c, a in own.items()]), model)
+    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(
+        *[F.col(a).alias(c) for c, a in own.items()])

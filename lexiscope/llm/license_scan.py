@@ -75,9 +75,11 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
     units = lines.select("doc_id", "row", F.expr(
         "posexplode(if(size(ls) > 1, concat(ls, array(text)), ls))").alias("line", "unit"), F.size("ls").alias("n_lines"))
     units = units.select("doc_id", "row", F.expr("if(line = n_lines, -1, line)").alias("line"),
-                         word_array("unit").alias("w")).where(F.size("w").between(lo + 1, hi + 1))
-    grams = units.select("doc_id", "row", "line", (F.size("w") - 1).alias("u_size"),
-                         F.explode(F.expr(BIGRAMS.format("w"))).alias("bigram"))
+                         word_array("unit").alias("w"))
+    # Pruned by size inside an outer generator: a filter would be pushed below the projection of the
+    # words and build them twice.
+    grams = units.select("doc_id", "row", "line", (F.size("w") - 1).alias("u_size"), F.explode_outer(F.expr(
+        f"case when size(w) between {lo + 1} and {hi + 1} then {BIGRAMS.format('w')} end")).alias("bigram"))
     shared = (grams.join(F.broadcast(t), "bigram").where("u_size between lo and hi")
               .groupBy("doc_id", "row", "line", "u_size", "template", "t_size", "bigram", "t_count")
               .agg(F.count(F.lit(1)).alias("u_count"))

@@ -259,14 +259,15 @@ def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
                                 F.coalesce("stays", F.lit(False)).alias("stays_"), F.col("n").alias("rows_")),
                     "near-duplicate-marks")
 
-    def mark(part: DataFrame) -> DataFrame:
+    digest = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
+
+    def matched(part: DataFrame, how: str) -> DataFrame:
         part = part.select("id_", "node_")
-        return F.broadcast(part) if part.count() <= BROADCAST_ROWS else part
+        same = docs["doc_id"].eqNullSafe(part["id_"]) & (part["node_"] == digest)
+        return docs.join(F.broadcast(part) if part.count() <= BROADCAST_ROWS else part, same, how)
 
-    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    same = docs["doc_id"].eqNullSafe(F.col("id_")) & (F.col("node_") == digest)
-    gone = docs.join(mark(marks.where("not stays_ or rows_ > 1")), same, "left_anti")
-    if not marks.where("stays_ and rows_ > 1").limit(1).count():
+    gone = matched(marks.where("not stays_ or rows_ > 1"), "left_anti")
+    repeated = marks.where("stays_ and rows_ > 1")
+    if not repeated.limit(1).count():
         return gone
-    again = docs.join(mark(marks.where("stays_ and rows_ > 1")), same, "left_semi")
-    return gone.union(again.withColumn("node_", digest).dropDuplicates(["doc_id", "node_"]).drop("node_"))
+    return gone.union(matched(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -125,38 +125,34 @@ def plan_rows(histogram: dict[int, int], size: int, capacity: int, first: int, s
     return rows, seq + at // capacity + len(cuts), (at // capacity, cuts)
 
 
-def _tokens(path: str, end_id: int, capacity: int, unit: int):
+def _items(path: str, end_id: int, capacity: int, unit: int):
+    """Full chunks, body and tail of every text, each with its number within its class and partition."""
     def run(batches):
         tok, part = tokenizer(path), TaskContext.get().partitionId()
+        width = tok.dtype.itemsize
         end, seen = np.array([end_id], tok.dtype).tobytes(), {}
         for batch in batches:
             rows = {k: [] for k in SCHEMA.names}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = tok.encode(text) + end
-                n = len(ids) // tok.dtype.itemsize
+                n = len(ids) // width
                 full, rest = divmod(n, capacity)
-                items = [(0, seen.get(0, 0) + i, i * capacity, capacity) for i in range(full)]
-                if full:
-                    seen[0] = seen.get(0, 0) + full
                 body, tail = divmod(rest, unit)
-                for slot, start, length in ((body, full * capacity, body * unit),
-                                            (TAIL + tail, n - tail, tail)):
+                for slot, start, length in (*((0, i * capacity, capacity) for i in range(full)),
+                                            (body, full * capacity, body * unit), (TAIL + tail, n - tail, tail)):
                     if length:
-                        items.append((slot, seen.get(slot, 0), start, length))
-                        seen[slot] = seen.get(slot, 0) + 1
-                for k, v in zip(SCHEMA.names, (part, doc_id, n, tok.dtype.itemsize, ids,
-                                               [dict(zip(("slot", "at", "start", "length"), i)) for i in items])):
-                    rows[k].append(v)
+                        at = seen[slot] = seen.get(slot, -1) + 1
+                        for k, v in zip(SCHEMA.names, (part, doc_id, n, width, slot, at, start, length,
+                                                       ids[start * width:(start + length) * width])):
+                            rows[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in SCHEMA], SCHEMA.names)
     return run
 
 
 SCHEMA = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("width", pa.int32()),
-                    ("ids", pa.binary()),
-                    ("items", pa.list_(pa.struct([("slot", pa.int32()), ("at", pa.int64()), ("start", pa.int64()),
-                                                  ("length", pa.int64())])))])
-TOKENS = ("part int, doc_id long, n long, width int, ids binary, "
-          "items array<struct<slot: int, at: long, start: long, length: long>>")
+                    ("slot", pa.int32()), ("at", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
+                    ("ids", pa.binary())])
+ITEMS = "part int, doc_id long, n long, width int, slot int, at long, start long, length long, ids binary"
 PLAN = ("slot int, lo long, hi long, mult long, seq0 long, off0 long, piece long, base long, stream int")
 
 
@@ -171,10 +167,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, end_id: in
     """
     spark = docs.sparkSession
     ready(spark)
-    tokens = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _tokens(tokenizer_path or default_path(), end_id, capacity, unit), TOKENS), "pack-tokens")
-    counts = tokens.select("part", F.explode("items.slot").alias("slot")).groupBy("part", "slot").agg(
-        F.count(F.lit(1)).alias("n"))
+    items = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _items(tokenizer_path or default_path(), end_id, capacity, unit), ITEMS), "pack-items")
+    counts = items.groupBy("part", "slot").agg(F.count(F.lit(1)).alias("n"))
     offsets = written(counts.select("part", "slot", "n", F.coalesce(
         F.sum("n").over(Window.partitionBy("slot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("before")), "pack-offsets")
@@ -186,9 +181,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, end_id: in
     plan = F.broadcast(spark.createDataFrame(rows + body + tail, PLAN))
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    item = tokens.select("part", "doc_id", "n", "width", "ids", F.explode("items").alias("i")).select(
-        "part", "doc_id", "n", "width", "ids", "i.*")
-    placed = (item.join(offsets.select("part", "slot", "before"), ["part", "slot"])
+    placed = (items.join(offsets.select("part", "slot", "before"), ["part", "slot"])
               .withColumn("rank", F.col("before") + F.col("at")).drop("before", "at")
               .join(plan, ["slot"]).where("rank >= lo and rank < hi")
               .withColumn("j", F.expr("rank - lo")))
@@ -210,10 +203,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, end_id: in
             when stream = {TAIL} then {stream(tail_end)} else {stream(body_end)} end)"""))
     pieces = pieces.where("cut.a < s + piece and cut.b > s").select(
         "doc_id", "width", "ids", F.col("n").alias("doc_tokens"),
-        F.expr("start + greatest(cut.a - s, 0)").alias("start"),
+        F.expr("greatest(cut.a - s, 0)").alias("skip"), F.expr("start + greatest(cut.a - s, 0)").alias("start"),
         F.expr("least(cut.b, s + piece) - greatest(cut.a, s)").alias("length"),
         F.expr("cut.seq").alias("sequence_id"),
         F.expr("case when mult > 0 then off0 + (j % mult) * piece else greatest(s - cut.a, 0) end").alias("offset"))
     return pieces.select(
         "doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "width",
-        F.expr("substring(ids, int(start * width + 1), int(length * width))").alias("ids"))
+        F.expr("substring(ids, int(skip * width + 1), int(length * width))").alias("ids"))

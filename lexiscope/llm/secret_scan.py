@@ -57,6 +57,8 @@ RULES = BASE + FURTHER
 
 #: More exact strings than this are no longer multiplied out.
 MAX_EXACT = 64
+#: Character classes of more characters are not spelt out.
+MAX_CLASS = 8
 
 
 def lowered(s: str) -> str:
@@ -104,6 +106,8 @@ def trigram_query(pattern: str, flags: int = 0):
             strings, sub = None, None
             if op is c.LITERAL:
                 strings = {chr(arg)}
+            elif op is c.IN and len(arg) <= MAX_CLASS and all(x[0] is c.LITERAL for x in arg):
+                strings = {chr(x[1]) for x in arg}
             elif op is c.SUBPATTERN:
                 sub, strings = walk(arg[3])
             elif op is c.BRANCH:

@@ -215,7 +215,7 @@ def _score(chain: Chain, names: list[str]):
 
 def find_seeds(sample: DataFrame, most: int = MAX_SEEDS) -> set[str]:
     """Words of toxic sample documents whose document counts chance does not explain (at most ``most``)."""
-    words = sample.select("toxic", F.explode(F.array_distinct(words_of(F.lower("text")))).alias("w")).select(
+    words = sample.select("toxic", F.explode_outer(F.array_distinct(words_of(F.lower("text")))).alias("w")).select(
         "toxic", F.btrim("w", F.lit(STRIP)).alias("w")).where("w <> ''")
     counts = words.groupBy("w").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).where("t >= 2 and 2 * t > n")
     share = sample.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
