@@ -316,14 +316,17 @@ def _with_counts(model_of):
         words = [(unpack(r["a"], U, True), unpack(r["b"], np.int64)) for r in rows if r["kind"] == UNI]
         k, c = total_by(np.concatenate([x for x, _ in words] or [np.zeros(0, U)]),
                         np.concatenate([y for _, y in words] or [np.zeros(0, np.int64)]))
+        got = [(unpack(r["a"], U, True), unpack(r["b"], np.int64), unpack(r["c"], U), unpack(r["d"], U))
+               for r in rows if r["kind"] == XX]
         out = []
-        for r in rows:
-            if r["kind"] == XX:
-                key, count, prev, cur = (unpack(r["a"], U, True), unpack(r["b"], np.int64), unpack(r["c"], U),
-                                         unpack(r["d"], U))
-                c2 = c[find(k, cur)]
-                out += [(b, XX, 0, pack(x, True), pack(y), pack(p), pack(w)) for b, (x, y, p, w) in
-                        cut(model.bucket(prev, key), key, count, prev, c2)]
+        if got:  # all of a bucket at once: one row for each bucket they go to
+            key, count, prev, cur = (np.concatenate(x) for x in zip(*got))
+            order = np.argsort(key, kind="stable")
+            key, count, prev, cur = key[order], count[order], prev[order], cur[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, count, prev, cur = key[first], np.add.reduceat(count, first), prev[first], cur[first]
+            out = [(b, XX, 0, pack(x, True), pack(y), pack(p), pack(w)) for b, (x, y, p, w) in
+                   cut(model.bucket(prev, key), key, count, prev, c[find(k, cur)])]
         return pa.Table.from_batches([batch_of(out)])
     return group
 

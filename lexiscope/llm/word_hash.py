@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _STEP = 12
@@ -33,9 +34,10 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
-_VALUE = mix(np.arange(1, 257, dtype=U) * U(_BASE))
-_VALUE[65:91] = _VALUE[97:123]
-_VALUE[_WHITE] = 0
+_EXACT = mix(np.arange(1, 257, dtype=U) * U(_BASE))
+_EXACT[_WHITE] = 0
+_FOLDED = _EXACT.copy()
+_FOLDED[65:91] = _FOLDED[97:123]
 
 
 def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -49,12 +51,12 @@ _LOW, _HIGH = _powers(_BASE)
 _LOW_INV, _HIGH_INV = _powers(pow(_BASE, -1, 1 << 64))
 
 
-def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of consecutive texts ``data[bounds[i]:bounds[i + 1]]``; and per text where its words
-    begin (one more entry than texts)."""
+def find_words(data: np.ndarray, bounds: np.ndarray, fold: bool = True):
+    """Hashes of the words of consecutive texts ``data[bounds[i]:bounds[i + 1]]``, where their bytes begin and
+    end, and per text where its words begin (one more entry than texts).  ``fold``: A-Z count as a-z."""
     n = len(data)
     if not n:
-        return np.zeros(0, U), np.zeros(len(bounds), np.int64)
+        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
     inside = ~_WHITE[data]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
@@ -65,15 +67,33 @@ def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     s, e = np.flatnonzero(starts), np.flatnonzero(ends)
     rows = (n + (1 << _STEP) - 1) >> _STEP
     power = np.multiply.outer(_HIGH[:rows], _LOW).ravel()[:n]
-    value = _VALUE[data] * power
+    value = (_FOLDED if fold else _EXACT)[data] * power
     total = np.cumsum(value, dtype=U)
     h = (total[e] - total[s] + value[s]) * (_LOW_INV[s & ((1 << _STEP) - 1)] * _HIGH_INV[s >> _STEP])
-    return mix(h + (e - s).astype(U)), np.searchsorted(s, bounds).astype(np.int64)
+    return mix(h + (e - s).astype(U)), s, e + 1, np.searchsorted(s, bounds).astype(np.int64)
+
+
+def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of consecutive texts and where each text's words begin, ``BLOCK_BYTES`` at a time."""
+    parts, where, i = [], [np.zeros(1, np.int64)], 0
+    while i < len(bounds) - 1:
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + BLOCK_BYTES, side="right")) - 1)
+        h, _, _, at = find_words(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
+        parts.append(h)
+        where.append(at[1:] + where[-1][-1])
+        i = j
+    return np.concatenate(parts or [np.zeros(0, U)]), np.concatenate(where)
 
 
 def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """A text column in runs of rows of about ``most`` bytes (a longer text is a run of its own):
     ``(first row, last row + 1, word hashes, where each row's words begin)``.  Nulls have no words."""
+    for i, j, data, bounds in byte_chunks(column, most):
+        yield i, j, *hash_words(data, bounds)
+
+
+def byte_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same runs as ``(first row, last row + 1, bytes, where each row begins in them and the last ends)``."""
     if pa.types.is_large_string(column.type):
         column = column.cast(pa.string())
     column = column.fill_null("") if column.null_count else column
@@ -86,8 +106,7 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(at, at[i] + most, side="right")) - 1)
-        h, where = hash_words(raw[at[i]:at[j]], at[i:j + 1] - at[i])
-        yield i, j, h, where
+        yield i, j, raw[at[i]:at[j]], at[i:j + 1] - at[i]
         i = j
 
 
