@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiscope.llm.common import ready, written
-from lexiscope.llm.tokenise import default_path, tokenizer
+from lexiscope.llm.tokenise import default_path, texts, tokenizer
 
 CAPACITY = 4096
 UNIT = 16
@@ -133,8 +133,8 @@ def _items(path: str, end_id: int, capacity: int, unit: int):
         end, seen = np.array([end_id], tok.dtype).tobytes(), {}
         for batch in batches:
             rows = {k: [] for k in SCHEMA.names}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = tok.encode(text) + end
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), texts(tok, batch.column("text"))):
+                ids = own.tobytes() + end
                 n = len(ids) // width
                 full, rest = divmod(n, capacity)
                 body, tail = divmod(rest, unit)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiscope.llm.common import ready
-from lexiscope.llm.tokenise import default_path, tokenizer
+from lexiscope.llm.tokenise import default_path, texts, tokenizer
 from lexiscope.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -56,7 +56,7 @@ def from_planes(planes: list[bytes], n: int, unpack) -> np.ndarray:
 def _blocks(path: str, end_id: int, block_ids: int, bits: bool):
     def run(batches):
         part = TaskContext.get().partitionId()
-        pack, tok = zstandard.ZstdCompressor(level=3), tokenizer(path)
+        pack, tok = zstandard.ZstdCompressor(level=1), tokenizer(path)
         end = np.array([end_id], "<u4")
         buf, held, docs, block, first, doc = [], 0, [], 0, 0, 0
 
@@ -67,8 +67,8 @@ def _blocks(path: str, end_id: int, block_ids: int, bits: bool):
 
         out = []
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.concatenate([np.frombuffer(tok.encode(text), tok.dtype).astype("<u4"), end])
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), texts(tok, batch.column("text"))):
+                ids = np.concatenate([own, end])
                 at = piece = 0
                 while at < len(ids):
                     take = min(len(ids) - at, block_ids - held)

@@ -1,7 +1,7 @@
 """Token ids of whole texts by a public tokenizer file, word by word.
 
-The tokenizer splits at white space before anything else, so the ids of a text
-are the ids of its words in order.  Each worker keeps the ids of the words it
+The tokenizer splits at white space, and between letters and marks, before anything
+else, so the ids of a text are the ids of its words in order.  Each worker keeps the ids of the words it
 has met (at most ``CACHE_WORDS``; the table is emptied when full, which changes
 speed only).
 """
@@ -9,10 +9,16 @@ speed only).
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
-CACHE_WORDS = 1_000_000
+from lexiscope.llm.word_hash import byte_chunks, find_words
+
+CACHE_WORDS = 3_000_000  # about 50 bytes each
+RUN_BYTES = 2 << 20
+SPECIAL = b"<|"  # begins the special tokens
 DEFAULT_FILE = "word_bpe_49k.json"
 
 _LOADED: dict = {}
@@ -24,30 +30,76 @@ def default_path() -> str:
 
 
 class WordTokenizer:
-    """Ids of texts as little-endian bytes, two a token where the vocabulary allows it."""
+    """Ids of texts, two bytes an id where the vocabulary allows it.
+
+    Words are found and hashed without an object for each; only the distinct words of a run of
+    texts are looked up, and those not met before go to the tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.seen: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order; their numbers
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, self.dtype)  # ids of all numbered words
+
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ids of a text column in runs of rows: ``(first row, last row + 1, ids, where each row's begin)``;
+        a null counts as empty."""
+        for i, j, data, bounds in byte_chunks(column, RUN_BYTES):
+            raw = data.tobytes()
+            # Letters and marks are separate pre-tokens, and A-Z are lower-cased, but for special tokens.
+            h, s, e, where = find_words(data, bounds, fold=SPECIAL not in raw, split_marks=True)
+            distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
+            number = self._numbers(distinct)
+            if (number < 0).any():
+                if len(self.keys) + len(distinct) > CACHE_WORDS:
+                    self._forget()
+                    number[:] = -1
+                new = np.flatnonzero(number < 0)
+                begin, end = s[first[new]].tolist(), e[first[new]].tolist()
+                words = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begin, end)]
+                number[new] = self._add(distinct[new], words)
+            size = self.size[number][back]
+            after = np.cumsum(size)
+            ids = self.pool[np.repeat(self.begin[number][back] - after + size, size)
+                            + np.arange(int(after[-1]) if len(after) else 0)]
+            yield i, j, ids, np.concatenate([[0], after])[where]
+
+    def _numbers(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of words by their hashes; -1 for new ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.number[at], -1)
+
+    def _add(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
+        """Numbers of new words (given by ordered hashes), whose ids go to the pool."""
+        got = [self._encode_all(words[k:k + 2048]) for k in range(0, len(words), 2048)]
+        numbers, size = len(self.begin) + np.arange(len(keys)), np.concatenate([n for _, n in got])
+        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.pool = np.concatenate([self.pool, *(ids for ids, _ in got)])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.number = np.insert(self.keys, at, keys), np.insert(self.number, at, numbers)
+        return numbers
+
+    def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words, and how many each has, by one call: an id belongs to the word in which its
+        text begins."""
+        found = self.model.encode(" ".join(words), add_special_tokens=False)
+        begins = np.array([a for a, _ in found.offsets], np.int64)
+        after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        return np.array(found.ids, self.dtype), np.diff(np.searchsorted(begins, after), prepend=0)
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        words = text.split(" ") if "\n" not in text else text.replace("\n", " ").split(" ")
-        seen = self.seen
-        new = list({w for w in words if w not in seen})
-        if new:
-            if len(seen) + len(new) > CACHE_WORDS:
-                seen.clear()
-                new = list(set(words))
-            for at in range(0, len(new), 4096):
-                part = new[at:at + 4096]
-                for w, e in zip(part, self.model.encode_batch(part, add_special_tokens=False)):
-                    seen[w] = np.array(e.ids, self.dtype).tobytes()
-        return b"".join([seen[w] for w in words])
+        """Ids of one text, as little-endian bytes."""
+        return b"".join(ids.tobytes() for _, _, ids, _ in self.encode_column(pa.array([text], pa.string())))
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -55,3 +107,10 @@ def tokenizer(path: str) -> WordTokenizer:
     if path not in _LOADED:
         _LOADED[path] = WordTokenizer(path)
     return _LOADED[path]
+
+
+def texts(tok: WordTokenizer, column: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each text of a column."""
+    for i, j, ids, where in tok.encode_column(column):
+        for k in range(j - i):
+            yield ids[where[k]:where[k + 1]]

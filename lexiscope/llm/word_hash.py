@@ -36,6 +36,10 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
 _EXACT = mix(np.arange(1, 257, dtype=U) * U(_BASE))
 _EXACT[_WHITE] = 0
+#: 2: ASCII letters, 3: marks, 1: all else; the product of two neighbours is 6 where they differ.
+_KIND = np.ones(256, np.uint8)
+_KIND[65:91] = _KIND[97:123] = 2
+_KIND[list(b".,;:!?%$#&*")] = 3
 _FOLDED = _EXACT.copy()
 _FOLDED[65:91] = _FOLDED[97:123]
 
@@ -51,9 +55,10 @@ _LOW, _HIGH = _powers(_BASE)
 _LOW_INV, _HIGH_INV = _powers(pow(_BASE, -1, 1 << 64))
 
 
-def find_words(data: np.ndarray, bounds: np.ndarray, fold: bool = True):
+def find_words(data: np.ndarray, bounds: np.ndarray, fold: bool = True, split_marks: bool = False):
     """Hashes of the words of consecutive texts ``data[bounds[i]:bounds[i + 1]]``, where their bytes begin and
-    end, and per text where its words begin (one more entry than texts).  ``fold``: A-Z count as a-z."""
+    end, and per text where its words begin (one more entry than texts).  ``fold``: A-Z count as a-z.
+    ``split_marks``: words also end between an ASCII letter and a mark, either way round."""
     n = len(data)
     if not n:
         return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
@@ -64,6 +69,11 @@ def find_words(data: np.ndarray, bounds: np.ndarray, fold: bool = True):
     starts[1:] |= inside[1:] & ~inside[:-1]
     ends = inside & edge[1:]
     ends[:-1] |= inside[:-1] & ~inside[1:]
+    if split_marks:
+        kind = _KIND[data]
+        parted = kind[1:] * kind[:-1] == 6
+        starts[1:] |= parted
+        ends[:-1] |= parted
     s, e = np.flatnonzero(starts), np.flatnonzero(ends)
     rows = (n + (1 << _STEP) - 1) >> _STEP
     power = np.multiply.outer(_HIGH[:rows], _LOW).ravel()[:n]
