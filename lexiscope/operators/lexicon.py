@@ -69,7 +69,7 @@ def project_dictionary(dictionary: DataFrame) -> DataFrame:
         raise ValueError(f"dictionary is missing columns: {missing}")
     return dictionary.select(
         F.upper(F.col(cols["word"]).cast("string")).alias("word"),
-        *[F.coalesce(F.col(cols[c]).cast("int"), F.lit(0)).alias(c) for c in CATEGORIES],
+        *[F.coalesce(F.col(cols[c]).cast("double").cast("int"), F.lit(0)).alias(c) for c in CATEGORIES],
     )
 
 

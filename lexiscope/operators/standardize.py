@@ -32,7 +32,7 @@ STRING_LABELS = {
 LABEL_INDEX = {"positive": 0, "negative": 1, "neutral": 2}
 LABEL_SIGN = {"positive": 1, "negative": -1}  # anything else -> 0
 STANDARD_COLUMNS = ("data", "datatype", "sentiment")
-PAIR_ALIASES = (("ctext", "text"), ("article", "summary"))
+PAIR_ALIASES = (("ctext", "text"), ("article", "summary"), ("article", "highlights"))
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -55,17 +55,21 @@ def build_session(master: str | None = None, app: str = "lexiscope",
     if master:
         builder = builder.master(master)
     cores = os.cpu_count() or 8
-    builder = (
-        builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-    )
+    own = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "16g",
+    }
+    submitted = submitted_settings()
+    for key, value in own.items():
+        if key not in submitted:
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -73,6 +77,16 @@ def build_session(master: str | None = None, app: str = "lexiscope",
     return spark
 
 
+def submitted_settings() -> set[str]:
+    """Names of the settings given to ``spark-submit``; empty in a plain Python process."""
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:
+        return set()
+    from pyspark import SparkConf, SparkContext
+
+    SparkContext._ensure_initialized()  # the submitting JVM holds them
+    return {key for key, _ in SparkConf().getAll()}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext
@@ -83,7 +97,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
     else:
-        # Unset: this is a local run (tests, bench), so a local folder is fine.
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexiscope-ckpt-"))
     return sc.getCheckpointDir()
 

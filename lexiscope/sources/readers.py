@@ -47,10 +47,14 @@ def read_headerless_labelled(spark: SparkSession, path: str, encoding: str = "UT
 
 def read_headed_labelled(spark: SparkSession, path: str, encoding: str = "UTF-8",
                          text_col: str = "Title", label_col: str = "Global Sentiment") -> DataFrame:
-    """Headed CSV; requires ``Title`` and ``Global Sentiment`` (numeric labels)."""
+    """Headed CSV; requires ``Title`` and ``Global Sentiment``.  The label column is numeric if
+    every cell that is not null is a number, else it stays text."""
     df = spark.read.options(**_CSV_OPTS).csv(path, header=True, encoding=encoding)
     require_columns(df, [text_col, label_col])
-    return df.select(F.col(text_col), F.col(label_col).try_cast("double").alias(label_col))
+    number = F.col(label_col).try_cast("double")
+    cells = df.agg(F.count(label_col).alias("all"), F.count(number).alias("numbers")).first()
+    label = number if cells["all"] == cells["numbers"] else F.col(label_col)
+    return df.select(F.col(text_col), label.alias(label_col))
 
 
 def discover_labelled_sources(spark: SparkSession, root: str,
@@ -146,18 +150,13 @@ def read_run_metrics(spark: SparkSession, path: str, metric_key: str = "final_te
     Runs are named by a ``run`` field when the records carry one (JSON lines
     written by K3), else by the file name ``final_metrics_<run>.json``.
     """
-    df = (spark.read.option("multiLine", str(multi_line).lower())
+    schema = T.StructType([T.StructField("run", T.StringType()), T.StructField("test", T.StructType(
+        [T.StructField(metric_key, T.DoubleType())]))])
+    # A declared schema: a malformed score is null in its own record and leaves other files alone.
+    df = (spark.read.schema(schema).option("multiLine", str(multi_line).lower())
           .option("mode", "PERMISSIVE").json(path))
-    if "run" in df.columns:
-        run = F.col("run").cast("string")
-    else:
-        run = F.regexp_extract(F.col("_metadata.file_name"), r"^final_metrics_(.*)\.json$", 1)
-    score = F.lit(None).cast("double")
-    test_t = df.schema["test"].dataType if "test" in df.columns else None
-    if isinstance(test_t, T.StructType) and metric_key in test_t.fieldNames():
-        if isinstance(test_t[metric_key].dataType, T.NumericType):
-            score = F.col("test").getField(metric_key).cast("double")
-    return df.select(run.alias("run"), score.alias("score"))
+    named = F.regexp_extract(F.col("_metadata.file_name"), r"^final_metrics_(.*)\.json$", 1)
+    return df.select(F.coalesce("run", named).alias("run"), F.col("test").getField(metric_key).alias("score"))
 
 
 def read_training_log(spark: SparkSession, root: str) -> DataFrame:

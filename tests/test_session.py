@@ -23,3 +23,25 @@ def test_build_session_keeps_active_settings(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     s = S.build_session("local[2]", shuffle_partitions=99)
     assert s is spark and s.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_submitted_settings_win(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    import pyspark
+    root = Path(__file__).resolve().parents[1]
+    job = tmp_path / "job.py"
+    job.write_text(f"""import sys
+sys.path.insert(0, {str(root)!r})
+from lexiscope.session import build_session
+s = build_session("local[1]")
+print("SHUFFLE", s.conf.get("spark.sql.shuffle.partitions"), s.sparkContext.getConf().get("spark.driver.memory"))
+""")
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_GATEWAY")} | {"PYSPARK_PYTHON": sys.executable}
+    out = subprocess.run([str(Path(pyspark.__file__).parent / "bin/spark-submit"), "--conf", "spark.ui.enabled=false",
+                          "--conf", "spark.sql.shuffle.partitions=777", "--driver-memory", "1g", str(job)],
+                         capture_output=True, text=True, timeout=180, env=env).stdout
+    assert "SHUFFLE 777 1g" in out

@@ -30,7 +30,8 @@ def test_headerless_latin1_and_headed(spark):
     s = rd.read_headerless_labelled(spark, found["sentence"][0], encoding=rd.LATIN1).collect()
     assert s[0].data == 'Café "quoted"\nline' and s[1].sentiment == "neutral"
     h = rd.read_headed_labelled(spark, found["headline"][0]).collect()
-    assert [r["Global Sentiment"] for r in h] == [1.0, -1.0, None]
+    # One cell that is no number makes the column text, as in the reference.
+    assert [r["Global Sentiment"] for r in h] == ["1", "-1.0", "abc"]
 
 
 def test_pairs_missing_and_split(spark):
@@ -116,3 +117,38 @@ def test_run_metrics_sink_roundtrip(spark):
     sk.write_run_metrics(m, f"{d}/m")
     got = {r.run: r.score for r in rd.read_run_metrics(spark, f"{d}/m", multi_line=False).collect()}
     assert got == {"a": 0.2, "b": None}
+
+
+def test_headed_source_keeps_string_labels(spark, tmp_path):
+    from lexiscope.operators.standardize import normalise_label
+    (tmp_path / "words.csv").write_text("Title,Global Sentiment\na,positive\nb,\nc, Negative\n")
+    (tmp_path / "numbers.csv").write_text("Title,Global Sentiment\na,0.5\nb,\nc,-1\n")
+    for name in ("words", "numbers"):
+        df = rd.read_headed_labelled(spark, str(tmp_path / f"{name}.csv"))
+        got = {r["Title"]: r["x"] for r in df.select("Title", normalise_label(df, "Global Sentiment").alias("x")).collect()}
+        assert got == {"a": "positive", "b": None, "c": "negative"}
+
+
+def test_one_bad_metrics_file_leaves_the_others(spark, tmp_path):
+    (tmp_path / "final_metrics_good.json").write_text('{"test": {"final_test_rougeL": 0.5}}')
+    (tmp_path / "final_metrics_text.json").write_text('{"test": {"final_test_rougeL": "n/a"}}')
+    (tmp_path / "final_metrics_flat.json").write_text('{"test": "failed"}')
+    (tmp_path / "final_metrics_none.json").write_text('{"other": 1}')
+    got = {r["run"]: r["score"] for r in rd.read_run_metrics(spark, str(tmp_path)).collect()}
+    assert got == {"good": 0.5, "text": None, "flat": None, "none": None}
+
+
+def test_dictionary_years_written_as_floats(spark, tmp_path):
+    from lexiscope.operators import lexicon as lx
+    rows = spark.createDataFrame([("good", "2009.0"), ("plain", None)], "Word string, Positive string")
+    for c in lx.CATEGORIES:
+        if c != "positive":
+            rows = rows.selectExpr("*", f"cast(0 as int) as {c}")
+    got = {r["word"]: r["positive"] for r in lx.project_dictionary(rows).collect()}
+    assert got == {"GOOD": 2009, "PLAIN": 0}
+
+
+def test_highlights_pairs(spark):
+    from lexiscope.operators import standardize as sd
+    df = spark.createDataFrame([("An article.", "Its highlights.")], "article string, highlights string")
+    assert sd.prepare_pairs(df).count() == 1
