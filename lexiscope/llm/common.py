@@ -36,20 +36,33 @@ def ready(spark: SparkSession) -> None:
     """Workers can import the package and the checkpoint folder is known."""
     ship_package(spark)
     ensure_checkpoint_dir(spark)
+    # Whole texts go to Python workers: smaller batches, unless the submitter has chosen a size.
+    if not spark.sparkContext.getConf().contains(BATCH_ROWS):
+        spark.conf.set(BATCH_ROWS, "2000")
 
 
-def bounded_sample(rows: DataFrame, group: str, most: int) -> DataFrame:
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_sample(rows: DataFrame, group: str, most: dict | int, groups: DataFrame | None = None) -> DataFrame:
     """At most ``most`` rows with different texts of each ``group``: ``doc_id, text, group`` (those whose text
-    hashes come first).  Only hashes are compared until the sample is known."""
-    h = F.xxhash64("text")
-    light = rows.select(F.col(group), h.alias("h"), "doc_id").groupBy(group, "h").agg(F.min("doc_id").alias("doc_id"))
-    light = written(light, "sample-hashes")
+    hashes come first).  ``groups`` (``doc_id``, ``group``; one row an id) gives the group where ``rows`` doesn't.
+
+    Only ids and hashes are joined and compared until the sample is known; texts never move for it.
+    """
+    light = rows.select("doc_id", F.xxhash64("text").alias("h"), *([] if groups is not None else [group]))
+    if groups is not None:
+        light = light.join(groups, "doc_id")
+    light = written(light.groupBy(group, "h").agg(F.min("doc_id").alias("doc_id")), "sample-hashes")
     share = light.groupBy(group).agg(F.count(F.lit(1)).alias("n"))  # one row for each group
-    thin = light.join(share, group).where(F.expr(f"pmod(h, 1048576) < 2 * 1048576.0 * {most} / n"))
+    if isinstance(most, dict):
+        limit = F.coalesce(*[F.when(F.col(group) == k, n) for k, n in most.items()], F.lit(0))
+    else:
+        limit = F.lit(most)
+    thin = light.join(share, group).where(F.expr("pmod(h, 1048576)") * F.col("n") < limit * 2 * 1048576.0)
     first = Window.partitionBy(group).orderBy(F.expr("pmod(h, 1048576)"), "h")
-    picks = written(thin.select(group, "h", "doc_id", F.row_number().over(first).alias("r")).where(f"r <= {most}"),
-                    "sample")
-    same = [rows["doc_id"] == F.col("doc_id_"), rows[group] == F.col("group_"), F.xxhash64(rows["text"]) == F.col("h_")]
-    picks = picks.select(F.col("doc_id").alias("doc_id_"), F.col(group).alias("group_"), F.col("h").alias("h_"))
-    return rows.join(F.broadcast(picks), same[0] & same[1] & same[2]).dropDuplicates(["group_", "h_"]).select(
-        "doc_id", "text", group)
+    picks = thin.select(group, "h", "doc_id", F.row_number().over(first).alias("r")).where(F.col("r") <= limit)
+    picks = written(picks.select(F.col("doc_id").alias("doc_id_"), F.col("h").alias("h_"),
+                                 F.col(group).alias("group_")), "sample")
+    found = rows.join(F.broadcast(picks), (rows["doc_id"] == picks["doc_id_"]) & (F.xxhash64(rows["text"]) == picks["h_"]))
+    return found.dropDuplicates(["group_", "h_"]).select("doc_id", "text", F.col("group_").alias(group))

@@ -30,6 +30,7 @@ TREES = 16
 MAX_DEPTH = 8
 RECALL = 0.999
 BLOCK = 256
+CHUNK = 1 << 20  # bytes of text whose shingles are held at once
 #: Rows up to which a table of ids is broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -58,7 +59,7 @@ def signatures(h: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
 def _sign(k: int, trees: int, max_depth: int, depth: int):
     def run(batches):
         for batch in batches:
-            for i, j, words, where in text_chunks(batch.column("text")):
+            for i, j, words, where in text_chunks(batch.column("text"), CHUNK):
                 h, begin = shingle_hashes(words, where, k)
                 sig = signatures(h, begin, trees * max_depth)
                 label = np.empty((j - i, trees), U)
@@ -148,7 +149,7 @@ def _verify(k: int, threshold: float):
 def _sets(k: int):
     def run(batches):
         for batch in batches:
-            for i, j, words, where in text_chunks(batch.column("text")):
+            for i, j, words, where in text_chunks(batch.column("text"), CHUNK):
                 h, begin = shingle_hashes(words, where, k)
                 sets = [np.unique(h[begin[x]:begin[x + 1]]).tobytes() for x in range(j - i)]
                 yield pa.RecordBatch.from_arrays(

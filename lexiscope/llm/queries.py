@@ -73,10 +73,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
-    training = docs.select("doc_id", "text").where(crc_mod("doc_id", 4) != 2).join(labels, "doc_id")
-    found = toxicity.score_documents(docs, toxicity.fit(training))
+    training = docs.where(crc_mod("doc_id", 4) != 2)
+    found = toxicity.score_documents(docs, toxicity.fit(training, table(spark, sf_dir, "labels")))
     return found.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
                         "predicted", "n_toxic_words", "spans")
 

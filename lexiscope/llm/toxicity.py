@@ -230,18 +230,20 @@ def find_seeds(sample: DataFrame, most: int = MAX_SEEDS) -> set[str]:
     return {r["w"] for r in found.orderBy(F.desc("x"), "w").limit(most).collect()}
 
 
-def fit(training: DataFrame) -> Chain:
-    """Chain from rows ``doc_id, text, toxic`` (0 or 1; rows with a null are left out).
+def fit(training: DataFrame, labels: DataFrame | None = None) -> Chain:
+    """Chain from texts (``doc_id``, ``text``) and their labels (``doc_id``, ``toxic`` 0 or 1; by default columns of the
+    same rows).  Nulls are left out; an id with several labels counts as toxic if one says so.
 
     At most ``TOXIC_DOCS`` and ``CLEAN_DOCS`` different texts are used, and ``2 * LINES`` of their lines
     reach the driver.  Without both kinds of documents the chain scores every text low.
     """
     ready(training.sparkSession)
     chain = Chain()
-    rows = training.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).where(
-        "doc_id is not null and text is not null and toxic in (0, 1)")
-    sample = written(bounded_sample(rows.where("toxic = 1"), "toxic", TOXIC_DOCS).union(
-        bounded_sample(rows.where("toxic = 0"), "toxic", CLEAN_DOCS)), "toxicity-sample")
+    labels = training if labels is None else labels
+    marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").groupBy(
+        "doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = training.select("doc_id", "text").where("doc_id is not null and text is not null")
+    sample = written(bounded_sample(rows, "toxic", {1: TOXIC_DOCS, 0: CLEAN_DOCS}, marks), "toxicity-sample")
     seeds = find_seeds(sample)
     if not seeds:
         return chain
