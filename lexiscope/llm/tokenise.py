@@ -16,8 +16,8 @@ import pyarrow as pa
 
 from lexiscope.llm.word_hash import byte_chunks, find_words
 
-CACHE_WORDS = 3_000_000  # about 50 bytes each
-RUN_BYTES = 2 << 20
+CACHE_WORDS = 1_500_000  # about 50 bytes each
+RUN_BYTES = 1 << 20
 SPECIAL = b"<|"  # begins the special tokens
 DEFAULT_FILE = "word_bpe_49k.json"
 
