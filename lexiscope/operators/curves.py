@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiscope.plans.ordering import indexed_scan
+from lexiscope.plans.ordering import exact_part, indexed_scan, part_ids, part_value
 
 SERIES = ("loss", "eval_loss", "eval_accuracy")
 WINDOW_DIVISOR = 100
@@ -42,39 +42,42 @@ def moving_average(log: DataFrame, run_col: str, order_cols: Sequence[str],
     ``member`` selects the rows of the series (e.g. training records) inside a
     larger log; ``step`` is the 1-based position of the record in the whole
     log.  One ordered scan yields the log position, the series position and
-    exact prefix sums; the window mean is ``(S[i] - S[i-w-1]) / rows`` with
+    exact prefix sums (one DECIMAL sum per 12 decades that occur, so that losses of
+    any size keep all their digits); the window mean is ``(S[i] - S[i-w-1]) / rows`` with
     ``S[i-w-1]`` fetched by an equi-join on ``(run, i)``.  No window ever
     spans a whole run.
     """
     m = member if member is not None else F.lit(True)
     v = F.col(value_col)
     kinds = {"_nan": F.isnan(v), "_pinf": v == float("inf"), "_ninf": v == float("-inf")}
-    finite = ~(kinds["_nan"] | kinds["_pinf"] | kinds["_ninf"])
+    parts = {f"_v{n}": k for n, k in enumerate(part_ids(log.where(m), value_col))}
     prepared = log.select(run_col, *order_cols, value_col,
                           F.when(m, F.lit(1)).otherwise(F.lit(0)).alias("_in"),
-                          F.when(m & finite, v).otherwise(F.lit(0.0)).alias("_v"),
+                          *[F.when(m, exact_part(v, k)).otherwise(F.lit(0)).alias(name)
+                            for name, k in parts.items()],
                           *[F.when(m & k, F.lit(1)).otherwise(F.lit(0)).alias(name)
                             for name, k in kinds.items()])
-    sums = ["_in", "_v", *kinds]
-    scanned = indexed_scan(prepared, run_col, order_cols, sums)
+    summed = [*parts, *kinds]
+    scanned = indexed_scan(prepared, run_col, order_cols, ["_in", *summed])
     rows = scanned.where(F.col("_in") == 1).select(
         run_col, *order_cols, value_col, (F.col("idx") + 1).alias("step"),
         (F.col("cum__in") - 1).cast("bigint").alias("i"),
-        F.col("tot__in").cast("bigint").alias("n"), F.col("cum__v").alias("cum"),
-        *[F.col(f"cum_{name}").alias(f"c{name}") for name in kinds])
+        F.col("tot__in").cast("bigint").alias("n"),
+        *[F.col(f"cum_{name}").alias(f"c{name}") for name in summed])
     w = F.greatest(F.lit(1), F.floor(F.col("n") / WINDOW_DIVISOR))
     rows = rows.withColumn("w", w)
     prev = rows.select(F.col(run_col).alias("_r"), F.col("i").alias("_pi"),
-                       F.col("cum").alias("_prev_cum"),
-                       *[F.col(f"c{name}").alias(f"_p{name}") for name in kinds])
+                       *[F.col(f"c{name}").alias(f"_p{name}") for name in summed])
     joined = rows.join(prev, (F.col(run_col) == F.col("_r"))
                        & (F.col("i") - F.col("w") - 1 == F.col("_pi")), "left")
-    zero = F.lit(0).cast("decimal(30,10)")
     n_rows = F.col("i") - F.greatest(F.lit(0), F.col("i") - F.col("w")) + 1
-    total = F.col("cum") - F.coalesce(F.col("_prev_cum"), zero)
-    in_window = {name: (F.col(f"c{name}") - F.coalesce(F.col(f"_p{name}"), zero)) > 0
-                 for name in kinds}
-    mean = F.round((total / n_rows).cast("double"), ROUND)
+    inside = {name: F.col(f"c{name}") - F.coalesce(F.col(f"_p{name}"), F.lit(0)) for name in summed}
+    in_window = {name: inside[name] > 0 for name in kinds}
+    # Smallest part first; the usual case is one part, and then one rounding.
+    mean = F.lit(0.0)
+    for name, k in parts.items():
+        mean = mean + part_value(inside[name] / n_rows, k)
+    mean = F.round(mean, ROUND)
     # Non-finite losses behave as in a Python sum: NaN, or +inf and -inf together,
     # give NaN; only +inf (only -inf) gives +inf (-inf).
     smoothed = (F.when(in_window["_nan"] | (in_window["_pinf"] & in_window["_ninf"]),
@@ -93,17 +96,16 @@ def epoch_mean_loss(train: DataFrame, run_col: str = "run") -> DataFrame:
         F.round(F.avg("loss"), ROUND).alias("mean_loss"))
 
 
-def epoch_last_eval(log: DataFrame, run_col: str, order_col: str,
+def epoch_last_eval(log: DataFrame, run_col: str, order_cols: str | Sequence[str],
                     value_col: str = "eval_loss") -> DataFrame:
     """Per ``round(epoch)`` (half-even), the value of the latest record.
 
-    ``order_col`` is a fixed-width key unique per record (a step number or a
-    timestamp), so ``max_by`` keeps a fixed-width buffer and the aggregate
-    stays a hash aggregate with map-side partial aggregation.
+    ``order_cols`` together are unique per record (a step number, or a timestamp and an id).
     """
+    keys = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     evals = log.where(F.col(value_col).isNotNull() & F.col("epoch").isNotNull())
     return evals.groupBy(run_col, F.bround("epoch", 0).cast("int").alias("epoch")).agg(
-        F.max_by(F.col(value_col), F.col(order_col)).alias(value_col))
+        F.max_by(F.col(value_col), F.struct(*keys)).alias(value_col))
 
 
 def leaderboard(scores: DataFrame, run_col: str, score_col: str, pos_col: str) -> DataFrame:

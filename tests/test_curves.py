@@ -71,3 +71,27 @@ def test_moving_average_non_finite_losses(spark):
     expected = [sum(vals[max(0, i - 1): i + 1]) / (i - max(0, i - 1) + 1) for i in range(len(vals))]
     for g, e in zip(got, expected):
         assert (math.isnan(g) and math.isnan(e)) or g == e, (got, expected)
+
+
+def smoothed(spark, losses):
+    df = spark.createDataFrame([("r", i, v) for i, v in enumerate(losses)], "run string, s int, loss double")
+    return [r.smoothed for r in cv.moving_average(df, "run", ["s"]).orderBy("s").collect()]
+
+
+def test_moving_average_of_any_magnitude(spark):
+    assert smoothed(spark, [1e21, 1e21, 2.0, 4.0]) == [1e21, 1e21, 5e20, 3.0]
+    assert smoothed(spark, [9e19] * 19) == [9e19] * 19
+    got = smoothed(spark, [1e-11, 3e-11, 1e300, 1e-300, 8.0, 2.0])
+    assert got[:2] == [0.0, 0.0] and got[4:] == [4.0, 5.0]
+    assert all(abs(x - 5e299) < 1e284 for x in got[2:4])
+    assert smoothed(spark, [0.0, -3e15, 3e15, -0.5]) == [0.0, -1.5e15, 0.0, 1499999999999999.75]
+
+
+def test_exact_parts_keep_every_digit(spark):
+    from lexiscope.plans import ordering as od
+    values = [1.7976931348623157e308, 4.9e-324, 0.1, 123456.789012345, 2.0 ** 53, 1e-11, -7.25e-6, 1e7, 9999999.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ids = od.part_ids(df, "v")
+    total = [sum(r) for r in df.select(*[od.part_value(od.exact_part(F.col("v"), k), k) for k in ids]).collect()]
+    assert all(abs(a - b) <= abs(b) * 1e-15 for a, b in zip(total, values)), total
+    assert [total[i] for i in (2, 3, 4, 8)] == [values[i] for i in (2, 3, 4, 8)]
