@@ -115,36 +115,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-BALANCE_MIN_BYTES = 1 << 20
-BALANCE_BYTES_PER_TASK = 16 << 20
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (a listing, no data read)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def balance_input(df: DataFrame, size_bytes: int) -> DataFrame:
-    """Spread a small input over all cores before CPU-heavy text work.
-
-    Parquet splits at row-group boundaries, so a file with one large row group
-    is read by one task whatever the cluster size.  When the input is smaller
-    than ``parallelism x 16 MB`` (and not tiny), a round-robin repartition to
-    the default parallelism costs at most 16 MB of shuffle per core.  Larger
-    inputs are left as they are (they have many row groups), so a large corpus
-    is never shuffled for this.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if BALANCE_MIN_BYTES <= size_bytes < par * BALANCE_BYTES_PER_TASK \
-            and df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return balance_input(df, input_bytes(spark, path)) if balance else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as it lies; Parquet splits at row groups, so write them at about 128 MB."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

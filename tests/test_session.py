@@ -1,4 +1,4 @@
-"""Session helpers: checkpoint folder, input balancing, active-session settings."""
+"""Session helpers: checkpoint folder, tables, active-session settings."""
 
 from lexiscope import session as S
 
@@ -10,13 +10,9 @@ def test_checkpoint_dir_and_scratch(spark):
     assert S.cut_lineage(df).count() == 10
 
 
-def test_balance_bounds(spark):
-    df = spark.range(0, 1000, numPartitions=1)
-    par = spark.sparkContext.defaultParallelism
-    assert S.balance_input(df, 100).rdd.getNumPartitions() == 1            # tiny: left alone
-    assert S.balance_input(df, 2 << 20).rdd.getNumPartitions() == par      # small, few splits
-    big = par * S.BALANCE_BYTES_PER_TASK
-    assert S.balance_input(df, big).rdd.getNumPartitions() == 1            # large: never shuffled
+def test_tables_are_read_as_they_lie(spark, sf):
+    plan = S.read_table(spark, sf, "documents")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Repartition" not in plan
 
 
 def test_build_session_keeps_active_settings(spark):
