@@ -105,18 +105,20 @@ def fixture_dictionary_csv_text() -> str:
 CLASSIFIER_LABELS = ("positive", "negative", "neutral")  # index = class id
 
 
-def md5_classifier(key: Column) -> tuple[Column, Column]:
-    """Deterministic scorer: label from md5 hex 1-8 mod 3, confidence from hex 9-16."""
-    h = F.md5(key.cast("string"))
-    label_id = hex_slice_int(h, 1) % 3
-    label = F.element_at(F.array(*[F.lit(x) for x in CLASSIFIER_LABELS]),
-                         (label_id + 1).cast("int"))
-    confidence = (hex_slice_int(h, 9) % 10001) / F.lit(10000.0)
-    return label, confidence
+#: Letters whose counts in the whole text are the stand-in's logits, in the order of the labels.
+CLASSIFIER_LETTERS = ("g", "b", "k")
+
+
+def letter_logits(text: Column) -> Column:
+    """Stand-in classifier output: 4 x each letter's share among the three (a null text has none)."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    counts = [F.regexp_count(low, F.lit(x)).cast("double") for x in CLASSIFIER_LETTERS]
+    total = F.greatest(counts[0] + counts[1] + counts[2], F.lit(1.0))
+    return F.array(*[F.lit(4.0) * c / total for c in counts])
 
 
 def lead_sentence_summary(text: Column) -> Column:
-    """Stub summariser: the first sentence of every paragraph, over the whole text."""
+    """Stand-in summariser (not a model): the first sentence of every paragraph, over the whole text."""
     firsts = F.transform(
         F.split(text, "\n"),
         lambda p: F.trim(F.regexp_extract(p, "^[^.!?]*[.!?]?", 0)),
@@ -142,36 +144,40 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _noisy_text(doc_id: Column, text: Column) -> Column:
-    """Nulls, blanks and the noisy prefix injected by rule (every row is kept)."""
-    return (F.when(doc_id % 17 == 0, F.lit(None).cast("string"))
-            .when(doc_id % 19 == 0, F.lit("   "))
-            .otherwise(F.concat(F.lit(NOISY_PREFIX), text)))
-
-
 def labelled_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two labelled sources of the standardise job, from documents + labels.
 
     * sentence source (even ``doc_id``): string labels (`` Positive ``, ``-1``, ``neutral``)
     * headline source (odd ``doc_id``): numeric labels (sign of quality - toxic)
-    ``doc_id % 23 = 0`` carries an unknown label in both.
 
-    The parity test partitions the labelled set (every row goes to exactly one
-    source, the job reads both); the other modulo rules inject nulls, blanks
-    and unknown labels into rows and never drop any.
+    Every labelled document is one row, its text behind the noisy prefix.  Beside them, by
+    rule, stand added rows with ids of their own, ``-1 - (3 doc_id + k)``: one without a text (``doc_id % 17 = 0``),
+    one with a blank text (``% 19 = 0``), one with an unknown label (``% 23 = 0``).
     """
-    lab = labelled_documents(spark, sf_dir)
     doc_id = F.col("doc_id")
-    text = _noisy_text(doc_id, F.col("text"))
-    str_label = (F.when(doc_id % 23 == 0, F.lit("unknown"))
+    noisy = F.concat(F.lit(NOISY_PREFIX), F.col("text"))
+
+    def row(key: Column, text: Column, unknown: bool) -> Column:
+        return F.struct(key.alias("doc_id"), text.alias("text"), F.lit(unknown).alias("unknown"))
+
+    def added(k: int) -> Column:
+        return -1 - (doc_id * 3 + k)
+
+    rows = F.array(row(doc_id, noisy, False),
+                   F.when(doc_id % 17 == 0, row(added(0), F.lit(None).cast("string"), False)),
+                   F.when(doc_id % 19 == 0, row(added(1), F.lit("   "), False)),
+                   F.when(doc_id % 23 == 0, row(added(2), noisy, True)))
+    lab = labelled_documents(spark, sf_dir).select(
+        (doc_id % 2 == 0).alias("even"), "label_num", F.explode(F.array_compact(rows)).alias("r")).select(
+        "even", "label_num", "r.*")
+    str_label = (F.when(F.col("unknown"), F.lit("unknown"))
                  .when(F.col("label_num") > 0, F.lit(" Positive "))
                  .when(F.col("label_num") < 0, F.lit("-1"))
                  .otherwise(F.lit("neutral")))
-    num_label = F.when(doc_id % 23 == 0, F.lit(None).cast("double")).otherwise(F.col("label_num"))
-    sentences = lab.where(doc_id % 2 == 0).select(
-        "doc_id", str_label.alias("sentiment"), text.alias("data"))
-    headlines = lab.where(doc_id % 2 == 1).select(
-        "doc_id", text.alias("Title"), num_label.alias("Global Sentiment"))
+    num_label = F.when(~F.col("unknown"), F.col("label_num"))
+    sentences = lab.where("even").select("doc_id", str_label.alias("sentiment"), F.col("text").alias("data"))
+    headlines = lab.where("NOT even").select(
+        "doc_id", F.col("text").alias("Title"), num_label.alias("Global Sentiment"))
     return sentences, headlines
 
 
@@ -223,7 +229,7 @@ def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("score"))
 
 
-# Derived dictionary: every distinct ASCII token of ``documents`` (upper case),
+# Derived dictionary: every distinct token of ``documents`` (upper case),
 # categories by a hash rule, so tagging runs against a realistically large
 # lexicon whose size grows with the corpus.  Bucket -> categories (fixed rule):
 DERIVED_BUCKETS = 16
@@ -239,9 +245,10 @@ def derived_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexiscope.functions import text as tx
     from lexiscope.session import cut_lineage, read_table
     docs = read_table(spark, sf_dir, "documents")
-    toks = docs.select(F.explode(tx.split_tokens(F.col("text"))).alias("t"))
-    words = (toks.where(tx.is_word(F.col("t")) & F.col("t").rlike("^[\\x00-\\x7F]+$"))
-             .select(F.upper("t").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("doc_count")))
+    # The words of a document once each, so that a count is a number of documents.
+    words = F.array_distinct(F.transform(F.filter(tx.split_tokens(F.col("text")), tx.is_word), F.upper))
+    words = docs.select(F.explode(words).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("doc_count"))
     bucket = hex_slice_int(F.md5(F.col("word")), 1) % DERIVED_BUCKETS
     cats = {}
     for b, names in DERIVED_RULE.items():

@@ -173,17 +173,13 @@ def expand_contractions(col: Column) -> Column:
 
 
 def normalise_case_space(col: Column) -> Column:
-    """T4: lower, collapse whitespace, strip, CR/LF to space, drop ``?``, strip.
+    """T4: lower, whitespace runs to one space, no ``?``, no space at the ends.
 
     Runs after the ASCII fold, so only the ASCII part of Python's whitespace
     set can still occur.
     """
-    col = F.lower(col)
-    col = F.regexp_replace(col, f"[{ASCII_WS_CLASS}]+", " ")
-    col = F.regexp_replace(col, "^ | $", "")
-    col = F.translate(col, "\n\r", "  ")
-    col = F.regexp_replace(col, "\\?", "")
-    return F.regexp_replace(col, f"^[{ASCII_WS_CLASS}]+|[{ASCII_WS_CLASS}]+$", "")
+    collapsed = F.regexp_replace(F.lower(col), f"[{ASCII_WS_CLASS}]+", " ")
+    return F.trim(F.translate(collapsed, "?", ""))
 
 
 def clean_text(col: Column) -> Column:

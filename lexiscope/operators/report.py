@@ -34,10 +34,11 @@ Classifier = Callable[[DataFrame, str, str], DataFrame]
 Summariser = Callable[[Column, Column], Column]
 
 
-def md5_stub_classifier(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Deterministic stand-in for the caller's classifier (keyed on the id)."""
-    label, conf = fixtures.md5_classifier(F.col(id_col))
-    return df.withColumn("cls_label", label).withColumn("cls_conf", conf)
+def letter_stub_classifier(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Deterministic stand-in for the caller's classifier, computed from the whole text."""
+    staged = df.withColumn("_logits", fixtures.letter_logits(F.col(text_col)))
+    _, label, conf = softmax_decode(F.col("_logits"))
+    return staged.withColumn("cls_label", label).withColumn("cls_conf", conf).drop("_logits")
 
 
 def model_classifier(logits_udf: Callable[[Column], Column]) -> Classifier:
@@ -84,7 +85,7 @@ def reliability_columns(model_label: Column, confidence: Column, lexicon_label:
 
 
 def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
-                 text_col: str = "text", classifier: Classifier = md5_stub_classifier,
+                 text_col: str = "text", classifier: Classifier = letter_stub_classifier,
                  summariser: Summariser = lead_stub_summariser,
                  keep_positions: bool = False) -> DataFrame:
     """One flat report row per document (arrays kept as arrays).
@@ -119,7 +120,7 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
 
 
 def report_table_rowwise(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
-                         text_col: str = "text", classifier: Classifier = md5_stub_classifier,
+                         text_col: str = "text", classifier: Classifier = letter_stub_classifier,
                          summariser: Summariser = lead_stub_summariser) -> DataFrame:
     """R5 with every signal computed on the row: no join, no aggregate, no shuffle.
 

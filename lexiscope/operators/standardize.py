@@ -62,7 +62,7 @@ def normalise_label(df: DataFrame, column: str) -> Column:
 
 
 def encode_label(label: Column, scheme: str = "index") -> Column:
-    """``index`` = {positive 0, negative 1, neutral 2}; ``sign`` = {1, -1, else 0}."""
+    """``index`` = {positive 0, negative 1, neutral 2}; ``sign`` = {1, -1, 0}; no label, no code."""
     if scheme == "index":
         out = None
         for k, v in LABEL_INDEX.items():
@@ -70,7 +70,7 @@ def encode_label(label: Column, scheme: str = "index") -> Column:
         return out
     if scheme == "sign":
         return (F.when(label == "positive", F.lit(1)).when(label == "negative", F.lit(-1))
-                .otherwise(F.lit(0)))
+                .when(label == "neutral", F.lit(0)))
     raise ValueError("scheme must be 'index' or 'sign'")
 
 

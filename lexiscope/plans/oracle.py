@@ -23,8 +23,7 @@ def report_flat(with_positions: bool = False) -> str:
     """The flat report; ``with_positions`` keeps the first position of each tag
     and the reasons as a list (for the reference-format JSON)."""
     ns = ", ".join(f"g.n_{c}" for c in CATS)
-    label = s.md5_label_sql("d.doc_id")
-    conf = s.md5_conf_sql("d.doc_id")
+    label, conf = s.letter_softmax_sql("d.text")
     g_firsts = "".join(f", g.first_{c}" for c in CATS) if with_positions else ""
     firsts = "".join(f", first_{c}" for c in CATS) if with_positions else ""
     reasons = "rs" if with_positions else "array_to_string(rs, ',') AS reasons"
@@ -132,12 +131,10 @@ def rule_based_labels() -> str:
 
 def dictionary_profile() -> str:
     cats = ", ".join(f"count(*) FILTER (WHERE {c} <> 0) AS n_{c}" for c in CATS + ('complexity',))
-    return (f"WITH {s.derived_dictionary_cte()}, dc AS (SELECT upper(t) AS word, count(*) AS doc_count FROM "
-            f"(SELECT unnest(string_split_regex(text, '{s.TOKEN_SPLIT_RE2}')) AS t FROM documents) "
-            f"WHERE length(t) > 1 AND regexp_full_match(t, '[\\x00-\\x7f]+') GROUP BY 1) "
-            f"SELECT count(*) AS n_words, {cats}, CAST(sum(dc.doc_count) AS BIGINT) AS total_documents, "
+    return (f"WITH {s.derived_dictionary_cte()} "
+            f"SELECT count(*) AS n_words, {cats}, CAST(sum(doc_count) AS BIGINT) AS total_documents, "
             f"count(*) FILTER (WHERE dict.word IN ({s.STOPWORDS_SQL})) AS n_stopwords "
-            f"FROM dict JOIN dc ON dict.word = dc.word")
+            f"FROM dict")
 
 
 def dictionary_log() -> str:
@@ -202,7 +199,7 @@ def label_codes() -> str:
             f"SELECT doc_id, {s.numeric_label_sql('gs')} AS label FROM headlines) "
             f"SELECT doc_id, label, CASE label WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 "
             f"WHEN 'neutral' THEN 2 END AS label_index, CASE label WHEN 'positive' THEN 1 "
-            f"WHEN 'negative' THEN -1 ELSE 0 END AS label_sign FROM both_l")
+            f"WHEN 'negative' THEN -1 WHEN 'neutral' THEN 0 END AS label_sign FROM both_l")
 
 
 def input_guard() -> str:
@@ -428,7 +425,7 @@ def epoch_mean_loss() -> str:
 
 def epoch_last_eval() -> str:
     return (f"WITH {LOG} SELECT run, CAST(round_even(epoch, 0) AS INTEGER) AS epoch, "
-            f"arg_max(eval_loss, ts) AS eval_loss FROM log WHERE eval_loss IS NOT NULL AND epoch IS NOT NULL GROUP BY ALL")
+            f"arg_max(eval_loss, {{'t': ts, 'e': event_id}}) AS eval_loss FROM log WHERE eval_loss IS NOT NULL AND epoch IS NOT NULL GROUP BY ALL")
 
 
 def best_run() -> str:
@@ -487,13 +484,11 @@ def csv_pair_file() -> str:
 def dictionary_csv_profile() -> str:
     cats = ", ".join(f"count(*) FILTER (WHERE {c} <> 0) AS n_{c}" for c in CATS + ('complexity',))
     kept = " OR ".join(f"{c} > 0" for c in CATS)
-    return (f"WITH {s.derived_dictionary_cte()}, dc AS (SELECT upper(t) AS word, count(*) AS doc_count FROM "
-            f"(SELECT unnest(string_split_regex(text, '{s.TOKEN_SPLIT_RE2}')) AS t FROM documents) "
-            f"WHERE length(t) > 1 AND regexp_full_match(t, '[\\x00-\\x7f]+') GROUP BY 1) "
-            f"SELECT count(*) AS n_words, {cats}, CAST(sum(dc.doc_count) AS BIGINT) AS total_documents, "
+    return (f"WITH {s.derived_dictionary_cte()} "
+            f"SELECT count(*) AS n_words, {cats}, CAST(sum(doc_count) AS BIGINT) AS total_documents, "
             f"count(*) FILTER (WHERE dict.word IN ({s.STOPWORDS_SQL})) AS n_stopwords, "
             f"count(*) FILTER (WHERE ({kept}) OR dict.word IN ({s.STOPWORDS_SQL})) AS lookup_rows "
-            f"FROM dict JOIN dc ON dict.word = dc.word")
+            f"FROM dict")
 
 
 def text_corpus_reports() -> str:

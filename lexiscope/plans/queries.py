@@ -238,9 +238,12 @@ def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rule_vs_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred = lx.lexicon_signals(_docs(spark, sf_dir), _lookup(spark, "in_dictionary"),
+    """Predictions beside labels; only labelled documents are tagged."""
+    truth = fixtures.truth_labels(spark, sf_dir)
+    labelled = _docs(spark, sf_dir).join(truth.select("doc_id"), "doc_id", "left_semi")
+    pred = lx.lexicon_signals(labelled, _lookup(spark, "in_dictionary"),
                               litigious="drop").select("doc_id", F.col("lexicon_label").alias("pred"))
-    return fixtures.truth_labels(spark, sf_dir).join(pred, "doc_id")
+    return truth.join(pred, "doc_id")
 
 
 def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,11 +258,12 @@ def q_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_per_row_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: test-split rows with classifier label, confidence, bias and true label."""
-    flat = rp.report_table(_docs(spark, sf_dir), _lookup(spark))
+    test = _strat(spark, sf_dir).where(F.col("split") == "test")
+    docs = _docs(spark, sf_dir).join(test.select("doc_id"), "doc_id", "left_semi")
+    flat = rp.report_table(docs, _lookup(spark))
     sig = flat.select("doc_id", F.col("finbert_label").alias("sentiment"),
                       F.col("finbert_confidence").alias("confidence"),
                       "uncertainty", "litigious", "constraining", "bias_score", "bias_flag")
-    test = _strat(spark, sf_dir).where(F.col("split") == "test")
     return ev.per_row_results(sig, test)
 
 
@@ -337,7 +341,7 @@ def q_epoch_mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_epoch_last_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last eval loss per half-even-rounded epoch."""
-    return cv.epoch_last_eval(fixtures.training_log(spark, sf_dir), "run", "ts")
+    return cv.epoch_last_eval(fixtures.training_log(spark, sf_dir), "run", LOG_ORDER)
 
 
 def q_best_run(spark: SparkSession, sf_dir: str) -> DataFrame:

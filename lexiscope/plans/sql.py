@@ -39,9 +39,10 @@ def derived_dictionary_cte() -> str:
     cols = ", ".join(
         f"CASE WHEN {h} % {fixtures.DERIVED_BUCKETS} IN ({', '.join(map(str, cats.get(c, [-99])))}) "
         f"THEN {fixtures.FIXTURE_YEAR} ELSE 0 END AS {c}" for c in CATS + ("complexity",))
-    return (f"dwords AS (SELECT DISTINCT upper(t) AS word FROM (SELECT unnest(string_split_regex(text, "
-            f"'{TOKEN_SPLIT_RE2}')) AS t FROM documents) WHERE length(t) > 1 AND regexp_full_match(t, '[\\x00-\\x7f]+')), "
-            f"dict AS (SELECT word, {cols} FROM dwords)")
+    return (f"dwords AS (SELECT word, count(DISTINCT doc_id) AS doc_count FROM (SELECT doc_id, "
+            f"{py_upper_sql('t')} AS word FROM (SELECT doc_id, unnest(string_split_regex(text, "
+            f"'{TOKEN_SPLIT_RE2}')) AS t FROM documents) WHERE length(t) > 1) GROUP BY word), "
+            f"dict AS (SELECT word, doc_count, {cols} FROM dwords)")
 
 
 def lookup_cte(stopword_mode: str = "before_lookup", derived: bool = False) -> str:
@@ -124,14 +125,16 @@ def signals_query(source: str = "documents", id_col: str = "doc_id", text_col: s
             f"SELECT {signals_select(litigious, with_positions)} FROM counts c LEFT JOIN vote v ON c.id = v.id")
 
 
-def md5_label_sql(key: str) -> str:
-    h1 = f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::UBIGINT AS BIGINT)"
-    return f"(['positive', 'negative', 'neutral'])[({h1} % 3) + 1]"
-
-
-def md5_conf_sql(key: str) -> str:
-    h2 = f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 9, 8))::UBIGINT AS BIGINT)"
-    return f"round(({h2} % 10001) / 10000.0, 4)"
+def letter_softmax_sql(text: str) -> tuple[str, str]:
+    """Label and confidence of the stand-in classifier (letter counts of the whole text)."""
+    low = f"lower(coalesce({text}, ''))"
+    n = [f"CAST(length({low}) - length(replace({low}, {q(x)}, '')) AS DOUBLE)" for x in fixtures.CLASSIFIER_LETTERS]
+    total = f"greatest({' + '.join(n)}, 1.0)"
+    z = f"[{', '.join(f'CAST(4.0 AS DOUBLE) * {x} / {total}' for x in n)}]"
+    p = (f"list_transform([{z}], lambda l: list_transform(l, lambda x: exp(x - list_max(l)) / "
+         f"list_sum(list_transform(l, lambda y: exp(y - list_max(l))))))[1]")
+    label = f"(['positive', 'negative', 'neutral'])[list_position({p}, list_max({p}))]"
+    return label, f"round(list_max({p}), 4)"
 
 
 def lead_summary_sql(text: str) -> str:
@@ -165,12 +168,8 @@ def contractions_sql(x: str) -> str:
 
 
 def case_space_sql(x: str) -> str:
-    x = f"lower({x})"
-    x = f"regexp_replace({x}, '[{ASCII_WS_RE2}]+', ' ', 'g')"
-    x = f"regexp_replace({x}, '^ | $', '', 'g')"
-    x = f"replace(replace({x}, chr(10), ' '), chr(13), ' ')"
-    x = f"replace({x}, '?', '')"
-    return f"regexp_replace({x}, '^[{ASCII_WS_RE2}]+|[{ASCII_WS_RE2}]+$', '', 'g')"
+    collapsed = f"regexp_replace(lower({x}), '[{ASCII_WS_RE2}]+', ' ', 'g')"
+    return f"trim(replace({collapsed}, '?', ''), ' ')"
 
 
 def clean_text_sql(x: str) -> str:
@@ -197,16 +196,19 @@ NOISY_PREFIX_SQL = q(fixtures.NOISY_PREFIX)
 
 def labelled_sources_ctes() -> str:
     """``lab``, ``sentences(doc_id, sentiment, data)``, ``headlines(doc_id, title, gs)``."""
-    text = (f"CASE WHEN d.doc_id % 17 = 0 THEN NULL WHEN d.doc_id % 19 = 0 THEN '   ' "
-            f"ELSE {NOISY_PREFIX_SQL} || d.text END")
+    noisy = f"{NOISY_PREFIX_SQL} || d.text"
+    label = "CAST(sign(l.quality - l.toxic) AS DOUBLE) AS label_num, d.doc_id % 2 = 0 AS even"
+    src = "FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
     return (
-        f"lab AS (SELECT d.doc_id, {text} AS text, CAST(sign(l.quality - l.toxic) AS DOUBLE) AS label_num "
-        f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id), "
-        f"sentences AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN 'unknown' "
+        f"lab AS (SELECT d.doc_id, {noisy} AS text, FALSE AS unknown, {label} {src} "
+        f"UNION ALL SELECT -1 - 3 * d.doc_id, NULL, FALSE, {label} {src} WHERE d.doc_id % 17 = 0 "
+        f"UNION ALL SELECT -2 - 3 * d.doc_id, '   ', FALSE, {label} {src} WHERE d.doc_id % 19 = 0 "
+        f"UNION ALL SELECT -3 - 3 * d.doc_id, {noisy}, TRUE, {label} {src} WHERE d.doc_id % 23 = 0), "
+        f"sentences AS (SELECT doc_id, CASE WHEN unknown THEN 'unknown' "
         f"WHEN label_num > 0 THEN ' Positive ' WHEN label_num < 0 THEN '-1' ELSE 'neutral' END AS sentiment, "
-        f"text AS data FROM lab WHERE doc_id % 2 = 0), "
-        f"headlines AS (SELECT doc_id, text AS title, CASE WHEN doc_id % 23 = 0 THEN NULL "
-        f"ELSE label_num END AS gs FROM lab WHERE doc_id % 2 = 1)"
+        f"text AS data FROM lab WHERE even), "
+        f"headlines AS (SELECT doc_id, text AS title, CASE WHEN NOT unknown THEN label_num END AS gs "
+        f"FROM lab WHERE NOT even)"
     )
 
 

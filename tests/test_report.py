@@ -58,14 +58,14 @@ def test_caller_supplied_classifier(spark):
     assert len(flat) == 2 and all(r.finbert_label in rp.CLASS_LABELS for r in flat)
 
 
-def test_md5_stub_matches_definition(spark):
-    import hashlib
-    df = spark.createDataFrame([(7,), (123,)], "k long")
-    lab, conf = fixtures.md5_classifier(F.col("k"))
-    for r in df.select("k", lab.alias("l"), conf.alias("c")).collect():
-        h = hashlib.md5(str(r.k).encode()).hexdigest()
-        assert r.l == fixtures.CLASSIFIER_LABELS[int(h[:8], 16) % 3]
-        assert r.c == (int(h[8:16], 16) % 10001) / 10000
+def test_letter_stub_reads_the_whole_text(spark):
+    import math
+    # 3 g, 1 b, 0 k; nothing; the deciding letters at the end of a long text.
+    texts = ["Gig bug", None, "x" * 100_000 + "KkbK"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.cls_label, r.cls_conf) for r in rp.letter_stub_classifier(df, "doc_id", "text").collect()}
+    sure = round(math.exp(3.0) / (math.exp(3.0) + math.exp(1.0) + 1.0), 4)
+    assert got == {0: ("positive", sure), 1: ("positive", 0.3333), 2: ("neutral", sure)}
 
 
 def test_caller_supplied_summariser(spark):
