@@ -1,6 +1,6 @@
 """Tagger, vote and bias: traps of SURVEY 1.1 and a brute-force check."""
 
-import re
+import itertools
 
 import pytest
 
@@ -81,39 +81,29 @@ def test_broadcast_bound_is_checked(spark, sf):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def brute_force(text, entries):
-    """Plain-Python statement of the tagging rules (chain mode)."""
-    toks = [t for t in re.split(r"[,:'\s.]", text or "") if len(t) > 1]
-    tags = []
-    for t in toks:
-        u = t.upper()
-        if u in tx.STOPWORDS:
-            continue
-        e = entries.get(u)
-        tag = next((c for c in lx.CATEGORIES if e and e[c] > 0), "cns")
-        tags.append(tag)
-    counts = {}
-    for t in tags:
-        if t != "cns":
-            counts[t] = counts.get(t, 0) + 1
-    top = max(counts, key=counts.__getitem__) if counts else None
-    total = sum(counts.values())
-    sh = {c: (counts.get(c, 0) / total if total else 0.0) for c in lx.BIAS_CATEGORIES}
-    score = sum(sh[c] for c in lx.BIAS_CATEGORIES) / 3
-    return tags, top, score > 0.15
+SEPARATORS = set(",:'.") | {chr(c) for c in range(0x3001) if chr(c).isspace()}
+
+
+def by_character(text, tag_of):
+    """Tags of the kept words, the vote (most often, then first) and the flag, found character by character."""
+    runs = ("".join(g) for sep, g in itertools.groupby(text or "", SEPARATORS.__contains__) if not sep)
+    tags = [tag_of.get(r.upper(), "cns") for r in runs if len(r) > 1 and r.upper() not in tx.STOPWORDS]
+    voted = [t for t in tags if t != "cns"]
+    ranked = sorted(set(voted), key=lambda t: (-voted.count(t), voted.index(t)))
+    u, l, c = (voted.count(x) / len(voted) if voted else 0.0 for x in lx.BIAS_CATEGORIES)
+    return tags, ranked[0] if ranked else None, (u + l + c) / 3 > 0.15
 
 
 def test_against_brute_force(spark, sf):
-    entries = {}
-    for r in fixtures.fixture_dictionary_rows():
-        d = dict(zip(fixtures.DICTIONARY_COLUMNS, r))
-        entries[d["word"].upper()] = {c: d[c] for c in lx.CATEGORIES}
+    tag_of = {}
+    for cat in reversed(lx.CATEGORIES):  # an earlier category overrides
+        tag_of |= dict.fromkeys(fixtures.FIXTURE_CATEGORY_WORDS[cat], cat)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
     got = {r.doc_id: r for r in lx.lexicon_signals(docs, lk).collect()}
     lists = {r.doc_id: r.sentiment_list for r in lx.tag_lists(docs, lk).collect()}
     for d in docs.collect():
-        tags, top, flag = brute_force(d.text, entries)
+        tags, top, flag = by_character(d.text, tag_of)
         assert lists[d.doc_id] == tags
         assert got[d.doc_id].lexicon_tag == top
         assert got[d.doc_id].bias_flag == flag
