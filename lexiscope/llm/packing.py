@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiscope.llm.common import ready, written
-from lexiscope.llm.tokenise import default_path, texts, tokenizer
+from lexiscope.llm.tokenise import default_path, texts, tokenizer, until_done
 
 CAPACITY = 4096
 UNIT = 16
@@ -146,7 +146,7 @@ def _items(path: str, end_id: int, capacity: int, unit: int):
                                                        ids[start * width:(start + length) * width])):
                             rows[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in SCHEMA], SCHEMA.names)
-    return run
+    return until_done(run, path)
 
 
 SCHEMA = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("width", pa.int32()),

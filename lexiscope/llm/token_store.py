@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiscope.llm.common import ready
-from lexiscope.llm.tokenise import default_path, texts, tokenizer
+from lexiscope.llm.tokenise import default_path, texts, tokenizer, until_done
 from lexiscope.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -87,7 +87,7 @@ def _blocks(path: str, end_id: int, block_ids: int, bits: bool):
             out.append(row())
         if out:
             yield pa.RecordBatch.from_pylist(out, SCHEMA)
-    return run
+    return until_done(run, path)
 
 
 SCHEMA = pa.schema([

@@ -1,15 +1,15 @@
 """Token ids of whole texts by a public tokenizer file, word by word.
 
 The tokenizer splits at white space, and between letters and marks, before anything
-else, so the ids of a text are the ids of its words in order.  Each worker keeps the ids of the words it
-has met (at most ``CACHE_WORDS``; the table is emptied when full, which changes
+else, so the ids of a text are the ids of its words in order.  A task keeps the ids of the words it
+has met (at most ``CACHE_WORDS``; the table is emptied when full and when the task ends, which changes
 speed only).
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +41,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order; their numbers
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def forget(self) -> None:
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order; their numbers
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool = np.zeros(0, self.dtype)  # ids of all numbered words
 
     def encode_column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -59,13 +59,13 @@ class WordTokenizer:
             number = self._numbers(distinct)
             if (number < 0).any():
                 if len(self.keys) + len(distinct) > CACHE_WORDS:
-                    self._forget()
+                    self.forget()
                     number[:] = -1
                 new = np.flatnonzero(number < 0)
                 begin, end = s[first[new]].tolist(), e[first[new]].tolist()
                 words = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begin, end)]
                 number[new] = self._add(distinct[new], words)
-            size = self.size[number][back]
+            size = self.size[number][back].astype(np.int64)
             after = np.cumsum(size)
             ids = self.pool[np.repeat(self.begin[number][back] - after + size, size)
                             + np.arange(int(after[-1]) if len(after) else 0)]
@@ -74,16 +74,16 @@ class WordTokenizer:
     def _numbers(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of words by their hashes; -1 for new ones."""
         if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
+            return np.full(len(keys), -1, np.int32)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.number[at], -1)
+        return np.where(self.keys[at] == keys, self.number[at], np.int32(-1))
 
     def _add(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
         """Numbers of new words (given by ordered hashes), whose ids go to the pool."""
         got = [self._encode_all(words[k:k + 2048]) for k in range(0, len(words), 2048)]
-        numbers, size = len(self.begin) + np.arange(len(keys)), np.concatenate([n for _, n in got])
+        numbers, size = (len(self.begin) + np.arange(len(keys))).astype(np.int32), np.concatenate([n for _, n in got])
         self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
         self.pool = np.concatenate([self.pool, *(ids for ids, _ in got)])
         at = np.searchsorted(self.keys, keys)
         self.keys, self.number = np.insert(self.keys, at, keys), np.insert(self.number, at, numbers)
@@ -109,6 +109,17 @@ def tokenizer(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
+def until_done(run: Callable, path: str) -> Callable:
+    """``run`` as a task; when it ends, the reused worker gives up the task's words and free Arrow memory."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tokenizer(path).forget()
+            pa.default_memory_pool().release_unused()
+    return task
+
+
 def texts(tok: WordTokenizer, column: pa.Array) -> Iterator[np.ndarray]:
     """Ids of each text of a column."""
     for i, j, ids, where in tok.encode_column(column):
