@@ -63,10 +63,11 @@ def exact_part(c: Column, k: int) -> Column:
 def part_value(total: Column, k: int) -> Column:
     """A sum of part ``k`` as a double; powers of ten below 1 divide, as they are no exact doubles."""
     value, power = total.cast("double"), PART_DECADES * k
-    if power >= 0:
-        return value * F.lit(10.0 ** power) if k else value
-    near = min(-power, 300)  # 10**324 is no double
-    return value / F.lit(10.0 ** near) / F.lit(10.0 ** (-power - near))
+    near = min(abs(power), 300)  # 10**312 and 10**324 are no doubles
+    for step in (near, abs(power) - near):
+        if step:
+            value = value * F.lit(10.0 ** step) if power > 0 else value / F.lit(10.0 ** step)
+    return value
 
 
 def indexed_scan(df: DataFrame, group_col: str, order_cols: Sequence[str],
