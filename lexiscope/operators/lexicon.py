@@ -54,6 +54,8 @@ CODE_DROP = -1
 STOPWORD_MODES = ("before_lookup", "in_dictionary")
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+#: Keys over which each word is dealt where the lookup is too large to broadcast.
+SALTS = 32
 
 
 # --------------------------------------------------------------------------
@@ -156,18 +158,38 @@ def _tag_code(lookup: Lookup) -> Column:
     return expr.otherwise(F.coalesce(F.col("code"), F.lit(CODE_CNS)))
 
 
+def _looked_up(tokens: DataFrame, lookup: Lookup, id_col: str) -> DataFrame:
+    """``tokens`` with their word's ``code``, by broadcast or, beyond its bound, a shuffled join.
+
+    In the shuffled join no word is one key: each is dealt over ``SALTS`` keys, to which the
+    lookup is repeated, and rows that the lookup cannot change get keys of their own.
+    """
+    if lookup.broadcast:
+        return tokens.join(lookup.join_side(), F.col("_u") == F.col("word"), "left")
+    settled = F.col("token").isNull() | ~tx.is_word(F.col("token"))
+    if lookup.stopword_mode == "before_lookup":
+        settled = settled | F.col("_u").isin(list(tx.STOPWORDS))
+    place = F.xxhash64(id_col, "pos")
+    dealt = (tokens.withColumn("_k", F.when(settled, "").otherwise(F.col("_u")))
+             .withColumn("_s", F.when(settled, place).otherwise(F.pmod(place, F.lit(SALTS)))))
+    salted = lookup.join_side().withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    same = (F.col("_k") == F.col("word")) & (F.col("_s") == F.col("salt"))
+    return dealt.join(salted.hint("merge"), same, "left")
+
+
 def tag_tokens(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
                text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Exploded, tagged tokens: ``(id, *carry, pos, token, code)``; code null = dropped.
 
-    The upper-cased token is projected once and serves both as the join key
-    and for the stopword test.
+    Pieces that are no word are left out before the lookup, but for a document's
+    first one: every document keeps a row.  The upper-cased token is projected once
+    and serves both as the join key and for the stopword test.
     """
     exploded = docs.select(
         F.col(id_col), *[F.col(c) for c in carry],
         F.posexplode_outer(tx.split_tokens(F.col(text_col))).alias("pos", "token"),
-    ).withColumn("_u", F.upper(F.col("token")))
-    joined = exploded.join(lookup.join_side(), F.col("_u") == F.col("word"), "left")
+    ).where(tx.is_word(F.col("token")) | (F.coalesce("pos", F.lit(0)) == 0))
+    joined = _looked_up(exploded.withColumn("_u", F.upper(F.col("token"))), lookup, id_col)
     return joined.select(id_col, *carry, "pos", "token", _tag_code(lookup).alias("code"))
 
 

@@ -2,9 +2,8 @@
 
 ROUGE-1/2 are relational: both texts are tokenised and turned into n-gram
 arrays on the row, exploded with a side flag, and counted per
-``(pair, n, gram)``.  All grams of a pair come from one row, so the map-side
-partial aggregate already holds complete counts; the shuffle moves distinct
-grams only.  ROUGE-L/Lsum need a longest common subsequence, which has no
+``(pair, n, gram)``.  The pair rows are dealt by their key before that, so both
+aggregates run where the pair lies and no gram is shuffled.  ROUGE-L/Lsum need a longest common subsequence, which has no
 relational form: it runs in an Arrow ``pandas_udf`` (numpy row-wise DP, one
 row of the DP table in memory for ROUGE-L).
 """
@@ -12,6 +11,7 @@ row of the DP table in memory for ROUGE-L).
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -50,10 +50,14 @@ def _fmeasure(p: Column, r: Column) -> Column:
 
 
 def rouge_n(pairs: DataFrame, key_cols: list[str], pred_col: str, ref_col: str,
-            orders: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """Per pair ``rouge{n}_p/_r/_f`` for each order (pairs with no tokens score 0)."""
-    toks = pairs.select(*key_cols, rouge_tokens(F.col(pred_col)).alias("tp"),
-                        rouge_tokens(F.col(ref_col)).alias("tr"))
+            orders: tuple[int, ...] = (1, 2), tokenise: Callable[[Column], Column] = rouge_tokens) -> DataFrame:
+    """Per pair ``rouge{n}_p/_r/_f`` for each order (pairs with no tokens score 0).
+
+    ``tokenise`` turns a text column into an array of tokens (a stemmer can be plugged in there).
+    The short pair rows are dealt by pair once; their n-grams never move.
+    """
+    toks = pairs.select(*key_cols, tokenise(F.col(pred_col)).alias("tp"),
+                        tokenise(F.col(ref_col)).alias("tr")).repartition(*key_cols)
     grams = F.array(*[
         F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), ngrams(F.col(col), n).alias("g"))
         for n in orders for side, col in (("p", "tp"), ("r", "tr"))])
@@ -196,9 +200,12 @@ def word_count(text: Column) -> Column:
 
 
 def summary_checks(df: DataFrame, article_col: str, summary_col: str,
-                   scores: DataFrame | None = None, key_cols: list[str] | None = None) -> DataFrame:
+                   scores: DataFrame | None = None, key_cols: list[str] | None = None,
+                   max_tokens: int = MAX_SUMMARY_TOKENS) -> DataFrame:
     """One row of check counts; whitespace words stand in for sub-word tokens.
 
+    ``max_tokens``: a summary's length limit (128 for the sentence-level summariser).
+
     With ``scores`` (per-pair ``rouge1_f``/``rouge2_f`` keyed by ``key_cols``,
     e.g. from :func:`rouge_n`) the corpus means and the ROUGE floor check are
     added; the scores are equi-joined per pair before the single aggregate.
@@ -210,10 +217,10 @@ def summary_checks(df: DataFrame, article_col: str, summary_col: str,
         F.count(F.lit(1)).alias("n"),
         F.count_if(stripped == "").alias("n_empty"),
         F.count_if(s_words < MIN_SUMMARY_TOKENS).alias("n_too_short"),
-        F.count_if(s_words > MAX_SUMMARY_TOKENS).alias("n_too_long"),
+        F.count_if(s_words > max_tokens).alias("n_too_long"),
         F.count_if(s_words / F.greatest(a_words, F.lit(1)) >= MAX_COMPRESSION)
         .alias("n_not_compressed"),
-        F.count_distinct(F.col(summary_col)).alias("n_distinct"),
+        F.count_distinct(F.sha2(F.col(summary_col), 256)).alias("n_distinct"),  # digests move, not texts
     ]
     if scores is not None:
         df = df.join(scores.select(*key_cols, "rouge1_f", "rouge2_f"), key_cols, "left")

@@ -507,6 +507,7 @@ def softmax_from_counts() -> str:
 ORACLES = {
     "lexicon_signals": lexicon_signals,
     "report_flat": report_flat,
+    "lexicon_signals_shuffled": lexicon_signals,
     "lexicon_signals_derived": lexicon_signals_derived,
     "lexicon_signals_rowwise": lexicon_signals,
     "report_checks": report_checks,

@@ -160,11 +160,12 @@ def read_run_metrics(spark: SparkSession, path: str, metric_key: str = "final_te
 
 
 def read_training_log(spark: SparkSession, root: str) -> DataFrame:
-    """``log_history`` of the newest ``checkpoint-*/trainer_state.json`` (by mtime)."""
+    """``log_history`` of the newest ``checkpoint-*/trainer_state.json`` (by mtime, then path).
+
+    The files are listed first (without their contents); only the newest is read.
+    """
     pattern = f"{root.rstrip('/')}/checkpoint-*/trainer_state.json"
-    df = spark.read.option("multiLine", "true").json(pattern).select(
-        "log_history", F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("_metadata.file_path").alias("path"))
-    newest = df.agg(F.max_by("path", "mtime").alias("path"))
-    rec = df.join(newest, "path").select(F.explode("log_history").alias("r"))
-    return rec.select("r.*")
+    listed = spark.read.format("binaryFile").load(pattern)
+    newest = listed.agg(F.max(F.struct("modificationTime", "path")).alias("f")).select("f.path").first()["path"]
+    log = spark.read.option("multiLine", "true").json(newest)
+    return log.select(F.explode("log_history").alias("r")).select("r.*")

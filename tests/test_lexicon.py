@@ -125,6 +125,18 @@ def test_tagging_shapes_agree(spark, sf, mode, litigious):
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
 
 
+@pytest.mark.parametrize("mode", lx.STOPWORD_MODES)
+def test_shuffled_lookup_agrees(spark, sf, mode):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(
+        spark.createDataFrame([(-1, None), (-2, ""), (-3, ", the . LOSS a"), (-4, "x : loss")], "doc_id long, text string"))
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark), stopword_mode=mode)
+    shuffled = lx.prepare_lookup(fixtures.fixture_dictionary(spark), stopword_mode=mode, max_broadcast_rows=3)
+    for fn in (lx.lexicon_signals, lx.token_tags):
+        a, b = fn(docs, lk), fn(docs, shuffled)
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    assert lx.lexicon_signals(docs, shuffled).count() == docs.count()
+
+
 def test_dictionary_log_format(spark):
     counts = {"negative": 2355, "positive": 354, "uncertainty": 297, "litigious": 905,
               "strong_modal": 19, "weak_modal": 27, "constraining": 184, "complexity": 53}

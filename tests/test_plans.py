@@ -15,6 +15,21 @@ def test_flagship_tagging_plan(spark, sf):
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
 
 
+def test_shuffled_lookup_has_no_hot_key(spark, sf):
+    p = plan(QUERIES["lexicon_signals_shuffled"](spark, sf))
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+    dealt = [x for x in p.splitlines() if "Exchange hashpartitioning(_" in x]
+    assert dealt and all("_k#" in x and "_s#" in x for x in dealt)  # by word and salt
+    below = p[p.index(dealt[0]):]
+    assert "length(token" in below  # pieces that are no word stay behind the exchange
+
+
+def test_rouge_n_moves_pairs_once(spark):
+    from lexiscope.operators.rouge import rouge_n
+    df = spark.createDataFrame([(1, "a b", "a c")], "k int, p string, r string")
+    assert plan(rouge_n(df, ["k"], "p", "r")).count("Exchange") == 1
+
+
 def test_rowwise_shape_has_no_exchange(spark, sf):
     p = plan(QUERIES["lexicon_signals_rowwise"](spark, sf))
     assert "Exchange" not in p and "Join" not in p

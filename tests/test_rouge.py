@@ -2,6 +2,7 @@
 
 import random
 
+from pyspark.sql import functions as F
 
 from lexiscope.operators import rouge as rg
 
@@ -42,6 +43,14 @@ def test_rouge_n_matches_brute_force(spark):
         assert abs(got[i].rouge1_f - brute_rouge_n(p, r, 1)) < 1e-12
         assert abs(got[i].rouge2_f - brute_rouge_n(p, r, 2)) < 1e-12
     assert got[0].rouge1_f == 1.0 and got[0].rouge2_f == 1.0
+    by_letter = rg.rouge_n(df, ["k"], "p", "r", orders=(1,), tokenise=lambda c: F.split(F.lower(c), ""))
+    assert by_letter.where("k = 0").first().rouge1_f == 1.0
+
+
+def test_summary_length_limit(spark):
+    df = spark.createDataFrame([("w " * 300, "w " * 130), ("w " * 300, "w " * 120)], "a string, s string")
+    assert rg.summary_checks(df, "a", "s").first().n_too_long == 0
+    assert rg.summary_checks(df, "a", "s", max_tokens=128).first().n_too_long == 1
 
 
 def test_rouge_l_identity_and_bounds(spark):
