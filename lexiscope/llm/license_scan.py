@@ -6,6 +6,13 @@ line, or the whole text if it has several lines.  With ``a`` and ``b`` bigrams,
 ``[b t / (2 - t), b (2 - t) / t]``; other units are pruned before bigrams are built.  Units
 meet templates on a shared bigram (a constant, broadcast table), never in a cross join.
 
+A notice that is wrapped over lines or shares its line with other words is no unit.  ``find_notices``
+compares every run of words of the whole text (a *window*) within the same size bounds.  Only windows
+that begin and end on a shared bigram are built: cutting any other bigram off an end leaves the shared
+ones as they are and raises Dice.  An occurrence of a bigram counts in a window from ``s`` if the
+template's number of earlier ones doesn't lie between ``s`` and it, so running ranks give the exact
+multiset intersection of all windows from ``s``.
+
 Built-in functions only.
 """
 
@@ -89,3 +96,38 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
     return scored.groupBy("doc_id", "row", "line").agg(
         F.min(F.struct((-F.col("dice")).alias("d"), "template")).alias("b")).select(
         "doc_id", "line", F.col("b.template").alias("template"), F.round(-F.col("b.d"), 9).alias("dice"))
+
+
+def find_notices(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """Windows of the whole texts that reach ``threshold``: ``doc_id, template, start_word, n_words, dice``
+    (``start_word``: 0-based, over all lines).
+
+    Each template is on its own: of its windows the most similar one is taken (on a tie the first, then
+    the shortest), then the next that shares no word with those taken, and so on.  Rows as in ``find_licenses``.
+    """
+    t = template_bigrams(docs.sparkSession, templates, threshold)
+    known = sorted({r["bigram"] for r in t.select("bigram").distinct().collect()})  # constant: the templates' own
+    firsts = sorted({b.split(" ")[0] for b in known})
+    texts = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), word_array("text").alias("w"))
+    at = F.filter(F.expr("if(size(w) < 2, cast(array() as array<int>), sequence(0, size(w) - 2))"),
+                  lambda i: F.get("w", i).isin(firsts) & F.concat(F.get("w", i), F.lit(" "), F.get("w", i + 1)).isin(known))
+    places = texts.select("doc_id", "row", "w", at.alias("at")).select(
+        "doc_id", "row", F.expr("transform(at, p -> struct(p, concat(w[p], ' ', w[p + 1]) as bigram))").alias("at"))
+    # One row for each different bigram of a text, with its places; an outer generator as above.
+    grams = places.select("doc_id", "row", "at", F.explode_outer(F.expr("array_distinct(at.bigram)")).alias("bigram")).select(
+        "doc_id", "row", "bigram", F.expr("transform(filter(at, x -> x.bigram = bigram), x -> x.p)").alias("ps"))
+    hits = (grams.join(F.broadcast(t), "bigram")
+            .groupBy("doc_id", "row", "template", "t_size", "lo", "hi")
+            .agg(F.sum(F.least(F.size("ps"), "t_count")).alias("both"), F.expr(
+                "sort_array(flatten(collect_list(transform(ps, (p, i) -> struct(p, "
+                "if(i < t_count, -1, ps[cast(i - t_count as int)]) as before)))))").alias("g"))
+            .where("both >= lo"))
+    ends = """filter(transform(filter(slice(g, i + 1, cast(hi as int)), x -> x.p < g[i].p + hi and x.before < g[i].p),
+        (x, r) -> struct(-2.0D * (r + 1) / (x.p - g[i].p + 1 + t_size) as d, g[i].p as start_word,
+        x.p - g[i].p + 2 as n_words)), x -> x.d <= -{0}D)"""
+    spans = hits.select("doc_id", "row", "template", F.expr(f"""array_sort(flatten(transform(
+        filter(sequence(0, size(g) - 1), i -> get(g, cast(i + lo - 1 as int)).p < g[i].p + hi), i -> {ends.format(threshold)})))""").alias("c"))
+    taken = spans.select("doc_id", "row", "template", F.expr("""aggregate(c, slice(c, 1, 0), (a, x) -> if(exists(a, y ->
+        x.start_word < y.start_word + y.n_words and y.start_word < x.start_word + x.n_words), a, concat(a, array(x))))""").alias("c"))
+    return taken.select("doc_id", "row", "template", F.expr("inline_outer(c)")).where("d is not null").select(
+        "doc_id", "template", "start_word", "n_words", F.round(-F.col("d"), 9).alias("dice"))

@@ -53,7 +53,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.find_licenses(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.find_licenses(docs).unionByName(license_scan.find_notices(docs), allowMissingColumns=True)
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexiscope.llm import license_scan, secret_scan
+from lexiscope.llm import license_scan, queries, secret_scan
 from lexiscope.llm.secret_scan import BASE, FURTHER, RULES, trigram_query, trigrams_in
 
 SECRETS = [
@@ -121,6 +122,62 @@ def test_licenses_match_brute_force(make_docs, no_docs, odd_texts):
     assert license_scan.find_licenses(no_docs).count() == 0
 
 
+def brute_notices(text):
+    """All windows of every size, taken greedily for each template: (template, start, words, dice)."""
+    w, out = words(text), []
+    for name, t in license_scan.TEMPLATES.items():
+        v = Counter(zip(words(t), words(t)[1:]))
+        t_size, found = sum(v.values()), []
+        for a in range(len(w)):
+            seen, both = Counter(), 0
+            for b in range(a + 1, min(len(w), a + 2 * t_size)):
+                g = w[b - 1], w[b]
+                seen[g] += 1
+                both += seen[g] <= v[g]
+                if (dice := 2 * both / (b - a + t_size)) >= license_scan.THRESHOLD:
+                    found.append((-dice, a, b - a + 1))
+        taken = []
+        for d, a, n in sorted(found):
+            if all(a >= x + m or x >= a + n for _, x, m in taken):
+                taken.append((d, a, n))
+        out += [(name, a, n, round(-d, 6)) for d, a, n in taken]
+    return out
+
+
+def test_notices_match_all_windows(make_docs, no_docs, odd_texts):
+    mit, gpl, isc = (license_scan.TEMPLATES[k] for k in ("MIT", "GPL-3.0", "ISC"))
+    mid = "This package is free. Released under the MIT License. See LICENSE."
+    file = "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + textwrap.fill(mit, 78) + "\n\n" + textwrap.fill(
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. " + "The software is provided as is, without warranty of any kind, express or implied. " * 4, 78)
+    part = gpl.split()
+    texts = [
+        (3100, mid), (3101, file), (3102, "import x\n" + textwrap.fill(gpl, 70, initial_indent="# ", subsequent_indent="#   ")
+                                    + "\n" + "x = 1\n" * 90),
+        (3103, f"{mid}\n" * 3 + isc), (3104, "a " * 80 + " ".join(part[:28]) + " b" * 80),
+        (3105, " ".join(" ".join([x, "added"] if k % 9 == 0 else [x]) for k, x in enumerate(part)) + " c" * 80),
+        (3106, gpl + " " + mit), (3107, f"{mit} {mit} {mit}"), (3108, "under the MIT of the MIT " * 40),
+        (3109, "Released under\n the MIT\n\tLicense"), (3100, mid)]
+    docs = [x for x in odd_texts if x[0] != 1005] + texts
+    got = Counter((r["doc_id"], r["template"], r["start_word"], r["n_words"], round(r["dice"], 6))
+                  for r in license_scan.find_notices(make_docs(docs)).collect())
+    assert got == Counter((i, *x) for i, t in docs for x in brute_notices(t or ""))
+    kinds = Counter((i, name) for i, name, *_ in got.elements())
+    assert kinds[3100, "MIT-notice"] == 2 and kinds[3101, "MIT"] == 1 and kinds[3102, "GPL-3.0"] == 1
+    assert kinds[3103, "MIT-notice"] == 3 and kinds[3103, "ISC"] == 1 and kinds[3107, "MIT"] == 3
+    assert kinds[3106, "GPL-3.0"] == kinds[3106, "MIT"] == kinds[3104, "GPL-3.0"] == kinds[3105, "GPL-3.0"] == 1
+    long = [x for x in odd_texts if x[0] == 1005] + [(3110, "w " * 100_000 + file)]
+    assert [r["template"] for r in license_scan.find_notices(make_docs(long)).collect()] == ["MIT"]
+    assert license_scan.find_notices(no_docs).count() == 0
+
+
+def test_query_reports_wrapped_notices(spark, tmp_path):
+    text = "x\n" + textwrap.fill(license_scan.TEMPLATES["MIT"], 78) + "\n" + "more words follow here\n" * 40
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_license_lines(spark, str(tmp_path)).collect()
+    assert [(r["doc_id"], r["line"], r["template"], r["dice"]) for r in got] == [(1, None, "MIT", 1.0)]
+
+
 @pytest.mark.parametrize("kind", ["assign", "hex"])
 def test_kinds_are_named_as_in_the_contract(kind):
     assert kind in {r.kind for r in BASE}
