@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from lexiscope.llm.common import bounded_sample, ready, words_of, written
 
 TOXIC_DOCS, CLEAN_DOCS = 2_000, 8_000
 LINES = 2_000  # of each kind: with and without a seed
-LINE_WORDS = 400  # longer lines are no training lines
+LINE_WORDS = 400  # longer lines are cut into training lines of at most so many words
 MAX_SEEDS = 5_000
 DIM = 1 << 15
 STEPS = 40
@@ -96,7 +97,9 @@ class Chain:
         return np.array(out)
 
     def fit(self, lines: list[tuple[list[tuple[int, ...]], list[int]]], steps: int = STEPS) -> None:
-        """Adaptive gradient ascent on the mean log-likelihood of lines of (features, labels)."""
+        """Adaptive gradient ascent on the mean log-likelihood of lines of (features, labels); no line changes nothing."""
+        if not lines:
+            return
         lines = sorted(lines, key=lambda x: (-len(x[0]), x))
         lengths = np.array([len(x[0]) for x in lines])
         tokens = [f for x in lines for f in x[0]]
@@ -151,6 +154,11 @@ def line_words(text: str) -> list[list[str]]:
     return [w for w in (line.split() for line in text.split("\n")) if w]
 
 
+def training_lines(text: str) -> list[list[str]]:
+    """Words of each line that has one, long lines cut into runs of at most ``LINE_WORDS``."""
+    return [w[k:k + LINE_WORDS] for w in line_words(text) for k in range(0, len(w), LINE_WORDS)]
+
+
 SCORED = "top double, expected double, n_toxic_words long, spans array<struct<start: long, end: long, marginal: double>>"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))
 
@@ -235,7 +243,7 @@ def fit(training: DataFrame, labels: DataFrame | None = None) -> Chain:
     same rows).  Nulls are left out; an id with several labels counts as toxic if one says so.
 
     At most ``TOXIC_DOCS`` and ``CLEAN_DOCS`` different texts are used, and ``2 * LINES`` of their lines
-    reach the driver.  Without both kinds of documents the chain scores every text low.
+    reach the driver; a line of more than ``LINE_WORDS`` words counts as several.  Without both kinds of documents the chain scores every text low.
     """
     ready(training.sparkSession)
     chain = Chain()
@@ -252,11 +260,10 @@ def fit(training: DataFrame, labels: DataFrame | None = None) -> Chain:
         for batch in batches:
             out = []
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for words in line_words(text):
-                    if len(words) <= LINE_WORDS:
-                        y = [int(bool(toxic) and w.lower().strip(STRIP) in seeds) for w in words]
-                        line = " ".join(words)
-                        out.append((line, y, int(any(y)), zlib.crc32(line.encode())))
+                for words in training_lines(text):
+                    y = [int(bool(toxic) and w.lower().strip(STRIP) in seeds) for w in words]
+                    line = " ".join(words)
+                    out.append((line, y, int(any(y)), zlib.crc32(line.encode())))
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.list_(pa.int32())),
@@ -267,7 +274,8 @@ def fit(training: DataFrame, labels: DataFrame | None = None) -> Chain:
     chosen = []
     for kind in (0, 1):
         chosen += lines.where(f"kind = {kind}").orderBy("h", "line").limit(LINES).select("line", "y").collect()
-    chain.fit([([word_features(w) for w in r["line"].split()], list(r["y"])) for r in chosen])
+    features = cache(word_features)  # one tuple a word, not a token
+    chain.fit([([features(w) for w in r["line"].split()], list(r["y"])) for r in chosen])
     measured = score_marginals(sample.select("text", F.col("toxic").alias("label")), chain).select(
         "label", "top", "expected").collect()  # two numbers for each document of the sample
     chain.calibration = fit_logistic(np.array([[r["top"], r["expected"]] for r in measured]),

@@ -253,3 +253,32 @@ def test_toxicity_of_odd_rows(spark, make_docs, no_docs, odd_texts):
     assert toxicity.score_documents(no_docs, chain).count() == 0
     nothing = toxicity.score_documents(source, toxicity.fit(spark.createDataFrame([], "doc_id long, text string, toxic int")))
     assert {r["predicted"] for r in nothing.collect()} == {0}
+
+
+def test_toxicity_learns_from_long_lines(spark):
+    rng = np.random.default_rng(7)
+
+    def text(i, toxic):
+        words = [f"plain{x}" for x in rng.integers(0, 300, 500 + i % 700)]
+        for at in rng.integers(0, len(words), 4 if toxic else 0):
+            words[at] = "vilewretch"
+        return " ".join(words)
+
+    rows = [(i, text(i, i % 4 == 0), int(i % 4 == 0)) for i in range(240)]
+    schema = "doc_id long, text string, toxic int"
+    chain = toxicity.fit(spark.createDataFrame(rows[:160], schema))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(spark.createDataFrame(rows[160:], schema), chain).collect()}
+    assert got == {i: toxic for i, _, toxic in rows[160:]}
+
+
+def test_long_lines_are_cut_whole():
+    words = [f"w{i}" for i in range(2 * toxicity.LINE_WORDS + 1)]
+    lines = toxicity.training_lines("a b\n\n" + " ".join(words) + "\nc")
+    assert [len(x) for x in lines] == [2, toxicity.LINE_WORDS, toxicity.LINE_WORDS, 1, 1]
+    assert sum(lines, []) == ["a", "b", *words, "c"]
+
+
+def test_training_without_lines():
+    chain = toxicity.Chain()
+    chain.fit([])
+    assert not chain.w.any() and chain.bias == toxicity.Chain().bias
