@@ -1,11 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest.
+"""N-gram Jaccard join by MinHash banding of fixed depth.
 
-Every text has a MinHash signature of ``TREES * MAX_DEPTH`` values over its shingles of five
-words; tree t holds the texts sorted by the t-th run of ``MAX_DEPTH`` values, so texts with a
-common prefix of length d are neighbours in it (a prefix trie).  Two texts of
-similarity s share a prefix of length d in some tree with probability 1 - (1 - s^d)^TREES:
-matched prefixes are shortened from ``MAX_DEPTH`` until that reaches ``RECALL`` at the
-threshold.  The runs of texts with a common prefix are linked by stars (a row for each
+Every text has ``TREES`` bands of MinHash values over its shingles of five words; texts that agree in
+all values of a band are candidates.  Two texts of similarity s agree in some band of d values with
+probability 1 - (1 - s^d)^TREES; d is the most values, up to ``MAX_DEPTH``, that reach ``RECALL`` at the
+threshold (4 at 0.8).  This replaces an LSH forest (sorted prefix tries, prefixes shortened adaptively): the
+threshold is fixed, so the depth at which a forest would stop is known beforehand, and links at longer
+prefixes are among those at this one.  The texts of equal bands are linked by stars (a row for each
 member, never a pair), and the texts of one star component meet once, in blocks of ``BLOCK``,
 where all their pairs are verified by exact Jaccard similarity of their shingle sets.
 
@@ -36,37 +36,41 @@ BROADCAST_ROWS = 1_000_000
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, recall: float) -> int:
-    """The longest prefix that reaches ``recall`` at ``threshold`` (1 if none does)."""
+    """The most values of a band that reach ``recall`` at ``threshold`` (1 if none does)."""
     for d in range(max_depth, 1, -1):
         if 1 - (1 - threshold ** d) ** trees >= recall:
             return d
     return 1
 
 
-def signatures(h: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
-    """``n`` MinHash values (uint32) of each text's shingles; texts without one get the largest value."""
-    out = np.full((len(begin) - 1, n), 0xFFFFFFFF, np.uint32)
+def signatures(h: np.ndarray, begin: np.ndarray, n: int, used: list[int] | None = None) -> np.ndarray:
+    """MinHash values (uint32) of each text's shingles by ``n`` hashes, or by those of them in ``used``; texts without
+    a shingle get the largest value."""
+    used = list(range(n)) if used is None else used
+    out = np.full((len(begin) - 1, len(used)), 0xFFFFFFFF, np.uint32)
     full = np.flatnonzero(np.diff(begin) > 0)
     if len(full):
         low = (h >> U(32)).astype(np.uint32)
         seed = mix(np.arange(1, 2 * n + 1, dtype=U))
-        for j in range(n):
+        for i, j in enumerate(used):
             a, b = np.uint32(int(seed[2 * j]) & 0xFFFFFFFF | 1), np.uint32(int(seed[2 * j + 1]) >> 32)
-            out[full, j] = np.minimum.reduceat((low ^ b) * a, begin[full])
+            out[full, i] = np.minimum.reduceat((low ^ b) * a, begin[full])
     return out
 
 
 def _sign(k: int, trees: int, max_depth: int, depth: int):
+    used = [t * max_depth + d for t in range(trees) for d in range(depth)]
+
     def run(batches):
         for batch in batches:
             for i, j, words, where in text_chunks(batch.column("text"), CHUNK):
                 h, begin = shingle_hashes(words, where, k)
-                sig = signatures(h, begin, trees * max_depth)
+                sig = signatures(h, begin, trees * max_depth, used)
                 label = np.empty((j - i, trees), U)
                 for t in range(trees):
                     x = np.full(j - i, t + 1, U)
                     for d in range(depth):
-                        x = mix(x + sig[:, t * max_depth + d].astype(U))
+                        x = mix(x + sig[:, t * depth + d].astype(U))
                     label[:, t] = x
                 some = np.diff(begin) > 0
                 flat = label[some].view(np.int64).ravel()

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexiscope.llm import decontaminate, ngram_join
@@ -179,3 +180,12 @@ def test_index_holds_everything_within_the_radius(spark):
     for r in parts:
         back[r["fp"]] |= r["value"] << (8 * r["block"])
     assert all(v == k % (1 << 64) for k, v in back.items())
+
+
+def test_only_read_hashes_are_computed(monkeypatch):
+    asked, plain = [], ngram_join.signatures
+    monkeypatch.setattr(ngram_join, "signatures", lambda *a: asked.append(a[3]) or plain(*a))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "node": ["a", "b"], "text": ["one two three four five six", ""]})
+    runs = [r for b in ngram_join._sign(5, 16, 8, 4)([batch]) for r in b.column("runs").to_pylist()]
+    assert [len(r) for r in runs] == [16, 0]
+    assert asked == [[8 * t + d for t in range(16) for d in range(4)]]
