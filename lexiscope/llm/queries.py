@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiscope.llm import (decontaminate, katz_lm, language_id, license_scan, ngram_join, packing, quality_rules,
-                           secret_scan, token_store, toxicity)
+                           secret_scan, token_store, toxicity, url_reputation)
 from lexiscope.llm.common import crc_mod
+from lexiscope.llm.oracles import OP13
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,8 +81,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "predicted", "n_toxic_words", "spans")
 
 
+def op13_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = url_reputation.outcomes_of(table(spark, sf_dir, "labels"))
+    return url_reputation.judge(table(spark, sf_dir, "pages"), outcomes).select(
+        "page_id", "host", "path", "rule", "verdict", "n_labelled")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_katz_scores, op2_benchmark_leaks, op3_packing, op4_secret_spans, op5_language_id, op6_license_lines,
-    op7_token_store, op8_quality_verdicts, op9_ngram_join, op10_toxicity)}
+    op7_token_store, op8_quality_verdicts, op9_ngram_join, op10_toxicity, op13_url_verdicts)}
 
-ORACLES: dict = {}
+ORACLES: dict = {"op13_url_verdicts": OP13}
