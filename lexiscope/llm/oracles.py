@@ -49,3 +49,24 @@ select r.page_id, r.host, r.path, r.rule,
        tail.n as n_labelled
 from r join tail using (host)
 """
+
+OP11 = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label = e.label as same, e.vec_id, list_dot_product(a.q, e.q)::bigint as score
+  from e as a join e on a.vec_id % 100 = 0 and a.vec_id <> e.vec_id),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::integer as rank
+  from p join s using (anchor_id)
+  where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""

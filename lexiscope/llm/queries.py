@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiscope.llm import (decontaminate, katz_lm, language_id, license_scan, ngram_join, packing, quality_rules,
-                           secret_scan, token_store, toxicity, url_reputation)
+from lexiscope.llm import (decontaminate, hard_negatives, katz_lm, language_id, license_scan, ngram_join, packing,
+                           quality_rules, secret_scan, token_store, toxicity, url_reputation)
 from lexiscope.llm.common import crc_mod
-from lexiscope.llm.oracles import OP13
+from lexiscope.llm.oracles import OP11, OP13
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "predicted", "n_toxic_words", "spans")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    rows = hard_negatives.integer_rows(given)
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op13_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = url_reputation.outcomes_of(table(spark, sf_dir, "labels"))
     return url_reputation.judge(table(spark, sf_dir, "pages"), outcomes).select(
@@ -89,6 +96,6 @@ def op13_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_katz_scores, op2_benchmark_leaks, op3_packing, op4_secret_spans, op5_language_id, op6_license_lines,
-    op7_token_store, op8_quality_verdicts, op9_ngram_join, op10_toxicity, op13_url_verdicts)}
+    op7_token_store, op8_quality_verdicts, op9_ngram_join, op10_toxicity, op11_hard_negatives, op13_url_verdicts)}
 
-ORACLES: dict = {"op13_url_verdicts": OP13}
+ORACLES: dict = {"op11_hard_negatives": OP11, "op13_url_verdicts": OP13}
