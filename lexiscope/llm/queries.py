@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiscope.llm import (decontaminate, hard_negatives, katz_lm, language_id, license_scan, ngram_join, packing,
+from lexiscope.llm import (conversation_repair, decontaminate, hard_negatives, katz_lm, language_id, license_scan, ngram_join, packing,
                            quality_rules, secret_scan, token_store, toxicity, url_reputation)
 from lexiscope.llm.common import crc_mod
 from lexiscope.llm.oracles import OP11, OP13
@@ -88,6 +88,25 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with the damage that the check sum of ``conv_id:turn`` names; dropped ones are marked ``absent``."""
+    def text(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("kind"))
+    rows = rows.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(
+            F.col("text")).alias("text"), (F.col("kind") == 0).alias("absent"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    return rows.drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audits(damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = url_reputation.outcomes_of(table(spark, sf_dir, "labels"))
     return url_reputation.judge(table(spark, sf_dir, "pages"), outcomes).select(
@@ -96,6 +115,7 @@ def op13_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_katz_scores, op2_benchmark_leaks, op3_packing, op4_secret_spans, op5_language_id, op6_license_lines,
-    op7_token_store, op8_quality_verdicts, op9_ngram_join, op10_toxicity, op11_hard_negatives, op13_url_verdicts)}
+    op7_token_store, op8_quality_verdicts, op9_ngram_join, op10_toxicity, op11_hard_negatives,
+    op12_conversation_repair, op13_url_verdicts)}
 
 ORACLES: dict = {"op11_hard_negatives": OP11, "op13_url_verdicts": OP13}
