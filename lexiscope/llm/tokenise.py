@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, word by word.
 
 The tokenizer splits at white space, and between letters and marks, before anything
-else, so the ids of a text are the ids of its words in order.  A task keeps the ids of the words it
-has met (at most ``CACHE_WORDS``; the table is emptied when full and when the task ends, which changes
-speed only).
+else, so the ids of a text are the ids of its words in order.  A worker keeps the ids of the words it
+has met: at most ``CACHE_WORDS``; when these are full and when a task ends, only the ``KEEP_WORDS`` it met first, which
+changes speed only.  A word is known by 128 bits: a hash and a check.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ import pyarrow as pa
 
 from lexiscope.llm.word_hash import byte_chunks, find_words
 
-CACHE_WORDS = 1_500_000  # about 50 bytes each
+CACHE_WORDS = 1_500_000  # about 60 bytes each
+KEEP_WORDS = 250_000
 RUN_BYTES = 1 << 20
 SPECIAL = b"<|"  # begins the special tokens
 DEFAULT_FILE = "word_bpe_49k.json"
@@ -45,40 +46,68 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order; their numbers
+        self.check = np.zeros(0, np.uint64)  # in the same order
         self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool = np.zeros(0, self.dtype)  # ids of all numbered words
 
+    def shrink(self, keep: int = KEEP_WORDS) -> None:
+        """Keeps the first ``keep`` words."""
+        if len(self.begin) <= keep:
+            return
+        old = self.number < keep
+        self.keys, self.check, self.number = self.keys[old], self.check[old], self.number[old]
+        self.pool = self.pool[:int(self.begin[keep])].copy()
+        self.begin, self.size = self.begin[:keep].copy(), self.size[:keep].copy()
+
     def encode_column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Ids of a text column in runs of rows: ``(first row, last row + 1, ids, where each row's begin)``;
         a null counts as empty."""
         for i, j, data, bounds in byte_chunks(column, RUN_BYTES):
             raw = data.tobytes()
             # Letters and marks are separate pre-tokens, and A-Z are lower-cased, but for special tokens.
-            h, s, e, where = find_words(data, bounds, fold=SPECIAL not in raw, split_marks=True)
+            h, check, s, e, where = find_words(data, bounds, fold=SPECIAL not in raw, split_marks=True)
             distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
-            number = self._numbers(distinct)
+            if (check[first][back] != check).any():  # words of one hash: each goes to the tokenizer, and none is kept
+                yield i, j, *self._plain(raw, s, e, where)
+                continue
+            number = self._numbers(distinct, check[first])
             if (number < 0).any():
                 if len(self.keys) + len(distinct) > CACHE_WORDS:
-                    self.forget()
-                    number[:] = -1
+                    self.shrink()
+                    number = self._numbers(distinct, check[first])
                 new = np.flatnonzero(number < 0)
-                begin, end = s[first[new]].tolist(), e[first[new]].tolist()
-                words = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begin, end)]
-                number[new] = self._add(distinct[new], words)
+                words = self._words(raw, s[first[new]], e[first[new]])
+                number[new] = self._add(distinct[new], check[first[new]], words)
             size = self.size[number][back].astype(np.int64)
             after = np.cumsum(size)
             ids = self.pool[np.repeat(self.begin[number][back] - after + size, size)
                             + np.arange(int(after[-1]) if len(after) else 0)]
             yield i, j, ids, np.concatenate([[0], after])[where]
 
-    def _numbers(self, keys: np.ndarray) -> np.ndarray:
-        """Numbers of words by their hashes; -1 for new ones."""
+    @staticmethod
+    def _words(raw: bytes, begin: np.ndarray, end: np.ndarray) -> list[str]:
+        return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begin.tolist(), end.tolist())]
+
+    def _plain(self, raw: bytes, s: np.ndarray, e: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words of a run, and where each row's begin, without the table."""
+        words = self._words(raw, s, e)
+        got = [self._encode_all(words[k:k + 2048]) for k in range(0, len(words), 2048)]
+        size = np.concatenate([np.zeros(0, np.int64), *(n for _, n in got)])
+        return (np.concatenate([np.zeros(0, self.dtype), *(ids for ids, _ in got)]),
+                np.concatenate([[0], np.cumsum(size)]).astype(np.int64)[where])
+
+    def _numbers(self, keys: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Numbers of words by their hashes and checks; -1 for new ones."""
         if not len(self.keys):
             return np.full(len(keys), -1, np.int32)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.number[at], np.int32(-1))
+        same = self.keys[at] == keys
+        if (same & (self.check[at] != check)).any():  # another word of that hash is known
+            self.forget()
+            return np.full(len(keys), -1, np.int32)
+        return np.where(same, self.number[at], np.int32(-1))
 
-    def _add(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
+    def _add(self, keys: np.ndarray, check: np.ndarray, words: list[str]) -> np.ndarray:
         """Numbers of new words (given by ordered hashes), whose ids go to the pool."""
         got = [self._encode_all(words[k:k + 2048]) for k in range(0, len(words), 2048)]
         numbers, size = (len(self.begin) + np.arange(len(keys))).astype(np.int32), np.concatenate([n for _, n in got])
@@ -87,6 +116,7 @@ class WordTokenizer:
         self.pool = np.concatenate([self.pool, *(ids for ids, _ in got)])
         at = np.searchsorted(self.keys, keys)
         self.keys, self.number = np.insert(self.keys, at, keys), np.insert(self.number, at, numbers)
+        self.check = np.insert(self.check, at, check)
         return numbers
 
     def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +140,12 @@ def tokenizer(path: str) -> WordTokenizer:
 
 
 def until_done(run: Callable, path: str) -> Callable:
-    """``run`` as a task; when it ends, the reused worker gives up the task's words and free Arrow memory."""
+    """``run`` as a task; when it ends, the reused worker gives up free Arrow memory and all but the first words."""
     def task(batches):
         try:
             yield from run(batches)
         finally:
-            tokenizer(path).forget()
+            tokenizer(path).shrink()
             pa.default_memory_pool().release_unused()
     return task
 

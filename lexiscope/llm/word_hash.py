@@ -1,12 +1,14 @@
 """64-bit hashes of all words of Arrow text columns, without a Python object per word.
 
-Words are runs of bytes other than ASCII white space, A-Z lower-cased.  A word's hash
-is a polynomial in its bytes modulo 2^64 (each byte by a fixed random value), taken as a
-difference of prefix sums over the whole buffer and then mixed.
+Words are runs of bytes other than ASCII white space, A-Z lower-cased.  A word is read eight bytes at a time into
+two chains, each of which mixes all its bits with every eight bytes; the word's hash is the sum of their ends.  (Neither chain
+is a polynomial, so no family of words collides by construction, and words that agree in one chain differ in the
+sum.)  The first chain's end is the word's check: hash and check together are 128 bits.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +17,9 @@ import pyarrow as pa
 CHUNK_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_STEP = 12
+_GOLDEN = U(0x9E3779B97F4A7C15)
+#: Words of more bytes are hashed by BLAKE2b, one by one.
+LONG_WORD = 512
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,34 +37,48 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
-_EXACT = mix(np.arange(1, 257, dtype=U) * U(_BASE))
-_EXACT[_WHITE] = 0
 #: 2: ASCII letters, 3: marks, 1: all else; the product of two neighbours is 6 where they differ.
 _KIND = np.ones(256, np.uint8)
 _KIND[65:91] = _KIND[97:123] = 2
 _KIND[list(b".,;:!?%$#&*")] = 3
-_FOLDED = _EXACT.copy()
-_FOLDED[65:91] = _FOLDED[97:123]
-
-
-def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` in steps of 1 and of 2^_STEP; their products give all powers below 2^30."""
-    low = np.cumprod(np.r_[U(1), np.full((1 << _STEP) - 1, base, U)])
-    high = np.cumprod(np.r_[U(1), np.full((1 << 18) - 1, pow(base, 1 << _STEP, 1 << 64), U)])
-    return low, high
-
-
-_LOW, _HIGH = _powers(_BASE)
-_LOW_INV, _HIGH_INV = _powers(pow(_BASE, -1, 1 << 64))
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+#: Keeps the first 0 to 8 bytes of a little-endian lane.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+
+
+def _other_mix(x: np.ndarray) -> np.ndarray:
+    """A second bijection of 64-bit values."""
+    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> U(33))) * U(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> U(33))
+
+
+def hash_bytes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and checks of the runs ``data[begin[i]:end[i]]``."""
+    lanes = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    size = end - begin
+    one, two = mix(size.astype(U) + _GOLDEN), _other_mix(size.astype(U) * _GOLDEN + U(1))
+    live, at = np.flatnonzero((size > 0) & (size <= LONG_WORD)), 0
+    while len(live):
+        value = lanes[begin[live] + at] & _KEEP[np.minimum(size[live] - at, 8)]
+        one[live], two[live] = mix(one[live] ^ value), _other_mix(two[live] * _GOLDEN + value)
+        at += 8
+        live = live[size[live] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[begin[i]:end[i]].tobytes(), digest_size=16).digest()
+        one[i], two[i] = np.frombuffer(digest, "<u8")
+    return one + two, one
 
 
 def find_words(data: np.ndarray, bounds: np.ndarray, fold: bool = True, split_marks: bool = False):
-    """Hashes of the words of consecutive texts ``data[bounds[i]:bounds[i + 1]]``, where their bytes begin and
-    end, and per text where its words begin (one more entry than texts).  ``fold``: A-Z count as a-z.
+    """Hashes and checks of the words of consecutive texts ``data[bounds[i]:bounds[i + 1]]``, where their bytes
+    begin and end, and per text where its words begin (one more entry than texts).  ``fold``: A-Z count as a-z.
     ``split_marks``: words also end between an ASCII letter and a mark, either way round."""
     n = len(data)
     if not n:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, U), np.zeros(0, U), none, none, np.zeros(len(bounds), np.int64)
     inside = ~_WHITE[data]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
@@ -75,12 +92,8 @@ def find_words(data: np.ndarray, bounds: np.ndarray, fold: bool = True, split_ma
         starts[1:] |= parted
         ends[:-1] |= parted
     s, e = np.flatnonzero(starts), np.flatnonzero(ends)
-    rows = (n + (1 << _STEP) - 1) >> _STEP
-    power = np.multiply.outer(_HIGH[:rows], _LOW).ravel()[:n]
-    value = (_FOLDED if fold else _EXACT)[data] * power
-    total = np.cumsum(value, dtype=U)
-    h = (total[e] - total[s] + value[s]) * (_LOW_INV[s & ((1 << _STEP) - 1)] * _HIGH_INV[s >> _STEP])
-    return mix(h + (e - s).astype(U)), s, e + 1, np.searchsorted(s, bounds).astype(np.int64)
+    h, check = hash_bytes(_FOLD[data] if fold else data, s, e + 1)
+    return h, check, s, e + 1, np.searchsorted(s, bounds).astype(np.int64)
 
 
 def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +101,7 @@ def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     parts, where, i = [], [np.zeros(1, np.int64)], 0
     while i < len(bounds) - 1:
         j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + BLOCK_BYTES, side="right")) - 1)
-        h, _, _, at = find_words(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
+        h, _, _, _, at = find_words(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
         parts.append(h)
         where.append(at[1:] + where[-1][-1])
         i = j

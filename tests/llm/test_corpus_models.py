@@ -224,7 +224,8 @@ def test_training_raises_likelihood():
              ([toxicity.word_features(w) for w in "a b c d".split()], [0, 0, 0, 0])] * 50
     chain.fit(lines)
     p = chain.marginals([chain.emissions("a bad b c".split(), {}), chain.emissions("c badly a".split(), {})])
-    assert p[0][1] > 0.9 and p[0][[0, 2, 3]].max() < 0.2 and p[1].argmax() == 1 or p[0][1] > 0.9
+    assert p[0][1] > 0.9 and p[0][[0, 2, 3]].max() < 0.2
+    assert p[1].argmax() == 1  # a word that shares letters with the toxic one
 
 
 def test_toxicity_held_out(spark, sf):
