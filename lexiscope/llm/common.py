@@ -59,7 +59,7 @@ def bounded_sample(rows: DataFrame, group: str, most: dict | int, groups: DataFr
         limit = F.coalesce(*[F.when(F.col(group) == k, n) for k, n in most.items()], F.lit(0))
     else:
         limit = F.lit(most)
-    thin = light.join(share, group).where(F.expr("pmod(h, 1048576)") * F.col("n") < limit * 2 * 1048576.0)
+    thin = light.join(F.broadcast(share), group).where(F.expr("pmod(h, 1048576)") * F.col("n") < limit * 2 * 1048576.0)
     first = Window.partitionBy(group).orderBy(F.expr("pmod(h, 1048576)"), "h")
     picks = thin.select(group, "h", "doc_id", F.row_number().over(first).alias("r")).where(F.col("r") <= limit)
     picks = written(picks.select(F.col("doc_id").alias("doc_id_"), F.col("h").alias("h_"),
