@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiscope.functions import text as tx
+from lexiscope.functions import word_table
 
 # --------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour.
@@ -237,15 +238,22 @@ def count_columns() -> list[Column]:
 
 
 def tag_counts(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
-               text_col: str = "text", carry_max: tuple[str, ...] = ()) -> DataFrame:
+               text_col: str = "text", carry_max: tuple[str, ...] = (), unique_ids: bool = False) -> DataFrame:
     """One row per document with the eight counts and first positions.
 
     ``carry_max`` names fixed-width per-document columns (e.g. a classifier's
-    label id and confidence) that ride through the aggregate with ``max``.
+    label id and confidence) that ride through the aggregate with ``max``.  ``unique_ids``: an id of several
+    rows fails the job; the same aggregate counts each document's first pieces.
     """
     tagged = tag_tokens(docs, lookup, id_col, text_col, carry=carry_max)
-    return tagged.groupBy(id_col).agg(
-        *count_columns(), *[F.max(c).alias(c) for c in carry_max])
+    rows = F.count_if(F.coalesce("pos", F.lit(0)) == 0)
+    counts = tagged.groupBy(id_col).agg(
+        *count_columns(), *[F.max(c).alias(c) for c in carry_max], *([rows.alias("_rows")] if unique_ids else []))
+    if not unique_ids:
+        return counts
+    twice = F.raise_error(F.concat(F.lit(f"{id_col} is not unique: "), F.col(id_col).cast("string"))).cast("bigint")
+    checked = F.when(F.col("_rows") > 1, twice).otherwise(F.col("n_cns"))
+    return counts.withColumn("n_cns", checked).drop("_rows")
 
 
 def vote_tag() -> Column:
@@ -319,32 +327,23 @@ def lexicon_signals(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
     return with_vote(counts).select(*signal_columns(id_col, litigious))
 
 
-MAX_ROWWISE_WORDS = 20_000
-
-
 def rowwise_codes(lookup: Lookup, text_col: str = "text") -> Column:
     """``ARRAY<INT>`` of tag codes of the kept tokens of one row (0 = cns).
 
-    The lookup words become literal ``InSet`` lists (one per tag), so this is
-    only for lookups under ``MAX_ROWWISE_WORDS`` (checked).  The words are
-    collected from the lookup table, whose size was counted when it was built.
+    The lookup becomes a perfect-hash table of literals (:mod:`lexiscope.functions.word_table`): a hash and two array
+    reads a token for any number of words within the lookup's broadcast bound (beyond it the callers explode and
+    join).  The words are collected from the lookup table, whose size was counted when it was built.
     """
-    if lookup.rows > MAX_ROWWISE_WORDS:
-        raise ValueError(f"row-wise tagging needs a lookup under {MAX_ROWWISE_WORDS} words")
-    words: dict[int, list[str]] = {}
-    for r in lookup.table.collect():  # bounded by the check above
-        words.setdefault(r["code"], []).append(r["word"])
-
-    def code_of(t: Column) -> Column:
-        u = F.upper(t)
-        expr = F.when(u.isin(words.get(CODE_DROP, [])), F.lit(CODE_DROP))
+    table = word_table.collect(lookup.table)
+    looked = word_table.codes_of(F.transform(tx.tokenize(F.col(text_col)), F.upper), table)
+
+    def code_of(x: Column) -> Column:
+        found = F.coalesce(x["code"], F.lit(CODE_CNS))
         if lookup.stopword_mode == "before_lookup":
-            expr = expr.when(u.isin(list(tx.STOPWORDS)), F.lit(CODE_DROP))
-        for cat in CATEGORIES:
-            expr = expr.when(u.isin(words.get(CODE[cat], [])), F.lit(CODE[cat]))
-        return expr.otherwise(F.lit(CODE_CNS))
+            return F.when(x["t"].isin(list(tx.STOPWORDS)), F.lit(CODE_DROP)).otherwise(found)
+        return found
 
-    codes = F.filter(F.transform(tx.tokenize(F.col(text_col)), code_of), lambda c: c != CODE_DROP)
+    codes = F.filter(F.transform(looked, code_of), lambda c: c != CODE_DROP)
     return F.coalesce(codes, F.array().cast("array<int>"))
 
 
@@ -367,8 +366,10 @@ def tag_counts_rowwise(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
     """L3-L5 without explode, join or shuffle: array functions on each row.
 
     Same counts and vote as :func:`tag_counts`; suits append-only streaming
-    sinks, where an aggregate would need state.
+    sinks, where an aggregate would need state.  A lookup beyond the broadcast bound is joined instead.
     """
+    if not lookup.broadcast:
+        return tag_counts(docs, lookup, id_col, text_col)
     staged = docs.select(F.col(id_col), rowwise_codes(lookup, text_col).alias("_c"))
     return staged.select(F.col(id_col), *rowwise_count_columns())
 

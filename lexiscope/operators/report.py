@@ -87,18 +87,20 @@ def reliability_columns(model_label: Column, confidence: Column, lexicon_label:
 def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
                  text_col: str = "text", classifier: Classifier = letter_stub_classifier,
                  summariser: Summariser = lead_stub_summariser,
-                 keep_positions: bool = False) -> DataFrame:
+                 keep_positions: bool = False, prompt: bool = False, unique_ids: bool = False) -> DataFrame:
     """One flat report row per document (arrays kept as arrays).
 
     ``keep_positions`` keeps the first position of each tag (for the
-    reference-format JSON, whose counts follow first occurrence)."""
+    reference-format JSON, whose counts follow first occurrence).  ``prompt`` puts the neutral-summary instruction
+    (T9) in front of what the summariser reads.  ``unique_ids`` fails on an id of several rows, which the joined
+    branches would multiply."""
     doc_id, text = F.col(id_col), F.col(text_col)
     labelled = classifier(docs.select(id_col, text_col), id_col, text_col)
     label_id = F.array_position(F.array(*[F.lit(x) for x in CLASS_LABELS]), F.col("cls_label"))
     scored = labelled.select(id_col, text_col, label_id.cast("int").alias("cls_id"),
                              F.col("cls_conf").cast("double").alias("cls_conf"))
     counts = lx.tag_counts(scored, lookup, id_col, text_col,
-                           carry_max=("cls_id", "cls_conf"))
+                           carry_max=("cls_id", "cls_conf"), unique_ids=unique_ids)
     lex = lx.with_vote(counts).select(
         *lx.signal_columns(id_col), *[f"first_{c}" for c in lx.CATEGORIES],
         F.element_at(F.array(*[F.lit(x) for x in CLASS_LABELS]), F.col("cls_id"))
@@ -106,7 +108,7 @@ def report_table(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_id",
         F.round(F.col("cls_conf"), lx.ROUND_PLACES).alias("finbert_confidence"),
     )
     # Summaries are stripped, as the reference's summariser strips its output.
-    summaries = docs.select(doc_id, tx.py_strip(summariser(doc_id, text)).alias("summary"))
+    summaries = docs.select(doc_id, tx.py_strip(summariser(doc_id, tx.with_prompt(text, prompt))).alias("summary"))
     joined = lex.join(summaries, id_col)  # J2: fan-in of the summary branch
     return joined.select(
         id_col, "summary", "finbert_label", "finbert_confidence", "lexicon_label",
@@ -125,7 +127,7 @@ def report_table_rowwise(docs: DataFrame, lookup: lx.Lookup, id_col: str = "doc_
     """R5 with every signal computed on the row: no join, no aggregate, no shuffle.
 
     Same columns as :func:`report_table`; usable in an append-only stream.
-    Needs a lookup small enough for :func:`lexicon.rowwise_codes`.
+    Needs a lookup within the broadcast bound (:func:`lexicon.rowwise_codes`).
     """
     base = classifier(docs.select(id_col, text_col), id_col, text_col).select(
         id_col, tx.py_strip(summariser(F.col(id_col), F.col(text_col))).alias("summary"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from lexiscope.operators import lexicon as lx
 from lexiscope.functions.hashing import seeded_hash_sql
 from lexiscope.operators import evaluate as ev
+from lexiscope.functions import stems
+from lexiscope.operators import rouge as rg
 from lexiscope.operators import sampling as sm
 from lexiscope.plans import sql as s
 
@@ -19,7 +21,7 @@ def lexicon_signals_derived() -> str:
     return s.signals_query(derived=True)
 
 
-def report_flat(with_positions: bool = False) -> str:
+def report_flat(with_positions: bool = False, derived: bool = False) -> str:
     """The flat report; ``with_positions`` keeps the first position of each tag
     and the reasons as a list (for the reference-format JSON)."""
     ns = ", ".join(f"g.n_{c}" for c in CATS)
@@ -28,7 +30,7 @@ def report_flat(with_positions: bool = False) -> str:
     firsts = "".join(f", first_{c}" for c in CATS) if with_positions else ""
     reasons = "rs" if with_positions else "array_to_string(rs, ',') AS reasons"
     return (
-        f"WITH g AS ({s.signals_query(with_positions=with_positions)}), "
+        f"WITH g AS ({s.signals_query(with_positions=with_positions, derived=derived)}), "
         f"r AS (SELECT g.doc_id, {s.lead_summary_sql('d.text')} AS summary, "
         f"{label} AS finbert_label, {conf} AS finbert_confidence, g.lexicon_label, {ns}, "
         f"g.n_cns, g.n_tags, g.uncertainty, g.litigious, g.constraining, g.bias_score, g.bias_flag{g_firsts} "
@@ -337,7 +339,7 @@ def _big(x: str) -> str:
     return f"list_transform(range(1, len({x})), lambda i: {x}[i] || ' ' || {x}[i + 1])"
 
 
-def _rouge_n_cte() -> str:
+def _rouge_n_cte(pairs: str = PAIRS) -> str:
     g = " UNION ALL ".join(
         f"SELECT conv_id, turn, {n} AS n, '{side}' AS side, unnest({expr}) AS g FROM tk"
         for n, side, expr in ((1, "p", "tp"), (1, "r", "tr"), (2, "p", _big("tp")), (2, "r", _big("tr"))))
@@ -351,7 +353,7 @@ def _rouge_n_cte() -> str:
         r = f"({o} / greatest(coalesce(pp.nr{n}, 0), 1))"
         cols += [f"{p} AS rouge{n}_p", f"{r} AS rouge{n}_r",
                  f"CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END AS rouge{n}_f"]
-    return (f"{PAIRS}, tk AS (SELECT conv_id, turn, {_rtok('summary')} AS tp, {_rtok('article')} AS tr FROM pairs), "
+    return (f"{pairs}, tk AS (SELECT conv_id, turn, {_rtok('summary')} AS tp, {_rtok('article')} AS tr FROM pairs), "
             f"g AS ({g}), pg AS (SELECT conv_id, turn, n, g, count(*) FILTER (WHERE side = 'p') AS cp, "
             f"count(*) FILTER (WHERE side = 'r') AS cr FROM g GROUP BY ALL), "
             f"pp AS (SELECT conv_id, turn, {sums} FROM pg GROUP BY ALL), "
@@ -367,6 +369,109 @@ def rouge_n_mean() -> str:
     return f"WITH {_rouge_n_cte()} SELECT round(avg(rouge1_f), 3) AS rouge1, round(avg(rouge2_f), 3) AS rouge2 FROM rn"
 
 
+def _lines(x: str) -> str:
+    return f"string_split(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9\\n]+', ' ', 'g'), chr(10))"
+
+
+def _rouge_l_cte() -> str:
+    """ROUGE-L and Lsum of ``pairs`` from whole DP tables, one recursion step per candidate token, and a step-by-step
+    walk back through those of sentence pairs; needs ``tk``."""
+    key = "conv_id, turn, rs, cs"
+
+    def sentences(side: str, col: str) -> str:
+        return (f"{side} AS (SELECT conv_id, turn, s, {_rtok('line')} AS t FROM (SELECT conv_id, turn, "
+                f"unnest({_lines(col)}) AS line, generate_subscripts({_lines(col)}, 1) AS s FROM pairs))")
+
+    return (f"{sentences('rsent', 'article')}, {sentences('csent', 'summary')}, "
+            f"u AS (SELECT * FROM (SELECT conv_id, turn, 0 AS rs, 0 AS cs, tr AS r, tp AS c FROM tk UNION ALL "
+            f"SELECT a.conv_id, a.turn, a.s, b.s, a.t, b.t FROM rsent a JOIN csent b ON a.conv_id = b.conv_id "
+            f"AND a.turn = b.turn) WHERE len(r) > 0 AND len(c) > 0), "
+            f"cell AS (SELECT {key}, 0::BIGINT AS j, unnest(range(0, len(r) + 1)) AS i, 0::BIGINT AS v FROM u UNION ALL "
+            f"SELECT {key}, j, i, max(x) OVER (PARTITION BY {key} ORDER BY i) AS v FROM ("
+            f"SELECT k.conv_id, k.turn, k.rs, k.cs, k.j + 1 AS j, k.i, CASE WHEN k.i > 0 AND u.r[k.i] = u.c[k.j + 1] "
+            f"THEN lag(k.v) OVER (PARTITION BY k.conv_id, k.turn, k.rs, k.cs ORDER BY k.i) + 1 ELSE k.v END AS x "
+            f"FROM cell k JOIN u ON k.conv_id = u.conv_id AND k.turn = u.turn AND k.rs = u.rs AND k.cs = u.cs "
+            f"WHERE k.j < len(u.c))), "
+            f"sc AS MATERIALIZED (SELECT * FROM cell WHERE rs > 0), "
+            f"walk AS (SELECT {key}, len(r)::BIGINT AS i, len(c)::BIGINT AS j, NULL::BIGINT AS hit FROM u WHERE rs > 0 UNION ALL "
+            f"SELECT w.conv_id, w.turn, w.rs, w.cs, "
+            f"CASE WHEN u.r[w.i] = u.c[w.j] OR a.v <= b.v THEN w.i - 1 ELSE w.i END, "
+            f"CASE WHEN u.r[w.i] = u.c[w.j] OR a.v > b.v THEN w.j - 1 ELSE w.j END, "
+            f"CASE WHEN u.r[w.i] = u.c[w.j] THEN w.i END "
+            f"FROM walk w JOIN u ON w.conv_id = u.conv_id AND w.turn = u.turn AND w.rs = u.rs AND w.cs = u.cs "
+            f"JOIN sc a ON a.conv_id = w.conv_id AND a.turn = w.turn AND a.rs = w.rs AND a.cs = w.cs AND a.i = w.i AND a.j = w.j - 1 "
+            f"JOIN sc b ON b.conv_id = w.conv_id AND b.turn = w.turn AND b.rs = w.rs AND b.cs = w.cs AND b.i = w.i - 1 AND b.j = w.j "
+            f"WHERE w.i > 0 AND w.j > 0), "
+            f"found AS (SELECT h.conv_id, h.turn, s.t[h.hit] AS tok, count(*) AS n FROM (SELECT DISTINCT conv_id, turn, rs, hit "
+            f"FROM walk WHERE hit IS NOT NULL) h JOIN rsent s ON s.conv_id = h.conv_id AND s.turn = h.turn AND s.s = h.rs GROUP BY ALL), "
+            f"has AS (SELECT conv_id, turn, tok, count(*) AS n FROM (SELECT conv_id, turn, unnest(t) AS tok FROM csent) GROUP BY ALL), "
+            f"hits AS (SELECT f.conv_id, f.turn, sum(least(f.n, has.n)) AS hits FROM found f JOIN has ON f.conv_id = has.conv_id "
+            f"AND f.turn = has.turn AND f.tok = has.tok GROUP BY ALL), "
+            f"lcs AS (SELECT conv_id, turn, max(v) AS lcs FROM cell WHERE rs = 0 GROUP BY ALL), "
+            f"rl AS (SELECT tk.conv_id, tk.turn, {_f_sql('lcs')} AS rougeL_f, {_f_sql('hits')} AS rougeLsum_f FROM tk "
+            f"LEFT JOIN lcs ON lcs.conv_id = tk.conv_id AND lcs.turn = tk.turn "
+            f"LEFT JOIN hits ON hits.conv_id = tk.conv_id AND hits.turn = tk.turn)")
+
+
+def _f_sql(x: str) -> str:
+    p, r = (f"(CAST(coalesce({x}, 0) AS DOUBLE) / greatest(len({side}), 1))" for side in ("tp", "tr"))
+    return f"CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
+
+
+def rouge_l_pairs() -> str:
+    return (f"WITH RECURSIVE {PAIRS}, tk AS (SELECT conv_id, turn, {_rtok('summary')} AS tp, {_rtok('article')} AS tr "
+            f"FROM pairs), {_rouge_l_cte()} SELECT * FROM rl")
+
+
+def _stemmed_pairs() -> str:
+    """``pairs`` with both texts as lines of stems."""
+    raw = PAIRS.replace("pairs AS", "raw AS", 1)
+    lines = " UNION ALL ".join(
+        f"SELECT conv_id, turn, '{col}' AS side, unnest({_lines(col)}) AS line, generate_subscripts({_lines(col)}, 1) AS s FROM raw"
+        for col in ("article", "summary"))
+    steps = ", ".join(f"p{i + 1} AS (SELECT word, {stage} AS w FROM p{i})"
+                      for i, stage in enumerate(stems.stages("regexp_matches")))
+    whole = ", ".join(f"coalesce(string_agg(line, chr(10) ORDER BY s) FILTER (WHERE side = '{c}'), '') AS {c}"
+                      for c in ("article", "summary"))
+    return (f"{raw}, li AS ({lines}), wo AS (SELECT conv_id, turn, side, s, unnest({_rtok('line')}) AS word, "
+            f"generate_subscripts({_rtok('line')}, 1) AS pos FROM li), p0 AS (SELECT DISTINCT word, word AS w FROM wo), {steps}, "
+            f"st AS (SELECT word, CASE WHEN length(word) > {stems.SHORT} THEN w ELSE word END AS stem "
+            f"FROM p{len(stems.stages())}), "
+            f"sl AS (SELECT conv_id, turn, side, s, string_agg(stem, ' ' ORDER BY pos) AS line FROM wo JOIN st "
+            f"ON wo.word = st.word GROUP BY ALL), "
+            f"sp AS (SELECT conv_id, turn, {whole} FROM sl GROUP BY conv_id, turn), "
+            f"pairs AS (SELECT raw.conv_id, raw.turn, coalesce(sp.article, '') AS article, coalesce(sp.summary, '') AS summary "
+            f"FROM raw LEFT JOIN sp ON raw.conv_id = sp.conv_id AND raw.turn = sp.turn)")
+
+
+def _stemmed_scores() -> str:
+    return (f"{_rouge_n_cte(_stemmed_pairs())}, {_rouge_l_cte()}, scores AS (SELECT rn.conv_id, rn.turn, rouge1_f, rouge2_f, "
+            f"rougeL_f, rougeLsum_f FROM rn JOIN rl ON rn.conv_id = rl.conv_id AND rn.turn = rl.turn)")
+
+
+def rouge_stemmed() -> str:
+    return f"WITH RECURSIVE {_stemmed_scores()} SELECT * FROM scores"
+
+
+def rouge_bootstrap() -> str:
+    cols = ("rouge1_f", "rouge2_f", "rougeL_f", "rougeLsum_f")
+    units = ", ".join(f"CAST(round({c} * {rg.SCORE_UNITS}) AS BIGINT) AS {c}" for c in cols)
+    draw = " + ".join(f"(u >= {t})::INT" for t in rg.poisson_steps())
+    draws = " UNION ALL ".join(
+        f"SELECT block, {i} AS i, CAST(('0x' || substr(h, {4 * i + 1}, 4))::UBIGINT AS BIGINT) AS u, {', '.join(cols)} FROM e"
+        for i in range(rg.PER_HASH))
+    means = " UNION ALL ".join(
+        f"SELECT '{c.removesuffix('_f')}' AS metric, sum(w * {c}) / sum(w) / {rg.SCORE_UNITS} AS mean FROM d "
+        f"GROUP BY block, i HAVING sum(w) > 0" for c in cols)
+    tail = (1 - rg.CONFIDENCE) / 2
+    marks = ", ".join(f"round(quantile_cont(mean, {p!r}), 6) AS {n}"
+                      for n, p in (("low", tail), ("mid", 0.5), ("high", 1 - tail)))
+    blocks = -(-rg.REPLICATES // rg.PER_HASH)
+    return (f"WITH RECURSIVE {_stemmed_scores()}, e AS (SELECT block, md5('42:' || block || ':' || conv_id || ':' || turn) AS h, "
+            f"{units} FROM scores, range({blocks}) t(block)), d AS (SELECT *, {draw} AS w FROM ({draws})), "
+            f"m AS ({means}) SELECT metric, {marks} FROM m GROUP BY metric")
+
+
 def _wc(x: str) -> str:
     return (f"len(list_filter(regexp_split_to_array(coalesce({x}, ''), '[ \\t\\n\\r\\f\\x0B]+'), "
             f"lambda t: t <> ''))")
@@ -418,6 +523,14 @@ def loss_moving_average() -> str:
             f"FROM tr a JOIN tr b ON a.run = b.run AND b.i BETWEEN a.i - a.w AND a.i GROUP BY a.run, a.step, a.loss, a.w")
 
 
+def newest_training_logs() -> str:
+    return (f"WITH e AS (SELECT user_id AS run, event_id AS step, event_type, value, epoch_us(ts) AS us FROM events), "
+            f"k AS (SELECT *, 1 + (us - (SELECT min(us) FROM e)) * 3 // (SELECT max(us) - min(us) + 1 FROM e) AS checkpoint FROM e) "
+            f"SELECT run, CAST(checkpoint AS BIGINT) AS checkpoint, step, CASE WHEN event_type <> 'error' THEN value END AS loss, "
+            f"CASE WHEN event_type = 'error' THEN value END AS eval_loss FROM k "
+            f"QUALIFY checkpoint = max(checkpoint) OVER (PARTITION BY run)")
+
+
 def epoch_mean_loss() -> str:
     return (f"WITH {LOG} SELECT run, CAST(ceil(epoch) AS INTEGER) AS epoch, round(avg(loss), 6) AS mean_loss "
             f"FROM log WHERE loss IS NOT NULL AND eval_loss IS NULL AND epoch IS NOT NULL GROUP BY ALL")
@@ -541,12 +654,18 @@ ORACLES = {
     "per_row_results": per_row_results,
     "rouge_n_pairs": rouge_n_pairs,
     "rouge_n_mean": rouge_n_mean,
+    "rouge_l_pairs": rouge_l_pairs,
+    "rouge_stemmed": rouge_stemmed,
+    "rouge_bootstrap": rouge_bootstrap,
     "summary_checks": summary_checks,
     "stub_summaries": stub_summaries,
     "summary_stability": summary_stability,
     "log_series": log_series,
     "loss_moving_average": loss_moving_average,
     "epoch_mean_loss": epoch_mean_loss,
+    "newest_training_logs": newest_training_logs,
+    "report_flat_bucketed": report_flat,
+    "report_stream_derived": lambda: report_flat(derived=True),
     "epoch_last_eval": epoch_last_eval,
     "best_run": best_run,
     "tfidf_features": tfidf_features,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from lexiscope.operators import rouge as rg
 from lexiscope.operators import sampling as sm
 from lexiscope.operators import standardize as sd
 from lexiscope.plans.ordering import indexed_scan
-from lexiscope.session import read_table, scratch_path
+from lexiscope.session import cut_lineage, read_table, scratch_path
 from lexiscope.sources import readers as rd
 from lexiscope.sources import sinks as sk
 
@@ -68,6 +69,16 @@ def q_report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumn("reasons", F.array_join("reasons", ","))
 
 
+def q_report_flat_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 over a corpus stored in buckets of ``doc_id``: neither the aggregate nor the fan-in moves a row, and the same
+    pass checks that ids are unique."""
+    name = "corpus_" + uuid.uuid4().hex[:12]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sk.write_bucketed_table(_docs(spark, sf_dir), name, "doc_id", buckets=buckets)
+    flat = rp.report_table(spark.table(name), _lookup(spark), unique_ids=True)
+    return flat.withColumn("reasons", F.array_join("reasons", ","))
+
+
 def q_report_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4 + K2: nested report serialised as one JSON object per document
     (tag counts in first-seen order, as in the reference's dict)."""
@@ -297,6 +308,20 @@ def q_rouge_l_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rg.rouge_l(_pairs(spark, sf_dir), ["conv_id", "turn"], "summary", "article")
 
 
+def q_rouge_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + A8 on Porter stems: ROUGE-1/2/L/Lsum per pair."""
+    key = ["conv_id", "turn"]
+    pairs = cut_lineage(rg.stemmed(_pairs(spark, sf_dir), key, ["article", "summary"]))
+    per_l = rg.rouge_l(pairs, key, "summary", "article")
+    return rg.rouge_n(pairs, key, "summary", "article").select(*key, "rouge1_f", "rouge2_f").join(per_l, key)
+
+
+def q_rouge_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Low / mid / high of the corpus scores on stems over bootstrap replicates."""
+    return rg.bootstrap(q_rouge_stemmed(spark, sf_dir), ["conv_id", "turn"],
+                        ["rouge1_f", "rouge2_f", "rougeL_f", "rougeLsum_f"])
+
+
 def q_summary_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emptiness, length, compression, distinctness and ROUGE-floor checks over all pairs."""
     pairs = _pairs(spark, sf_dir)
@@ -341,6 +366,23 @@ def q_loss_moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ma.select("run", "step", "loss", "window", "smoothed")
 
 
+def q_newest_training_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + K1: every run's log written as up to three checkpoints (thirds of the log's time span, one after another),
+    the newest of each run found by file times and read back."""
+    root = scratch_path(spark, "training-logs")
+    log = fixtures.training_log(spark, sf_dir).withColumn("us", F.expr(
+        f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{fixtures.LOG_EPOCH_ORIGIN}', CAST(ts AS TIMESTAMP_NTZ))"))
+    span = log.agg(F.min("us").alias("a"), F.max("us").alias("b")).first()
+    if span["a"] is None:
+        return spark.createDataFrame([], "run bigint, checkpoint bigint, step bigint, loss double, eval_loss double")
+    third = F.expr(f"(us - {span['a']}L) * 3 div {span['b'] - span['a'] + 1}L")
+    for k in range(3):
+        part = log.where(third == k).select("run", F.col("event_id").alias("step"), "epoch", "loss", "eval_loss")
+        sk.write_training_log(part, root, "run", k + 1)
+    back = rd.read_training_logs(spark, root, lines=True)
+    return back.select(F.col("run").cast("bigint").alias("run"), "checkpoint", "step", "loss", "eval_loss")
+
+
 def q_epoch_mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean training loss per ceil(epoch)."""
     return cv.epoch_mean_loss(cv.training_rows(fixtures.training_log(spark, sf_dir)))
@@ -586,9 +628,19 @@ def q_report_stream_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def q_report_stream_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 as a plain append-mode stream with the large dictionary derived from the corpus."""
+    from lexiscope.streaming.report_stream import start_rowwise_report_stream
+    sink, ckpt = scratch_path(spark, "stream-dd-out"), scratch_path(spark, "stream-dd-ckpt")
+    lk = lx.prepare_lookup(fixtures.derived_dictionary(spark, sf_dir))
+    start_rowwise_report_stream(spark, sf_dir, sink, ckpt, lk, path_glob="documents.parquet").awaitTermination()
+    return spark.read.parquet(sink)
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
+    "report_flat_bucketed": q_report_flat_bucketed,
     "lexicon_signals_shuffled": q_lexicon_signals_shuffled,
     "lexicon_signals_derived": q_lexicon_signals_derived,
     "lexicon_signals_rowwise": q_lexicon_signals_rowwise,
@@ -624,11 +676,14 @@ QUERIES = {
     "rouge_n_pairs": q_rouge_n_pairs,
     "rouge_n_mean": q_rouge_n_mean,
     "rouge_l_pairs": q_rouge_l_pairs,
+    "rouge_stemmed": q_rouge_stemmed,
+    "rouge_bootstrap": q_rouge_bootstrap,
     "summary_checks": q_summary_checks,
     "stub_summaries": q_stub_summaries,
     "summary_stability": q_summary_stability,
     "log_series": q_log_series,
     "loss_moving_average": q_loss_moving_average,
+    "newest_training_logs": q_newest_training_logs,
     "epoch_mean_loss": q_epoch_mean_loss,
     "epoch_last_eval": q_epoch_last_eval,
     "best_run": q_best_run,
@@ -648,4 +703,5 @@ QUERIES = {
     "text_corpus_reports": q_text_corpus_reports,
     "report_stream": q_report_stream,
     "report_stream_rowwise": q_report_stream_rowwise,
+    "report_stream_derived": q_report_stream_derived,
 }

@@ -119,9 +119,35 @@ def read_full_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DICTIONARY_SCHEMA).options(**_CSV_OPTS).csv(path, header=True)
 
 
+# A quoted string of a Python literal, either quote, with escapes; then the pieces of its body.  Loops are possessive, so
+# strings of any length match without backtracking.
+_QUOTED = r"""(?s)(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+_LIST = rf"^\s*+\[\s*+(?:{_QUOTED}\s*+(?:,\s*+{_QUOTED}\s*+)*+,?\s*+)?\]\s*+$"
+_PIECE = r"(?s)\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|.)|[^\\]++"
+#: Escapes of one letter.
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v", "\\": "\\", "'": "'", '"': '"', "\n": ""}
+
+
+def _unescaped(piece):
+    """One piece of a string literal's body as text; an unknown escape stays as it is written."""
+    kind = F.substring(piece, 2, 1)
+    digits = F.when(kind.isin("x", "u", "U"), F.substring(piece, 3, 8)).otherwise(
+        F.hex(F.conv(F.substring(piece, 2, 3), 8, 10).cast("long")))
+    point = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+    out = F.when(~F.startswith(piece, F.lit("\\")), piece)
+    for letter, char in _ESCAPES.items():
+        out = out.when(piece == f"\\{letter}", F.lit(char))
+    return out.when(kind.isin("x", "u", "U") & (F.length(piece) > 2), point).when(kind.between("0", "7"), point).otherwise(piece)
+
+
 def parse_tag_list(col):
-    """Legacy text form of a tag list (a Python list literal of simple words)."""
-    return F.from_json(F.translate(col, "'", '"'), T.ArrayType(T.StringType()))
+    """A Python list literal of strings, as ``ast.literal_eval`` reads it; null for any other text.
+
+    A tokenising automaton in two regular expressions: quoted strings (either quote, escapes inside), then the pieces of
+    each; text between strings can't be mistaken for one, as strings are taken from left to right."""
+    bodies = F.transform(F.regexp_extract_all(col, F.lit(_QUOTED), 0), lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
+    texts = F.transform(bodies, lambda b: F.array_join(F.transform(F.regexp_extract_all(b, F.lit(_PIECE), 0), _unescaped), ""))
+    return F.when(col.rlike(_LIST), texts)
 
 
 def read_tag_lists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -169,3 +195,49 @@ def read_training_log(spark: SparkSession, root: str) -> DataFrame:
     newest = listed.agg(F.max(F.struct("modificationTime", "path")).alias("f")).select("f.path").first()["path"]
     log = spark.read.option("multiLine", "true").json(newest)
     return log.select(F.explode("log_history").alias("r")).select("r.*")
+
+
+#: Records of a training log; other keys are left out.
+LOG_RECORD = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("step", T.LongType()), ("epoch", T.DoubleType()), ("loss", T.DoubleType()), ("eval_loss", T.DoubleType()),
+    ("eval_accuracy", T.DoubleType()), ("eval_rougeL", T.DoubleType()))])
+
+
+def _one_slash(path):
+    """A path with its scheme, in one spelling (``file:/x`` and ``file:///x`` are the same)."""
+    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
+
+
+def newest_checkpoints(spark: SparkSession, root: str) -> DataFrame:
+    """``run, checkpoint, folder`` of each run's newest checkpoint below ``<root>/<run>/checkpoint-<n>`` (or ``=<n>``): the
+    one whose files were changed last, of equals the one with the greater number.  Only file names and times are read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(f"{root.rstrip('/')}/*/checkpoint[-=]*").select("path", "modificationTime"))
+    place = r"^(.*/([^/]+)/checkpoint[-=](\d+))/"
+    named = files.select(F.regexp_extract(_one_slash("path"), place, 1).alias("folder"),
+                         F.regexp_extract("path", place, 2).alias("run"),
+                         F.regexp_extract("path", place, 3).cast("long").alias("checkpoint"), "modificationTime")
+    last = F.max_by(F.struct("checkpoint", "folder"), F.struct("modificationTime", "checkpoint"))
+    return named.groupBy("run").agg(last.alias("c")).select(
+        F.regexp_replace("run", "^run=", "").alias("run"), "c.checkpoint", "c.folder")
+
+
+def read_training_logs(spark: SparkSession, root: str, lines: bool = False,
+                       record: T.StructType = LOG_RECORD) -> DataFrame:
+    """S10 for many runs: ``run, checkpoint`` and the records of each run's newest checkpoint.
+
+    A file holds one JSON document with its ``log_history``, or with ``lines`` one record a line (so that a log of any
+    length is written and read by many tasks).  Texts of older checkpoints are dropped by a semi-join before anything is parsed;
+    malformed records are null records and left out.
+    """
+    newest = newest_checkpoints(spark, root)
+    files = spark.read.text(f"{root.rstrip('/')}/*/checkpoint[-=]*", wholetext=not lines, recursiveFileLookup=True)
+    folder = F.regexp_extract(_one_slash(F.col("_metadata.file_path")), r"^(.*/checkpoint[-=]\d+)/", 1)
+    found = files.select("value", folder.alias("folder")).join(newest, "folder")
+    if lines:
+        parsed = found.select("run", "checkpoint", F.from_json("value", record).alias("r"))
+    else:
+        state = T.StructType([T.StructField("log_history", T.ArrayType(record))])
+        parsed = found.select("run", "checkpoint", F.explode(F.from_json("value", state)["log_history"]).alias("r"))
+    some = F.greatest(*[F.col(f"r.{f}").isNotNull() for f in record.fieldNames()])
+    return parsed.where(some).select("run", "checkpoint", "r.*")

@@ -40,9 +40,16 @@ def write_bucketed_table(df: DataFrame, table: str, key: str = "doc_id", buckets
 
 
 def tag_list_literal(col):
-    """Tag list as the legacy Python-literal text (``['cns', 'positive']``)."""
-    quoted = F.transform(col, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+    """Tag list as the legacy Python-literal text (``['cns', 'positive']``): single quotes, or double ones around a
+    text that holds only single ones; backslashes, the quote and line ends are escaped."""
+    def quoted(x):
+        mark = F.when(F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"')), F.lit('"')).otherwise(F.lit("'"))
+        body = F.replace(x, F.lit("\\"), F.lit("\\\\"))
+        for raw, name in (("\n", "n"), ("\r", "r"), ("\t", "t")):
+            body = F.replace(body, F.lit(raw), F.lit(f"\\{name}"))
+        return F.concat(mark, F.replace(body, mark, F.concat(F.lit("\\"), mark)), mark)
+
+    return F.concat(F.lit("["), F.array_join(F.transform(col, quoted), ", "), F.lit("]"))
 
 
 def write_reports_json(nested: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -55,3 +62,11 @@ def write_run_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") ->
     """K3: best checkpoint / metric + validation{} + test{} per run, as JSON lines."""
     metrics.write.mode(mode).option("ignoreNullFields", "false").json(path)
     return path
+
+
+def write_training_log(log: DataFrame, root: str, run_col: str, checkpoint: int) -> str:
+    """A checkpoint of every run of ``log``: its records as JSON lines below ``<root>/run=<run>/checkpoint=<n>``."""
+    record = F.to_json(F.struct(*[c for c in log.columns if c != run_col]))
+    (log.select(F.col(run_col).alias("run"), F.lit(checkpoint).alias("checkpoint"), record.alias("value"))
+     .write.mode("append").partitionBy("run", "checkpoint").text(root))
+    return root

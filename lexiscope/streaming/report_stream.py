@@ -55,7 +55,11 @@ def start_rowwise_report_stream(spark: SparkSession, source: str, sink: str, che
                                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """R6 as a plain append-mode stream: every signal is a row function
     (row-wise tagging), so there is no join, no aggregate and no state; the
-    file sink's log makes the output exactly-once."""
+    file sink's log makes the output exactly-once.  A lookup beyond its broadcast bound is joined in each
+    micro-batch instead (:func:`start_report_stream`)."""
+    if not lookup.broadcast:
+        return start_report_stream(spark, source, sink, checkpoint, lookup, schema, available_now,
+                                   max_files_per_trigger, path_glob=path_glob)
     reader = spark.readStream.schema(schema)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)

@@ -160,3 +160,28 @@ def test_nested_counts_in_first_seen_order(spark):
     assert list(counts.items()) == [("uncertainty", 3), ("negative", 2), ("positive", 1)]
     text = _json.loads(rp.report_json_python(flat).first().json)["lexicon"]["counts"]
     assert list(text.items()) == list(counts.items())
+
+
+def test_repeated_ids_fail_where_asked(spark):
+    import pytest
+    from lexiscope import fixtures
+    from lexiscope.operators import lexicon as lx
+    from lexiscope.operators import report as rp
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    docs = spark.createDataFrame([(1, "tion er"), (2, ""), (3, None), (4, ". . la")], "doc_id long, text string")
+    assert rp.report_table(docs, lk, unique_ids=True).count() == 4
+    with pytest.raises(Exception, match="doc_id is not unique: 2"):
+        rp.report_table(docs.union(docs.where("doc_id = 2")), lk, unique_ids=True).collect()
+
+
+def test_prompt_reaches_the_summariser_only(spark):
+    from lexiscope import fixtures
+    from lexiscope.functions import text as tx
+    from lexiscope.operators import lexicon as lx
+    from lexiscope.operators import report as rp
+    lk = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
+    docs = spark.createDataFrame([(1, "tion er")], "doc_id long, text string")
+    seen = lambda doc_id, text: text
+    plain, asked = (rp.report_table(docs, lk, summariser=seen, prompt=p).first() for p in (False, True))
+    assert plain.summary == "tion er" and asked.summary == (tx.NEUTRAL_PROMPT_PREFIX + "tion er").strip()
+    assert plain.n_tags == asked.n_tags

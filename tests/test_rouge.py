@@ -1,9 +1,14 @@
 """ROUGE: identity, bounds, and LCS against a plain DP on a small fixture."""
 
 import random
+import re
+import tracemalloc
 
+import pytest
 from pyspark.sql import functions as F
 
+from lexiscope.functions import stems
+
 from lexiscope.operators import rouge as rg
 
 
@@ -23,9 +28,13 @@ def test_lcs_matches_dp():
         assert rg.lcs_length(a, b) == dp_lcs(a, b)
 
 
+def tokens(text):
+    return re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+
+
 def brute_rouge_n(pred, ref, n):
     from collections import Counter
-    tp, tr = rg._tokenize_py(pred), rg._tokenize_py(ref)
+    tp, tr = tokens(pred), tokens(ref)
     gp = Counter(tuple(tp[i:i + n]) for i in range(len(tp) - n + 1))
     gr = Counter(tuple(tr[i:i + n]) for i in range(len(tr) - n + 1))
     o = sum(min(c, gp[g]) for g, c in gr.items())
@@ -135,3 +144,115 @@ def test_rouge_l_query_against_textbook(spark, sf):
         rl, rls = textbook_rouge_l(p.summary, p.article)
         g = got[(p.conv_id, p.turn)]
         assert abs(g.rougeL_f - rl) < 1e-12 and abs(g.rougeLsum_f - rls) < 1e-12
+
+
+def walk_back(ref, cand):
+    """Positions by the whole table and the public scorer's ties."""
+    t = [[0] * (len(cand) + 1) for _ in range(len(ref) + 1)]
+    for i in range(1, len(ref) + 1):
+        for j in range(1, len(cand) + 1):
+            t[i][j] = t[i - 1][j - 1] + 1 if ref[i - 1] == cand[j - 1] else max(t[i - 1][j], t[i][j - 1])
+    out, i, j = [], len(ref), len(cand)
+    while i and j:
+        if ref[i - 1] == cand[j - 1]:
+            out.append(i - 1)
+            i, j = i - 1, j - 1
+        elif t[i][j - 1] > t[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return out
+
+
+def test_bit_vectors_take_the_same_positions():
+    rnd = random.Random(3)
+    for _ in range(400):
+        a = [rnd.choice("abcdef") for _ in range(rnd.randint(0, 90))]
+        b = [rnd.choice("abcdef") for _ in range(rnd.randint(0, 90))]
+        assert rg.BitLcs(a, b).positions() == walk_back(a, b)
+
+
+def test_two_long_lines_stay_small(spark):
+    rnd = random.Random(1)
+    a, b = ([f"w{int(rnd.paretovariate(0.6)) % 5000}" for _ in range(20_000)] for _ in range(2))
+    tracemalloc.start()
+    found = rg.BitLcs(a, b)
+    n, at = found.length(), found.positions()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(at) == n and at == sorted(at, reverse=True) and peak < 100e6
+    inside = iter(b)
+    assert all(a[i] in inside for i in reversed(at))  # a common subsequence
+    df = spark.createDataFrame([(1, " ".join(a), " ".join(b))], "k int, p string, r string")
+    row = rg.rouge_l(df, ["k"], "p", "r").first()
+    assert row.rougeL_f == row.rougeLsum_f == 2 * (n / 20_000) ** 2 / (2 * (n / 20_000))
+
+
+# Published pairs of a word and its stem.
+STEMS = """caresses caress ponies poni ties ti caress caress cats cat feed feed agreed agre plastered plaster bled bled
+motoring motor sing sing conflated conflat troubled troubl sized size hopping hop tanned tan falling fall hissing hiss
+fizzed fizz failing fail filing file happy happi sky sky relational relat conditional condit rational ration valenci valenc
+hesitanci hesit digitizer digit conformabli conform radicalli radic differentli differ vileli vile analogousli analog
+vietnamization vietnam predication predic operator oper feudalism feudal decisiveness decis hopefulness hope callousness
+callous formaliti formal sensitiviti sensit sensibiliti sensibl triplicate triplic formative form formalize formal
+electriciti electr electrical electr hopeful hope goodness good revival reviv allowance allow inference infer airliner
+airlin gyroscopic gyroscop adjustable adjust defensible defens irritant irrit replacement replac adjustment adjust
+dependent depend adoption adopt homologou homolog communism commun activate activ angulariti angular homologous homolog
+effective effect bowdlerize bowdler probate probat rate rate cease ceas controll control roll roll generalizations gener
+oscillators oscil""".split()
+
+
+def test_published_stems(spark):
+    want = dict(zip(STEMS[::2], STEMS[1::2]))
+    got = stems.porter(spark.createDataFrame([(w,) for w in want], "word string")).collect()
+    assert {r.word: r.stem for r in got} == want
+
+
+def test_short_and_odd_words(spark):
+    words = ["", "a", "is", "was", "eed", "ing", "sses", "ssss", "2020s", "x9ing", "yyying", "aeiou", "s" * 500 + "ing", None]
+    got = {r.word: r.stem for r in stems.porter(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+    assert got[""] == "" and got["was"] == "was" and got["2020s"] == "2020" and got[None] is None and got["sses"] == "ss"
+    assert len(got) == len(words)
+
+
+def stemmed_pairs(spark):
+    return spark.createDataFrame([
+        (1, "The ponies were hopping,\nagreed!", "A pony hops; agreeing happily\n\nRelational operators."),
+        (2, None, "!!!"), (3, "", "only ties"), (4, "happy happy happy", "happiness, HAPPY")], "k int, p string, r string")
+
+
+def test_stems_replace_words_line_by_line(spark):
+    pairs = stemmed_pairs(spark)
+    got = {r.k: (r.p, r.r) for r in rg.stemmed(pairs, ["k"], ["p", "r"]).collect()}
+    assert got == {1: ("the poni were hop\nagre", "a poni hop agre happili\n\nrelat oper"), 2: ("", ""), 3: ("", "onli ti"),
+                   4: ("happi happi happi", "happi happi")}
+    dealt = {r.k: (r.p, r.r) for r in rg.stemmed(pairs, ["k"], ["p", "r"], max_broadcast=0).collect()}
+    assert dealt == got  # the salted join gives the same texts
+    assert rg.stemmed(pairs.where("false"), ["k"], ["p", "r"]).count() == 0
+
+
+def test_perfect_match_scores_one_on_stems(spark):
+    df = spark.createDataFrame([(1, "hopping ponies\nagree", "hopping ponies\nagree")], "k int, p string, r string")
+    texts = rg.stemmed(df, ["k"], ["p", "r"])
+    assert rg.rouge_n(texts, ["k"], "p", "r").first().rouge2_f == 1.0 == rg.rouge_l(texts, ["k"], "p", "r").first().rougeLsum_f
+
+
+def test_bootstrap_brackets_the_mean(spark):
+    rnd = random.Random(5)
+    rows = [(i, rnd.random(), 0.25) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, a_f double, b_f double")
+    got = {r.metric: r for r in rg.bootstrap(df, ["k"], ["a_f", "b_f"]).collect()}
+    mean = sum(r[1] for r in rows) / len(rows)
+    sd = (sum((r[1] - mean) ** 2 for r in rows) / len(rows)) ** 0.5 / len(rows) ** 0.5
+    assert abs(got["a"].mid - mean) < sd / 2
+    for mark, z in (("low", -1.96), ("high", 1.96)):
+        assert abs(got["a"][mark] - (mean + z * sd)) < 0.35 * sd
+    assert (got["b"].low, got["b"].mid, got["b"].high) == (0.25, 0.25, 0.25)
+    again = {r.metric: r for r in rg.bootstrap(df.repartition(7), ["k"], ["a_f", "b_f"]).collect()}
+    assert again == got
+    assert rg.bootstrap(df.where("false"), ["k"], ["a_f"]).count() == 0
+
+
+def test_poisson_weights_have_mean_one():
+    steps = rg.poisson_steps()
+    assert sum(65536 - t for t in steps) / 65536 == pytest.approx(1, abs=2e-4)

@@ -152,3 +152,76 @@ def test_highlights_pairs(spark):
     from lexiscope.operators import standardize as sd
     df = spark.createDataFrame([("An article.", "Its highlights.")], "article string, highlights string")
     assert sd.prepare_pairs(df).count() == 1
+
+
+LITERALS = [
+    "['cns', 'positive']", "[]", " [ 'a' , \"b\" , ] ", "[\"it's\", 'say \"x\"', 'both \\' and \"']", r"['a\\b', 'c\nd\te', '\x41é\U0001f600', '\101\0']",
+    r"['\q keeps', '\\', '', '\\\'']", "['comma, [bracket]', \"', '\"]", "['" + "x" * 50_000 + r"\n" * 5_000 + "']", "['é中\U0001f600']",
+    "['line\\\njoined']",
+    "['open", "['a' 'b' 'c'", "nothing", "", "['a',, 'b']", "[a]", "['a'] tail", "[1, 2]"]
+
+
+def test_list_literals_as_python_reads_them(spark):
+    import ast
+
+    def want(text):
+        try:
+            return ast.literal_eval(text.strip())
+        except (SyntaxError, ValueError):
+            return None
+
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(LITERALS)], "i int, x string")
+    got = {r.i: r.l for r in df.select("i", rd.parse_tag_list(F.col("x")).alias("l")).collect()}
+    for i, text in enumerate(LITERALS):
+        value = want(text)
+        strings = value if isinstance(value, list) and all(isinstance(v, str) for v in value) else None
+        assert got[i] == strings, text[:60]
+    assert spark.createDataFrame([(None,)], "x string").select(rd.parse_tag_list(F.col("x")).alias("l")).first().l is None
+
+
+def test_list_literals_round_trip(spark):
+    import ast
+    lists = [["a", "it's", 'say "x"', "both ' and \"", "back\\slash\\n", "two\nlines\r\t", "", "é\U0001f600"], []]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, l array<string>")
+    rows = df.select("i", sk.tag_list_literal(F.col("l")).alias("t")).withColumn("back", rd.parse_tag_list(F.col("t"))).collect()
+    for r in rows:
+        assert r.back == lists[r.i] == ast.literal_eval(r.t)
+
+
+def run_folder(records_of, root, stamp):
+    import os
+    for path, text in records_of.items():
+        full = f"{root}/{path}"
+        os.makedirs(os.path.dirname(full), exist_ok=True)
+        with open(full, "w") as f:
+            f.write(text)
+        os.utime(full, (stamp[path], stamp[path]))
+
+
+def test_newest_checkpoint_of_many_runs(spark, tmp_path):
+    import json
+    log = lambda *steps: json.dumps({"log_history": [{"step": s, "loss": s / 4, "other": "x"} for s in steps], "best": 1}, indent=2)
+    files = {"a/checkpoint-10/trainer_state.json": log(1, 2), "a/checkpoint-9/trainer_state.json": log(3),
+             "b/checkpoint-1/trainer_state.json": log(4), "b/checkpoint-2/trainer_state.json": log(5, 6),
+             "c/checkpoint-7/trainer_state.json": "{ broken", "d/checkpoint-3/trainer_state.json": log()}
+    # Run a: the lower number is newer.  Run b: equal times, the greater number counts.
+    stamp = dict(zip(files, (1000, 2000, 3000, 3000, 4000, 5000)))
+    run_folder(files, tmp_path, stamp)
+    got = spark_rows(rd.read_training_logs(spark, str(tmp_path)))
+    assert got == [("a", 9, 3, 0.75), ("b", 2, 5, 1.25), ("b", 2, 6, 1.5)]
+    named = {r.run: r.checkpoint for r in rd.newest_checkpoints(spark, str(tmp_path)).collect()}
+    assert named == {"a": 9, "b": 2, "c": 7, "d": 3}
+
+
+def spark_rows(df):
+    return sorted((r.run, r.checkpoint, r.step, r.loss) for r in df.collect())
+
+
+def test_training_logs_of_lines(spark, tmp_path):
+    import time
+    log = spark.createDataFrame([("r1", 1, 0.5), ("r1", 2, 0.25), ("r2", 1, None)], "run string, step long, loss double")
+    sk.write_training_log(log, str(tmp_path), "run", 1)
+    time.sleep(0.05)
+    sk.write_training_log(log.where("run = 'r1'").withColumn("step", F.col("step") + 10), str(tmp_path), "run", 2)
+    got = spark_rows(rd.read_training_logs(spark, str(tmp_path), lines=True))
+    assert got == [("r1", 2, 11, 0.5), ("r1", 2, 12, 0.25), ("r2", 1, 1, None)]
