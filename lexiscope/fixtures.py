@@ -206,7 +206,8 @@ LOG_EPOCH_ORIGIN = "2024-01-01 00:00:00"
 
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a training log: run = user, epoch = days since the origin,
-    ``eval_loss`` on error events, ``loss`` on the others; order = (ts, event_id)."""
+    ``eval_loss`` on error events, ``loss`` on the others, ``eval_accuracy`` and ``eval_rougeL`` the event's ``k`` in
+    hundredths on error and signup events; order = (ts, event_id)."""
     from lexiscope.session import read_table
     ev = read_table(spark, sf_dir, "events")
     # Wall-clock difference of two TIMESTAMP_NTZ values: no session time zone involved.
@@ -214,11 +215,13 @@ def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     f"CAST(ts AS TIMESTAMP_NTZ))")
     epoch = micros / F.lit(86_400_000_000.0)
     is_eval = F.col("event_type") == "error"
+    k = F.get_json_object("props", "$.k").cast("double")
     return ev.select(
         F.col("user_id").alias("run"), "ts", "event_id", epoch.alias("epoch"),
         F.when(~is_eval, F.col("value")).alias("loss"),
         F.when(is_eval, F.col("value")).alias("eval_loss"),
-        F.lit(None).cast("double").alias("eval_accuracy"))
+        F.when(is_eval, k / 100.0).alias("eval_accuracy"),
+        F.when(F.col("event_type") == "signup", k / 100.0).alias("eval_rougeL"))
 
 
 def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

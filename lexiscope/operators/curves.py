@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexiscope.plans.ordering import exact_part, indexed_scan, part_ids, part_value
 
-SERIES = ("loss", "eval_loss", "eval_accuracy")
+SERIES = ("loss", "eval_loss", "eval_accuracy", "eval_rougeL")
 WINDOW_DIVISOR = 100
 ROUND = 6
 

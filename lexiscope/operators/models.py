@@ -7,7 +7,8 @@
   bounded by ``max_features`` before it is broadcast.
 * ML1 for Spark ML: ``RegexTokenizer`` + ``CountVectorizer`` + ``IDF`` with the
   missing ``+1`` folded into an ``ElementwiseProduct`` + ``Normalizer``.
-* ML2: Spark has no kernel SVM; a class-weighted ``OneVsRest(LinearSVC)``.
+* ML2: Spark has no kernel SVM; a class-weighted ``OneVsRest(LinearSVC)``, on TF-IDF rows or, for the RBF kernel, on
+  random Fourier features built by expressions.
 * ML3: per-class decision scores from ``rawPrediction``.
 * ML4/ML6: caller-supplied models run as Arrow batch UDFs (``predict_batch_udf``),
   loaded once per Python worker.
@@ -15,10 +16,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer,
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiscope.functions.hashing import hex_slice_int
+
 TOKEN_PATTERN = "[\\p{L}\\p{N}_]{2,}"  # maximal runs of >= 2 word characters
 MAX_FEATURES = 10_000
 SVM_C = 10.0
@@ -42,20 +45,26 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
-def tfidf_relational(train: DataFrame, docs: DataFrame, id_col: str = "doc_id",
+def tfidf_relational(docs: DataFrame, is_train: Column | None = None, id_col: str = "doc_id",
                      text_col: str = "text", max_features: int = MAX_FEATURES) -> DataFrame:
-    """``(id, term, weight)`` for ``docs``, with vocabulary and idf fitted on ``train``."""
-    train_terms = train.select(id_col, F.explode(terms(F.col(text_col))).alias("term"))
-    per_doc = train_terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    stats = per_doc.groupBy("term").agg(F.sum("tf").alias("tf_total"),
-                                        F.count(F.lit(1)).alias("df"))
+    """``(id, term, weight)`` for ``docs``, with vocabulary and idf fitted on the rows where ``is_train`` (all by default).
+
+    Texts are split once: the counts per document and term serve the fit, which sums those of training rows, and the
+    weights of all rows (one exchange, reused).
+    """
+    train = F.lit(True) if is_train is None else F.coalesce(is_train, F.lit(False))
+    flagged = docs.select(id_col, train.alias("_train"), text_col)
+    per_doc = flagged.select(id_col, "_train", F.explode(terms(F.col(text_col))).alias("term")).groupBy(
+        id_col, "_train", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # Sums of training rows by condition: a filter would be pushed down and split the texts again.
+    stats = per_doc.groupBy("term").agg(F.sum(F.when(F.col("_train"), F.col("tf"))).alias("tf_total"),
+                                        F.count_if("_train").alias("df")).where("tf_total is not null")
     vocab = stats.orderBy(F.col("tf_total").desc(), F.col("term")).limit(max_features)
-    n_train = train.select(id_col).distinct().count()
-    idf = vocab.select("term", (F.log((1.0 + n_train) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    doc_terms = (docs.select(id_col, F.explode(terms(F.col(text_col))).alias("term"))
-                 .join(F.broadcast(idf), "term")  # <= max_features rows
-                 .groupBy(id_col, "term", "idf").agg(F.count(F.lit(1)).alias("tf")))
-    weighted = doc_terms.select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    n_train = flagged.agg(F.count_distinct(F.when(F.col("_train"), F.col(id_col))).alias("n_train"))
+    idf = vocab.crossJoin(F.broadcast(n_train)).select(  # one row
+        "term", (F.log((1.0 + F.col("n_train")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    # <= max_features rows
+    weighted = per_doc.join(F.broadcast(idf), "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     # Row norm with a window per document (bounded by its distinct terms)
     # instead of a second aggregate joined back.
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
@@ -95,62 +104,66 @@ def fit_svm(train_features: DataFrame, label_col: str = "label_index",
                      weightCol=weight_col, parallelism=len(CLASS_NAMES)).fit(train_features)
 
 
-# ---- ML2 option: RBF kernel approximated by random Fourier features ---------------
+# ---- ML2: RBF kernel approximated by random Fourier features ---------------
+
+#: Components computed together, one row of sums for each block of a document; an even number.
+RFF_BLOCK = 64
+HASH_UNITS = float(1 << 48)
 
-_RFF_CACHE: dict = {}
 
+def _uniforms(h: Column) -> tuple[Column, Column]:
+    """Two uniform numbers of an md5, the first above 0."""
+    return (hex_slice_int(h, 1, 12) + 1) / F.lit(HASH_UNITS), hex_slice_int(h, 13, 12) / F.lit(HASH_UNITS)
 
-def _rff_matrix(n_features: int, n_components: int, gamma: float, seed: int):
-    """W ~ N(0, 2*gamma), b ~ U(0, 2*pi) (Rahimi & Recht 2007), rebuilt from the
-    seed once per Python worker instead of being broadcast."""
-    key = (n_features, n_components, gamma, seed)
-    if key not in _RFF_CACHE:
-        rng = np.random.default_rng(seed)
-        w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(n_features, n_components))
-        b = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
-        _RFF_CACHE[key] = (w, b)
-    return _RFF_CACHE[key]
 
+def frequencies(vocabulary: DataFrame, n_components: int, seed: int = 42) -> DataFrame:
+    """``(term, block, w)``: each term's standard normal frequencies, RFF_BLOCK of them a row.
+
+    Box-Muller on the md5 of seed, pair of components and term, so any engine builds the same numbers and no worker
+    holds the matrix.  (Rahimi & Recht 2007; the kernel's scale enters in :func:`rff_components`.)
+    """
+    if n_components % RFF_BLOCK:
+        raise ValueError(f"n_components must be a multiple of {RFF_BLOCK}")
+    blocks = vocabulary.select("term", F.explode(F.sequence(F.lit(0), F.lit(n_components // RFF_BLOCK - 1))).alias("block"))
+
+    def pair(k: Column) -> Column:
+        h = F.md5(F.concat_ws(":", F.lit(str(seed)), k.cast("string"), F.col("term")).cast("binary"))
+        u, v = _uniforms(h)
+        radius, angle = F.sqrt(-2.0 * F.log(u)), F.lit(2 * math.pi) * v
+        return F.array(radius * F.cos(angle), radius * F.sin(angle))
 
-def vocabulary_index(train: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     max_features: int = MAX_FEATURES) -> DataFrame:
-    """``(term, idx)`` for the ML1 vocabulary (top ``max_features`` terms, ties by
-    term); the window numbers at most ``max_features`` rows."""
-    tt = train.select(id_col, F.explode(terms(F.col(text_col))).alias("term"))
-    vocab = (tt.groupBy("term").agg(F.count(F.lit(1)).alias("tf_total"))
-             .orderBy(F.col("tf_total").desc(), F.col("term")).limit(max_features))
-    order = Window.orderBy(F.col("tf_total").desc(), F.col("term"))
-    return vocab.select("term", (F.row_number().over(order) - 1).cast("int").alias("idx"))
+    half = RFF_BLOCK // 2
+    ks = F.sequence(F.col("block") * half, F.col("block") * half + half - 1)
+    return blocks.select("term", "block", F.flatten(F.transform(ks, pair)).alias("w"))
 
 
-def rff_features(weights: DataFrame, vocab: DataFrame, n_components: int = 512,
-                 gamma: float = 1.0, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """RBF feature map ``sqrt(2/D) * cos(W^T x + b)`` from relational TF-IDF rows.
+def rff_components(weights: DataFrame, n_components: int = 256, gamma: float = 1.0, seed: int = 42,
+                   id_col: str = "doc_id") -> DataFrame:
+    """``(id, component, value)``: RBF feature map ``sqrt(2/D) * cos(sqrt(2 gamma) x.w + b)`` of TF-IDF rows.
 
-    ``weights`` is ``(id, term, weight)`` (see :func:`tfidf_relational`); terms
-    get their vocabulary index by a broadcast join (<= ``max_features`` rows),
-    each document's non-zeros are collected (bounded by its distinct terms),
-    and an Arrow UDF gathers the rows of ``W`` for them (numpy, per batch).
+    ``weights`` is ``(id, term, weight)`` (see :func:`tfidf_relational`).  The frequencies of its terms (at most
+    ``max_features`` times ``n_components`` doubles) are broadcast; a document's projections are sums per block of
+    components, combined map-side.
     """
+    table = frequencies(weights.select("term").distinct(), n_components, seed)
+    sums = weights.join(F.broadcast(table), "term").groupBy(id_col, "block").agg(
+        *[F.sum(F.col("weight") * F.col("w")[i]).alias(f"z{i}") for i in range(RFF_BLOCK)])
+    each = sums.select(id_col, "block", F.posexplode(F.array(*[f"z{i}" for i in range(RFF_BLOCK)])).alias("i", "z"))
+    component = (F.col("block") * RFF_BLOCK + F.col("i")).alias("component")
+    each = each.select(id_col, component, "z")
+    _, v = _uniforms(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("phase"), F.col("component").cast("string")).cast("binary")))
+    value = F.lit(math.sqrt(2.0 / n_components)) * F.cos(F.lit(math.sqrt(2.0 * gamma)) * F.col("z") + F.lit(2 * math.pi) * v)
+    return each.select(id_col, "component", value.alias("value"))
+
+
+def rff_features(weights: DataFrame, n_components: int = 256, gamma: float = 1.0, seed: int = 42,
+                 id_col: str = "doc_id") -> DataFrame:
+    """:func:`rff_components` as one ``features`` vector a document."""
     from pyspark.ml.functions import array_to_vector
 
-    n_features = vocab.count()
-    per_doc = (weights.join(F.broadcast(vocab), "term")
-               .groupBy(id_col).agg(F.collect_list(F.struct("idx", "weight")).alias("nz")))
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def project(idx: pd.Series, val: pd.Series) -> pd.Series:
-        w, b = _rff_matrix(n_features, n_components, gamma, seed)
-        scale = np.sqrt(2.0 / n_components)
-        out = []
-        for i, v in zip(idx, val):
-            z = np.asarray(v) @ w[np.asarray(i, dtype=np.int64)] if len(i) else np.zeros(n_components)
-            out.append(scale * np.cos(z + b))
-        return pd.Series(out)
-
-    staged = per_doc.select(id_col, F.transform("nz", lambda e: e["idx"]).alias("_i"),
-                            F.transform("nz", lambda e: e["weight"]).alias("_v"))
-    return staged.select(id_col, array_to_vector(project(F.col("_i"), F.col("_v"))).alias("features"))
+    parts = rff_components(weights, n_components, gamma, seed, id_col).groupBy(id_col).agg(
+        F.array_sort(F.collect_list(F.struct("component", "value"))).alias("x"))  # n_components of them
+    return parts.select(id_col, array_to_vector(F.transform("x", lambda e: e["value"])).alias("features"))
 
 
 def rbf_gamma_scale(weights: DataFrame, n_docs: int, n_features: int) -> float:

@@ -11,6 +11,7 @@ from lexiscope.operators import sampling as sm
 from lexiscope.plans import sql as s
 
 CATS = lx.CATEGORIES
+SERIES = ("loss", "eval_loss", "eval_accuracy", "eval_rougeL")
 
 
 def lexicon_signals() -> str:
@@ -506,13 +507,16 @@ def summary_stability() -> str:
 LOG = ("log AS (SELECT user_id AS run, ts, event_id, "
        "(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 86400000000.0 AS epoch, "
        "CASE WHEN event_type <> 'error' THEN value END AS loss, "
-       "CASE WHEN event_type = 'error' THEN value END AS eval_loss FROM events), "
+       "CASE WHEN event_type = 'error' THEN value END AS eval_loss, "
+       "CASE WHEN event_type = 'error' THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 END AS eval_accuracy, "
+       "CASE WHEN event_type = 'signup' THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 END AS \"eval_rougeL\" "
+       "FROM events), "
        "steps AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ts, event_id) AS step FROM log)")
 
 
 def log_series() -> str:
-    return (f"WITH {LOG} SELECT run, step, 'loss' AS series, loss AS value FROM steps WHERE loss IS NOT NULL "
-            f"UNION ALL SELECT run, step, 'eval_loss', eval_loss FROM steps WHERE eval_loss IS NOT NULL")
+    return f"WITH {LOG} " + " UNION ALL ".join(
+        f"SELECT run, step, '{c}' AS series, \"{c}\" AS value FROM steps WHERE \"{c}\" IS NOT NULL" for c in SERIES)
 
 
 def loss_moving_average() -> str:
@@ -570,6 +574,29 @@ def tfidf_features() -> str:
         f"SELECT w.doc_id, w.term, round(w.w / nm.norm, 9) AS weight FROM w JOIN nm ON w.doc_id = nm.doc_id")
 
 
+def rff_features() -> str:
+    from lexiscope.operators.models import HASH_UNITS
+    from lexiscope.plans.queries import RFF_COMPONENTS as n
+    hexed = lambda h, at: f"CAST(('0x' || substr({h}, {at}, 12))::UBIGINT AS DOUBLE)"
+    split = _threshold_case("doc_id", sm.TRAIN_TEST)
+    radius = f"sqrt(-2.0 * ln(({hexed('h', 1)} + 1) / {HASH_UNITS}))"
+    angle = f"2 * pi() * ({hexed('h', 13)} / {HASH_UNITS})"
+    return (
+        f"WITH x AS ({tfidf_features()}), tr AS (SELECT doc_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents) "
+        f"AND quality IS NOT NULL AND toxic IS NOT NULL AND {split} = 'train'), "
+        f"size AS (SELECT (SELECT count(*) FROM tr) AS rows, (SELECT count(DISTINCT term) FROM x) AS cols, "
+        f"sum(weight) AS s, sum(weight * weight) AS q FROM x WHERE doc_id IN (SELECT doc_id FROM tr)), "
+        f"g AS (SELECT 1.0 / (cols * (q / (rows * cols) - (s / (rows * cols)) * (s / (rows * cols)))) AS gamma FROM size), "
+        f"k AS (SELECT term, k, md5('42:' || k || ':' || term) AS h FROM (SELECT DISTINCT term FROM x), range({n // 2}) t(k)), "
+        f"w AS (SELECT term, 2 * k AS component, {radius} * cos({angle}) AS w FROM k UNION ALL "
+        f"SELECT term, 2 * k + 1, {radius} * sin({angle}) FROM k), "
+        f"z AS (SELECT doc_id, component, sum(weight * w) AS z FROM x JOIN w ON x.term = w.term GROUP BY ALL), "
+        f"p AS (SELECT c AS component, 2 * pi() * ({hexed(chr(39).join(['md5(', '42:phase:', ' || c)']), 13)} / {HASH_UNITS}) AS b "
+        f"FROM range({n}) t(c)) "
+        f"SELECT doc_id, CAST(z.component AS INTEGER) AS component, "
+        f"round(sqrt(2.0 / {n}) * cos(sqrt(2.0 * gamma) * z + b), 6) AS value FROM z JOIN p ON z.component = p.component, g")
+
+
 # ---- sources and sinks (round trips) -------------------------------------------------
 
 
@@ -669,6 +696,7 @@ ORACLES = {
     "epoch_last_eval": epoch_last_eval,
     "best_run": best_run,
     "tfidf_features": tfidf_features,
+    "rff_features": rff_features,
     "softmax_from_counts": softmax_from_counts,
     "csv_sources_stitched": stitched,
     "csv_pairs_by_split": csv_pairs_by_split,

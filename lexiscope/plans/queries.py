@@ -413,7 +413,43 @@ def _labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML1: TF-IDF weights (fit on train, applied to all labelled documents)."""
     data = _labelled_split(spark, sf_dir)
-    return ml.tfidf_relational(data.where(F.col("split") == "train"), data)
+    return ml.tfidf_relational(data, F.col("split") == "train")
+
+
+RFF_COMPONENTS = 64
+
+
+def _rbf(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, float]:
+    """Labelled documents with their split, their TF-IDF rows, and ``gamma='scale'`` of the training rows."""
+    data = cut_lineage(_labelled_split(spark, sf_dir).select("doc_id", "text", "label", "label_index", "split"))
+    train = F.col("split") == "train"
+    weights = cut_lineage(ml.tfidf_relational(data, train))
+    used = weights.agg(F.count_distinct("term").alias("n")).first()["n"]
+    ids = data.where(train).select("doc_id")
+    gamma = ml.rbf_gamma_scale(weights.join(ids, "doc_id", "left_semi"), ids.count(), max(used, 1))
+    return data, weights, gamma
+
+
+def q_rff_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML2: random Fourier features of the RBF kernel for every labelled document."""
+    _, weights, gamma = _rbf(spark, sf_dir)
+    parts = ml.rff_components(weights, RFF_COMPONENTS, gamma)
+    return parts.select("doc_id", "component", F.round("value", 6).alias("value"))
+
+
+def q_rbf_svm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML2 + ML3 with the RBF kernel: predicted label and per-class decision scores for the test split."""
+    data, weights, gamma = _rbf(spark, sf_dir)
+    rows = cut_lineage(data.drop("text").join(ml.rff_features(weights, 256, gamma), "doc_id"))
+    train = rows.where(F.col("split") == "train")
+    classes = ev.class_weights(train, "label").select("label", "weight")
+    model = ml.fit_svm(train.join(F.broadcast(classes), "label"))  # <= 3 rows
+    pred = model.transform(rows.where(F.col("split") == "test"))
+    scores = ml.decision_scores(pred)
+    return pred.select(
+        "doc_id", F.col("label").alias("true_label"),
+        sd.decode_label(F.col("prediction").cast("int"), "index").alias("pred_label"),
+        *[scores[c].alias(f"score_{c}") for c in ml.CLASS_NAMES])
 
 
 _FITTED: dict = {}
@@ -688,6 +724,8 @@ QUERIES = {
     "epoch_last_eval": q_epoch_last_eval,
     "best_run": q_best_run,
     "tfidf_features": q_tfidf_features,
+    "rff_features": q_rff_features,
+    "rbf_svm_predictions": q_rbf_svm_predictions,
     "model_classifier_signals": q_model_classifier_signals,
     "softmax_from_counts": q_softmax_from_counts,
     "svm_predictions": q_svm_predictions,

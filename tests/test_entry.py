@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 TABLES = "events documents pages labels conversations".split()
-SLOW = {"svm_predictions", "svm_metrics", "model_roundtrip"}
+SLOW = {"svm_predictions", "svm_metrics", "model_roundtrip", "rbf_svm_predictions"}
 
 
 def test_entry_runs(spark):
@@ -61,4 +61,5 @@ def test_query_matches_oracle(spark, sf, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
 def test_rows_only_queries_run(spark, sf, name):
-    assert entry.queries()[name](spark, sf).count() >= 0
+    rows = entry.queries()[name](spark, sf).collect()
+    assert rows and any(v is not None for v in rows[0])
