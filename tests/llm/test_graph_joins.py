@@ -171,15 +171,37 @@ def test_decontaminated_rows(spark, make_docs, leak_docs):
     assert sum(i is None for i in left) == 2 and left.count(7) == 2
 
 
-def test_index_holds_everything_within_the_radius(spark):
+def test_index_loses_no_pair_within_the_radius(spark):
+    """All pairs of windows and items, by distance: those within 15 of one size and only they are met."""
     rng = np.random.default_rng(9)
-    df = spark.createDataFrame([(int(x),) for x in rng.integers(-(1 << 63), 1 << 63, 50)], "fp long")
-    from pyspark.sql import functions as F
-    parts = df.select("fp", F.expr(f"inline({decontaminate.block_values('fp', 8)})")).collect()
-    back = defaultdict(int)
-    for r in parts:
-        back[r["fp"]] |= r["value"] << (8 * r["block"])
-    assert all(v == k % (1 << 64) for k, v in back.items())
+    items = [(i, int(rng.integers(5, 7)), int(x)) for i, x in enumerate(rng.integers(-(1 << 63), 1 << 63, 40))]
+    windows = []
+    for w in range(600):
+        _, n, fp = items[w % 40]
+        for bit in rng.choice(64, int(rng.integers(0, 20)), replace=False):
+            fp ^= -(1 << 63) if bit == 63 else 1 << int(bit)
+        windows.append((w, n if w % 5 else 11 - n, fp))
+    got = decontaminate.within_radius(spark.createDataFrame(windows, "window int, n int, fp long"),
+                                      spark.createDataFrame(items, "item_id int, n int, item_fp long")).collect()
+    want = {(w, i): (a ^ b) & (1 << 64) - 1 for w, n, a in windows for i, m, b in items if n == m}
+    want = {k: x.bit_count() for k, x in want.items() if x.bit_count() <= 15}
+    assert len(got) == len(want) > 200 and {(r["window"], r["item_id"]): r["distance"] for r in got} == want
+
+
+def test_a_leak_takes_only_its_own_row(spark, leak_docs):
+    item = leak_docs[0][0][1]
+    rows = [(None, item), (None, "some other words that stand in no item at all"), (5, item), (5, "yet another clean text of a few words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((r["text"] for r in decontaminate.decontaminate(docs, bench).collect())) == sorted(rows[i][1] for i in (1, 3))
+
+
+def test_shuffled_joins_find_the_same(spark, make_docs, leak_docs, monkeypatch):
+    items, docs = leak_docs
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(str, decontaminate.find_leaks(make_docs(docs), bench).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, decontaminate.find_leaks(make_docs(docs), bench).collect())) == want and len(want) > 40
 
 
 def test_only_read_hashes_are_computed(monkeypatch):
