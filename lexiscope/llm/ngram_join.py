@@ -1,13 +1,13 @@
-"""N-gram Jaccard join by MinHash banding of fixed depth.
+"""N-gram Jaccard join by a MinHash LSH forest.
 
-Every text has ``TREES`` bands of MinHash values over its shingles of five words; texts that agree in
-all values of a band are candidates.  Two texts of similarity s agree in some band of d values with
-probability 1 - (1 - s^d)^TREES; d is the most values, up to ``MAX_DEPTH``, that reach ``RECALL`` at the
-threshold (4 at 0.8).  This replaces an LSH forest (sorted prefix tries, prefixes shortened adaptively): the
-threshold is fixed, so the depth at which a forest would stop is known beforehand, and links at longer
-prefixes are among those at this one.  The texts of equal bands are linked by stars (a row for each
-member, never a pair), and the texts of one star component meet once, in blocks of ``BLOCK``,
-where all their pairs are verified by exact Jaccard similarity of their shingle sets.
+Every text has ``TREES`` keys of ``MAX_DEPTH`` MinHash values (16 bits each) over its shingles of five words.  A tree is a
+prefix trie held as the texts sorted by their keys: texts that share a prefix lie side by side.  The matched prefix starts
+at the whole key and is shortened by one value at a time until the target recall: two texts of similarity s agree in the
+first d values of some tree with probability 1 - (1 - s^d)^TREES, which must reach ``RECALL`` at the threshold (the
+threshold is the same for all texts, so the walk ends at one depth; 4 at 0.8).  One pass over the sorted keys links each
+text with the head of its run of equal prefixes (heads follow one another every ``LINKED`` texts, and runs go on
+across tasks), so there is neither a group nor a hub of unbounded size.  The texts of one component
+meet once, in blocks of ``BLOCK``, where all their pairs are verified by exact Jaccard similarity of their shingle sets.
 
 Copies (equal texts) are one node with a weight throughout; no pair is ever written, only
 counts of links and roots.
@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiscope.llm.common import ready, written
+from lexiscope.llm.common import find_by, ready, written
 from lexiscope.llm.components import components
 from lexiscope.llm.word_hash import U, mix, shingle_hashes, text_chunks
 
@@ -30,13 +31,15 @@ TREES = 16
 MAX_DEPTH = 8
 RECALL = 0.999
 BLOCK = 256
+LINKED = 256
+VALUE_BITS = 16
 CHUNK = 1 << 20  # bytes of text whose shingles are held at once
 #: Rows up to which a table of ids is broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, recall: float) -> int:
-    """The most values of a band that reach ``recall`` at ``threshold`` (1 if none does)."""
+    """The longest prefix that reaches ``recall`` at ``threshold``, shortened from ``max_depth`` on (1 if none does)."""
     for d in range(max_depth, 1, -1):
         if 1 - (1 - threshold ** d) ** trees >= recall:
             return d
@@ -58,29 +61,89 @@ def signatures(h: np.ndarray, begin: np.ndarray, n: int, used: list[int] | None
     return out
 
 
-def _sign(k: int, trees: int, max_depth: int, depth: int):
-    used = [t * max_depth + d for t in range(trees) for d in range(depth)]
+def keys_of(sig: np.ndarray, trees: int, max_depth: int) -> np.ndarray:
+    """Two 64-bit numbers for each text and tree: its values in order, 16 bits each, first ones first."""
+    value = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(32 - VALUE_BITS)).astype(U).reshape(len(sig), trees, max_depth)
+    out = np.zeros((len(sig), trees, 2), U)
+    for d in range(max_depth):
+        out[:, :, d // 4] |= value[:, :, d] << U(VALUE_BITS * (3 - d % 4))
+    return out
+
 
+def _sign(k: int, trees: int, max_depth: int):
     def run(batches):
         for batch in batches:
             for i, j, words, where in text_chunks(batch.column("text"), CHUNK):
                 h, begin = shingle_hashes(words, where, k)
-                sig = signatures(h, begin, trees * max_depth, used)
-                label = np.empty((j - i, trees), U)
-                for t in range(trees):
-                    x = np.full(j - i, t + 1, U)
-                    for d in range(depth):
-                        x = mix(x + sig[:, t * depth + d].astype(U))
-                    label[:, t] = x
+                key = keys_of(signatures(h, begin, trees * max_depth), trees, max_depth)
                 some = np.diff(begin) > 0
-                flat = label[some].view(np.int64).ravel()
-                offsets = np.concatenate([[0], np.cumsum(np.where(some, trees, 0))]).astype(np.int32)
+                flat = key[some].view(np.int64).ravel()
+                offsets = np.concatenate([[0], np.cumsum(np.where(some, 2 * trees, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), batch.column("node").slice(i, j - i),
-                     pa.ListArray.from_arrays(offsets, pa.array(flat))], ["doc_id", "node", "runs"])
+                     pa.ListArray.from_arrays(offsets, pa.array(flat))], ["doc_id", "node", "keys"])
     return run
 
 
+def prefixes(tree: np.ndarray, hi: np.ndarray, lo: np.ndarray, depth: int) -> np.ndarray:
+    """Rows ``tree, hi, lo`` of which only the first ``depth`` values of the key are left."""
+    drop = [VALUE_BITS * max(0, 4 - depth), VALUE_BITS * min(4, 8 - depth)]
+    keep = [(~U(0) << U(n)) if n < 64 else U(0) for n in drop]
+    return np.stack([tree.astype(U), hi.view(U) & keep[0], lo.view(U) & keep[1]], axis=1)
+
+
+def _forest(depth: int):
+    """Links of sorted keys: each text with the head of its run of equal prefixes, heads with one another; and the
+    first and last row of the task, for runs that go on."""
+    names = ["a", "b", "place", "ends", "tree", "hi", "lo"]
+
+    def ends(place: int, last: bool, row: tuple) -> tuple:
+        p, node = row
+        return (node, None, place, last, *(int(x) for x in p.view(np.int64)))
+
+    def run(batches):
+        place, before = TaskContext.get().partitionId(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p = prefixes(*(batch.column(c).to_numpy() for c in ("tree", "hi", "lo")), depth)
+            node = batch.column("node").to_pylist()
+            same = np.concatenate([[before is not None and (p[0] == before[0]).all()], (p[1:] == p[:-1]).all(axis=1)])
+            rows = [ends(place, False, (p[0], node[0]))] if before is None else []
+            start = np.maximum.accumulate(np.where(same, 0, np.arange(len(p))))  # a run's first row in this batch
+            for i in np.flatnonzero(same).tolist():
+                at = i - int(start[i])
+                other = before[1] if i == 0 else node[i - at % LINKED] if at % LINKED else node[i - LINKED]
+                rows.append((node[i], other, place, None, None, None, None))
+            before = p[-1], node[-1]
+            yield _rows(rows)
+        if before is not None:
+            yield _rows([ends(place, True, before)])
+
+    types = [pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+
+    def _rows(rows):
+        cols = list(zip(*rows)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+    return run
+
+
+def forest_links(nodes: DataFrame, trees: int, depth: int) -> DataFrame:
+    """``a, b``: links that join all of ``nodes`` (``node, keys``) whose keys agree in ``depth`` values in some tree."""
+    member = nodes.select("node", F.explode(F.expr(
+        f"transform(sequence(0, {trees - 1}), t -> struct(cast(t as bigint) as tree, keys[2 * t] as hi, keys[2 * t + 1] as lo))"
+    )).alias("k")).select("node", "k.*")
+    order = ["tree", "hi", "lo", "node"]
+    found = written(member.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        _forest(depth), "a string, b string, place long, ends boolean, tree long, hi long, lo long"), "forest")
+    # Two rows for each task.
+    edge = Window.orderBy("place", "ends")
+    cut = found.where("ends is not null").select(
+        "a", "ends", "tree", "hi", "lo", *[F.lag(c).over(edge).alias(f"{c}_") for c in ("a", "tree", "hi", "lo")])
+    over = cut.where("not ends and tree = tree_ and hi = hi_ and lo = lo_").select("a", F.col("a_").alias("b"))
+    return found.where("ends is null").select("a", "b").unionByName(over)
+
+
 def verified(sets: list[np.ndarray], weights: np.ndarray, left: int, threshold: float):
     """Links among sets of shingles: per set the number of partners and their weight, and the least index
     linked to it directly or through others.  ``left``: only pairs across the first ``left`` sets and the
@@ -179,17 +242,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     depth = prefix_depth(threshold, trees, max_depth, recall)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("node"), "text")
-    signed = written(rows.mapInArrow(_sign(shingle, trees, max_depth, depth),
-                                     "doc_id long, node string, runs array<long>"), "signatures")
-    nodes = written(signed.where("size(runs) > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("runs").alias("runs")), "nodes")
-    member = nodes.select("node", F.explode("runs").alias("run"))
-    shared = member.groupBy("run").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = member.join(shared.select("run", "hub"), "run").select(
-        F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    near = components(stars)
-    sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    near = written(near.join(sizes, "root").join(nodes.select("node", "rep", "copies"), "node").select(
+    signed = written(rows.mapInArrow(_sign(shingle, trees, max_depth),
+                                     "doc_id long, node string, keys array<long>"), "signatures")
+    nodes = written(signed.where("size(keys) > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")), "nodes")
+    near = components(forest_links(nodes, trees, depth))
+    sizes = written(near.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "component-sizes")
+    near = written(find_by(near, sizes, "root", "size").join(nodes.select("node", "rep", "copies"), "node").select(
         "node", F.col("root").alias("comp"), "size", "rep", "copies"), "candidates")
     # The text of one row of each candidate node, by id and digest: copies of a hot text stay behind.
     some = near.select(F.col("node").alias("node_"), "comp", "size", "rep", "copies")
@@ -221,13 +280,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     total = signed.count()
     hot = info.where(F.col("n_copies") * 1000 >= total)
     cold = info.where(F.col("n_copies") * 1000 < total)
-    ids = signed.where("size(runs) > 0").select("doc_id", "node")
+    ids = signed.where("size(keys) > 0").select("doc_id", "node")
     first = ids.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "node", "left")
     columns = ["class_id", "n_copies", "n_text_links", "n_links"]
     out = first.where("hot").select("doc_id", "node", *columns).union(
         first.where("hot is null").select("doc_id", "node").join(cold, "node", "left")
         .select("doc_id", "node", *columns)).union(
-        signed.where("size(runs) = 0").select("doc_id", "node", *[F.lit(None).cast("long") for _ in columns]))
+        signed.where("size(keys) = 0").select("doc_id", "node", *[F.lit(None).cast("long") for _ in columns]))
     return out.select(
         "doc_id", "node", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_copies", F.lit(1)).alias("n_copies"),

@@ -8,7 +8,7 @@ where that posterior puts at least ``CERTAINTY`` of its mass above ``LIMIT``.  A
 rule that fits its URL, else its host.
 
 Built-in functions only.  Counts are summed before they move; where a row must find its group's posterior, the at most
-``HOT`` groups with over 1/``HOT`` of the rows are broadcast and the others are joined by shuffle.
+256 groups with over 1/256 of the rows are broadcast and the others are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiscope.llm.common import ready, written
+from lexiscope.llm.common import find_by, ready, written
 from lexiscope.llm.quality_rules import log_gamma
 
 #: (verdict, host, path): a rule fits its host and all hosts below it, where the URL's path begins with the rule's.
@@ -29,8 +29,6 @@ MAX_RULES = 1_000
 LIMIT, CERTAINTY = 0.5, 0.95
 #: Bounds of a prior's strength, in pages.
 WEAKEST, STRONGEST = 1.0, 1_000.0
-#: Groups with more than 1/HOT of the rows (at most HOT of them) are broadcast.
-HOT = 256
 #: Posteriors of up to so many pages are integrated by a continued fraction, larger ones by Paulson's cube roots.
 EXACT_PAGES, FRACTION_STEPS = 10_000, 300
 
@@ -89,16 +87,6 @@ def outcomes_of(labels: DataFrame) -> DataFrame:
         F.max(bad).alias("bad")).where("bad is not null")
 
 
-def find_by(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
-    """``left`` with the row of ``right`` (one for each key) of its key; ``right[weight]`` counts the rows of ``left``
-    with that key.  Keys with over 1/HOT of the rows, at most HOT of them, are broadcast."""
-    total = right.agg(F.sum(weight)).first()[0] or 0
-    often = F.col(weight) * HOT > total
-    hot, cold = F.broadcast(right.where(often)), right.where(~often)
-    beside = left.join(F.broadcast(right.where(often).select(key)), key, "left_anti")
-    return left.join(hot, key).unionByName(beside.join(cold, key))
-
-
 def strength(groups: DataFrame) -> float:
     """Strength of the prior that spreads ``groups`` (``n, bad, mu``) around their parents' shares ``mu``.
 

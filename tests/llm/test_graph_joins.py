@@ -204,10 +204,60 @@ def test_shuffled_joins_find_the_same(spark, make_docs, leak_docs, monkeypatch):
     assert sorted(map(str, decontaminate.find_leaks(make_docs(docs), bench).collect())) == want and len(want) > 40
 
 
-def test_only_read_hashes_are_computed(monkeypatch):
-    asked, plain = [], ngram_join.signatures
-    monkeypatch.setattr(ngram_join, "signatures", lambda *a: asked.append(a[3]) or plain(*a))
-    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "node": ["a", "b"], "text": ["one two three four five six", ""]})
-    runs = [r for b in ngram_join._sign(5, 16, 8, 4)([batch]) for r in b.column("runs").to_pylist()]
-    assert [len(r) for r in runs] == [16, 0]
-    assert asked == [[8 * t + d for t in range(16) for d in range(4)]]
+def test_forest_joins_all_equal_prefixes(spark, monkeypatch):
+    """Components of the links are those of all pairs that agree in ``depth`` values, with runs over heads, batches and tasks."""
+    monkeypatch.setattr(ngram_join, "LINKED", 3)
+    rng = np.random.default_rng(8)
+    keys = rng.integers(0, 3, (300, 2, 8)).astype(np.uint64)
+    keys[:80, 0] = keys[0, 0]  # one long run
+    packed = np.zeros((300, 2, 2), np.uint64)
+    for d in range(8):
+        packed[:, :, d // 4] |= keys[:, :, d] << np.uint64(48 - 16 * (d % 4))
+    rows = [(f"n{i:03}", [int(x) for x in packed[i].view(np.int64).ravel()]) for i in range(300)]
+    df = spark.createDataFrame(rows, "node string, keys array<long>").repartition(5)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        for depth in (8, 6, 5, 4):
+            found = ngram_join.forest_links(df, 2, depth)
+            got = {r["node"]: r["root"] for r in components(found).collect()}
+            root = list(range(300))
+            groups = defaultdict(list)
+            for i in range(300):
+                for t in range(2):
+                    groups[(t, *keys[i, t, :depth])].append(i)
+            while True:
+                new = list(root)
+                for g in groups.values():
+                    low = min(new[i] for i in g)
+                    for i in g:
+                        new[i] = low
+                if new == root:
+                    break
+                root = new
+            want = {f"n{i:03}": f"n{root[i]:03}" for i in range(300) if root.count(root[i]) > 1}
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def test_keys_hold_the_values_in_order():
+    sig = np.random.default_rng(2).integers(0, 1 << 32, (5, 16)).astype(np.uint32)
+    sig[1] = sig[0]
+    sig[1, 5] ^= np.uint32(1 << 20)
+    key = ngram_join.keys_of(sig, 2, 8)
+    tree, hi, lo = np.zeros(5, np.int64), key[:, 0, 0].view(np.int64).copy(), key[:, 0, 1].view(np.int64).copy()
+    agree = [(ngram_join.prefixes(tree, hi, lo, d)[0] == ngram_join.prefixes(tree, hi, lo, d)[1]).all() for d in range(1, 9)]
+    assert agree == [True] * 5 + [False] * 3
+
+
+def test_recall_of_pairs_at_the_threshold(spark):
+    """Pairs of similarity just above 0.8: at least 99 in 100 are found."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(300):
+        w = [f"w{x}" for x in rng.integers(0, 10**6, 94)]
+        v = w[:84] + [f"v{x}" for x in rng.integers(0, 10**6, 6)]  # 80 of 90 and 86 shingles: 80 / 96
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r["n_text_links"] == 1 for r in got) >= 0.99 * 600 and max(r["n_text_links"] for r in got) == 1
