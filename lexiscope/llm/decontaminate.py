@@ -11,8 +11,8 @@ join on (item size, block, value) loses none of a size.  Only fingerprints take
 is within the radius are fetched afterwards and verified by their exact weighted Jaccard similarity.
 
 Built-in functions only.  Where a text may be aligned with an item is found by places and hashes alone; only texts
-with such a place are cut into windows, in a second read.  The benchmark's shingles and index are broadcast only while
-their counted rows stay below ``BROADCAST_ROWS``; beyond, the same narrow rows are shuffled.
+with such a place are cut into windows, in a second read.  The index is joined by shuffle; the benchmark's shingles are
+broadcast only while their counted rows stay below ``BROADCAST_ROWS``; beyond, the same narrow rows are shuffled.
 """
 
 from __future__ import annotations
@@ -81,7 +81,8 @@ def within_radius(windows: DataFrame, items: DataFrame, blocks: int = BLOCKS, ra
     index = items.select("item_id", "n", "item_fp", F.expr(f"inline({block_values('item_fp', blocks)})")).select(
         "item_id", "n", "item_fp", "block", F.explode(F.expr(f"transform(array({masks}), x -> value ^ x)")).alias("value"))
     cut = windows.select("*", F.expr(f"inline({block_values('fp', blocks)})"))
-    met = cut.join(_bounded(index), ["n", "block", "value"]).withColumn(
+    # Thousands of rows an item: evenly dealt, never broadcast.
+    met = cut.join(index.hint("merge"), ["n", "block", "value"]).withColumn(
         "distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).where(F.col("distance") <= radius)
     return met.select(*windows.columns, "item_id", "distance").distinct()
 
