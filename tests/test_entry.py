@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-TABLES = "events documents pages labels conversations".split()
+TABLES = "events documents embeddings pages benchmark labels conversations".split()
 SLOW = {"svm_predictions", "svm_metrics", "model_roundtrip", "rbf_svm_predictions"}
 
 
