@@ -635,6 +635,12 @@ def text_corpus_reports() -> str:
     return f"SELECT doc_id, lexicon_label, n_tags, bias_score, reliability FROM ({report_flat()})"
 
 
+def report_stream_versioned() -> str:
+    even = "coalesce(doc_id % 2 = 0, false)"
+    return (f"SELECT *, CAST(1 AS BIGINT) AS dictionary_version FROM ({report_flat()}) WHERE {even} UNION ALL BY NAME "
+            f"SELECT *, CAST(2 AS BIGINT) AS dictionary_version FROM ({report_flat(derived=True)}) WHERE NOT {even}")
+
+
 def softmax_from_counts() -> str:
     z = "[CAST(n_positive AS DOUBLE), CAST(n_negative AS DOUBLE), CAST(n_uncertainty AS DOUBLE)]"
     return (f"WITH g AS ({s.signals_query()}), e AS (SELECT doc_id, list_transform({z}, "
@@ -708,4 +714,5 @@ ORACLES = {
     "text_corpus_reports": text_corpus_reports,
     "report_stream": report_flat,
     "report_stream_rowwise": report_flat,
+    "report_stream_versioned": report_stream_versioned,
 }

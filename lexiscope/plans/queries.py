@@ -632,16 +632,16 @@ def q_dictionary_csv_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_text_corpus_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 + S8 -> R5: one ``.txt`` file per document, read as whole files, reported."""
+    """K1 + S8 -> R5: one ``.txt`` file per document in a few folders, read as whole files and reported by path; the
+    narrow reports get their ids from the manifest."""
     path = scratch_path(spark, "corpus")
-    docs = _docs(spark, sf_dir)
-    docs.write.mode("overwrite").partitionBy("doc_id").text(path)
-    back = rd.read_text_corpus(spark, path)
-    # The folder name carries the id; the article is the stripped file content.
-    back = back.select(F.regexp_extract("doc_id", r"doc_id=(-?[0-9]+)", 1).cast("bigint").alias("doc_id"),
-                       tx.py_strip(F.col("text")).alias("text"))
-    flat = rp.report_table(back, _lookup(spark))
-    return flat.select("doc_id", "lexicon_label", "n_tags", "bias_score", "reliability")
+    manifest = sk.write_text_corpus(_docs(spark, sf_dir), path)
+    # The article is the stripped file content.
+    back = rd.read_text_corpus(spark, f"{path}/files").withColumn("text", tx.py_strip(F.col("text")))
+    flat = rp.report_table(back, _lookup(spark)).select(
+        *rd.corpus_places(), "lexicon_label", "n_tags", "bias_score", "reliability")
+    return flat.join(manifest, ["part", "number"]).select(
+        "doc_id", "lexicon_label", "n_tags", "bias_score", "reliability")
 
 
 def q_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -673,6 +673,20 @@ def q_report_stream_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def q_report_stream_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 over a change of dictionary: even ids arrive under version 1 (the fixture dictionary), the others after
+    version 2 (the derived one) is published and the stream started again."""
+    from lexiscope.streaming.report_stream import publish_dictionary, read_stream_output, start_versioned_report_stream
+    source, sink, ckpt, words, records = (scratch_path(spark, f"stream-v-{n}") for n in ("in", "out", "ckpt", "words", "records"))
+    docs, even = _docs(spark, sf_dir), F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
+    for i, (part, make) in enumerate(((even, lambda: fixtures.fixture_dictionary(spark)),
+                                      (~even, lambda: fixtures.derived_dictionary(spark, sf_dir)))):
+        publish_dictionary(make(), words)
+        docs.where(part).write.parquet(f"{source}/arrival={i}")
+        start_versioned_report_stream(spark, f"{source}/*", sink, ckpt, words, records).awaitTermination()
+    return read_stream_output(spark, sink)
+
+
 QUERIES = {
     "lexicon_signals": q_lexicon_signals,
     "report_flat": q_report_flat,
@@ -742,4 +756,5 @@ QUERIES = {
     "report_stream": q_report_stream,
     "report_stream_rowwise": q_report_stream_rowwise,
     "report_stream_derived": q_report_stream_derived,
+    "report_stream_versioned": q_report_stream_versioned,
 }

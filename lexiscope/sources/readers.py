@@ -169,6 +169,13 @@ def read_text_corpus(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
 
 
+def corpus_places(file_col: str = "doc_id") -> list:
+    """``part`` and ``number`` of a file of :func:`lexiscope.sources.sinks.write_text_corpus`, by which its manifest names it."""
+    name = r"/part-(\d+)-[^/]*[.-]c(\d+)[^/]*$"
+    return [F.regexp_extract(file_col, name, 1).cast("int").alias("part"),
+            F.regexp_extract(file_col, name, 2).cast("long").alias("number")]
+
+
 def read_run_metrics(spark: SparkSession, path: str, metric_key: str = "final_test_rougeL",
                      multi_line: bool = True) -> DataFrame:
     """``test.<metric_key>`` per run; missing or non-numeric -> null.

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiscope.session import cut_lineage
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, encoding: str = "UTF-8",
@@ -39,6 +41,27 @@ def write_bucketed_table(df: DataFrame, table: str, key: str = "doc_id", buckets
     return table
 
 
+def write_text_corpus(docs: DataFrame, path: str, folders: int = 64, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """One ``.txt`` file per row (a null text: an empty one) in at most ``folders`` folders below ``path/files``.
+
+    Returns the manifest, kept at ``path/manifest``: ``id, part, number, n_bytes``; ``part`` and ``number`` stand in each
+    file's name (see :func:`lexiscope.sources.readers.corpus_places`), so the id needs no folder of its own.  The rows are
+    cut from their lineage first: a task that runs again writes the same rows under the same names.  A task may hold a
+    million rows at most, a bound of Spark's writer, which stops beyond it.
+    """
+    place = F.monotonically_increasing_id()  # task in the upper bits, row within the task in the lower 33
+    fixed = cut_lineage(docs.select(id_col, F.col(text_col).alias("value")))
+    rows = fixed.withColumn("part", F.shiftrightunsigned(place, 33).cast("int")).withColumn(
+        "number", place.bitwiseAND((1 << 33) - 1))
+    rows.select(id_col, "part", "number", F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("n_bytes")
+                ).write.mode("overwrite").parquet(f"{path}/manifest")
+    # All rows of a task go to one folder, in their order: the writer finds them sorted as it needs them.
+    (rows.withColumn("folder", F.col("part") % folders).sortWithinPartitions("folder", "number").select("folder", "value")
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("folder").text(f"{path}/files"))
+    return docs.sparkSession.read.parquet(f"{path}/manifest")
+
+
 def tag_list_literal(col):
     """Tag list as the legacy Python-literal text (``['cns', 'positive']``): single quotes, or double ones around a
     text that holds only single ones; backslashes, the quote and line ends are escaped."""

@@ -225,3 +225,31 @@ def test_training_logs_of_lines(spark, tmp_path):
     sk.write_training_log(log.where("run = 'r1'").withColumn("step", F.col("step") + 10), str(tmp_path), "run", 2)
     got = spark_rows(rd.read_training_logs(spark, str(tmp_path), lines=True))
     assert got == [("r1", 2, 11, 0.5), ("r1", 2, 12, 0.25), ("r2", 1, 1, None)]
+
+
+def test_text_corpus_keeps_ids_in_few_folders(spark):
+    """More documents than folders, over several tasks; line ends, empty and null texts; a folder gives no id."""
+    import os
+    import tempfile
+
+    from lexiscope.sources import readers as rd
+    from lexiscope.sources import sinks as sk
+    path = tempfile.mkdtemp()
+    texts = {i: f"text {i}\n\nof {'x' * (i % 7)} \u4e2d\n" for i in range(40)} | {40: "", 41: None, -5: "minus"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    manifest = sk.write_text_corpus(docs, path, folders=3)
+    back = rd.read_text_corpus(spark, f"{path}/files")
+    got = {r["doc_id"]: r["text"] for r in back.select(*rd.corpus_places(), "text").join(
+        manifest, ["part", "number"]).collect()}
+    assert back.count() == manifest.count() == len(texts)
+    assert got == {i: (t or "") + "\n" for i, t in texts.items()}
+    assert {r["doc_id"]: r["n_bytes"] for r in manifest.collect()} == {i: len((t or "").encode()) for i, t in texts.items()}
+    assert len([f for f in os.listdir(f"{path}/files") if f.startswith("folder=")]) <= 3
+
+
+def test_empty_text_corpus(spark):
+    import tempfile
+
+    from lexiscope.sources import sinks as sk
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert sk.write_text_corpus(empty, tempfile.mkdtemp()).count() == 0

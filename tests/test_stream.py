@@ -66,3 +66,43 @@ def test_streams_are_exactly_once_across_restarts(spark, sf):
         out = read_stream_output(spark, sink).select(*cols)
         assert out.count() == docs.count()
         assert out.exceptAll(batch).count() == 0 and batch.exceptAll(out).count() == 0
+
+
+def test_a_replayed_batch_keeps_its_dictionary(spark):
+    """A batch whose commit is lost runs again after a new dictionary is published: it keeps the version of its record;
+    the next batch takes the new one."""
+    import os
+
+    from lexiscope.streaming.report_stream import newest_version, publish_dictionary, start_versioned_report_stream
+    src, sink, ckpt, words, records = (tempfile.mkdtemp() for _ in range(5))
+    first = fixtures.fixture_dictionary(spark)
+    second = first.withColumns({"positive": F.col("negative"), "negative": F.col("positive")})
+    run = lambda: start_versioned_report_stream(spark, src + "/*", sink, ckpt, words, records).awaitTermination()
+    arrive = lambda i, text: spark.createDataFrame([(i, text)], "doc_id long, text string").write.parquet(f"{src}/p{i}")
+    labels = lambda: {r["doc_id"]: (r["dictionary_version"], r["lexicon_label"])
+                      for r in read_stream_output(spark, sink).collect()}
+
+    assert newest_version(spark, words) is None
+    assert publish_dictionary(first, words) == 1
+    arrive(0, "thing thing tion")
+    run()
+    assert labels() == {0: (1, "positive")}
+    assert publish_dictionary(second, words) == 2
+    for name in ("0", ".0.crc"):  # the driver is lost before the commit of batch 0
+        if os.path.exists(os.path.join(ckpt, "commits", name)):
+            os.remove(os.path.join(ckpt, "commits", name))
+    arrive(1, "thing thing tion")
+    run()
+    assert labels() == {0: (1, "positive"), 1: (2, "negative")}
+
+
+def test_an_unpublished_version_is_not_seen(spark):
+    """Words without the record that publishes them (a publisher lost half-way) are passed over, then written anew."""
+    from lexiscope.streaming.report_stream import newest_version, publish_dictionary
+    words = tempfile.mkdtemp()
+    d = fixtures.fixture_dictionary(spark)
+    assert publish_dictionary(d, words) == 1
+    lx.project_dictionary(d).limit(1).write.parquet(f"{words}/words/2")
+    assert newest_version(spark, words) == 1
+    assert publish_dictionary(d, words) == 2
+    assert spark.read.parquet(f"{words}/words/2").count() == d.count()
