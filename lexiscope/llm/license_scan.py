@@ -104,6 +104,10 @@ def find_notices(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresho
 
     Each template is on its own: of its windows the most similar one is taken (on a tie the first, then
     the shortest), then the next that shares no word with those taken, and so on.  Rows as in ``find_licenses``.
+
+    A window is left out early if a shorter one from the same start is no worse: that one comes first, and whatever
+    it meets, the longer one meets too.  Windows taken are kept by their start in buckets as wide as the longest
+    window, so a new one is compared with those of three buckets, however many notices a text holds.
     """
     t = template_bigrams(docs.sparkSession, templates, threshold)
     known = sorted({r["bigram"] for r in t.select("bigram").distinct().collect()})  # constant: the templates' own
@@ -122,12 +126,18 @@ def find_notices(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresho
                 "sort_array(flatten(collect_list(transform(ps, (p, i) -> struct(p, "
                 "if(i < t_count, -1, ps[cast(i - t_count as int)]) as before)))))").alias("g"))
             .where("both >= lo"))
-    ends = """filter(transform(filter(slice(g, i + 1, cast(hi as int)), x -> x.p < g[i].p + hi and x.before < g[i].p),
+    ends = """aggregate(transform(filter(slice(g, i + 1, cast(hi as int)), x -> x.p < g[i].p + hi and x.before < g[i].p),
         (x, r) -> struct(-2.0D * (r + 1) / (x.p - g[i].p + 1 + t_size) as d, g[i].p as start_word,
-        x.p - g[i].p + 2 as n_words)), x -> x.d <= -{0}D)"""
-    spans = hits.select("doc_id", "row", "template", F.expr(f"""array_sort(flatten(transform(
+        x.p - g[i].p + 2 as n_words)), cast(array() as array<struct<d: double, start_word: int, n_words: int>>),
+        (a, x) -> if(x.d <= -{0}D and x.d < coalesce(get(a, size(a) - 1).d, 0.0D), concat(a, array(x)), a))"""
+    spans = hits.select("doc_id", "row", "template", F.expr("cast(hi + 1 as int)").alias("wide"), F.expr(f"""array_sort(flatten(transform(
         filter(sequence(0, size(g) - 1), i -> get(g, cast(i + lo - 1 as int)).p < g[i].p + hi), i -> {ends.format(threshold)})))""").alias("c"))
-    taken = spans.select("doc_id", "row", "template", F.expr("""aggregate(c, slice(c, 1, 0), (a, x) -> if(exists(a, y ->
-        x.start_word < y.start_word + y.n_words and y.start_word < x.start_word + x.n_words), a, concat(a, array(x))))""").alias("c"))
+    # Element b + 2 holds what starts in bucket b, so the neighbours of any bucket exist.
+    taken = spans.where("size(c) > 0").select("doc_id", "row", "template", F.expr("""flatten(aggregate(c,
+        array_repeat(slice(c, 1, 0), cast(array_max(c.start_word) div wide + 3 as int)), (a, x) -> if(
+            exists(flatten(slice(a, cast(x.start_word div wide + 1 as int), 3)), y ->
+                x.start_word < y.start_word + y.n_words and y.start_word < x.start_word + x.n_words), a,
+            concat(slice(a, 1, cast(x.start_word div wide + 1 as int)), array(concat(get(a, cast(x.start_word div wide + 1 as int)), array(x))),
+                   slice(a, cast(x.start_word div wide + 3 as int), size(a))))))""").alias("c"))
     return taken.select("doc_id", "row", "template", F.expr("inline_outer(c)")).where("d is not null").select(
         "doc_id", "template", "start_word", "n_words", F.round(-F.col("d"), 9).alias("dice"))

@@ -171,6 +171,20 @@ def test_notices_match_all_windows(make_docs, no_docs, odd_texts):
     assert license_scan.find_notices(no_docs).count() == 0
 
 
+def test_many_notices_in_one_text(make_docs):
+    """Touching notices, whole and broken, against all windows; then 800 in one text, each found once."""
+    mit, notice = license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["MIT-notice"]
+    w = mit.split()
+    texts = [(1, " ".join([mit] * 12)), (2, " ".join(" ".join(w[k % 5:len(w) - k % 7]) for k in range(12))),
+             (3, " ".join([notice, "x"] * 30 + [notice] * 30)), (4, " ".join(w[k % 3] for k in range(200)))]
+    got = Counter((r["doc_id"], r["template"], r["start_word"], r["n_words"], round(r["dice"], 6))
+                  for r in license_scan.find_notices(make_docs(texts)).collect())
+    assert got == Counter((i, *x) for i, t in texts for x in brute_notices(t))
+    assert sum(1 for x in got.elements() if x[0] == 1 and x[1] == "MIT") == 12
+    many = [r for r in license_scan.find_notices(make_docs([(1, " ".join([mit] * 800))])).collect() if r["template"] == "MIT"]
+    assert len(many) == 800 and {r["dice"] for r in many} == {1.0}
+
+
 def test_query_reports_wrapped_notices(spark, tmp_path):
     text = "x\n" + textwrap.fill(license_scan.TEMPLATES["MIT"], 78) + "\n" + "more words follow here\n" * 40
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
