@@ -126,14 +126,16 @@ def find_notices(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresho
                 "sort_array(flatten(collect_list(transform(ps, (p, i) -> struct(p, "
                 "if(i < t_count, -1, ps[cast(i - t_count as int)]) as before)))))").alias("g"))
             .where("both >= lo"))
-    ends = """aggregate(transform(filter(slice(g, i + 1, cast(hi as int)), x -> x.p < g[i].p + hi and x.before < g[i].p),
-        (x, r) -> struct(-2.0D * (r + 1) / (x.p - g[i].p + 1 + t_size) as d, g[i].p as start_word,
-        x.p - g[i].p + 2 as n_words)), cast(array() as array<struct<d: double, start_word: int, n_words: int>>),
-        (a, x) -> if(x.d <= -{0}D and x.d < coalesce(get(a, size(a) - 1).d, 0.0D), concat(a, array(x)), a))"""
-    spans = hits.select("doc_id", "row", "template", F.expr("cast(hi + 1 as int)").alias("wide"), F.expr(f"""array_sort(flatten(transform(
-        filter(sequence(0, size(g) - 1), i -> get(g, cast(i + lo - 1 as int)).p < g[i].p + hi), i -> {ends.format(threshold)})))""").alias("c"))
+    # A window needs ``lo`` shared bigrams to reach the threshold, so its first lo - 1 ends are passed over.
+    ends = f"""aggregate(transform(slice(filter(slice(g, i + 1, cast(hi as int)), x -> x.p < y.p + hi and x.before < y.p),
+            cast(lo as int), cast(hi as int)),
+        (x, r) -> struct(-2.0D * (r + lo) / (x.p - y.p + 1 + t_size) as d, y.p as start_word, x.p - y.p + 2 as n_words)),
+        cast(array() as array<struct<d: double, start_word: int, n_words: int>>), (a, x) -> if(
+            x.d <= -{threshold}D and x.d < coalesce(get(a, size(a) - 1).d, 0.0D), concat(a, array(x)), a))"""
+    spans = hits.select("doc_id", "row", "template", F.expr("cast(hi + 1 as int)").alias("wide"), F.expr(f"""array_sort(
+        flatten(transform(g, (y, i) -> if(get(g, cast(i + lo - 1 as int)).p < y.p + hi, {ends}, slice(array(struct(0.0D as d, 0 as start_word, 0 as n_words)), 1, 0)))))""").alias("c"))
     # Element b + 2 holds what starts in bucket b, so the neighbours of any bucket exist.
-    taken = spans.where("size(c) > 0").select("doc_id", "row", "template", F.expr("""flatten(aggregate(c,
+    taken = spans.select("doc_id", "row", "template", F.expr("""flatten(aggregate(c,
         array_repeat(slice(c, 1, 0), cast(array_max(c.start_word) div wide + 3 as int)), (a, x) -> if(
             exists(flatten(slice(a, cast(x.start_word div wide + 1 as int), 3)), y ->
                 x.start_word < y.start_word + y.n_words and y.start_word < x.start_word + x.n_words), a,
