@@ -29,7 +29,6 @@ from lexiscope.llm.common import bounded_sample, ready, words_of, written
 TOXIC_DOCS, CLEAN_DOCS = 2_000, 8_000
 LINES = 2_000  # of each kind: with and without a seed
 LINE_WORDS = 400  # longer lines are cut into training lines of at most so many words
-MAX_SEEDS = 5_000
 DIM = 1 << 15
 STEPS = 40
 L2 = 0.02
@@ -221,8 +220,9 @@ def _score(chain: Chain, names: list[str]):
     return run
 
 
-def find_seeds(sample: DataFrame, most: int = MAX_SEEDS) -> set[str]:
-    """Words of toxic sample documents whose document counts chance does not explain (at most ``most``)."""
+def find_seeds(sample: DataFrame) -> set[str]:
+    """All words of toxic sample documents whose document counts chance does not explain; a bounded sample bounds them
+    (each takes several toxic documents)."""
     words = sample.select("toxic", F.explode_outer(F.array_distinct(words_of(F.lower("text")))).alias("w")).select(
         "toxic", F.btrim("w", F.lit(STRIP)).alias("w")).where("w <> ''")
     counts = words.groupBy("w").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).where("t >= 2 and 2 * t > n")
@@ -235,7 +235,7 @@ def find_seeds(sample: DataFrame, most: int = MAX_SEEDS) -> set[str]:
     q = F.col("t") / F.col("n")
     kl = q * F.log(q / p) + F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - p))).otherwise(0.0)
     found = counts.withColumn("x", F.col("n") * kl).where(F.col("x") >= math.log(tested))
-    return {r["w"] for r in found.orderBy(F.desc("x"), "w").limit(most).collect()}
+    return {r["w"] for r in found.select("w").collect()}
 
 
 def fit(training: DataFrame, labels: DataFrame | None = None) -> Chain:
