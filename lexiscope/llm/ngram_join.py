@@ -269,9 +269,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
         .mapInArrow(_once(_verify(shingle, threshold)), "node string, root string, links long, weight long"), "links")
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     totals = links.groupBy("node").agg(F.sum("links").alias("n_text_links"), F.sum("weight").alias("weight"))
-    joined = nodes.select("node", "rep", "copies").join(roots, "node", "left").join(totals, "node", "left")
-    classes = joined.where("root is not null").groupBy("root").agg(F.min("rep").alias("class_id"))
-    info = joined.join(classes, "root", "left").select(
+    joined = written(nodes.select("node", "rep", "copies").join(roots, "node", "left").join(totals, "node", "left"), "joined")
+    linked = joined.where("root is not null")
+    classes = written(linked.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("texts")), "class-ids")
+    info = find_by(linked, classes, "root", "texts").unionByName(
+        joined.where("root is null"), allowMissingColumns=True).select(
         "node", F.coalesce("class_id", "rep").alias("class_id"), F.col("copies").alias("n_copies"),
         F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
         (F.coalesce("weight", F.lit(0)) + F.col("copies") - 1).alias("n_links")).where("n_copies > 1 or n_links > 0")
