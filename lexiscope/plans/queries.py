@@ -646,30 +646,28 @@ def q_text_corpus_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as a stateless stream (available-now trigger), read back."""
-    from lexiscope.streaming.report_stream import read_stream_output, start_report_stream
+    from lexiscope.streaming.report_stream import read_stream_output, start_report_stream, table_source
     sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    q = start_report_stream(spark, sf_dir, sink, ckpt, _lookup(spark),
-                            path_glob="documents.parquet")
+    q = start_report_stream(spark, table_source(f"{sf_dir.rstrip('/')}/documents.parquet"), sink, ckpt, _lookup(spark))
     q.awaitTermination()
     return read_stream_output(spark, sink)
 
 
 def q_report_stream_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 as a plain append-mode file stream (row-wise report, no state), read back."""
-    from lexiscope.streaming.report_stream import start_rowwise_report_stream
+    from lexiscope.streaming.report_stream import start_rowwise_report_stream, table_source
     sink, ckpt = scratch_path(spark, "stream-rw-out"), scratch_path(spark, "stream-rw-ckpt")
-    q = start_rowwise_report_stream(spark, sf_dir, sink, ckpt, _lookup(spark),
-                                    path_glob="documents.parquet")
+    q = start_rowwise_report_stream(spark, table_source(f"{sf_dir.rstrip('/')}/documents.parquet"), sink, ckpt, _lookup(spark))
     q.awaitTermination()
     return spark.read.parquet(sink)
 
 
 def q_report_stream_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 as a plain append-mode stream with the large dictionary derived from the corpus."""
-    from lexiscope.streaming.report_stream import start_rowwise_report_stream
+    from lexiscope.streaming.report_stream import start_rowwise_report_stream, table_source
     sink, ckpt = scratch_path(spark, "stream-dd-out"), scratch_path(spark, "stream-dd-ckpt")
     lk = lx.prepare_lookup(fixtures.derived_dictionary(spark, sf_dir))
-    start_rowwise_report_stream(spark, sf_dir, sink, ckpt, lk, path_glob="documents.parquet").awaitTermination()
+    start_rowwise_report_stream(spark, table_source(f"{sf_dir.rstrip('/')}/documents.parquet"), sink, ckpt, lk).awaitTermination()
     return spark.read.parquet(sink)
 
 

@@ -22,6 +22,13 @@ DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
                            T.StructField("text", T.StringType())])
 
 
+def table_source(path: str) -> str:
+    """A pattern that only the table at ``path`` matches.  A stream takes a folder of files as its source, and a
+    table of a single file by a pattern alone; this one serves both."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/{{{name}}}" if folder or path.startswith("/") else f"{{{name}}}"
+
+
 def start_report_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
                         lookup: lx.Lookup, schema: T.StructType = DOC_SCHEMA,
                         available_now: bool = True, max_files_per_trigger: int | None = None,

@@ -106,3 +106,22 @@ def test_an_unpublished_version_is_not_seen(spark):
     assert newest_version(spark, words) == 1
     assert publish_dictionary(d, words) == 2
     assert spark.read.parquet(f"{words}/words/2").count() == d.count()
+
+
+def test_stream_queries_read_tables_of_one_file_and_of_many(spark, tmp_path):
+    """``documents.parquet`` may be a file or a folder of part files, beside tables of other shapes."""
+    import os
+
+    from lexiscope.plans import queries as qs
+    docs = spark.createDataFrame([(i, f"the thing is erin {'than' * (i % 3)} {i}.") for i in range(9)], "doc_id long, text string")
+    docs.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    spark.range(3).write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "raw"))
+    os.makedirs(tmp_path / "one")
+    part = next(f for f in os.listdir(tmp_path / "raw") if f.endswith(".parquet"))
+    os.link(tmp_path / "raw" / part, tmp_path / "one" / "documents.parquet")
+    spark.range(3).write.parquet(str(tmp_path / "one" / "pages.parquet"))
+    want = sorted(r["doc_id"] for r in docs.collect())
+    for query in (qs.q_report_stream, qs.q_report_stream_rowwise, qs.q_report_stream_derived):
+        for kind in ("many", "one"):
+            assert sorted(r["doc_id"] for r in query(spark, str(tmp_path / kind)).collect()) == want
