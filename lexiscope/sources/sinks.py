@@ -87,9 +87,15 @@ def write_run_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") ->
     return path
 
 
+#: Folder of the checkpoints that hold the records of many runs together.
+ALL_RUNS = "all-runs"
+
+
 def write_training_log(log: DataFrame, root: str, run_col: str, checkpoint: int) -> str:
-    """A checkpoint of every run of ``log``: its records as JSON lines below ``<root>/run=<run>/checkpoint=<n>``."""
-    record = F.to_json(F.struct(*[c for c in log.columns if c != run_col]))
-    (log.select(F.col(run_col).alias("run"), F.lit(checkpoint).alias("checkpoint"), record.alias("value"))
-     .write.mode("append").partitionBy("run", "checkpoint").text(root))
+    """A checkpoint of every run of ``log``: its records as JSON lines below ``<root>/all-runs/checkpoint=<n>``.
+
+    Each record names its run, so the number of files follows the tasks that write, not the runs.
+    """
+    record = F.to_json(F.struct(F.col(run_col).cast("string").alias("run"), *[c for c in log.columns if c != run_col]))
+    log.select(record.alias("value")).write.mode("append").text(f"{root.rstrip('/')}/{ALL_RUNS}/checkpoint={checkpoint}")
     return root

@@ -227,6 +227,28 @@ def test_training_logs_of_lines(spark, tmp_path):
     assert got == [("r1", 2, 11, 0.5), ("r1", 2, 12, 0.25), ("r2", 1, 1, None)]
 
 
+def test_training_logs_of_many_runs_share_files(spark, tmp_path):
+    """Files follow the tasks, not the runs; a run's newest checkpoint follows file times, also for a null run."""
+    import os
+    names = [f"r:{i}/x" for i in range(200)] + [None]
+    log = spark.createDataFrame([(n, 1, 0.5) for n in names], "run string, step long, loss double").coalesce(2)
+    sk.write_training_log(log, str(tmp_path), "run", 3)
+    sk.write_training_log(log.where("run is null or run < 'r:2'").withColumn("step", F.lit(2).cast("long")), str(tmp_path), "run", 1)
+    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path) for f in fs if f.startswith("part-")]
+    assert len(files) <= 4
+    for f in files:  # the lower number is newer
+        os.utime(f, (2000, 2000) if "checkpoint=1" in f else (1000, 1000))
+    got = {r["run"]: (r["checkpoint"], r["step"], r["loss"]) for r in rd.read_training_logs(spark, str(tmp_path), lines=True).collect()}
+    assert got == {n: (1, 2, 0.5) if n is None or n < "r:2" else (3, 1, 0.5) for n in names}
+
+
+def test_training_log_lines_in_a_folder_for_each_run(spark, tmp_path):
+    files = {"a/checkpoint-1/log.json": '{"step": 1, "loss": 0.5}\n', "a/checkpoint-2/log.json": '{"step": 2, "loss": 0.25}\n{ broken\n',
+             "run=b/checkpoint=1/part-0": '{"step": 3, "loss": 1.0}\n'}
+    run_folder(files, tmp_path, dict(zip(files, (1000, 2000, 3000))))
+    assert spark_rows(rd.read_training_logs(spark, str(tmp_path), lines=True)) == [("a", 2, 2, 0.25), ("b", 1, 3, 1.0)]
+
+
 def test_text_corpus_keeps_ids_in_few_folders(spark):
     """More documents than folders, over several tasks; line ends, empty and null texts; a folder gives no id."""
     import os
