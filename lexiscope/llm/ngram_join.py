@@ -4,9 +4,10 @@ Every text has ``TREES`` keys of ``MAX_DEPTH`` MinHash values (16 bits each) ove
 prefix trie held as the texts sorted by their keys: texts that share a prefix lie side by side.  The matched prefix starts
 at the whole key and is shortened by one value at a time until the target recall: two texts of similarity s agree in the
 first d values of some tree with probability 1 - (1 - s^d)^TREES, which must reach ``RECALL`` at the threshold (the
-threshold is the same for all texts, so the walk ends at one depth; 4 at 0.8).  One pass over the sorted keys links each
-text with the head of its run of equal prefixes (heads follow one another every ``LINKED`` texts, and runs go on
-across tasks), so there is neither a group nor a hub of unbounded size.  The texts of one component
+threshold is the same for all texts, so the walk ends at one depth; 4 at 0.8).  One pass over the sorted prefixes links each
+text with the first of its run of equal prefixes (runs go on across tasks).  Within a run the texts are ordered by their
+digest, so near copies have the same few first texts in all trees and their links are few.  A first text may be that of a very
+large run: its links are made by many tasks, and its label is broadcast (:func:`components`).  The texts of one component
 meet once, in blocks of ``BLOCK``, where all their pairs are verified by exact Jaccard similarity of their shingle sets.
 
 Copies (equal texts) are one node with a weight throughout; no pair is ever written, only
@@ -31,6 +32,7 @@ TREES = 16
 MAX_DEPTH = 8
 RECALL = 0.999
 BLOCK = 256
+#: No longer read: runs have one first text each.
 LINKED = 256
 VALUE_BITS = 16
 CHUNK = 1 << 20  # bytes of text whose shingles are held at once
@@ -93,8 +95,8 @@ def prefixes(tree: np.ndarray, hi: np.ndarray, lo: np.ndarray, depth: int) -> np
 
 
 def _forest(depth: int):
-    """Links of sorted keys: each text with the head of its run of equal prefixes, heads with one another; and the
-    first and last row of the task, for runs that go on."""
+    """Links of sorted prefixes: each text with the first of its run in this task; and the first and last row of the
+    task, for runs that go on (the last row with the first of its run)."""
     names = ["a", "b", "place", "ends", "tree", "hi", "lo"]
 
     def ends(place: int, last: bool, row: tuple) -> tuple:
@@ -110,12 +112,10 @@ def _forest(depth: int):
             node = batch.column("node").to_pylist()
             same = np.concatenate([[before is not None and (p[0] == before[0]).all()], (p[1:] == p[:-1]).all(axis=1)])
             rows = [ends(place, False, (p[0], node[0]))] if before is None else []
-            start = np.maximum.accumulate(np.where(same, 0, np.arange(len(p))))  # a run's first row in this batch
-            for i in np.flatnonzero(same).tolist():
-                at = i - int(start[i])
-                other = before[1] if i == 0 else node[i - at % LINKED] if at % LINKED else node[i - LINKED]
-                rows.append((node[i], other, place, None, None, None, None))
-            before = p[-1], node[-1]
+            start = np.maximum.accumulate(np.where(same, -1, np.arange(len(p))))  # a run's first row, -1: in an earlier batch
+            first = [before[1] if i < 0 else node[i] for i in start.tolist()]
+            rows += [(node[i], first[i], place, None, None, None, None) for i in np.flatnonzero(same).tolist()]
+            before = p[-1], first[-1]
             yield _rows(rows)
         if before is not None:
             yield _rows([ends(place, True, before)])
@@ -129,9 +129,16 @@ def _forest(depth: int):
 
 
 def forest_links(nodes: DataFrame, trees: int, depth: int) -> DataFrame:
-    """``a, b``: links that join all of ``nodes`` (``node, keys``) whose keys agree in ``depth`` values in some tree."""
+    """``a, b``: links that join all of ``nodes`` (``node, keys``) whose keys agree in ``depth`` values in some tree.
+
+    The texts of a run are ordered by node alone, so the runs of a group of near copies have the same few first
+    texts in all trees, and most of the group's links are equal."""
+    def kept(half: int) -> str:  # the bits of a half of the key that belong to the prefix
+        n = VALUE_BITS * min(4, max(0, depth - 4 * half))
+        return "0L" if n == 0 else f"keys[2 * t + {half}]" if n == 64 else f"shiftleft(shiftright(keys[2 * t + {half}], {64 - n}), {64 - n})"
+
     member = nodes.select("node", F.explode(F.expr(
-        f"transform(sequence(0, {trees - 1}), t -> struct(cast(t as bigint) as tree, keys[2 * t] as hi, keys[2 * t + 1] as lo))"
+        f"transform(sequence(0, {trees - 1}), t -> struct(cast(t as bigint) as tree, {kept(0)} as hi, {kept(1)} as lo))"
     )).alias("k")).select("node", "k.*")
     order = ["tree", "hi", "lo", "node"]
     found = written(member.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(

@@ -261,3 +261,19 @@ def test_recall_of_pairs_at_the_threshold(spark):
         rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
     got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sum(r["n_text_links"] == 1 for r in got) >= 0.99 * 600 and max(r["n_text_links"] for r in got) == 1
+
+
+def test_links_of_a_group_of_near_copies_are_few(spark):
+    """Most links of a large group are the same in all trees (with heads by position: over six for each text)."""
+    rng = np.random.default_rng(12)
+    sig = np.repeat(rng.integers(0, 1 << 32, (1, 128)).astype(np.uint32), 2000, axis=0)
+    other = rng.random(sig.shape) < 0.1  # values that a changed word replaces
+    sig[other] = rng.integers(0, 1 << 32, int(other.sum())).astype(np.uint32)
+    key = ngram_join.keys_of(sig, 16, 8)
+    rows = [(f"{int(d):08x}", [int(x) for x in key[i].view(np.int64).ravel()])
+            for i, d in enumerate(rng.choice(1 << 31, 2000, replace=False))]
+    found = ngram_join.forest_links(spark.createDataFrame(rows, "node string, keys array<long>"), 16, 4).where("a <> b")
+    links = found.selectExpr("least(a, b)", "greatest(a, b)").distinct().count()
+    assert 1999 <= links <= 4.5 * 2000
+    got = components(found)
+    assert got.count() == 2000 and got.select("root").distinct().count() == 1
