@@ -54,15 +54,24 @@ def _fmeasure(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
+#: Bytes of text whose n-grams one task counts.
+TASK_BYTES = 2 << 20
+
+
 def rouge_n(pairs: DataFrame, key_cols: list[str], pred_col: str, ref_col: str,
             orders: tuple[int, ...] = (1, 2), tokenise: Callable[[Column], Column] = rouge_tokens) -> DataFrame:
     """Per pair ``rouge{n}_p/_r/_f`` for each order (pairs with no tokens score 0).
 
     ``tokenise`` turns a text column into an array of tokens (a stemmer can be plugged in there).
-    The short pair rows are dealt by pair once; their n-grams never move.
+    The short pair rows are dealt by pair once; their n-grams never move.  A task holds the counts of its pairs, so the
+    rows (cut from their lineage, for their volume) are dealt to one task for each ``TASK_BYTES`` of text.
     """
-    toks = pairs.select(*key_cols, tokenise(F.col(pred_col)).alias("tp"),
-                        tokenise(F.col(ref_col)).alias("tr")).repartition(*key_cols)
+    texts = cut_lineage(pairs.select(*key_cols, F.col(pred_col).alias("tp"), F.col(ref_col).alias("tr")))
+    size = F.coalesce(F.octet_length("tp"), F.lit(0)).cast("long") + F.coalesce(F.octet_length("tr"), F.lit(0))
+    volume = texts.agg(F.sum(size)).first()[0] or 0
+    tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // TASK_BYTES))
+    toks = texts.repartition(tasks, *key_cols).select(
+        *key_cols, tokenise(F.col("tp")).alias("tp"), tokenise(F.col("tr")).alias("tr"))
     grams = F.array(*[
         F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), ngrams(F.col(col), n).alias("g"))
         for n in orders for side, col in (("p", "tp"), ("r", "tr"))])

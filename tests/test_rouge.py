@@ -256,3 +256,18 @@ def test_bootstrap_brackets_the_mean(spark):
 def test_poisson_weights_have_mean_one():
     steps = rg.poisson_steps()
     assert sum(65536 - t for t in steps) / 65536 == pytest.approx(1, abs=2e-4)
+
+
+def test_rouge_n_tasks_follow_the_volume(spark, monkeypatch):
+    """A task counts the n-grams of so many bytes of text, however many partitions a shuffle has."""
+    import re
+    monkeypatch.setattr(rg, "TASK_BYTES", 1000, raising=False)
+    rows = [(i, f"the cat {i} sat " * 20, f"a cat {i} sat " * 20) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, p string, r string")
+    size = sum(len(p) + len(r) for _, p, r in rows)
+    out = rg.rouge_n(df, ["k"], "p", "r")
+    dealt = re.search(r"hashpartitioning\(k#\d+, (\d+)\)", out._jdf.queryExecution().executedPlan().toString())
+    assert int(dealt.group(1)) >= size // 1000
+    assert out.count() == 100 and abs(out.where("k = 7").first().rouge1_f - 0.75) < 1e-12
+    empty = rg.rouge_n(df.where("k < 0"), ["k"], "p", "r")
+    assert empty.count() == 0
