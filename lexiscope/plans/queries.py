@@ -637,7 +637,7 @@ def q_text_corpus_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "corpus")
     manifest = sk.write_text_corpus(_docs(spark, sf_dir), path)
     # The article is the stripped file content.
-    back = rd.read_text_corpus(spark, f"{path}/files").withColumn("text", tx.py_strip(F.col("text")))
+    back = rd.read_text_corpus(spark, f"{path}/files", rd.corpus_tasks(manifest)).withColumn("text", tx.py_strip(F.col("text")))
     flat = rp.report_table(back, _lookup(spark)).select(
         *rd.corpus_places(), "lexicon_label", "n_tags", "bias_score", "reliability")
     return flat.join(manifest, ["part", "number"]).select(

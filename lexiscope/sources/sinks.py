@@ -6,6 +6,10 @@ driver-side file, so output size is not bounded by one machine.
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,25 +45,57 @@ def write_bucketed_table(df: DataFrame, table: str, key: str = "doc_id", buckets
     return table
 
 
+def _write_text_files(root: str, folders: int, run: str):
+    """Writer of a task's rows ``part, number, value`` (bytes) as files below ``root``, a folder all machines mount."""
+    def write(rows) -> None:
+        made: set[str] = set()
+        attempt = TaskContext.get().taskAttemptId()
+        for part, number, value in rows:
+            folder = f"{root}/folder={number % folders}"
+            if folder not in made:
+                os.makedirs(folder, exist_ok=True)
+                made.add(folder)
+            # Whole under its name or not at all, also if two attempts of the task write it; readers skip names with ``_``.
+            begun = f"{folder}/_{attempt}"
+            with open(begun, "wb") as f:
+                f.write(value + b"\n")
+            os.replace(begun, f"{folder}/part-{part:05d}-{run}.c{number:06d}.txt")
+
+    return write
+
+
 def write_text_corpus(docs: DataFrame, path: str, folders: int = 64, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """One ``.txt`` file per row (a null text: an empty one) in at most ``folders`` folders below ``path/files``.
 
     Returns the manifest, kept at ``path/manifest``: ``id, part, number, n_bytes``; ``part`` and ``number`` stand in each
     file's name (see :func:`lexiscope.sources.readers.corpus_places`), so the id needs no folder of its own.  The rows are
-    cut from their lineage first: a task that runs again writes the same rows under the same names.  A task may hold a
-    million rows at most, a bound of Spark's writer, which stops beyond it.
+    cut from their lineage first: a task that runs again writes the same rows under the same names.
+
+    Where ``path`` is a mounted folder, the tasks create the files themselves: Hadoop's local file system starts a ``chmod``
+    process several times a file.  In other stores Spark's writer does; there a task may hold a million rows at most, a
+    bound of that writer, which stops beyond it.
     """
+    spark = docs.sparkSession
     place = F.monotonically_increasing_id()  # task in the upper bits, row within the task in the lower 33
     fixed = cut_lineage(docs.select(id_col, F.col(text_col).alias("value")))
     rows = fixed.withColumn("part", F.shiftrightunsigned(place, 33).cast("int")).withColumn(
         "number", place.bitwiseAND((1 << 33) - 1))
     rows.select(id_col, "part", "number", F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("n_bytes")
                 ).write.mode("overwrite").parquet(f"{path}/manifest")
-    # All rows of a task go to one folder, in their order: the writer finds them sorted as it needs them.
-    (rows.withColumn("folder", F.col("part") % folders).sortWithinPartitions("folder", "number").select("folder", "value")
-     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("folder").text(f"{path}/files"))
-    return docs.sparkSession.read.parquet(f"{path}/manifest")
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/files")
+    store = files.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        store.delete(files, True)
+        store.mkdirs(files)
+        text = F.coalesce(F.col("value"), F.lit("")).cast("binary")
+        rows.select("part", "number", text).foreachPartition(
+            _write_text_files(files.toUri().getPath(), folders, uuid.uuid4().hex))
+    else:
+        # All rows of a task go to one folder, in their order: the writer finds them sorted as it needs them.
+        (rows.withColumn("folder", F.col("part") % folders).sortWithinPartitions("folder", "number").select("folder", "value")
+         .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("folder").text(f"{path}/files"))
+    return spark.read.parquet(f"{path}/manifest")
 
 
 def tag_list_literal(col):

@@ -275,3 +275,44 @@ def test_empty_text_corpus(spark):
     from lexiscope.sources import sinks as sk
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert sk.write_text_corpus(empty, tempfile.mkdtemp()).count() == 0
+
+
+def corpus_back(spark, path, docs, **how):
+    """A corpus written and read again: ``{doc_id: text}``."""
+    from lexiscope.sources import readers as rd
+    from lexiscope.sources import sinks as sk
+    manifest = sk.write_text_corpus(docs, path, **how)
+    back = rd.read_text_corpus(spark, f"{path}/files", rd.corpus_tasks(manifest))
+    return {r["doc_id"]: r["text"] for r in back.select(*rd.corpus_places(), "text").join(manifest, ["part", "number"]).collect()}
+
+
+def test_text_corpus_creates_its_files_and_no_others(spark, tmp_path):
+    """One file system entry for each text: no sidecar (each costs processes of its own), nothing begun and left.  A
+    second corpus at the same path replaces the first; keys may repeat or be null."""
+    for n in (30, 12):
+        texts = [(i, f"text {i} \u4e2d\r\n") for i in range(n)] + [(3, None), (None, "no id")]
+        docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+        got = corpus_back(spark, str(tmp_path), docs, folders=3)
+        names = [f.name for f in (tmp_path / "files").rglob("*") if f.is_file()]
+        assert len(names) == len(texts) and all(name.endswith(".txt") for name in names)
+        assert got.pop(3) in ("\n", "text 3 \u4e2d\r\n\n") and got.pop(None) == "no id\n"
+        assert got == {i: f"text {i} \u4e2d\r\n\n" for i in range(n) if i != 3}
+
+
+def test_text_corpus_in_a_store_that_only_spark_opens(spark, tmp_path):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.corpus.link./c", tmp_path.as_uri())
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(9)], "doc_id long, text string").repartition(3)
+    assert corpus_back(spark, "viewfs://corpus/c/x", docs) == {i: f"text {i}\n" for i in range(9)}
+
+
+def test_small_files_share_a_task(spark, tmp_path):
+    """The tasks that read a corpus follow its bytes, not one task for every 32 files."""
+    from lexiscope.sources import readers as rd
+    from lexiscope.sources import sinks as sk
+    docs = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).repartition(2)
+    tasks = rd.corpus_tasks(sk.write_text_corpus(docs, str(tmp_path)))
+    back = rd.read_text_corpus(spark, f"{tmp_path}/files", tasks)
+    assert tasks == max(2, spark.sparkContext.defaultParallelism) and back.count() == 1200
+    assert back.rdd.getNumPartitions() == tasks < rd.read_text_corpus(spark, f"{tmp_path}/files").rdd.getNumPartitions()
+    wide = spark.createDataFrame([(200 << 20,)], "n_bytes long")
+    assert rd.corpus_tasks(spark.range(100).crossJoin(wide)) == 313  # 200 MB and 64 kB each, 64 MB a task
