@@ -1,15 +1,23 @@
-"""A constant-time word table as literals of a plan: perfect hashing by displacement.
+"""Word tables that are looked up row by row, without a join.
 
-Words fall into buckets by their hash; each bucket has a displacement that sends its words to free slots of one table
-(buckets with most words choose first).  A lookup is one hash and two array reads, whatever the number of words, and
-needs no join.
+A small one stands as literals in the plan: perfect hashing by displacement.  Words fall into buckets by their hash; each
+bucket has a displacement that sends its words to free slots of one table (buckets with most words choose first).  A lookup is
+one hash and two array reads, whatever the number of words.
+
+Literals cost the driver several hundred bytes a word (Python rows, then boxed words in the plan, in its text and in each
+task).  A large table is therefore packed (:func:`packed`): words sorted by hash, as one Arrow buffer that workers get by
+broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PER_BUCKET, SPARE = 4, 1.25
@@ -85,3 +93,56 @@ def codes_of(tokens: Column, table: WordTable) -> Column:
         return F.struct(x["t"].alias("t"), found.alias("code"))
 
     return F.transform(F.transform(hashed, place), code)
+
+
+# ---- a large table: sorted by hash, broadcast to the Python workers -------------
+
+
+def packed(lookup: DataFrame) -> pa.Table:
+    """``word, code, h`` of ``lookup`` sorted by ``h`` (``xxhash64`` of the word); its size must be checked."""
+    rows = lookup.where(F.col("word").isNotNull()).select("word", F.col("code").cast("byte"), F.xxhash64("word").alias("h"))
+    return rows.sort("h").toArrow().combine_chunks()
+
+
+def most_of_one_hash(h: np.ndarray) -> int:
+    """The largest number of words with the same hash, in a sorted column."""
+    starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    return int(np.diff(np.r_[starts, len(h)]).max()) if len(h) else 0
+
+
+def find_codes(words: pa.Array, codes: np.ndarray, h: np.ndarray, most: int, tokens: pa.Array, hashes: np.ndarray,
+               default: int) -> np.ndarray:
+    """The code of each token, ``default`` for one that is not in the table (``words``, ``codes``, sorted ``h``)."""
+    out = np.full(len(tokens), default, "int32")
+    first = np.searchsorted(h, hashes)
+    for k in range(most):
+        at = np.minimum(first + k, len(h) - 1)
+        like = np.flatnonzero(h[at] == hashes)
+        same = pc.equal(words.take(pa.array(at[like])), tokens.take(pa.array(like))).to_numpy(zero_copy_only=False)
+        out[like[same]] = codes[at[like[same]]]
+    return out
+
+
+def packed_codes(spark: SparkSession, table: pa.Table, default: int, drop: int) -> Callable[[Column], Column]:
+    """``ARRAY<INT>`` of the codes of a column of words (none for a null): ``default`` for words that are not in the
+    :func:`packed` table; those of the code ``drop`` are left out."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    most = most_of_one_hash(table["h"].to_numpy())
+    shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+    @F.arrow_udf("array<int>")
+    def codes_of_words(rows: pa.Array) -> pa.Array:
+        held = pa.ipc.open_stream(shared.value).read_all()  # views of the broadcast, nothing is copied
+        words, codes, h = (c.chunk(0) if c.num_chunks == 1 else c.combine_chunks() for c in held.columns)
+        found = rows.flatten()
+        tokens = found.field("t")
+        if words.type != tokens.type:
+            words = words.cast(tokens.type)
+        values = find_codes(words, codes.to_numpy(), h.to_numpy(), most, tokens, found.field("h").to_numpy(), default)
+        kept = values != drop
+        ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())]
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(kept)][ends], pa.int32()), pa.array(values[kept]))
+
+    return lambda words: codes_of_words(F.transform(words, lambda t: F.struct(t.alias("t"), F.xxhash64(t).alias("h"))))

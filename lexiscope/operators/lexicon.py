@@ -55,6 +55,8 @@ CODE_DROP = -1
 STOPWORD_MODES = ("before_lookup", "in_dictionary")
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+#: A lookup up to so many bytes may stand in a plan as literals.
+MAX_LITERAL_BYTES = 1 << 20
 #: Keys over which each word is dealt where the lookup is too large to broadcast.
 SALTS = 32
 
@@ -330,12 +332,18 @@ def lexicon_signals(docs: DataFrame, lookup: Lookup, id_col: str = "doc_id",
 def rowwise_codes(lookup: Lookup, text_col: str = "text") -> Column:
     """``ARRAY<INT>`` of tag codes of the kept tokens of one row (0 = cns).
 
-    The lookup becomes a perfect-hash table of literals (:mod:`lexiscope.functions.word_table`): a hash and two array
-    reads a token for any number of words within the lookup's broadcast bound (beyond it the callers explode and
-    join).  The words are collected from the lookup table, whose size was counted when it was built.
+    A small lookup becomes a perfect-hash table of literals (:mod:`lexiscope.functions.word_table`): a hash and two array
+    reads a token.  A larger one within its broadcast bound (beyond it the callers explode and join) is packed and broadcast
+    to the Python workers, about 24 bytes a word, and never becomes rows or literals on the driver.
     """
-    table = word_table.collect(lookup.table)
-    looked = word_table.codes_of(F.transform(tx.tokenize(F.col(text_col)), F.upper), table)
+    words = F.transform(tx.tokenize(F.col(text_col)), F.upper)
+    if lookup.approx_bytes > MAX_LITERAL_BYTES:
+        coded, spark = lookup.table, lookup.table.sparkSession
+        if lookup.stopword_mode == "before_lookup":  # every stopword is dropped, in the dictionary or not
+            stop = spark.createDataFrame([(w, CODE_DROP) for w in tx.STOPWORDS], "word string, code int")
+            coded = coded.where(~F.col("word").isin(list(tx.STOPWORDS))).unionByName(stop)
+        return word_table.packed_codes(spark, word_table.packed(coded), CODE_CNS, CODE_DROP)(words)
+    looked = word_table.codes_of(words, word_table.collect(lookup.table))
 
     def code_of(x: Column) -> Column:
         found = F.coalesce(x["code"], F.lit(CODE_CNS))

@@ -664,11 +664,11 @@ def q_report_stream_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_report_stream_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 as a plain append-mode stream with the large dictionary derived from the corpus."""
-    from lexiscope.streaming.report_stream import start_rowwise_report_stream, table_source
+    from lexiscope.streaming.report_stream import read_stream_output, start_rowwise_report_stream, table_source
     sink, ckpt = scratch_path(spark, "stream-dd-out"), scratch_path(spark, "stream-dd-ckpt")
     lk = lx.prepare_lookup(fixtures.derived_dictionary(spark, sf_dir))
     start_rowwise_report_stream(spark, table_source(f"{sf_dir.rstrip('/')}/documents.parquet"), sink, ckpt, lk).awaitTermination()
-    return spark.read.parquet(sink)
+    return read_stream_output(spark, sink)  # a lookup beyond its broadcast bound is joined, in folders of batches
 
 
 def q_report_stream_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -125,3 +125,14 @@ def test_stream_queries_read_tables_of_one_file_and_of_many(spark, tmp_path):
     for query in (qs.q_report_stream, qs.q_report_stream_rowwise, qs.q_report_stream_derived):
         for kind in ("many", "one"):
             assert sorted(r["doc_id"] for r in query(spark, str(tmp_path / kind)).collect()) == want
+
+
+def test_the_derived_stream_has_the_same_columns_beyond_the_broadcast_bound(spark, sf, monkeypatch):
+    """Its lookup is joined in each micro-batch there; the folders of batches give no column."""
+    from lexiscope.plans import queries as qs
+    want = qs.q_report_stream_derived(spark, sf)
+    prepare = lx.prepare_lookup
+    monkeypatch.setattr(lx, "prepare_lookup", lambda d, *a, **k: prepare(d, *a, max_broadcast_rows=1, **k))
+    got = qs.q_report_stream_derived(spark, sf)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()

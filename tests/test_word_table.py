@@ -2,12 +2,15 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lexiscope import fixtures
 from lexiscope.functions import word_table as wt
 from lexiscope.operators import lexicon as lx
+from lexiscope.operators import report as rp
 
 
 def test_every_word_has_a_slot_of_its_own():
@@ -49,6 +52,44 @@ def test_rowwise_takes_a_large_dictionary(spark, sf):
     assert a.select(b.columns).exceptAll(b).count() == 0 and b.count() == a.count()
 
 
+def large_lookup(spark, mode="before_lookup", n=60_000):
+    """The fixture dictionary, two stopwords (one tags) and many words that no text holds."""
+    words = fixtures.fixture_dictionary(spark).select("word", *lx.CATEGORIES)
+    row = lambda word, on: [word.alias("word"), *[F.lit(int(c == on)).alias(c) for c in lx.CATEGORIES]]
+    more = spark.range(n).select(*row(F.concat(F.lit("FILLER"), "id"), "positive"))
+    stop = spark.createDataFrame([("THE",)], "w string").select(*row(F.col("w"), "negative"))
+    return lx.prepare_lookup(words.unionByName(more).unionByName(stop), mode)
+
+
+def test_a_large_lookup_is_no_part_of_the_plan(spark):
+    """Its words are neither rows nor literals of the driver."""
+    docs = spark.createDataFrame([(1, "the thing")], "doc_id long, text string")
+    for make in (lx.tag_counts_rowwise, rp.report_table_rowwise):
+        df = make(docs, large_lookup(spark))
+        assert len(df._jdf.queryExecution().toString()) < 1 << 20
+        assert "FILLER5" not in df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("mode", lx.STOPWORD_MODES)
+def test_a_large_lookup_tags_like_the_join(spark, mode):
+    lookup = large_lookup(spark, mode)
+    assert lookup.broadcast and lookup.rows > 60_000
+    texts = ["The thing is erin's than, filler5 FILLER59999 filler60000 a b", "", None, "x", "the the of", "\u00e9\u4e2d thing\u00df tion",
+             "ha " * 5000, " ,:'."]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "thing")], "doc_id long, text string").repartition(3)
+    a, b = lx.lexicon_signals(docs, lookup), lx.lexicon_signals_rowwise(docs, lookup)
+    assert a.exceptAll(b).count() == 0 == b.exceptAll(a).count() and b.count() == len(texts) + 1
+
+
+def test_packed_words_of_one_hash():
+    """Words whose hashes are equal are told apart, and a token with the hash of a word is not taken for it."""
+    words, codes, h = pa.array(["a", "b", "c", "d"]), np.array([1, 2, 3, 4], "int8"), np.array([-7, 5, 5, 9])
+    assert wt.most_of_one_hash(h) == 2 and wt.most_of_one_hash(h[:0]) == 0
+    tokens, hashes = pa.array(["c", "b", "x", "d", "z", "a", "b"]), np.array([5, 5, 5, 9, 11, -7, 9])
+    assert wt.find_codes(words, codes, h, 2, tokens, hashes, 0).tolist() == [3, 2, 0, 4, 0, 1, 0]
+    assert wt.find_codes(words[:0], codes[:0], h[:0], 0, tokens, hashes, 0).tolist() == [0] * 7
+
+
 def test_beyond_the_broadcast_bound_it_joins(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     small = lx.prepare_lookup(fixtures.fixture_dictionary(spark))
